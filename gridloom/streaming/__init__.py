@@ -1,0 +1 @@
+"""Intentionally empty: none of the operators offered here works on streams."""
