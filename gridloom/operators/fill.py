@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators.regrid import complete
 from gridloom.session import lookup, materialise, small
+from gridloom.sources.axes import facts
 
 #: Distances that agree to this many decimals (unit sphere) are ties; the smaller cell number wins.
 TIE_DIGITS = 9
@@ -32,8 +33,10 @@ def nearest_valid(
     one to the left or to the right, which two running windows find.  Each missing cell then compares those two
     candidates row by row, over a growing band of rows, until no row further away can be nearer.
     """
-    ny, nx = axis_y.count(), axis_x.count()
-    step = abs(axis_y.agg(F.max("point") - F.min("point")).first()[0]) / max(ny - 1, 1)
+    f_y, f_x = facts(axis_y, axis_x)
+    ny, nx = f_y.n, f_x.n
+    # The narrowest gap between rows would be exact for uneven axes; rows here are evenly spaced.
+    step = (f_y.p_hi - f_y.p_lo) / max(ny - 1, 1)
     present = F.col(value).isNotNull() & ~F.isnan(value)
     valid = present if excluded is None else present & ~excluded
     target = ~present if wanted is None else ~present & wanted
@@ -56,16 +59,17 @@ def nearest_valid(
         right = F.coalesce(right, F.min(ok_x).over(whole))
     cand = dense.select(F.col("y").alias("cy"), "x", F.array_distinct(F.array_compact(F.array(left, right))).alias("cx"))
     cand = materialise(cand.filter(F.size("cx") > 0))
-    lat = small(axis_y.select(F.col("idx").alias("y"), F.col("point").alias("lat")))
-    lat_c = small(axis_y.select(F.col("idx").alias("cy"), F.col("point").alias("clat")))
-    lon = small(axis_x.select(F.col("idx").alias("x"), F.col("point").alias("lon")))
-    lon_c = small(axis_x.select(F.col("idx").alias("sx"), F.col("point").alias("clon")))
+    lat = small(axis_y.select(F.col("idx").alias("y"), F.col("point").alias("lat")), ny)
+    lat_c = small(axis_y.select(F.col("idx").alias("cy"), F.col("point").alias("clat")), ny)
+    lon = small(axis_x.select(F.col("idx").alias("x"), F.col("point").alias("lon")), nx)
+    lon_c = small(axis_x.select(F.col("idx").alias("sx"), F.col("point").alias("clon")), nx)
     nothing = "CAST(NULL AS STRUCT<d: DOUBLE, cell: BIGINT>)"
     open_ = dense.filter("_want").join(lat, "y").join(lon, "x").select("y", "x", "lat", "lon", F.expr(nothing).alias("best"))
     done, inner, radius = [], -1, 1
     while True:
         ring = F.filter(F.sequence(F.lit(-radius), F.lit(radius)), lambda d: (F.abs(d) > inner))
-        probe = open_.withColumn("cy", F.col("y") + F.explode(ring)).filter(F.col("cy").between(0, ny - 1))
+        probe = open_.withColumn("_step", F.explode(ring)).withColumn("cy", F.col("y") + F.col("_step"))
+        probe = probe.drop("_step").filter(F.col("cy").between(0, ny - 1))
         pairs = (
             probe.join(cand, ["cy", "x"]).withColumn("sx", F.explode("cx")).join(lat_c, "cy").join(lon_c, "sx")
             .withColumn("d", F.round(chord(F.col("lat"), F.col("lon"), F.col("clat"), F.col("clon")), TIE_DIGITS))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.columns import cell_area, mass_mixing_ratio, year_of
 from gridloom.operators.timeaxis import year_starts
 from gridloom.session import small
+from gridloom.sources.axes import facts
 
 # Fixed value: first year of the scenario files, which is the last of the historical ones.
 WATERSHED = 2015
@@ -44,6 +45,7 @@ def area_totals(cells: DataFrame, axis_y: DataFrame, axis_x: DataFrame, by: list
     """Area-weighted sum per group, times a unit factor."""
     ya = axis_y.select(F.col("idx").alias("y"), F.col("lo").alias("_ya"), F.col("hi").alias("_yb"))
     xa = axis_x.select(F.col("idx").alias("x"), F.col("lo").alias("_xa"), F.col("hi").alias("_xb"))
-    rows = cells.join(small(ya), "y").join(small(xa), "x")
+    f_y, f_x = facts(axis_y, axis_x)
+    rows = cells.join(small(ya, f_y.n), "y").join(small(xa, f_x.n), "x")
     area = cell_area(F.col("_ya"), F.col("_yb"), F.col("_xa"), F.col("_xb"))
     return rows.groupBy(*by).agg((F.sum(F.col(value) * area) * F.lit(factor)).alias("total"))

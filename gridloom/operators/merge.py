@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.columns import tolerant_key
 from gridloom.session import small
-from gridloom.sources.axes import extent
+from gridloom.sources.axes import facts
 
 
 def polygon_edges(vertices: DataFrame, poly: str = "poly") -> DataFrame:
@@ -48,13 +48,13 @@ def inside_polygons(
 
     Outlines are intersected once with each grid line, so cells meet a short list per row, never all edges.
     """
-    info = extent(axis_y).first()
-    width = max((info["hi"] - info["lo"]) / info["n"], 1e-12)
+    f_y, f_x = facts(axis_y, axis_x)
+    width = max((f_y.hi - f_y.lo) / f_y.n, 1e-12)
     heights = F.array("lo", "hi") if corners else F.array("point")
     lines = axis_y.select(F.col("idx").alias("y"), F.explode(heights).alias("py"))
     rows = _scan_lines(lines, edges, width, poly)
     places = F.array("lo", "hi") if corners else F.array("point")
-    out = cells.join(small(axis_x.select(F.col("idx").alias("x"), places.alias("_px"))), "x").join(small(rows, 50_000), "y", "left")
+    out = cells.join(small(axis_x.select(F.col("idx").alias("x"), places.alias("_px")), f_x.n), "x").join(small(rows, f_y.n, 50_000), "y", "left")
     hit = F.exists("outlines", lambda o: F.exists("_px", lambda p: _strictly_inside(p, o)))
     return out.withColumn("inside", F.coalesce(hit, F.lit(False))).drop("_px", "outlines")
 
@@ -143,11 +143,11 @@ def crop(
     """Source cells under the target's bounding box plus `pad` cells around; longitude is periodic."""
     from gridloom.sources.axes import overlapping_indices
 
-    ey, ex = extent(tgt_y).first(), extent(tgt_x).first()
-    ys = overlapping_indices(axis_y, ey["lo"], ey["hi"], pad).select(F.col("idx").alias("y"))
-    whole = period and ex["hi"] - ex["lo"] >= period - 1e-9
-    out = cells.join(small(ys), "y", "left_semi")
+    f_y, f_x, ey, ex = facts(axis_y, axis_x, tgt_y, tgt_x)
+    ys = overlapping_indices(axis_y, ey.lo, ey.hi, pad).select(F.col("idx").alias("y"))
+    whole = period and ex.hi - ex.lo >= period - 1e-9
+    out = cells.join(small(ys, f_y.n), "y", "left_semi")
     if whole:
         return out
-    xs = overlapping_indices(axis_x, ex["lo"], ex["hi"], pad, period).select(F.col("idx").alias("x"))
-    return out.join(small(xs), "x", "left_semi")
+    xs = overlapping_indices(axis_x, ex.lo, ex.hi, pad, period).select(F.col("idx").alias("x"))
+    return out.join(small(xs, f_x.n), "x", "left_semi")

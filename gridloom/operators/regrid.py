@@ -14,24 +14,26 @@ from pyspark.sql import functions as F
 from gridloom.functions.columns import TOLERANCE, isclose, nan
 from gridloom.functions.projection import from_rotated, to_rotated
 from gridloom.session import small
-from gridloom.sources.axes import extent, regular_cover
+from gridloom.sources.axes import facts, regular_axis, regular_cover
+
+
+# Axis expressions are given as SQL text: one call to the JVM each, where a tree of Column calls costs dozens.
 
 
 def _pieces(axis: DataFrame, base: float | None, period: float) -> DataFrame:
     """Axis cells as ascending intervals; with a base, cells crossing base + period are cut in two."""
-    a = axis.select("idx", F.least("lo", "hi").alias("a"), F.greatest("lo", "hi").alias("b"))
+    a = axis.selectExpr("idx", "least(lo, hi) AS a", "greatest(lo, hi) AS b")
     if base is None:
         return a
-    start = F.pmod(F.col("a") - F.lit(base), F.lit(period)) + F.lit(base)
+    end = base + period
     # A start a rounding error below the base is the base itself, not the far end.
-    start = F.when(F.lit(base + period) - start <= TOLERANCE, F.lit(base)).otherwise(start)
-    a = a.withColumn("s", start).withColumn("e", F.col("s") + F.col("b") - F.col("a"))
-    end = F.lit(base + period)
-    whole = F.struct(F.col("s").alias("a"), F.least("e", end).alias("b"))
-    rest = F.struct(F.lit(base).alias("a"), (F.col("e") - F.lit(period)).alias("b"))
-    return a.select(
-        "idx", F.explode(F.when(F.col("e") > end + TOLERANCE, F.array(whole, rest)).otherwise(F.array(whole))).alias("p")
-    ).select("idx", "p.a", "p.b")
+    a = a.selectExpr("idx", "b - a AS len", f"pmod(a - {base!r}D, {period!r}D) + {base!r}D AS s")
+    a = a.selectExpr("idx", "len", f"IF({end!r}D - s <= {TOLERANCE!r}D, {base!r}D, s) AS s")
+    whole = f"named_struct('a', s, 'b', least(s + len, {end!r}D))"
+    rest = f"named_struct('a', {base!r}D, 'b', s + len - {period!r}D)"
+    return a.selectExpr(
+        "idx", f"inline(IF(s + len > {end + TOLERANCE!r}D, array({whole}, {rest}), array({whole}))) AS (a, b)"
+    )
 
 
 def interval_overlaps(src: DataFrame, tgt: DataFrame, period: float | None = None, base: float | None = None) -> DataFrame:
@@ -40,24 +42,23 @@ def interval_overlaps(src: DataFrame, tgt: DataFrame, period: float | None = Non
     Intervals are cut into bins of the target's mean width and met by equality of the bin; a pair is kept in the
     first bin both share, so no pair appears twice.
     """
-    info = extent(tgt).first()
-    width = max((info["hi"] - info["lo"]) / info["n"], 1e-12)
+    f_src, f_tgt = facts(src, tgt)
+    width = max((f_tgt.hi - f_tgt.lo) / f_tgt.n, 1e-12)
     if period is not None and base is None:
-        base = extent(src).first()["lo"]
+        base = f_src.lo
     s = _pieces(src, base if period else None, period or 0.0)
     t = _pieces(tgt, base if period else None, period or 0.0)
 
     def binned(df, prefix):
-        low, high = F.floor(F.col("a") / width), F.floor(F.col("b") / width)
-        return df.select(
-            F.col("idx").alias(prefix), F.col("a").alias(prefix + "_a"), F.col("b").alias(prefix + "_b"),
-            low.alias(prefix + "_first"), F.explode(F.sequence(low, high)).alias("bin"),
+        low, high = f"floor(a / {width!r}D)", f"floor(b / {width!r}D)"
+        return df.selectExpr(
+            f"idx AS {prefix}", f"a AS {prefix}_a", f"b AS {prefix}_b", f"{low} AS {prefix}_first", f"explode(sequence({low}, {high})) AS bin"
         )
 
     pairs = binned(s, "src").join(binned(t, "tgt"), "bin")
-    low, high = F.greatest("src_a", "tgt_a"), F.least("src_b", "tgt_b")
-    return pairs.filter((F.col("bin") == F.greatest("src_first", "tgt_first")) & (high > low)).select(
-        "src", "tgt", low.alias("a"), high.alias("b")
+    low, high = "greatest(src_a, tgt_a)", "least(src_b, tgt_b)"
+    return pairs.filter(f"bin = greatest(src_first, tgt_first) AND {high} > {low}").selectExpr(
+        "src", "tgt", f"{low} AS a", f"{high} AS b"
     )
 
 
@@ -65,10 +66,6 @@ def _sin_degrees(c: Column) -> Column:
     return F.sin(F.radians(F.least(F.greatest(c, F.lit(-90.0)), F.lit(90.0))))
 
 
-def _measure(a: Column, b: Column, spherical: bool) -> Column:
-    return _sin_degrees(b) - _sin_degrees(a) if spherical else b - a
-
-
 def axis_weights(
     src: DataFrame, tgt: DataFrame, names: tuple[str, str], spherical: bool = False, period: float | None = None
 ) -> DataFrame:
@@ -76,32 +73,29 @@ def axis_weights(
 
     Pieces of one pair cut by the period are added up.  Slivers thinner than the tolerance are no overlap.
     """
-    s = extent(src).first()
-    circular = bool(period) and abs(s["hi"] - s["lo"] - period) <= 1e-5 * period
-    pairs = interval_overlaps(src, tgt, period, s["lo"])
-    w = pairs.filter(F.col("b") - F.col("a") > TOLERANCE).groupBy("src", "tgt").agg(
-        F.sum(_measure(F.col("a"), F.col("b"), spherical)).alias("w")
-    )
+    s, t = facts(src, tgt)
+    circular = bool(period) and abs(s.hi - s.lo - period) <= 1e-5 * period
+    pairs = interval_overlaps(src, tgt, period, s.lo)
+    sine = "sin(radians(least(greatest({}, -90D), 90D)))"
+    size = f"{sine.format('b')} - {sine.format('a')}" if spherical else "b - a"
+    keep = pairs.filter(f"b - a > {TOLERANCE!r}D")
+    w = keep.groupBy("src", "tgt").agg(F.expr(f"sum({size}) AS w"))
     if circular:
         w = w.withColumn("inside", F.lit(True))
+    elif t.lo >= s.lo - 1e-9 and t.hi <= s.hi + 1e-9 and not period:
+        w = w.withColumn("inside", F.lit(True))
     else:
-        covered = pairs.groupBy("tgt").agg(F.sum(F.col("b") - F.col("a")).alias("_len"))
-        size = tgt.select(F.col("idx").alias("tgt"), F.abs(F.col("hi") - F.col("lo")).alias("_size"))
-        w = (
-            w.join(covered, "tgt").join(size, "tgt")
-            .withColumn("inside", F.col("_len") >= F.col("_size") - F.lit(1e-9) * F.greatest("_size", F.lit(1.0)))
-            .drop("_len", "_size")
-        )
-    return w.select(
-        F.col("src").alias(names[0]), F.col("tgt").alias(names[1]),
-        F.col("w").alias("_w" + names[0]), F.col("inside").alias("_in" + names[0]),
-    )
+        covered = pairs.groupBy("tgt").agg(F.expr("sum(b - a) AS len"))
+        full = tgt.selectExpr("idx AS tgt", "abs(hi - lo) AS size")
+        w = w.join(covered, "tgt").join(full, "tgt").selectExpr("src", "tgt", "w", "len >= size - 1e-9D * greatest(size, 1D) AS inside")
+    w = w.selectExpr(f"src AS {names[0]}", f"tgt AS {names[1]}", f"w AS _w{names[0]}", f"inside AS _in{names[0]}")
+    # Cells of an axis do not overlap each other, so two axes meet in fewer pairs than they have edges (twice, if cut).
+    return small(w, at_most=2 * (s.n + t.n))
 
 
 def weigh_cells(cells: DataFrame, wy: DataFrame, wx: DataFrame) -> DataFrame:
     """Cells with target indices ``_ty, _tx`` and weight ``_w``, looked up axis by axis."""
-    out = cells.join(small(wx), "x").join(small(wy), "y")
-    return out.withColumn("_w", F.col("_wx") * F.col("_wy"))
+    return cells.join(wx, "x").join(wy, "y").withColumn("_w", F.expr("_wx * _wy"))
 
 
 def area_weighted(
@@ -123,24 +117,21 @@ def area_weighted(
     absent; `complete` adds them.
     """
     by = by or []
+    facts(src_y, src_x, tgt_y, tgt_x)
     wx = axis_weights(src_x, tgt_x, ("x", "_tx"), False, period)
     wy = axis_weights(src_y, tgt_y, ("y", "_ty"), spherical, None)
     rows = weigh_cells(cells, wy, wx)
-    v, w = F.col(value), F.col("_w")
     aggs = [
-        F.sum(v * w).alias("_vw"),
-        F.sum(F.when(v.isNotNull(), w)).alias("_sw"),
-        F.bool_and(F.col("_inx") & F.col("_iny")).alias("_inside"),
+        F.expr(f"sum({value} * _w) AS _vw"), F.expr(f"sum(IF({value} IS NOT NULL, _w, NULL)) AS _sw"),
+        F.expr("bool_and(_inx AND _iny) AS _inside"),
     ]
     if stdev:
-        aggs.append(F.sum(v * v * w).alias("_vvw"))
-    out = rows.groupBy(*by, F.col("_ty").alias("y"), F.col("_tx").alias("x")).agg(*aggs)
-    mean = F.col("_vw") / F.col("_sw")
-    out = out.withColumn(value, F.when(F.col("_inside"), mean).otherwise(nan()))
+        aggs.append(F.expr(f"sum({value} * {value} * _w) AS _vvw"))
+    out = rows.groupBy(*by, F.expr("_ty AS y"), F.expr("_tx AS x")).agg(*aggs)
+    outputs = [f"IF(_inside, _vw / _sw, double('NaN')) AS {value}"]
     if stdev:
-        spread = F.sqrt(F.abs(F.col("_vvw") / F.col("_sw") - mean * mean))
-        out = out.withColumn("stdev", F.when(F.col("_inside"), spread).otherwise(nan()))
-    return out.select(*by, "y", "x", value, *(["stdev"] if stdev else []))
+        outputs.append("IF(_inside, sqrt(abs(_vvw / _sw - (_vw / _sw) * (_vw / _sw))), double('NaN')) AS stdev")
+    return out.selectExpr(*by, "y", "x", *outputs)
 
 
 def complete(cells: DataFrame, ny: int, nx: int, by: list[str] | None = None, value: str = "value") -> DataFrame:
@@ -166,56 +157,34 @@ def brackets(src: DataFrame, tgt: DataFrame, names: tuple[str, str], mode: str =
     `mode` 'nan' marks points beyond the outermost source points, 'linear' extrapolates from the end pair.  With a period
     the last source point is joined to the first.
     """
-    info = src.agg(F.min("point").alias("lo"), F.max("point").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    n, lo, hi = info["n"], info["lo"], info["hi"]
+    (f,) = facts(src)
+    n, lo, hi = f.n, f.p_lo, f.p_hi
     width = max((hi - lo) / n, 1e-12)
-    order = Window.orderBy("point")  # an axis: as long as one side of the grid
-    nxt_i, nxt_p = F.lead("idx").over(order), F.lead("point").over(order)
-    seg = src.select("idx", "point").select("idx", "point", nxt_i.alias("i1"), nxt_p.alias("p1"))
+    # An axis is as long as one side of the grid, so its window is small.
+    seg = src.selectExpr("idx AS i0", "point AS p0", "lead(idx) OVER (ORDER BY point) AS i1", "lead(point) OVER (ORDER BY point) AS p1")
     if period:
-        first = src.orderBy("point").first()["idx"]
-        seg = seg.withColumn("i1", F.coalesce("i1", F.lit(first))).withColumn("p1", F.coalesce("p1", F.lit(lo + period)))
-    seg = seg.filter("p1 IS NOT NULL").select(
-        F.col("idx").alias("i0"), F.col("point").alias("p0"), "i1", "p1",
-        F.explode(F.sequence(F.floor(F.col("point") / width), F.floor(F.col("p1") / width))).alias("bin"),
-    )
-    p = F.col("point")
+        seg = seg.selectExpr("i0", "p0", f"coalesce(i1, {f.first}) AS i1", f"coalesce(p1, {lo + period!r}D) AS p1")
+    seg = seg.filter("p1 IS NOT NULL").selectExpr("*", f"explode(sequence(floor(p0 / {width!r}D), floor(p1 / {width!r}D))) AS bin")
     if period:
-        p = F.pmod(p - F.lit(lo), F.lit(period)) + F.lit(lo)
-        t = tgt.select(F.col("idx").alias("t"), p.alias("p")).withColumn("c", F.col("p")).withColumn("inside", F.lit(True))
         last = lo + period
+        t = tgt.selectExpr("idx AS t", f"pmod(point - {lo!r}D, {period!r}D) + {lo!r}D AS p").selectExpr("t", "p", "p AS c", "true AS inside")
     else:
-        t = tgt.select(F.col("idx").alias("t"), p.alias("p"))
-        t = t.withColumn("c", F.least(F.greatest("p", F.lit(lo)), F.lit(hi)))
-        t = t.withColumn("inside", F.abs(F.col("c") - F.col("p")) <= TOLERANCE if mode == "nan" else F.lit(True))
         last = hi
-    t = t.withColumn("bin", F.floor(F.col("c") / width))
-    hit = (F.col("c") >= F.col("p0")) & ((F.col("c") < F.col("p1")) | ((F.col("p1") == last) & (F.col("c") == last)))
-    j = seg.join(t, "bin").filter(hit)
-    frac = (F.col("p") - F.col("p0")) / (F.col("p1") - F.col("p0"))
-    both = F.array(
-        F.struct(F.col("i0").alias("s"), (1 - frac).alias("w")), F.struct(F.col("i1").alias("s"), frac.alias("w"))
-    )
-    return (
-        j.select("t", "inside", F.explode(both).alias("k"))
-        .filter("k.w <> 0")
-        .select(
-            F.col("k.s").alias(names[0]), F.col("t").alias(names[1]),
-            F.col("k.w").alias("_w" + names[0]), F.col("inside").alias("_in" + names[0]),
-        )
-    )
-
-
-def _gather(rows: DataFrame, by: list[str], value: str, need: Column) -> DataFrame:
-    v = F.col(value)
-    out = rows.groupBy(*by, F.col("_ty").alias("y"), F.col("_tx").alias("x")).agg(
-        F.sum(v * F.col("_w")).alias("_vw"),
-        F.count(v).alias("_n"),
-        F.max(need).alias("_need"),
-        F.bool_and(F.col("_inx") & F.col("_iny")).alias("_inside"),
+        t = tgt.selectExpr("idx AS t", "point AS p", f"least(greatest(point, {lo!r}D), {hi!r}D) AS c")
+        t = t.selectExpr("t", "p", "c", f"abs(c - p) <= {TOLERANCE!r}D AS inside" if mode == "nan" else "true AS inside")
+    t = t.selectExpr("*", f"floor(c / {width!r}D) AS bin")
+    j = seg.join(t, "bin").filter(f"c >= p0 AND (c < p1 OR (p1 = {last!r}D AND c = {last!r}D))")
+    j = j.selectExpr("t", "inside", "i0", "i1", "(p - p0) / (p1 - p0) AS f")
+    j = j.selectExpr("t", "inside", "inline(array(struct(i0 AS s, 1 - f AS w), struct(i1 AS s, f AS w))) AS (s, w)")
+    return j.filter("w <> 0").selectExpr(f"s AS {names[0]}", f"t AS {names[1]}", f"w AS _w{names[0]}", f"inside AS _in{names[0]}")
+
+
+def _gather(rows: DataFrame, by: list[str], value: str, need: str) -> DataFrame:
+    out = rows.groupBy(*by, F.expr("_ty AS y"), F.expr("_tx AS x")).agg(
+        F.expr(f"sum({value} * _w) AS _vw"), F.expr(f"count({value}) AS _n"), F.expr(f"max({need}) AS _need"),
+        F.expr("bool_and(_inx AND _iny) AS _inside"),
     )
-    full = F.when(F.col("_n") == F.col("_need"), F.col("_vw"))
-    return out.select(*by, "y", "x", F.when(F.col("_inside"), full).otherwise(nan()).alias(value))
+    return out.selectExpr(*by, "y", "x", f"IF(_inside, IF(_n = _need, _vw, NULL), double('NaN')) AS {value}")
 
 
 def bilinear(
@@ -231,11 +200,12 @@ def bilinear(
 ) -> DataFrame:
     """Bilinear interpolation at target points; masked if a contributing source cell is masked or absent."""
     by = by or []
+    _, _, t_y, t_x = facts(src_y, src_x, tgt_y, tgt_x)
     wx = brackets(src_x, tgt_x, ("x", "_tx"), mode, period)
     wy = brackets(src_y, tgt_y, ("y", "_ty"), mode)
-    wx = wx.withColumn("_cx", F.count(F.lit(1)).over(Window.partitionBy("_tx")))
-    wy = wy.withColumn("_cy", F.count(F.lit(1)).over(Window.partitionBy("_ty")))
-    return _gather(weigh_cells(cells, wy, wx), by, value, F.col("_cx") * F.col("_cy"))
+    wx = small(wx.withColumn("_cx", F.count(F.lit(1)).over(Window.partitionBy("_tx"))), at_most=2 * t_x.n)
+    wy = small(wy.withColumn("_cy", F.count(F.lit(1)).over(Window.partitionBy("_ty"))), at_most=2 * t_y.n)
+    return _gather(weigh_cells(cells, wy, wx), by, value, "_cx * _cy")
 
 
 def nearest_weights(src: DataFrame, tgt: DataFrame, names: tuple[str, str], period: float | None = None) -> DataFrame:
@@ -244,6 +214,19 @@ def nearest_weights(src: DataFrame, tgt: DataFrame, names: tuple[str, str], peri
     return lin.groupBy(F.col("t").alias(names[1])).agg(F.max_by("s", F.struct(F.round("_ws", 9), "s")).alias(names[0]))
 
 
+def seed_indices(axis: DataFrame, seeds: DataFrame, strict: bool = True) -> DataFrame:
+    """Index nearest to each seed ``(id, point)`` on an axis, the lower one on ties, as ``(id, idx)``.
+
+    A seed beyond the outermost points raises, or is left out if not `strict`.
+    """
+    t = seeds.select(F.col("id").alias("idx"), "point")
+    lin = brackets(axis, t, ("s", "t"), "nan")
+    if strict and lin.filter("NOT _ins").limit(1).count():
+        raise ValueError("a seed lies outside the axis")
+    pick = F.min_by("s", F.struct(-F.round("_ws", 9), F.col("s"))).alias("idx")
+    return lin.filter("_ins").groupBy(F.col("t").alias("id")).agg(pick)
+
+
 def nearest(
     cells: DataFrame,
     src_y: DataFrame,
@@ -253,21 +236,20 @@ def nearest(
     period: float | None = None,
 ) -> DataFrame:
     """Every column of the source cell nearest to each target point; no aggregation, hence no shuffle of the field."""
-    wx = nearest_weights(src_x, tgt_x, ("x", "_tx"), period)
-    wy = nearest_weights(src_y, tgt_y, ("y", "_ty"))
-    out = cells.join(small(wx), "x").join(small(wy), "y").drop("x", "y")
+    _, _, t_y, t_x = facts(src_y, src_x, tgt_y, tgt_x)
+    wx = small(nearest_weights(src_x, tgt_x, ("x", "_tx"), period), at_most=t_x.n)
+    wy = small(nearest_weights(src_y, tgt_y, ("y", "_ty")), at_most=t_y.n)
+    out = cells.join(wx, "x").join(wy, "y").drop("x", "y")
     return out.withColumnRenamed("_ty", "y").withColumnRenamed("_tx", "x")
 
 
 def zonal_target(src_x: DataFrame, tgt_x: DataFrame, period: float = 360.0) -> DataFrame:
     """Target longitude axis to use: one cell over the whole circle if the source is a single global column."""
-    s, t = extent(src_x).first(), extent(tgt_x).first()
-    both_global = all(abs(e["hi"] - e["lo"] - period) <= 1e-5 * period for e in (s, t))
-    if not (both_global and s["n"] == 1 and t["n"] > 1):
+    s, t = facts(src_x, tgt_x)
+    both_global = all(abs(e.hi - e.lo - period) <= 1e-5 * period for e in (s, t))
+    if not (both_global and s.n == 1 and t.n > 1):
         return tgt_x
-    return tgt_x.sparkSession.createDataFrame(
-        [(0, (t["lo"] + t["hi"]) / 2, t["lo"], t["hi"])], "idx INT, point DOUBLE, lo DOUBLE, hi DOUBLE"
-    )
+    return regular_axis(tgt_x.sparkSession, 1, t.lo, t.hi - t.lo)
 
 
 def two_stage(
@@ -291,14 +273,14 @@ def two_stage(
     if src_pole == tgt_pole:
         return area_weighted(cells, src_y, src_x, tgt_y, tgt_x, by, value, period)
     by = by or []
-    ny, nx = src_y.count(), src_x.count()
+    ny, nx = (f.n for f in facts(src_y, src_x, tgt_y, tgt_x)[:2])
     mid_y, mid_x = regular_cover(tgt_y, ny), regular_cover(tgt_x, nx)
     spark = cells.sparkSession
     pts = spark.range(ny * nx).select(
         F.expr(f"CAST(id DIV {nx} AS INT)").alias("_ty"), F.expr(f"CAST(id % {nx} AS INT)").alias("_tx")
     )
-    pts = pts.join(small(mid_y.select(F.col("idx").alias("_ty"), F.col("point").alias("_v"))), "_ty")
-    pts = pts.join(small(mid_x.select(F.col("idx").alias("_tx"), F.col("point").alias("_u"))), "_tx")
+    pts = pts.join(small(mid_y.select(F.col("idx").alias("_ty"), F.col("point").alias("_v")), at_most=ny), "_ty")
+    pts = pts.join(small(mid_x.select(F.col("idx").alias("_tx"), F.col("point").alias("_u")), at_most=nx), "_tx")
     lat, lon = F.col("_v"), F.col("_u")
     if tgt_pole[0] != 90.0:
         lat, lon = from_rotated(lat, lon, *tgt_pole)
@@ -307,17 +289,19 @@ def two_stage(
     pts = pts.select("_ty", "_tx", lat.alias("_lat"), lon.alias("_lon"))
     near = scattered_linear_weights(pts, src_y, src_x, period)
     rows = near.join(cells, ["y", "x"]).withColumn("_inx", F.col("_inside")).withColumn("_iny", F.lit(True))
-    mid = _gather(rows, by, value, F.col("_need"))
+    mid = _gather(rows, by, value, "_need")
     return area_weighted(mid, mid_y, mid_x, tgt_y, tgt_x, by, value, period)
 
 
 def scattered_linear_weights(points: DataFrame, src_y: DataFrame, src_x: DataFrame, period: float | None) -> DataFrame:
     """Four corner weights for points ``(_ty, _tx, _lat, _lon)`` that follow no axis; source axes must be regular."""
-    y0, ny = src_y.orderBy("idx").first(), src_y.count()
-    x0, nx = src_x.orderBy("idx").first(), src_x.count()
-    dy, dx = y0["hi"] - y0["lo"], x0["hi"] - x0["lo"]
-    fy = (F.col("_lat") - F.lit(y0["point"])) / F.lit(dy)
-    off = F.col("_lon") - F.lit(x0["point"])
+    f_y, f_x = facts(src_y, src_x)
+    ny, nx = f_y.n, f_x.n
+    dy, dx = (f_y.hi - f_y.lo) / ny, (f_x.hi - f_x.lo) / nx
+    if f_y.first or f_x.first:
+        raise ValueError("the source axes have to ascend")
+    fy = (F.col("_lat") - F.lit(f_y.p_lo)) / F.lit(dy)
+    off = F.col("_lon") - F.lit(f_x.p_lo)
     fx = (F.pmod(off, F.lit(period)) if period else off) / F.lit(dx)
     iy = F.least(F.greatest(F.floor(fy), F.lit(0)), F.lit(max(ny - 2, 0)))
     ix = F.floor(fx) if period else F.least(F.greatest(F.floor(fx), F.lit(0)), F.lit(max(nx - 2, 0)))
@@ -386,11 +370,11 @@ def rectilinear_weights(src_y, src_x, tgt_y, tgt_x, period: float | None = 360.0
     fy = tgt_y.select(F.col("idx").alias("ty"), F.abs(_sin_degrees(F.col("hi")) - _sin_degrees(F.col("lo"))).alias("_ly"))
     wx = wx.join(fx, "tx").select("sx", "tx", (F.col("_wsx") / F.col("_lx")).alias("wx"))
     wy = wy.join(fy, "ty").select("sy", "ty", (F.col("_wsy") / F.col("_ly")).alias("wy"))
-    ny, nx = src_y.count(), src_x.count()
+    ny, nx = (f.n for f in facts(src_y, src_x))
     cell = src_y.sparkSession.range(ny * nx).select(
         F.expr(f"CAST(id DIV {nx} AS INT)").alias("sy"), F.expr(f"CAST(id % {nx} AS INT)").alias("sx")
     )
-    out = cell.join(small(wx), "sx").join(small(wy), "sy")
+    out = cell.join(wx, "sx").join(wy, "sy")
     return out.select("sy", "sx", "ty", "tx", (F.col("wx") * F.col("wy")).alias("w"))
 
 

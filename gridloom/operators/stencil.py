@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import EARTH_RADIUS
-from gridloom.sources.axes import extent
+from gridloom.session import small
+from gridloom.sources.axes import facts
 
 # Flow direction code -> row and column step, rows counted downwards from the north.
 FLOW_STEPS = {1: (-1, 0), 2: (-1, 1), 3: (0, 1), 4: (1, 1), 5: (1, 0), 6: (1, -1), 7: (0, -1), 8: (-1, -1)}
@@ -172,13 +173,11 @@ def gradients(
     radius: float = EARTH_RADIUS, by: list[str] | None = None,
 ) -> DataFrame:
     """dh/dx and dh/dy of a dense field at cell points, per metre."""
-    from gridloom.session import small
-
     by = by or []
-    ny, nx = extent(axis_y).first()["n"], extent(axis_x).first()["n"]
+    ny, nx = (f.n for f in facts(axis_y, axis_x))
     lat = axis_y.select(F.col("idx").alias("y"), F.radians("point").alias("_lat"))
     lon = axis_x.select(F.col("idx").alias("x"), F.radians("point").alias("_lon"))
-    base = cells.join(small(lat), "y").join(small(lon), "x")
+    base = cells.join(small(lat, ny), "y").join(small(lon, nx), "x")
     if circular:
         turn = 2 * 3.141592653589793
         base = halo(base, nx, 1).withColumn(

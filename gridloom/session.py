@@ -47,9 +47,13 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if a count proves it small; otherwise unchanged, leaving a shuffled join."""
-    return F.broadcast(df) if is_small(df, rows) else df
+def small(df: DataFrame, at_most: int | None = None, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`df` with a broadcast hint if it is proven small, otherwise unchanged, which leaves a shuffled join.
+
+    The proof is `at_most`, a bound on its rows known beforehand, or else a count.
+    """
+    proven = at_most <= rows if at_most is not None else is_small(df, rows)
+    return F.broadcast(df) if proven else df
 
 
 def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:

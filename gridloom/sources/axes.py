@@ -2,12 +2,45 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import TOLERANCE, isclose, tolerant_key, wrap_lon
 
-AXIS = "idx INT, point DOUBLE, lo DOUBLE, hi DOUBLE"
+
+class Facts(NamedTuple):
+    """What planning needs to know of an axis: size, outer bounds, outermost points, index of the lowest point."""
+
+    n: int
+    lo: float
+    hi: float
+    p_lo: float
+    p_hi: float
+    first: int
+
+
+_KNOWN: WeakKeyDictionary[DataFrame, Facts] = WeakKeyDictionary()
+
+
+def facts(*axes: DataFrame) -> list[Facts]:
+    """Facts of axis tables; those not known by construction are found in one job for all of them."""
+    unknown = [a for a in dict.fromkeys(axes) if a not in _KNOWN]
+    if unknown:
+        every = None
+        for i, a in enumerate(unknown):
+            bounds = [F.col(c) for c in (("lo", "hi", "point") if "lo" in a.columns else ("point", "point"))]
+            one = a.agg(
+                F.lit(i).alias("i"), F.count(F.lit(1)).alias("n"),
+                F.min(F.least(*bounds)).alias("lo"), F.max(F.greatest(*bounds)).alias("hi"),
+                F.min("point").alias("p_lo"), F.max("point").alias("p_hi"), F.min_by("idx", "point").alias("first"),
+            )
+            every = one if every is None else every.unionByName(one)
+        for r in every.collect():  # one row per axis
+            _KNOWN[unknown[r["i"]]] = Facts(r["n"], r["lo"], r["hi"], r["p_lo"], r["p_hi"], r["first"])
+    return [_KNOWN[a] for a in axes]
 
 
 def regular_axis(spark: SparkSession, n: int, start: float, step: float, first_point: float | None = None) -> DataFrame:
@@ -15,13 +48,13 @@ def regular_axis(spark: SparkSession, n: int, start: float, step: float, first_p
     if n < 1:
         raise ValueError("an axis needs at least one cell")
     edge = start if first_point is None else first_point - step / 2
-    i = F.col("id")
-    return spark.range(0, n, 1, 1 + n // 1_000_000).select(
-        i.cast("int").alias("idx"),
-        (F.lit(edge) + (i + 0.5) * F.lit(step)).alias("point"),
-        (F.lit(edge) + i * F.lit(step)).alias("lo"),
-        (F.lit(edge) + (i + 1) * F.lit(step)).alias("hi"),
+    out = spark.range(0, n, 1, 1 + n // 1_000_000).selectExpr(
+        "CAST(id AS INT) AS idx", f"{edge!r}D + (id + 0.5D) * {step!r}D AS point",
+        f"{edge!r}D + id * {step!r}D AS lo", f"{edge!r}D + (id + 1) * {step!r}D AS hi",
     )
+    ends, points = sorted((edge, edge + n * step)), sorted((edge + 0.5 * step, edge + (n - 0.5) * step))
+    _KNOWN[out] = Facts(n, *ends, *points, 0 if step > 0 else n - 1)
+    return out
 
 
 def regular_grid(
@@ -73,7 +106,7 @@ def regular_grid(
 def grid_cells(y: DataFrame, x: DataFrame, nx: int) -> DataFrame:
     """All cells of a grid with their bounds, numbered by one range instead of a cross join."""
     spark = y.sparkSession
-    ny = y.count()
+    ny = facts(y)[0].n
     cell = spark.range(ny * nx).select(
         F.expr(f"CAST(id DIV {nx} AS INT)").alias("y"), F.expr(f"CAST(id % {nx} AS INT)").alias("x")
     )
@@ -196,7 +229,6 @@ def extent(axis: DataFrame, by: list[str] | None = None) -> DataFrame:
     low, high = F.least("lo", "hi"), F.greatest("lo", "hi")
     return axis.groupBy(*(by or [])).agg(
         F.min(low).alias("lo"), F.max(high).alias("hi"), F.count(F.lit(1)).alias("n"),
-        F.min(F.abs(F.col("hi") - F.col("lo"))).alias("thinnest"),
     )
 
 
@@ -216,8 +248,7 @@ def overlapping_indices(axis: DataFrame, low: float, high: float, pad: int = 0,
 
     With a period the cells are shifted by whole turns first and padding wraps around; otherwise it stops at the ends.
     """
-    info = extent(axis).first()
-    n = info["n"]
+    n = facts(axis)[0].n
     a, b = F.least("lo", "hi"), F.greatest("lo", "hi")
     if period:
         base = wrap_lon(a, low, period, endpoint=False)
@@ -236,16 +267,24 @@ def overlapping_indices(axis: DataFrame, low: float, high: float, pad: int = 0,
     return found
 
 
-def contiguous_runs(indices: DataFrame, by: list[str] | None = None, col: str = "idx") -> DataFrame:
-    """Runs of consecutive indices as (first, last, size)."""
+def contiguous_runs(indices: DataFrame, by: list[str] | None = None, col: str = "idx", block: int = 1 << 20) -> DataFrame:
+    """Runs of consecutive indices as (first, last, size).
+
+    Runs are found within blocks of indices, whatever a group's size; only runs that touch a block's border, at most two
+    per block, are then strung together.
+    """
     by = by or []
-    w = Window.partitionBy(*by).orderBy(col)
-    island = indices.select(*by, col).distinct().withColumn("_g", F.col(col) - F.row_number().over(w))
-    return (
-        island.groupBy(*by, "_g")
-        .agg(F.min(col).alias("first"), F.max(col).alias("last"), F.count(F.lit(1)).alias("size"))
-        .drop("_g")
-    )
+    number = F.floor(F.col(col) / block)
+    w = Window.partitionBy(*by, "_b").orderBy(col)
+    island = indices.select(*by, col).distinct().withColumn("_b", number).withColumn("_g", F.col(col) - F.row_number().over(w))
+    runs = island.groupBy(*by, "_b", "_g").agg(F.min(col).alias("first"), F.max(col).alias("last")).drop("_g")
+    start = F.col("_b") * block
+    touches = (F.col("first") == start) | (F.col("last") == start + block - 1)
+    edge = Window.partitionBy(*by).orderBy("first")
+    border = runs.filter(touches).withColumn("_new", F.coalesce(F.lag("last").over(edge) != F.col("first") - 1, F.lit(True)).cast("int"))
+    border = border.withColumn("_r", F.sum("_new").over(edge)).groupBy(*by, "_r").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    out = runs.filter(~touches).select(*by, "first", "last").unionByName(border.drop("_r"))
+    return out.withColumn("size", F.col("last") - F.col("first") + 1)
 
 
 def union_axes(a: DataFrame, b: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -269,17 +308,5 @@ def union_axes(a: DataFrame, b: DataFrame, by: list[str] | None = None) -> DataF
 
 def regular_cover(target: DataFrame, n: int) -> DataFrame:
     """`n` equal cells over the extent of `target`: the intermediate grid of a two-stage regrid."""
-    e = extent(target).first()
-    return regular_axis(target.sparkSession, n, e["lo"], (e["hi"] - e["lo"]) / n)
-
-
-def nearest_index(axis: DataFrame, value: float) -> int:
-    """Index of the point nearest to `value`, the first on ties; outside the axis' points it raises."""
-    row = axis.agg(
-        F.min("point").alias("lo"),
-        F.max("point").alias("hi"),
-        F.min_by("idx", F.struct(F.abs(F.col("point") - F.lit(value)), "idx")).alias("idx"),
-    ).first()
-    if not row["lo"] <= value <= row["hi"]:
-        raise ValueError(f"{value} is not within [{row['lo']}, {row['hi']}]")
-    return row["idx"]
+    (e,) = facts(target)
+    return regular_axis(target.sparkSession, n, e.lo, (e.hi - e.lo) / n)

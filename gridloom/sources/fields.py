@@ -48,9 +48,9 @@ def load_grid(y: DataFrame, x: DataFrame, levels: DataFrame | None = None, orogr
 
     Levels ``(level, height, sigma)`` travel as one short array.
     """
-    from gridloom.sources.axes import grid_cells
+    from gridloom.sources.axes import facts, grid_cells
 
-    out = grid_cells(y, x, x.count())
+    out = grid_cells(y, x, facts(x)[0].n)
     if levels is not None:
         # Levels of one model: a few hundred rows at most.
         few = levels.select("level", "height", "sigma").orderBy("level").limit(10_001).collect()

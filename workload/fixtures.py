@@ -39,7 +39,7 @@ def raster(spark: SparkSession, sf: str, g: Grid | None = None) -> DataFrame:
     block = F.expr("CAST(((y DIV 4) * 5 + (x DIV 6) * 3) % 6 AS INT)")
     return o.select(
         y.alias("y"), x.alias("x"),
-        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice") / 1000).alias("value"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.floor(F.col("o_totalprice") / 1000).cast("double")).alias("value"),
         F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"),
         F.col("o_totalprice").alias("price"), F.col("o_custkey").alias("cust"),
     ).select(
@@ -54,7 +54,7 @@ RASTER = """dims AS (SELECT nx, CAST(ceil(n / nx) AS BIGINT) AS ny FROM (
 raster AS (SELECT *, CASE WHEN priority = '1-URGENT' THEN 6 ELSE CAST(((y // 4) * 5 + (x // 6) * 3) % 6 AS INT) END AS code,
   CASE WHEN ((y // 6) + (x // 9)) % 2 = 0 THEN 1 ELSE 0 END AS land FROM (
   SELECT CAST(o_orderkey // nx AS INT) AS y, CAST(o_orderkey % nx AS INT) AS x,
-    CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice / 1000 END AS value,
+    CASE WHEN o_orderpriority <> '5-LOW' THEN floor(o_totalprice / 1000) END AS value,
     o_orderpriority AS priority, o_orderstatus AS status, o_totalprice AS price, o_custkey AS cust, nx, ny
   FROM orders, dims))"""
 
@@ -123,18 +123,18 @@ LEVELS = """levels AS (SELECT CAST(l_orderkey // nx AS INT) AS y, CAST(l_orderke
 
 
 def tiles(spark: SparkSession, sf: str, g: Grid | None = None) -> DataFrame:
-    """Class fractions (percent of quantity) per cell and class level 0..9, from the line items of an order."""
+    """Class fractions (quantity / 1024, an exact scaling) per cell and class level 0..9, from the line items of an order."""
     g = g or grid(spark, sf)
     li = read(spark, sf, "lineitem")
     per = li.groupBy("l_orderkey", F.expr("CAST(l_partkey % 10 AS INT)").alias("pl")).agg(F.sum("l_quantity").alias("q"))
     return per.select(
         F.expr(f"CAST(l_orderkey DIV {g.nx} AS INT)").alias("y"), F.expr(f"CAST(l_orderkey % {g.nx} AS INT)").alias("x"),
-        "pl", (F.col("q") / 60).alias("value"),
+        "pl", (F.col("q") / 1024).alias("value"),
     )
 
 
 TILES = """tiles AS (SELECT CAST(l_orderkey // nx AS INT) AS y, CAST(l_orderkey % nx AS INT) AS x,
-  CAST(l_partkey % 10 AS INT) AS pl, sum(l_quantity) / 60 AS value FROM lineitem, dims GROUP BY l_orderkey, l_partkey % 10, nx)"""
+  CAST(l_partkey % 10 AS INT) AS pl, sum(l_quantity) / 1024 AS value FROM lineitem, dims GROUP BY l_orderkey, l_partkey % 10, nx)"""
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
