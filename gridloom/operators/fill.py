@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.regrid import complete
-from gridloom.session import lookup, materialise, small
+from gridloom.session import is_small, lookup, materialise, row_count, small
 from gridloom.sources.axes import facts
 
 #: Distances that agree to this many decimals (unit sphere) are ties; the smaller cell number wins.
@@ -99,7 +99,8 @@ def apply_mapping(cells: DataFrame, mapping: DataFrame, by: list[str] | None = N
     """Fill every time and level with one mapping ``(y, x, src_y, src_x)``."""
     by = by or []
     donors = cells.select(*by, F.col("y").alias("src_y"), F.col("x").alias("src_x"), F.col(value).alias("_fill"))
-    out = cells.join(small(mapping.withColumn("_mapped", F.lit(True))), ["y", "x"], "left")
+    mapped = mapping.withColumn("_mapped", F.lit(True))
+    out = cells.join(F.broadcast(mapped) if is_small(mapping) else mapped, ["y", "x"], "left")
     out = out.join(donors, by + ["src_y", "src_x"], "left")
     filled = F.when(F.col("_mapped"), F.col("_fill")).otherwise(F.col(value))
     return out.withColumn(value, filled).drop("src_y", "src_x", "_fill", "_mapped")
@@ -184,8 +185,7 @@ def nearest_points(queries: DataFrame, points: DataFrame, leaf_rows: int = 64, m
     query touches a handful of cubes however the points are clustered.  Ties go to the smaller point number.
     """
     places = materialise(points.groupBy("px", "py", "pz").agg(F.min("point").alias("point")))
-    total = places.count()
-    if total == 0:
+    if not row_count(places):
         raise ValueError("there is no valid point to take values from")
     level = 1
     while level < max_level:
@@ -216,7 +216,7 @@ def nearest_points(queries: DataFrame, points: DataFrame, leaf_rows: int = 64, m
     for lv in range(1, level + 1):
         if lv > 1:
             children = boxes[lv].groupBy(_parent(F.col("k"), lv).alias("k")).agg(F.collect_list(box).alias("kids"))
-        step = lookup(live, children, ["k"]).select("id", "px", "py", "pz", F.explode("kids").alias("b")).select("id", "px", "py", "pz", "b.*")
+        step = lookup(live, children, ["k"], at_most=row_count(boxes[lv - 1]) if lv > 1 else 1).select("id", "px", "py", "pz", F.explode("kids").alias("b")).select("id", "px", "py", "pz", "b.*")
         step = step.withColumn("lower", lower).withColumn("upper", upper)
         step = step.withColumn("reach", F.min("upper").over(Window.partitionBy("id")))
         live = materialise(step.filter(F.col("lower") <= F.col("reach") + margin).select("id", "px", "py", "pz", "k"))

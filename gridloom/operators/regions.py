@@ -1,8 +1,8 @@
 """Connected regions: labelling, flood fill, glacial ice, lakes.
 
 Cells of a row that touch and agree are first folded into runs, so the graph that is searched holds one node per run and
-only the links between rows.  Components are then found by repeated contraction: every node joins the neighbour with the
-smallest seeded hash, and the shrunken graph goes on.  The graph shrinks by a constant factor per round, so the number of
+only the links between rows.  Components are then found by repeated contraction: every node joins the node with the smallest
+seeded hash within two links, and the shrunken graph goes on.  The graph shrinks by a constant factor per round, so the number of
 rounds grows with the logarithm of its size, not with the length of a region.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.session import lookup, materialise
+from gridloom.session import lookup, materialise, row_count
 from gridloom.operators.classes import ICE, SOIL
 from gridloom.operators.stencil import neighbourhood
 
@@ -21,14 +21,18 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     e = materialise(both.filter("a <> b").distinct())
     picks: list[DataFrame] = []
-    while e.limit(1).count():
+    while row_count(e):
         seed = F.lit(len(picks))
 
         def ranked(c: str) -> Column:
             return F.struct(F.xxhash64(F.col(c), seed).alias("h"), F.col(c).alias("n"))
 
-        best = e.groupBy("a").agg(F.min(ranked("b")).alias("best"))
-        pick = materialise(best.select(F.col("a").alias("node"), F.least(ranked("a"), F.col("best"))["n"].alias("to")))
+        near = e.groupBy("a").agg(F.min(ranked("b")).alias("best")).select("a", F.least(ranked("a"), F.col("best")).alias("best"))
+        # A second hop: the best of what the neighbours found.  Twice the shrinking for one lineage cut.
+        heard = lookup(e, near.select(F.col("a").alias("b"), F.col("best").alias("_heard")), ["b"], at_most=row_count(e))
+        far = heard.groupBy("a").agg(F.min("_heard").alias("_heard"))
+        pick = near.join(far, "a").select(F.col("a").alias("node"), F.least("best", "_heard")["n"].alias("to"))
+        pick = materialise(pick)
         picks.append(pick)
         moved = lookup(e.withColumnRenamed("a", "node"), pick, ["node"]).select(F.col("to").alias("a"), "b")
         moved = lookup(moved.withColumnRenamed("b", "node"), pick, ["node"]).select("a", F.col("to").alias("b"))
@@ -38,9 +42,10 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     final = picks[-1]
     for pick in reversed(picks[:-1]):
         later = final.select(F.col("node").alias("to"), F.col("to").alias("_end"))
-        final = lookup(pick, later, ["to"], "left").select("node", F.coalesce("_end", "to").alias("to"))
+        # The nodes of a round are targets of the round before, so `later` is no longer than `pick`.
+        final = lookup(pick, later, ["to"], "left", at_most=row_count(pick)).select("node", F.coalesce("_end", "to").alias("to"))
     final = materialise(nodes.select("node").join(final, "node", "left").select("node", F.coalesce("to", "node").alias("to")))
-    roots = final.groupBy("to").agg(F.min("node").alias("root"))
+    roots = materialise(final.groupBy("to").agg(F.min("node").alias("root")))
     return lookup(final, roots, ["to"]).select("node", "root")
 
 
@@ -71,7 +76,7 @@ def label_regions(
         last = c.filter(F.col("x") == nx - 1).select(*by, "y", value, F.col("_node").alias("b"))
         links = links.unionByName(first.join(last, by + ["y", value]).select("a", "b"))
     roots = components(c.filter("_new").select(F.col("_node").alias("node")), links)
-    out = lookup(c, roots.withColumnRenamed("node", "_node"), ["_node"])
+    out = lookup(c, roots.withColumnRenamed("node", "_node"), ["_node"], at_most=row_count(c))
     return out.withColumn("region", F.col("root.cell") if by else F.col("root")).drop("_node", "_new", "root")
 
 
@@ -105,8 +110,8 @@ def keep_glacial_ice(fractions: DataFrame, nx: int, wrap: bool = True, half: int
     seeds = neighbourhood(ice, nx, wrap, "ice", equal_to=1.0, half=(half, half), centre=True)
     seeds = seeds.select("y", "x", "ice", F.col("all_equal").alias("core"))
     lab = label_regions(seeds.filter("ice = 1"), nx, "ice", extended=True, wrap=wrap)
-    kept = lab.groupBy("region").agg(F.bool_or("core").alias("glacial"))
-    glacial = lookup(lab, kept, ["region"]).filter("glacial").select("y", "x", F.lit(True).alias("_glacial"))
+    kept = materialise(lab.filter("core").select("region").distinct())
+    glacial = lookup(lab, kept, ["region"]).select("y", "x", F.lit(True).alias("_glacial"))
     # Any ice outside the kept regions goes, also ice that is not a whole fraction.
     lost = ice.filter("ice > 0 AND NOT isnan(ice)").join(glacial, ["y", "x"], "left_anti").select("y", "x", F.lit(True).alias("_lost"))
     out = fractions.join(lost, ["y", "x"], "left")
@@ -127,6 +132,7 @@ def fill_lakes(
     """
     from gridloom.operators.merge import inside_polygons
     from gridloom.session import small
+    from gridloom.sources.axes import facts
 
     box = lakes.select(
         "lake", "lat", "lon",
@@ -136,12 +142,15 @@ def fill_lakes(
 
     def spans(axis, low, high, seed, name):
         # Rows or columns of each lake's box, found by binning the axis; and the one nearest the seed.
-        width = axis.agg(F.max(F.col("hi") - F.col("lo"))).first()[0]
-        b = box.withColumn("bin", F.explode(F.sequence(F.floor(F.col(low) / width) - 1, F.floor(F.col(high) / width) + 1)))
-        a = axis.withColumn("bin", F.floor(F.col("lo") / width))
-        hit = b.join(a, "bin").filter((F.col("hi") > F.col(low)) & (F.col("lo") < F.col(high)))
+        f = facts(axis)[0]
+        width = (f.hi - f.lo) / f.n
+        b = box.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))))
+        a = axis.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))))
+        # Both sides are cut into bins; a pair counts in the first bin both share.
+        first = F.greatest(F.floor(F.col("lo") / width), F.floor(F.col(low) / width))
+        hit = b.join(a, "_bin").filter(F.col("_bin") == first).filter((F.col("hi") > F.col(low)) & (F.col("lo") < F.col(high)))
         part = Window.partitionBy("lake")
-        hit = hit.withColumn("_d", F.abs(F.col("point") - F.col(seed)))
+        hit = hit.withColumn("_d", F.round(F.abs(F.col("point") - F.col(seed)), 9))
         near = F.min(F.struct("_d", "idx")).over(part)["idx"]
         return hit.select("lake", F.col("idx").alias(name), near.alias("_seed_" + name), F.count(F.lit(1)).over(part).alias("_n" + name))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.columns import search_distance
 from gridloom.operators.stencil import FLOW_STEPS
-from gridloom.session import global_rank, lookup, materialise, small
+from gridloom.session import global_rank, lookup, materialise, row_count, small
 
 SMALL_AMOUNT = 1e-5
 GROWTH = 1.1
@@ -61,7 +61,7 @@ def runoff_regions(runoff: DataFrame, ny: int, nx: int, hops: int = 4) -> DataFr
         labels, frontier = state.select("cell", "label"), state.filter("moved").select("cell", "label")
         if not frontier.limit(1).count():
             break
-    return lookup(nodes, labels.select("cell", F.col("label.id").alias("root")), ["cell"])
+    return nodes.join(labels.select("cell", F.col("label.id").alias("root")), "cell")
 
 
 def region_totals(regions: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def region_totals(regions: DataFrame) -> DataFrame:
 def number_rivers(regions: DataFrame, max_rivers: int | None = MAX_RIVERS, digits: int = 9) -> DataFrame:
     """Add `river`: 1 for the region with the largest total, ties to the region found first (largest cell, then number)."""
     totals = materialise(region_totals(regions).withColumn("_t", F.round("total", digits)))
-    if max_rivers is not None and totals.count() > max_rivers:
+    if max_rivers is not None and row_count(totals) > max_rivers:
         raise ValueError(f"more than {max_rivers} river regions")
     ranked = global_rank(totals, [F.desc("_t"), F.desc("top"), F.asc("root")], "river").select("root", F.col("river").cast("int").alias("river"))
     return lookup(regions, materialise(ranked), ["root"])
@@ -178,7 +178,7 @@ def diamond_search(starts: DataFrame, numbered: DataFrame, shore: DataFrame, ny:
         best = materialise(best)
         results.append(best)
         pending = materialise(pending.join(best, "id", "left_anti"))
-        if not pending.limit(1).count() or reach >= min(limit, ny + nx):
+        if not row_count(pending) or reach >= min(limit, ny + nx):
             break
         reach = min(reach * 3, limit, ny + nx)
     out = results[0]
@@ -209,8 +209,8 @@ def link_mouths(
     shore = materialise(coastal(sea, ny, nx))
     hit = materialise(diamond_search(starts, numbered, shore, ny, nx))
     direct = hit.filter("river IS NOT NULL").select("id", "river")
-    rest = starts.join(hit.filter("river IS NULL"), "id")
-    if not rest.limit(1).count():
+    rest = materialise(starts.join(hit.filter("river IS NULL"), "id"))
+    if not row_count(rest):
         return direct, numbered.limit(0).select("y", "x", "river")
     widest = rest.agg(F.max("radius")).first()[0]
     land = _diamond(rest, shore, ny, nx, widest).filter(F.col("d") <= F.col("radius")).select("id", "y", "x")

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from weakref import WeakKeyDictionary
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A side is broadcast only when it has at most this many rows (rows here are a handful of numbers wide).
@@ -35,16 +37,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_ROWS: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write `df` as a table in the shared folder and read it back."""
+    """Cut the lineage: write `df` as a table in the shared folder and read it back.
+
+    The rows are counted while they are written, so later size and emptiness checks cost nothing.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _ROWS[out] = seen.get.get("rows", 0)
+    return out
+
+
+def row_count(table: DataFrame) -> int:
+    """Rows of a materialised table."""
+    if table not in _ROWS:
+        _ROWS[table] = table.count()
+    return _ROWS[table]
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(rows + 1).count() <= rows
+    return _ROWS[df] <= rows if df in _ROWS else df.limit(rows + 1).count() <= rows
 
 
 def small(df: DataFrame, at_most: int | None = None, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -56,13 +74,13 @@ def small(df: DataFrame, at_most: int | None = None, rows: int = BROADCAST_ROWS)
     return F.broadcast(df) if proven else df
 
 
-def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", at_most: int | None = None) -> DataFrame:
     """Equi-join of `left` with `right`, whose rows are unique in `on`, safe for hot keys on the left.
 
-    A small right side is broadcast.  Otherwise keys that hold more than 1/HOT_SHARE of the left rows are joined by
+    A right side proven small, by the bound `at_most` or by a count, is broadcast.  Otherwise keys that hold more than 1/HOT_SHARE of the left rows are joined by
     broadcasting their (fewer than HOT_SHARE) right rows, and the remaining keys by an ordinary shuffled join.
     """
-    if is_small(right):
+    if at_most <= BROADCAST_ROWS if at_most is not None else is_small(right):
         return left.join(F.broadcast(right), on, how)
     counts = materialise(left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
     total = counts.agg(F.sum("_n")).first()[0] or 0
