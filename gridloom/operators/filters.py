@@ -13,6 +13,8 @@ from gridloom.functions.columns import EARTH_RADIUS
 
 # Fixed value: largest filter strength, a fiftieth of what single precision resolves.
 MAX_STRENGTH = 1.0 / (50.0 * float(np.finfo("float32").eps))
+#: Cells a grouped task solves at a time.
+GROUP_CELLS = 200_000
 #: Binomial stencils of the 2nd, 4th and 6th difference.
 STENCILS = {1: (1, 2, 1), 2: (1, 4, 6, 4, 1), 3: (1, 6, 15, 20, 15, 6, 1)}
 
@@ -112,27 +114,30 @@ def _solve_periodic(band: np.ndarray, g: np.ndarray) -> np.ndarray:
     return np.concatenate([base - (lift @ tail)[:, :, 0], tail[:, :, 0]], axis=1)
 
 
-def _filter_along(cells: DataFrame, line: list[str], along: str, eps: Column, periodic: bool, value: str) -> DataFrame:
-    """Filter every line; a line (a row or column of one slice) is one group, never more than a side of the grid."""
-    typed = cells.withColumn("_eps", eps.cast("double"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in typed.schema.fields if f.name != "_eps")
+def _filter_along(cells: DataFrame, by: list[str], line: str, along: str, n: int, eps: Column, periodic: bool, value: str) -> DataFrame:
+    """Filter every line of `n` cells.  Whole lines are grouped so that a group holds about GROUP_CELLS, at least one line."""
+    per_group = max(GROUP_CELLS // n, 1)
+    typed = cells.withColumn("_eps", eps.cast("double")).withColumn("_g", F.floor(F.col(line) / per_group))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.schema.fields)
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(along)
-        out = filter_lines(pdf[value].to_numpy(float)[None, :], pdf["_eps"].to_numpy(float)[:1], periodic)
-        return pdf.assign(**{value: out[0]}).drop(columns="_eps")
+        pdf = pdf.sort_values([line, along])
+        if len(pdf) % n or (pdf[along].to_numpy().reshape(-1, n) != pdf[along].to_numpy()[:n]).any():
+            raise ValueError("the filter needs a field without absent cells")
+        out = filter_lines(pdf[value].to_numpy(float).reshape(-1, n), pdf["_eps"].to_numpy(float)[::n], periodic)
+        return pdf.assign(**{value: out.ravel()}).drop(columns=["_eps", "_g"])
 
-    return typed.groupBy(*line).applyInPandas(solve, schema)
+    return typed.groupBy(*by, "_g").applyInPandas(solve, schema)
 
 
 def raymond_filter(
-    cells: DataFrame, epsilon: float, row_epsilon: Column | None = None, circular: bool = True, by: list[str] | None = None,
+    cells: DataFrame, ny: int, nx: int, epsilon: float, row_epsilon: Column | None = None, circular: bool = True, by: list[str] | None = None,
     value: str = "value",
 ) -> DataFrame:
     """Low-pass filter of dense fields: rows (periodic if circular, strength `row_epsilon`), then columns (`epsilon`)."""
     by = by or []
     base = cells.select(*by, "y", "x", F.col(value).cast("double").alias(value))
     strength = row_epsilon if row_epsilon is not None else F.lit(epsilon)
-    rows = _filter_along(base, by + ["y"], "x", strength, circular, value)
-    cols = _filter_along(rows, by + ["x"], "y", F.lit(epsilon), False, value)
+    rows = _filter_along(base, by, "y", "x", nx, strength, circular, value)
+    cols = _filter_along(rows, by, "x", "y", ny, F.lit(epsilon), False, value)
     return cols.withColumn(value, F.col(value).cast("float").cast("double"))

@@ -62,11 +62,11 @@ def year_starts(series: DataFrame, key: list[str], begin: int, end: int, year: s
     the year after the last source year is carried on by half the last step.
     """
     w = Window.partitionBy(*key).orderBy(year)
-    prev, v, y = F.lag(value).over(w), F.col(value), F.col(year)
-    last = F.lead(year).over(w).isNull()
+    near = series.withColumn("_prev", F.lag(value).over(w)).withColumn("_last", F.lead(year).over(w).isNull())
+    prev, v, y = F.col("_prev"), F.col(value), F.col(year)
     own = F.struct(y.alias("y"), F.coalesce(0.5 * (prev + v), v).alias("v"))
     after = F.struct((y + 1).alias("y"), F.coalesce(v + 0.5 * (v - prev), v).alias("v"))
-    out = series.withColumn("_p", F.explode(F.when(last, F.array(own, after)).otherwise(F.array(own))))
+    out = near.withColumn("_p", F.explode(F.when(F.col("_last"), F.array(own, after)).otherwise(F.array(own))))
     return out.select(*key, F.col("_p.y").alias(year), F.col("_p.v").alias(value)).filter(F.col(year).between(begin, end))
 
 

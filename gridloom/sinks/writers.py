@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from gridloom.functions.columns import MISSING_REAL, sentinel
 
@@ -74,9 +76,13 @@ def _lines(series: DataFrame, key: list[str], item: Column, per_line: int, order
     return joined.select(*key, "line", F.array_join(F.transform("_a", lambda a: a["_t"]), "").alias("text"))
 
 
-def scientific(v: Column, digits: int = 4) -> Column:
-    """C style exponent format, e.g. 1.2345e-06."""
-    return F.format_string(f"%.{digits}e", v)
+@F.pandas_udf(StringType())
+def scientific(values: pd.Series) -> pd.Series:
+    """Exponent format with four decimals, e.g. 1.2345e-06.
+
+    Rounds the binary value as C does; the JVM's own formatter rounds its shortest decimal text instead.
+    """
+    return values.map(lambda v: None if pd.isna(v) else f"{v:.4e}")
 
 
 def series_listing(series: DataFrame, unused: list[str] | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
 """Queries over the given tables for every operator, with oracle SQL where SQL can say the same."""
 
-from workload import classes, grids, regions, regridding, series, surfaces  # noqa: F401
+from workload import classes, grids, jobs, regions, regridding, series, surfaces  # noqa: F401
 from workload.registry import QUERIES  # noqa: F401

@@ -238,7 +238,7 @@ def mask_from_missing(spark, sf):
     return fl.mask_from_missing(records(spark, sf).filter("stash = 1001"), cells)
 
 
-@query("sc5_mesh_corners", """SELECT l_orderkey AS face_id, list(s_acctbal ORDER BY l_linenumber, l_partkey) AS lats, list(CAST(s_suppkey AS DOUBLE) ORDER BY l_linenumber, l_partkey) AS lons
+@query("sc5_mesh_corners", """SELECT l_orderkey AS face_id, list(s_acctbal ORDER BY l_linenumber, l_partkey, l_suppkey) AS lats, list(CAST(s_suppkey AS DOUBLE) ORDER BY l_linenumber, l_partkey, l_suppkey) AS lons
 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY l_orderkey""")
 def mesh_corners(spark, sf):
     li = read(spark, sf, "lineitem")
@@ -326,12 +326,12 @@ hit AS (SELECT * FROM seg, t WHERE (z >= h AND (h1 IS NULL OR z < h1)) OR (hp IS
 
 
 def level_query(method, extrapolation, below, above, inner="v + (z - h) / (h1 - h) * (v1 - v)"):
-    sql = f"""WITH {RASTER}, {SEG} SELECT y, x, level, z, round(CASE WHEN hp IS NULL AND z < h THEN {below} WHEN h1 IS NULL AND z > h THEN {above} WHEN z = h THEN v ELSE {inner} END, 5) AS value FROM hit"""
+    sql = f"""WITH {RASTER}, {SEG} SELECT y, x, level, z, round(CASE WHEN hp IS NULL AND z < h THEN {below} WHEN h1 IS NULL AND z > h THEN {above} WHEN z = h THEN v ELSE {inner} END, 9) AS value FROM hit"""
 
     @query(f"jn8_{method}_{extrapolation}", sql)
     def run(spark, sf):
         out = vt.relevel(levels(spark, sf), [90.0, 205.5, 380.0, 777.0], ["y", "x"], method=method, extrapolation=extrapolation)
-        return out.withColumn("value", F.round("value", 5))
+        return out.withColumn("value", F.round("value", 9))
 
     return run
 
@@ -347,13 +347,13 @@ level_query("nearest", "nearest", "v", "v", "CASE WHEN z - h <= h1 - z THEN v EL
     "jn8_column_targets",
     f"""WITH {RASTER}, {LEVELS}, seg AS (SELECT y, x, height AS h, value AS v, lead(height) OVER w AS h1, lead(value) OVER w AS v1, lag(height) OVER w AS hp, first_value(height) OVER w AS h0 FROM levels WINDOW w AS (PARTITION BY y, x ORDER BY height)),
 hit AS (SELECT *, h0 + 130.0 * level + 10 AS z FROM seg, (SELECT unnest([0, 1, 2])::INT AS level))
-SELECT y, x, level, z, round(CASE WHEN h1 IS NULL OR z = h THEN v ELSE v + (z - h) / (h1 - h) * (v1 - v) END, 5) AS value FROM hit WHERE z >= h AND (h1 IS NULL OR z < h1)""",
+SELECT y, x, level, z, round(CASE WHEN h1 IS NULL OR z = h THEN v ELSE v + (z - h) / (h1 - h) * (v1 - v) END, 9) AS value FROM hit WHERE z >= h AND (h1 IS NULL OR z < h1)""",
 )
 def column_targets(spark, sf):
     lv = levels(spark, sf)
     h0 = F.min("height").over(Window.partitionBy("y", "x"))
     t = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: F.struct(i.alias("idx"), (h0 + i * 130.0 + 10).alias("z")))
-    return vt.relevel(lv.withColumn("targets", t), "targets", ["y", "x"]).withColumn("value", F.round("value", 5))
+    return vt.relevel(lv.withColumn("targets", t), "targets", ["y", "x"]).withColumn("value", F.round("value", 9))
 
 
 @query(
@@ -422,7 +422,7 @@ def low_pass_filter(spark, sf):
     full = raster(spark, sf, g).select("y", "x", F.col("price").alias("value")).filter(F.col("y") < g.ny - 1)
     lat = -90 + (F.col("y") + 0.5) * 180.0 / g.ny
     eps = ft.strength_by_latitude(2.0e6, lat, 360.0 / g.nx, 180.0 / g.ny)
-    return ft.raymond_filter(full, ft.strength_from_length(2.0e6, 360.0 / g.nx), eps)
+    return ft.raymond_filter(full, g.ny - 1, g.nx, ft.strength_from_length(2.0e6, 360.0 / g.nx), eps)
 
 
 def tile_mean(pdf: pd.DataFrame) -> pd.DataFrame:
