@@ -111,7 +111,9 @@ def clip(subject: np.ndarray, window: np.ndarray) -> np.ndarray:
         cut = p * np.abs(dn)[..., None] + nxt * np.abs(d)[..., None]
         cut /= np.maximum(np.linalg.norm(cut, axis=-1, keepdims=True), 1e-300)
         points = np.stack([cut, nxt], axis=2).reshape(len(p), -1, 3)
-        valid = np.stack([cross, dn >= 0], axis=2).reshape(len(p), -1)
+        # Sides of no length come from repeated corners; dropping them keeps every polygon within `room` corners.
+        fresh = (p != nxt).any(-1)
+        valid = np.stack([cross, (dn >= 0) & fresh], axis=2).reshape(len(p), -1)
         order = np.argsort(~valid, axis=1, kind="stable")[:, :room]
         points = np.take_along_axis(points, order[..., None], axis=1)
         valid = np.take_along_axis(valid, order, axis=1)
