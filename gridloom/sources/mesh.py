@@ -24,6 +24,6 @@ def check_mesh(faces: DataFrame, nodes: DataFrame, start_index: int = 1) -> None
         raise ValueError("a face number occurs twice")
     if nodes.groupBy("node_id").count().filter("count > 1").limit(1).count():
         raise ValueError("a node number occurs twice")
-    used = faces.select((F.explode("nodes") - start_index).alias("node_id")).distinct()
+    used = faces.select(F.explode("nodes").alias("_n")).select((F.col("_n") - start_index).alias("node_id")).distinct()
     if used.join(nodes, "node_id", "left_anti").limit(1).count():
         raise ValueError("a face uses a node that does not exist")
