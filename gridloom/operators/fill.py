@@ -35,8 +35,7 @@ def nearest_valid(
     """
     f_y, f_x = facts(axis_y, axis_x)
     ny, nx = f_y.n, f_x.n
-    # The narrowest gap between rows would be exact for uneven axes; rows here are evenly spaced.
-    step = (f_y.p_hi - f_y.p_lo) / max(ny - 1, 1)
+    step = f_y.gap
     present = F.col(value).isNotNull() & ~F.isnan(value)
     valid = present if excluded is None else present & ~excluded
     target = ~present if wanted is None else ~present & wanted
@@ -96,14 +95,16 @@ def nearest_valid(
 
 
 def apply_mapping(cells: DataFrame, mapping: DataFrame, by: list[str] | None = None, value: str = "value") -> DataFrame:
-    """Fill every time and level with one mapping ``(y, x, src_y, src_x)``."""
+    """Fill every time and level with one mapping ``(y, x, src_y, src_x)``.
+
+    Only cells to be filled look for their donor, and a donor that serves very many of them does no harm.
+    """
     by = by or []
     donors = cells.select(*by, F.col("y").alias("src_y"), F.col("x").alias("src_x"), F.col(value).alias("_fill"))
-    mapped = mapping.withColumn("_mapped", F.lit(True))
-    out = cells.join(F.broadcast(mapped) if is_small(mapping) else mapped, ["y", "x"], "left")
-    out = out.join(donors, by + ["src_y", "src_x"], "left")
-    filled = F.when(F.col("_mapped"), F.col("_fill")).otherwise(F.col(value))
-    return out.withColumn(value, filled).drop("src_y", "src_x", "_fill", "_mapped")
+    gaps = cells.select(*by, "y", "x").join(F.broadcast(mapping) if is_small(mapping) else mapping, ["y", "x"])
+    filled = lookup(gaps, donors, by + ["src_y", "src_x"], "left").select(*by, "y", "x", "_fill", F.lit(True).alias("_mapped"))
+    out = cells.join(filled, by + ["y", "x"], "left")
+    return out.withColumn(value, F.when(F.col("_mapped"), F.col("_fill")).otherwise(F.col(value))).drop("_fill", "_mapped")
 
 
 def fill_missing(
@@ -244,9 +245,11 @@ def fill_mesh(faces: DataFrame, target_mask: DataFrame | None = None, by: list[s
     near = nearest_points(missing, first.filter(ok).select(F.col("face_id").alias("point"), *xyz))
     mapping = materialise(near.select(F.col("id").alias("face_id"), F.col("point").alias("src_face")))
     donors = faces.select(*by, F.col("face_id").alias("src_face"), F.col(value).alias("_fill"))
-    out = faces.join(small(mapping), "face_id", "left").join(donors, by + ["src_face"], "left")
-    out = out.withColumn(value, F.when(F.col("src_face").isNotNull(), F.col("_fill")).otherwise(F.col(value)))
+    gaps = faces.select(*by, "face_id").join(small(mapping, row_count(mapping)), "face_id")
+    filled = lookup(gaps, donors, by + ["src_face"], "left").select(*by, "face_id", "_fill", F.lit(True).alias("_mapped"))
+    out = faces.join(filled, by + ["face_id"], "left")
+    out = out.withColumn(value, F.when(F.col("_mapped"), F.col("_fill")).otherwise(F.col(value))).drop("_fill", "_mapped")
     if target_mask is not None:
         flag = target_mask.select("face_id", F.col("masked").alias("_tm"))
         out = out.join(flag, "face_id", "left").withColumn(value, F.when(F.coalesce("_tm", F.lit(False)), F.lit(None)).otherwise(F.col(value))).drop("_tm")
-    return out.drop("src_face", "_fill")
+    return out

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import tolerant_key
-from gridloom.session import small
+from gridloom.session import BROADCAST_ROWS, materialise, small
 from gridloom.sources.axes import facts
 
 
@@ -52,9 +52,11 @@ def inside_polygons(
     width = max((f_y.hi - f_y.lo) / f_y.n, 1e-12)
     heights = F.array("lo", "hi") if corners else F.array("point")
     lines = axis_y.select(F.col("idx").alias("y"), F.explode(heights).alias("py"))
-    rows = _scan_lines(lines, edges, width, poly)
+    rows = materialise(_scan_lines(lines, edges, width, poly))
+    load = rows.agg(F.sum(F.aggregate("outlines", F.lit(0), lambda n, o: n + F.size(o["xs"]) + F.size(o["touches"])))).first()[0] or 0
+    rows = F.broadcast(rows) if load <= BROADCAST_ROWS else rows
     places = F.array("lo", "hi") if corners else F.array("point")
-    out = cells.join(small(axis_x.select(F.col("idx").alias("x"), places.alias("_px")), f_x.n), "x").join(small(rows, f_y.n, 50_000), "y", "left")
+    out = cells.join(small(axis_x.select(F.col("idx").alias("x"), places.alias("_px")), f_x.n), "x").join(rows, "y", "left")
     hit = F.exists("outlines", lambda o: F.exists("_px", lambda p: _strictly_inside(p, o)))
     return out.withColumn("inside", F.coalesce(hit, F.lit(False))).drop("_px", "outlines")
 

@@ -141,7 +141,7 @@ def fill_lakes(
     )
 
     def spans(axis, low, high, seed, name):
-        # Rows or columns of each lake's box, found by binning the axis; and the one nearest the seed.
+        # Rows or columns of each lake's box, found by binning the axis, and the one nearest the seed.
         f = facts(axis)[0]
         width = (f.hi - f.lo) / f.n
         b = box.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))))
@@ -149,13 +149,15 @@ def fill_lakes(
         # Both sides are cut into bins; a pair counts in the first bin both share.
         first = F.greatest(F.floor(F.col("lo") / width), F.floor(F.col(low) / width))
         hit = b.join(a, "_bin").filter(F.col("_bin") == first).filter((F.col("hi") > F.col(low)) & (F.col("lo") < F.col(high)))
-        part = Window.partitionBy("lake")
         hit = hit.withColumn("_d", F.round(F.abs(F.col("point") - F.col(seed)), 9))
-        near = F.min(F.struct("_d", "idx")).over(part)["idx"]
-        return hit.select("lake", F.col("idx").alias(name), near.alias("_seed_" + name), F.count(F.lit(1)).over(part).alias("_n" + name))
-
-    ys, xs = spans(axis_y, "_s", "_n", "lat", "y"), spans(axis_x, "_w", "_e", "lon", "x")
-    part = cells.join(small(ys), "y").join(small(xs), ["lake", "x"]).filter("_ny > 1 AND _nx > 1")
+        span = hit.groupBy("lake").agg(
+            F.min("idx").alias("_lo"), F.max("idx").alias("_hi"), F.min_by("idx", F.struct("_d", "idx")).alias("_seed_" + name)
+        )
+        return span.filter("_hi > _lo").select("lake", F.sequence("_lo", "_hi").alias("_" + name), "_seed_" + name)
+
+    boxes = spans(axis_y, "_s", "_n", "lat", "y").join(spans(axis_x, "_w", "_e", "lon", "x"), "lake")
+    places = boxes.withColumn("y", F.explode("_y")).withColumn("x", F.explode("_x")).drop("_y", "_x")
+    part = materialise(places.join(cells.select("y", "x", code), ["y", "x"]))
     if outlines is not None:
         centres = inside_polygons(
             part.select("y", "x").distinct(), outlines, axis_y, axis_x, corners=False

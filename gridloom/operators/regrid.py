@@ -173,7 +173,8 @@ def brackets(src: DataFrame, tgt: DataFrame, names: tuple[str, str], mode: str =
         t = tgt.selectExpr("idx AS t", "point AS p", f"least(greatest(point, {lo!r}D), {hi!r}D) AS c")
         t = t.selectExpr("t", "p", "c", f"abs(c - p) <= {TOLERANCE!r}D AS inside" if mode == "nan" else "true AS inside")
     t = t.selectExpr("*", f"floor(c / {width!r}D) AS bin")
-    j = seg.join(t, "bin").filter(f"c >= p0 AND (c < p1 OR (p1 = {last!r}D AND c = {last!r}D))")
+    # Segments touch each other, so they lie in at most two bins each and once more in every bin they span.
+    j = t.join(small(seg, at_most=3 * n + 3), "bin").filter(f"c >= p0 AND (c < p1 OR (p1 = {last!r}D AND c = {last!r}D))")
     j = j.selectExpr("t", "inside", "i0", "i1", "(p - p0) / (p1 - p0) AS f")
     j = j.selectExpr("t", "inside", "inline(array(struct(i0 AS s, 1 - f AS w), struct(i1 AS s, f AS w))) AS (s, w)")
     return j.filter("w <> 0").selectExpr(f"s AS {names[0]}", f"t AS {names[1]}", f"w AS _w{names[0]}", f"inside AS _in{names[0]}")

@@ -93,13 +93,25 @@ def largest_cell(field: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def grid_scaling(lon: DataFrame, ny: int, nx: int) -> float:
-    """0.25 over the mean spacing of the middle row ``(y, x, lon)``, jumps across the date line left out."""
+def grid_scaling(lon: DataFrame, ny: int, nx: int) -> DataFrame:
+    """One row ``(scaling)``: 0.25 over the mean spacing of the middle row ``(y, x, lon)``, date-line jumps left out."""
     row = lon.filter((F.col("y") == ny // 2) & (F.col("x") <= nx - 2))
     w = Window.partitionBy("y").orderBy("x")
     d = row.select((F.lead("lon").over(w) - F.col("lon")).alias("d"))
-    mean = d.filter("d IS NOT NULL AND abs(d) <= 300").agg(F.avg("d")).first()[0]
-    return 0.25 / mean
+    return d.filter("d IS NOT NULL AND abs(d) <= 300").agg((F.lit(0.25) / F.avg("d")).alias("scaling"))
+
+
+def shift(cells: DataFrame, direction: str, ny: int, nx: int) -> DataFrame:
+    """Move each cell one step in its direction (1 north, then clockwise to 8); here north is y + 1.
+
+    Columns wrap, rows stop at the edge; any other direction leaves the new position NULL.
+    """
+    dy = dx = F.lit(None).cast("int")
+    for c, (sy, sx) in FLOW_STEPS.items():
+        dy = F.when(F.col(direction) == c, F.lit(-sy)).otherwise(dy)
+        dx = F.when(F.col(direction) == c, F.lit(sx)).otherwise(dx)
+    ny_ = F.when(dy.isNotNull(), F.least(F.greatest(F.col("y") + dy, F.lit(0)), F.lit(ny - 1)))
+    return cells.withColumn("to_y", ny_.cast("int")).withColumn("to_x", F.pmod(F.col("x") + dx, F.lit(nx)).cast("int"))
 
 
 def coastal(sea: DataFrame, ny: int, nx: int) -> DataFrame:

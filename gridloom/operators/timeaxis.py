@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.session import attach, lookup
+
 
 def year_range(cells: DataFrame, begin: int, end: int, year: str = "year", by: list[str] | None = None, strict: bool = True) -> DataFrame:
     """Rows of the years begin..end, both included.  No data at all raises, as does a field that covers only a part."""
@@ -124,7 +126,7 @@ def contiguous_bounds(records: DataFrame, by: list[str], lo: str = "lo", hi: str
     first = F.min(lo).over(Window.partitionBy(*by))
     end = final if final is not None else F.add_months(first, 12)
     nxt = t.withColumn("_hi", F.coalesce(F.lead(lo).over(w).cast("timestamp"), end.cast("timestamp")))
-    return records.join(nxt, by + [lo]).withColumn(hi, F.col("_hi")).drop("_hi")
+    return lookup(records, nxt, by + [lo]).withColumn(hi, F.col("_hi")).drop("_hi")
 
 
 def equal_counts(records: DataFrame, by: list[str], time: list[str]) -> DataFrame:
@@ -158,10 +160,10 @@ def climatology_records(records: DataFrame, year: int, by: list[str]) -> DataFra
 
     The calendar is Gregorian (1) if any day in the file exceeds 30, else 360 days (2).
     """
-    top = F.max(F.greatest("dat", "datd")).over(Window.partitionBy(*by))
     december = F.col("mon") == 12
     return (
-        records.withColumn("tim", F.lit(20) + F.when(top > 30, 1).otherwise(2))
+        attach(records, by, F.max(F.greatest("dat", "datd")).alias("_top"))
+        .withColumn("tim", F.lit(20) + F.when(F.col("_top") > 30, 1).otherwise(2)).drop("_top")
         .withColumn("dat", F.lit(1)).withColumn("datd", F.lit(1))
         .withColumn("yr", F.lit(year)).withColumn("yrd", F.when(december, year + 1).otherwise(year))
         .withColumn("mond", F.when(december, 1).otherwise(F.col("mon") + 1))
@@ -172,8 +174,7 @@ def shift_reference_year(records: DataFrame, by: list[str], year: int = 4) -> Da
     """Shift all years of a file so that its first one is `year`."""
     if year <= 0:
         raise ValueError("the reference year must be positive")
-    offset = F.lit(year) - F.min("yr").over(Window.partitionBy(*by))
-    return records.withColumn("_o", offset).withColumn("yr", F.col("yr") + F.col("_o")).withColumn("yrd", F.col("yrd") + F.col("_o")).drop("_o")
+    return attach(records, by, (F.lit(year) - F.min("yr")).alias("_o")).withColumn("yr", F.col("yr") + F.col("_o")).withColumn("yrd", F.col("yrd") + F.col("_o")).drop("_o")
 
 
 def as_monthly_means(records: DataFrame, year: int = 1950) -> DataFrame:

@@ -82,13 +82,35 @@ def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
     """
     if at_most <= BROADCAST_ROWS if at_most is not None else is_small(right):
         return left.join(F.broadcast(right), on, how)
-    counts = materialise(left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
+    known = left.dropna(subset=on)
+    counts = materialise(known.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
     total = counts.agg(F.sum("_n")).first()[0] or 0
     hot = F.broadcast(counts.filter(F.col("_n") > max(total / HOT_SHARE, 10_000)).select(*on, F.lit(True).alias("_hot")))
-    marked = left.join(hot, on, "left")
+    marked = known.join(hot, on, "left")
     cold_part = marked.filter("_hot IS NULL").drop("_hot").join(right, on, how)
     hot_right = F.broadcast(right.join(hot, on, "left_semi"))
-    return cold_part.unionByName(marked.filter("_hot").drop("_hot").join(hot_right, on, how))
+    out = cold_part.unionByName(marked.filter("_hot").drop("_hot").join(hot_right, on, how))
+    if how == "left":
+        # Rows without a key match nothing; kept out of the shuffle they cannot pile up in one task.
+        missing = F.lit(False)
+        for c in on:
+            missing = missing | F.col(c).isNull()
+        rest = left.filter(missing)
+        for c, t in right.drop(*on).dtypes:
+            rest = rest.withColumn(c, F.lit(None).cast(t))
+        out = out.unionByName(rest)
+    return out
+
+
+def attach(df: DataFrame, by: list[str], *aggs: Column) -> DataFrame:
+    """Group aggregates on every row, by a partial aggregation and a lookup: a huge group stays spread over tasks."""
+    return lookup(df, df.groupBy(*by).agg(*aggs), by)
+
+
+def rank_within(df: DataFrame, by: list[str], order: list[Column], name: str) -> DataFrame:
+    """1-based position of each row in its group, without a task having to hold a whole group."""
+    ranked = materialise(global_rank(df, [F.asc(c) for c in by] + order, name))
+    return attach(ranked, by, F.min(name).alias("_start")).withColumn(name, (F.col(name) - F.col("_start") + 1).cast("int")).drop("_start")
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str, partitions: int | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from gridloom.functions.columns import MISSING_REAL, sentinel
+from gridloom.session import attach, rank_within
 
 # Type -> (smallest, largest) of the integer types a classic file holds.
 RANGES = {"byte": (-128, 127), "short": (-32768, 32767), "int": (-2147483648, 2147483647)}
@@ -41,9 +42,8 @@ def write_fields(cells: DataFrame, path: str, to: str | None = None, fill: float
 
 def record_order(fields: DataFrame, by: list[str], time: list[str], level: str = "lev") -> DataFrame:
     """Position `pos` of each 2-D field within its file: by time, then item code as first met, then level."""
-    first = F.min("seq").over(Window.partitionBy(*by, "stash"))
-    out = fields.withColumn("_first", first)
-    return out.withColumn("pos", F.row_number().over(Window.partitionBy(*by).orderBy(*time, "_first", level, "seq"))).drop("_first")
+    first = attach(fields, [*by, "stash"], F.min("seq").alias("_first"))
+    return rank_within(first, by, [F.asc(c) for c in (*time, "_first", level, "seq")], "pos").drop("_first")
 
 
 def write_records(fields: DataFrame, path: str, by: list[str], time: list[str], level: str = "lev") -> None:

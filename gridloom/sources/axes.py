@@ -12,7 +12,7 @@ from gridloom.functions.columns import TOLERANCE, isclose, tolerant_key, wrap_lo
 
 
 class Facts(NamedTuple):
-    """What planning needs to know of an axis: size, outer bounds, outermost points, index of the lowest point."""
+    """What planning needs to know of an axis: size, outer bounds and points, index of the lowest point, narrowest gap."""
 
     n: int
     lo: float
@@ -20,6 +20,7 @@ class Facts(NamedTuple):
     p_lo: float
     p_hi: float
     first: int
+    gap: float
 
 
 _KNOWN: WeakKeyDictionary[DataFrame, Facts] = WeakKeyDictionary()
@@ -32,14 +33,16 @@ def facts(*axes: DataFrame) -> list[Facts]:
         every = None
         for i, a in enumerate(unknown):
             bounds = [F.col(c) for c in (("lo", "hi", "point") if "lo" in a.columns else ("point", "point"))]
-            one = a.agg(
+            near = a.selectExpr("*", "point - lag(point) OVER (ORDER BY point) AS gap")  # as long as one side of a grid
+            one = near.agg(
                 F.lit(i).alias("i"), F.count(F.lit(1)).alias("n"),
                 F.min(F.least(*bounds)).alias("lo"), F.max(F.greatest(*bounds)).alias("hi"),
                 F.min("point").alias("p_lo"), F.max("point").alias("p_hi"), F.min_by("idx", "point").alias("first"),
+                F.coalesce(F.min("gap"), F.lit(0.0)).alias("gap"),
             )
             every = one if every is None else every.unionByName(one)
         for r in every.collect():  # one row per axis
-            _KNOWN[unknown[r["i"]]] = Facts(r["n"], r["lo"], r["hi"], r["p_lo"], r["p_hi"], r["first"])
+            _KNOWN[unknown[r["i"]]] = Facts(r["n"], r["lo"], r["hi"], r["p_lo"], r["p_hi"], r["first"], r["gap"])
     return [_KNOWN[a] for a in axes]
 
 
@@ -53,7 +56,7 @@ def regular_axis(spark: SparkSession, n: int, start: float, step: float, first_p
         f"{edge!r}D + id * {step!r}D AS lo", f"{edge!r}D + (id + 1) * {step!r}D AS hi",
     )
     ends, points = sorted((edge, edge + n * step)), sorted((edge + 0.5 * step, edge + (n - 0.5) * step))
-    _KNOWN[out] = Facts(n, *ends, *points, 0 if step > 0 else n - 1)
+    _KNOWN[out] = Facts(n, *ends, *points, 0 if step > 0 else n - 1, abs(step) if n > 1 else 0.0)
     return out
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import isclose
+from gridloom.session import attach, lookup
 
 
 def load_fields(spark: SparkSession, paths: list[str] | str, names: list[str] | None = None) -> DataFrame:
@@ -18,9 +19,8 @@ def load_fields(spark: SparkSession, paths: list[str] | str, names: list[str] |
 
 def with_circular_flag(axes: DataFrame, by: list[str], period: float = 360.0) -> DataFrame:
     """Axis rows with a flag telling whether their axis closes around the globe."""
-    w = Window.partitionBy(*by)
-    span = F.max(F.greatest("lo", "hi")).over(w) - F.min(F.least("lo", "hi")).over(w)
-    return axes.withColumn("circular", isclose(span, F.lit(period)))
+    span = (F.max(F.greatest("lo", "hi")) - F.min(F.least("lo", "hi"))).alias("_span")
+    return attach(axes, by, span).withColumn("circular", isclose(F.col("_span"), F.lit(period))).drop("_span")
 
 
 def land_mask(fields: DataFrame, threshold: float | None = None) -> DataFrame:
@@ -76,11 +76,18 @@ def select_records(records: DataFrame, section: int, item: int, model: int = 1,
 
 
 def merge_records(records: DataFrame, by: list[str], time: list[str], level: str | None = None) -> DataFrame:
-    """Two-dimensional records as slices of fields: dimension numbers `t` (and `z`) per item code from ordered values."""
-    out = records.withColumn("t", F.dense_rank().over(Window.partitionBy(*by, "stash").orderBy(*time)) - 1)
-    if level:
-        out = out.withColumn("z", F.dense_rank().over(Window.partitionBy(*by, "stash").orderBy(level)) - 1)
-    return out
+    """Two-dimensional records as slices of fields: dimension numbers `t` (and `z`) per item code from ordered values.
+
+    Only the distinct times and levels of a field are ordered; the records look their numbers up.
+    """
+    out = records
+    for name, cols in (("t", time), ("z", [level] if level else [])):
+        if cols:
+            key = [*by, "stash"]
+            values = records.select(*key, *cols).distinct()
+            number = F.row_number().over(Window.partitionBy(*key).orderBy(*cols)) - 1
+            out = lookup(out, values.withColumn(name, number), [*key, *cols])
+    return out.select(*records.columns, "t", *(["z"] if level else []))
 
 
 def level_order(records: DataFrame, by: list[str], level: str = "pl", seq: str = "seq") -> DataFrame:

@@ -9,7 +9,7 @@ def test_regular_axis_and_facts_agree_with_the_table(spark):
     a = ax.regular_axis(spark, 4, 90.0, -45.0)
     known = ax.facts(a)[0]
     found = ax.facts(a.select("*"))[0]
-    assert known == found == ax.Facts(4, -90.0, 90.0, -67.5, 67.5, 3)
+    assert known == found == ax.Facts(4, -90.0, 90.0, -67.5, 67.5, 3, 45.0)
 
 
 def test_global_grid_checks(spark):

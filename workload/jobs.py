@@ -13,7 +13,7 @@ from workload.classes import WALK_SQL, fractions, walk
 from workload.fixtures import (
     AXES, GASES, MONTH_AXES, MONTHLY, RASTER, RECORDS, axes, axis_sql, gases, grid, levels, month_axes, monthly, raster, read, records,
 )
-from workload.regions import mouths, ocean
+from workload.regions import lakes, mouths, ocean
 from workload.registry import query
 from workload.regridding import HALF, ODD, coarse_axes, odd_axes, overlap_sql
 from workload.series import WIDE, WIDE_SQL, YM, named_gases, with_months
@@ -112,7 +112,7 @@ def c4_injection(spark, sf):
     f = materialise(fractions(spark, sf).filter("pl <> 4"))
     f = f.unionByName(f.filter("pl = 3").withColumn("pl", F.lit(4)).withColumn("value", F.lit(0.0)))
     g = grid(spark, sf)
-    c4 = monthly(spark, sf).filter("t = 5").groupBy("y", "x").agg(F.avg("value").alias("value"))
+    c4 = read(spark, sf, "lineitem").groupBy(F.expr("CAST(l_partkey % 36 AS INT)").alias("y"), F.expr("CAST(l_orderkey % 72 AS INT)").alias("x")).agg(F.avg("l_quantity").alias("value"))
     return jobs.c4_injection(f, c4, month_axes(spark), axes(spark, g)).withColumn("value", F.round("value", 7))
 
 
@@ -121,12 +121,8 @@ def prepare_fine_classes(spark, sf):
     g = grid(spark, sf)
     codes = raster(spark, sf, g).select("y", "x", F.when(F.col("priority") != "5-LOW", F.when(F.col("code") == 3, -46).otherwise(F.col("code"))).alias("code"))
     polar = spark.range(36 * 72).selectExpr("CAST(id DIV 72 AS INT) AS y", "CAST(id % 72 AS INT) AS x").selectExpr("y", "x", "IF((x DIV 9) % 2 = 0, 15, 0) AS code")
-    lat, lon = (F.col("c_acctbal") - 4500) / 62, (F.col("c_custkey") % 350 - 175).cast("double") + 0.3
-    none = F.lit(None).cast("double")
-    lakes = read(spark, sf, "customer").select(
-        F.col("c_custkey").alias("lake"), lat.alias("lat"), lon.alias("lon"), (lat - 9).alias("lat_min"), (lat + 9).alias("lat_max"), (lon - 9).alias("lon_min"), (lon + 9).alias("lon_max")
-    )
-    return jobs.prepare_fine_classes(codes, axes(spark, g), polar, month_axes(spark), lakes.filter("lat > 0"), lakes.filter("lat <= 0"))
+    every = lakes(spark, sf, g)
+    return jobs.prepare_fine_classes(codes, axes(spark, g), polar, month_axes(spark), every.filter("lat > 0"), every.filter("lat <= 0"))
 
 
 @query(

@@ -84,8 +84,8 @@ def keep_glacial_ice(spark, sf):
 @query(
     "gr4_fill_lakes",
     f"""WITH RECURSIVE {RASTER}, {AXES}, lakes AS (SELECT c_custkey AS lake, (c_acctbal - 4500) / 62 AS lat, CAST(c_custkey % 350 - 175 AS DOUBLE) + 0.3 AS lon FROM customer),
-ys AS (SELECT lake, idx AS y, arg_min(idx, (round(abs(point - lat), 9), idx)) OVER (PARTITION BY lake) AS sy, count(*) OVER (PARTITION BY lake) AS n FROM lakes, ay WHERE hi > lat - 9 AND lo < lat + 9),
-xs AS (SELECT lake, idx AS x, arg_min(idx, (round(abs(point - lon), 9), idx)) OVER (PARTITION BY lake) AS sx, count(*) OVER (PARTITION BY lake) AS n FROM lakes, ax WHERE hi > lon - 9 AND lo < lon + 9),
+ys AS (SELECT lake, idx AS y, arg_min(idx, (round(abs(point - lat), 9), idx)) OVER (PARTITION BY lake) AS sy, count(*) OVER (PARTITION BY lake) AS n FROM lakes, ay, dims WHERE hi > lat - 540.0::DOUBLE / ny AND lo < lat + 540.0::DOUBLE / ny),
+xs AS (SELECT lake, idx AS x, arg_min(idx, (round(abs(point - lon), 9), idx)) OVER (PARTITION BY lake) AS sx, count(*) OVER (PARTITION BY lake) AS n FROM lakes, ax, dims WHERE hi > lon - 1080.0::DOUBLE / nx AND lo < lon + 1080.0::DOUBLE / nx),
 part AS (SELECT lake, r.y, r.x, code, sy, sx FROM raster r JOIN ys USING (y) JOIN xs USING (lake, x) WHERE ys.n > 1 AND xs.n > 1 AND code IN (1, 2)), {OFF4},
 fill AS (SELECT lake, y, x, code FROM part WHERE y = sy AND x = sx UNION
   SELECT p.lake, p.y, p.x, p.code FROM fill f, off JOIN part p ON p.lake = f.lake AND p.y = f.y + dy AND p.x = f.x + dx AND p.code = f.code)
@@ -93,12 +93,17 @@ SELECT y, x, CASE WHEN (y, x) IN (SELECT (y, x) FROM fill) THEN 9 ELSE code END
 )
 def fill_lakes(spark, sf):
     g = grid(spark, sf)
+    return rg.fill_lakes(raster(spark, sf, g).select("y", "x", "code"), lakes(spark, sf, g), *axes(spark, g), g.nx, [1, 2], 9)
+
+
+def lakes(spark, sf, g):
+    """One lake per customer with a box three cells wide to each side."""
     lat, lon = (F.col("c_acctbal") - 4500) / 62, (F.col("c_custkey") % 350 - 175).cast("double") + 0.3
-    lakes = read(spark, sf, "customer").select(
-        F.col("c_custkey").alias("lake"), lat.alias("lat"), lon.alias("lon"), (lat - 9).alias("lat_min"), (lat + 9).alias("lat_max"),
-        (lon - 9).alias("lon_min"), (lon + 9).alias("lon_max"),
+    dy, dx = 540.0 / g.ny, 1080.0 / g.nx
+    return read(spark, sf, "customer").select(
+        F.col("c_custkey").alias("lake"), lat.alias("lat"), lon.alias("lon"), (lat - dy).alias("lat_min"), (lat + dy).alias("lat_max"),
+        (lon - dx).alias("lon_min"), (lon + dx).alias("lon_max"),
     )
-    return rg.fill_lakes(raster(spark, sf, g).select("y", "x", "code"), lakes, *axes(spark, g), g.nx, [1, 2], 9)
 
 
 RUNOFF = f"""{RASTER}, {OFF8}, n AS (SELECT CAST(y AS BIGINT) * nx + x AS cell, y, x, price / 1e6 AS r, nx, ny FROM raster
@@ -157,8 +162,7 @@ SELECT round(0.25 / avg(d), 8) AS scaling FROM (SELECT lead(lon) OVER (ORDER BY
 def grid_scaling(spark, sf):
     g = grid(spark, sf)
     lon = raster(spark, sf, g).select("y", "x", ((F.col("x") * 360.0 / g.nx + F.col("y") * 3) % 360).alias("lon"))
-    scaling = rv.grid_scaling(lon, g.ny, g.nx)
-    return read(spark, sf, "region").agg(F.lit(round(scaling, 8)).alias("scaling"))
+    return rv.grid_scaling(lon, g.ny, g.nx).select(F.round("scaling", 8).alias("scaling"))
 
 
 @query(
@@ -262,3 +266,14 @@ def link_mouths(spark, sf):
     o = ocean(spark, sf, g)
     num = rv.number_rivers(rv.runoff_regions(runoff(spark, sf, g), g.ny, g.nx), max_rivers=None)
     return rv.link_mouths(mouths(spark, sf), o, o.select("y", "x", "sea"), materialise(num.select("y", "x", "river")), 0.15, g.ny, g.nx)[0]
+
+
+@query(
+    "fn10_neighbour_step",
+    f"""WITH {RASTER}, d AS (SELECT y, x, 1 + cust % 9 AS dir, nx, ny FROM raster)
+SELECT y, x, dir, CASE WHEN dir < 9 THEN CAST(least(greatest(y + CASE WHEN dir IN (1, 2, 8) THEN 1 WHEN dir IN (4, 5, 6) THEN -1 ELSE 0 END, 0), ny - 1) AS INT) END AS to_y,
+  CASE WHEN dir < 9 THEN CAST((x + CASE WHEN dir IN (2, 3, 4) THEN 1 WHEN dir IN (6, 7, 8) THEN -1 ELSE 0 END + nx) % nx AS INT) END AS to_x FROM d""",
+)
+def neighbour_step(spark, sf):
+    g = grid(spark, sf)
+    return rv.shift(raster(spark, sf, g).select("y", "x", (1 + F.col("cust") % 9).alias("dir")), "dir", g.ny, g.nx)

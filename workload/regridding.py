@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridloom.functions import projection
-from gridloom.functions.columns import cell_area, isclose, wrap_lon
-from gridloom.operators import regrid
+from gridloom.operators import curved, regrid
 from gridloom.sources import axes as ax
 from workload.fixtures import (
-    AXES, LEVELS, MONTH_AXES, MONTHLY, RASTER, axes, axis_sql, grid, month_axes, monthly, raster, read,
+    AXES, MONTH_AXES, MONTHLY, RASTER, axes, axis_sql, grid, month_axes, monthly, raster,
 )
 from workload.registry import query
 
@@ -251,3 +250,16 @@ def same_grid(spark, sf):
     )
     found = ax.guess_bounds(found).withColumn("axis", F.lit("y"))
     return regrid.same_grid(found, axes(spark, g)[0].withColumn("axis", F.lit("y")))
+
+
+@query("fn6_curved_weights")
+def curved_weights(spark, sf):
+    """Cells of a grid with a displaced pole, regridded to a regular target by clipped great-circle polygons."""
+    g = grid(spark, sf)
+    cells = curved.corners_from_axes(*axes(spark, g), g.ny, g.nx)
+    corners = F.zip_with("lats", "lons", lambda a, o: F.struct(*[c.alias(n) for c, n in zip(projection.from_rotated(a, o, 37.5, 177.5), ("a", "o"))]))
+    cells = cells.select("cell", corners.alias("c")).selectExpr("cell", "transform(c, p -> p.a) AS lats", "transform(c, p -> p.o) AS lons")
+    w = curved.curved_weights(cells, curved.corners_from_axes(*odd_axes(spark), 17, 31))
+    r = raster(spark, sf, g).select((F.col("y").cast("long") * g.nx + F.col("x")).alias("src_cell"), "price")
+    out = regrid.apply_weights(r, w, value="price", normalise=True, digits=3)
+    return out.select(F.col("tgt_cell").alias("cell"), F.col("price").alias("value"))

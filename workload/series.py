@@ -248,12 +248,14 @@ def mesh_corners(spark, sf):
     return ms.face_corners(faces, nodes)
 
 
-@query("sk7_mesh_consistency", """SELECT l_linenumber AS field_id, CASE WHEN l_linenumber > 5 THEN 'same' ELSE 'n' || l_linenumber END AS name, 10 AS faces, l_linenumber <= 5 AS unique_name, true AS same_topology FROM (SELECT DISTINCT l_linenumber FROM lineitem)""")
+@query("sk7_mesh_consistency", """SELECT k AS field_id, CASE WHEN k > 0 THEN 'same' ELSE 'own' END AS name, (SELECT count(*) FROM orders) AS faces, k = 0 AS unique_name, false AS same_topology FROM (SELECT unnest([0, 1, 2])::INT AS k)""")
 def mesh_consistency(spark, sf):
-    names = read(spark, sf, "lineitem").select(F.col("l_linenumber").alias("field_id")).distinct()
-    f = names.withColumn("name", F.when(F.col("field_id") > 5, "same").otherwise(F.concat(F.lit("n"), F.col("field_id").cast("string"))))
-    f = f.withColumn("face_id", F.explode(F.sequence(F.lit(1), F.lit(10)))).withColumn("lat", F.col("face_id") * 2.0).withColumn("lon", F.col("face_id") * 3.0)
-    return wr.mesh_fields_consistent(f).withColumn("faces", F.col("faces").cast("int"))
+    f = read(spark, sf, "orders").withColumn("field_id", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    f = f.select(
+        "field_id", F.when(F.col("field_id") > 0, "same").otherwise("own").alias("name"), F.col("o_orderkey").alias("face_id"),
+        (F.col("o_totalprice") % 180 - 90).alias("lat"), (F.col("o_totalprice") % 360 + F.when(F.col("field_id") == 2, 1.0).otherwise(0.0)).alias("lon"),
+    )
+    return wr.mesh_fields_consistent(f)
 
 
 @query("fn1_radiation_series", f"""WITH {GASES}, s AS (SELECT gas, CAST(floor(1850 + days / 365) AS INT) AS year, value * CASE gas WHEN 'CO2' THEN 1.5188e-6 WHEN 'CH4' THEN 0.5523e-9 WHEN 'N2O' THEN 1.5188e-9 WHEN 'CFC12' THEN 4.1783e-12 ELSE 3.5219e-12 END AS v FROM (SELECT * REPLACE (days + 365 * 22 AS days) FROM gases) WHERE sector = 0),
