@@ -9,15 +9,15 @@ from gridloom.operators import rivers as rv
 from gridloom.plans import jobs
 from gridloom.session import materialise
 from gridloom.sources import axes as ax
-from workload.classes import WALK_SQL, fractions, walk
+from workload.classes import FRACTIONS, WALK_SQL, fractions, walk
 from workload.fixtures import (
     AXES, GASES, MONTH_AXES, MONTHLY, RASTER, RECORDS, axes, axis_sql, gases, grid, levels, month_axes, monthly, raster, read, records,
 )
-from workload.regions import lakes, mouths, ocean
+from workload.regions import OFF8, REACH, lakes, mouths, ocean
 from workload.registry import query
 from workload.regridding import HALF, ODD, coarse_axes, odd_axes, overlap_sql
-from workload.series import WIDE, WIDE_SQL, YM, named_gases, with_months
-from workload.surfaces import CHORD, DENSE, FILL_SQL, dense, outlines
+from workload.series import SEG, WIDE, WIDE_SQL, YM, named_gases, with_months
+from workload.surfaces import CHORD, FILL_SQL, INSIDE_SQL, outlines
 
 
 @query(
@@ -54,8 +54,14 @@ def general_regrid_filled(spark, sf):
     return jobs.general_regrid(r, axes(spark, g), tgt, mask=mask, invert=True).withColumn("value", F.round("value", 5))
 
 
+LEVEL_T = SEG.replace("(0, 90.0::DOUBLE), (1, 205.5::DOUBLE), (2, 380.0::DOUBLE), (3, 777.0::DOUBLE)", "(0, 150.0::DOUBLE), (1, 320.0::DOUBLE), (2, 610.0::DOUBLE)")
+
+
 @query(
     "jb1_general_regrid_levels",
+    f"""WITH {RASTER}, {LEVEL_T}, {AXES}, {HALF}, {overlap_sql('wx', 'ax', 'hx', False)}, {overlap_sql('wy', 'ay', 'hy', True)},
+lv AS (SELECT y, x, level AS z, CASE WHEN hp IS NULL AND z < h THEN v WHEN h1 IS NULL OR z = h THEN v ELSE v + (z - h) / (h1 - h) * (v1 - v) END AS v FROM hit)
+SELECT z, y, x, round(v, 5) AS value FROM (SELECT lv.z, wy.t AS y, wx.t AS x, sum(v * wx.w * wy.w) / sum(wx.w * wy.w) AS v FROM lv JOIN wx ON wx.s = lv.x JOIN wy ON wy.s = lv.y GROUP BY ALL)""",
 )
 def general_regrid_levels(spark, sf):
     g = grid(spark, sf)
@@ -79,7 +85,14 @@ def fill_and_merge(spark, sf):
     return jobs.fill_and_merge(primary, alternate, axes(spark, g), mask=r.select("y", "x", "land"), invert=True)
 
 
-@query("jb2_fill_and_merge_outline")
+@query(
+    "jb2_fill_and_merge_outline",
+    f"""WITH {INSIDE_SQL}, p AS (SELECT r.y, r.x, r.land, CAST(r.y AS BIGINT) * nx + r.x AS cell, cos(radians(ay.point)) * cos(radians(ax.point)) AS px,
+    cos(radians(ay.point)) * sin(radians(ax.point)) AS py, sin(radians(ay.point)) AS pz, CASE WHEN inside THEN value ELSE -price END AS value
+  FROM raster r JOIN ins ON ins.y = r.y AND ins.x = r.x JOIN ay ON ay.idx = r.y JOIN ax ON ax.idx = r.x),
+best AS (SELECT m.cell, arg_min(v.value, ({CHORD}, v.cell)) AS value FROM p m, p v WHERE m.value IS NULL AND m.land = 1 AND v.value IS NOT NULL GROUP BY m.cell)
+SELECT y, x, CASE WHEN land = 1 THEN coalesce(p.value, b.value) END AS value FROM p LEFT JOIN best b ON b.cell = p.cell""",
+)
 def fill_and_merge_outline(spark, sf):
     g = grid(spark, sf)
     r = raster(spark, sf, g)
@@ -93,21 +106,55 @@ def land_cover(spark, sf):
     return jobs.land_cover(raster(spark, sf, g).select("y", "x", "code"), axes(spark, g), coarse_axes(spark, g), walk(spark))
 
 
-@query("jb3_land_cover_fractions")
+COVER = f"""{RASTER}, {AXES}, {HALF}, {WALK_SQL}, {overlap_sql('wx', 'ax', 'hx', False)}, {overlap_sql('wy', 'ay', 'hy', True)},
+raw AS (SELECT wy.t AS y, wx.t AS x, target_type AS pl, sum(pct * wx.w * wy.w) / sum(wx.w * wy.w) / 100 AS c FROM raster r JOIN wx ON wx.s = r.x JOIN wy ON wy.s = r.y JOIN walk USING (code) GROUP BY ALL),
+one AS (SELECT y, x, pl, c / sum(c) OVER (PARTITION BY y, x) AS v FROM raw),
+icy AS (SELECT *, max(v) FILTER (pl = 9) OVER (PARTITION BY y, x) AS ice FROM one),
+cut AS (SELECT y, x, pl, CASE WHEN ice >= 0.5 THEN CASE WHEN pl = 9 THEN 1.0 ELSE 0 END WHEN pl = 9 THEN 0 ELSE v END AS c FROM icy),
+two AS (SELECT y, x, pl, c / sum(c) OVER (PARTITION BY y, x) AS v FROM cut),
+i AS (SELECT y, x, (SELECT count(*) FROM hx) AS nx, v AS ice, CAST(y AS BIGINT) * (SELECT count(*) FROM hx) + x AS cell FROM two WHERE pl = 9),
+core AS (SELECT a.cell FROM i a JOIN i b ON b.y BETWEEN a.y - 2 AND a.y + 2 AND (b.x - a.x + 2 + a.nx) % a.nx <= 4 GROUP BY a.cell HAVING count_if(b.ice = 1) = count(*)),
+c AS (SELECT * FROM i WHERE ice = 1), {OFF8},
+links AS (SELECT a.cell AS a, b.cell AS b FROM c a, off JOIN c b ON b.y = a.y + dy AND b.x = (a.x + dx + a.nx) % a.nx), {REACH},
+lost AS (SELECT y, x FROM i WHERE ice > 0 AND cell NOT IN (SELECT cell FROM lab WHERE region IN (SELECT region FROM lab JOIN core USING (cell)))),
+three AS (SELECT y, x, pl, CASE WHEN (y, x) IN (SELECT (y, x) FROM lost) THEN CASE pl WHEN 9 THEN 0 WHEN 8 THEN 1 ELSE v END ELSE v END AS v FROM two),
+sea AS (SELECT *, max(v) FILTER (pl = 0) OVER (PARTITION BY y, x) AS sea FROM three),
+dry AS (SELECT *, CASE WHEN sea < 0.5 AND pl = 0 THEN 0 ELSE v END AS d FROM sea),
+four AS (SELECT y, x, pl, sea, CASE WHEN sum(d) OVER (PARTITION BY y, x) = 0 THEN d ELSE d / sum(d) OVER (PARTITION BY y, x) END AS v FROM dry)"""
+
+
+@query("jb3_land_cover_fractions", f"WITH RECURSIVE {COVER} SELECT y, x, pl, round(CASE WHEN sea < 0.5 THEN v END, 8) AS value FROM four WHERE pl > 0")
 def land_cover_fractions(spark, sf):
-    return land_cover(spark, sf)[0].withColumn("value", F.round("value", 9))
+    return land_cover(spark, sf)[0].withColumn("value", F.round("value", 8))
 
 
 LCF = f"""{RASTER}, {AXES}, {HALF}, {WALK_SQL}, {overlap_sql('wx', 'ax', 'hx', False)}, {overlap_sql('wy', 'ay', 'hy', True)},
 c AS (SELECT wy.t AS y, wx.t AS x, target_type AS pl, sum(pct * wx.w * wy.w) AS c FROM raster r JOIN wx ON wx.s = r.x JOIN wy ON wy.s = r.y JOIN walk USING (code) GROUP BY ALL)"""
 
 
+@query("jb3_land_mask", f"WITH RECURSIVE {COVER} SELECT y, x, CASE WHEN sea < 0.5 THEN 1 ELSE 0 END AS land FROM four WHERE pl = 0")
+def land_cover_mask(spark, sf):
+    return land_cover(spark, sf)[1]
+
+
 @query("jb3_land_fraction", f"WITH {LCF} SELECT y, x, round(1 - sum(c) FILTER (pl = 0) / sum(c), 8) AS value FROM c GROUP BY y, x")
 def land_fraction(spark, sf):
     return land_cover(spark, sf)[2].withColumn("value", F.round("value", 8))
 
 
-@query("jb4_c4_injection")
+@query(
+    "jb4_c4_injection",
+    f"""WITH {FRACTIONS}, {AXES}, {MONTH_AXES}, {overlap_sql('wx', 'mx', 'ax', False)}, {overlap_sql('wy', 'my', 'ay', True)},
+s AS (SELECT CAST(l_partkey % 36 AS INT) AS y, CAST(l_orderkey % 72 AS INT) AS x, avg(l_quantity) AS v FROM lineitem GROUP BY ALL),
+g AS (SELECT wy.t AS y, wx.t AS x, sum(v * wx.w * wy.w) / sum(wx.w * wy.w) AS v FROM s JOIN wx ON wx.s = s.x JOIN wy ON wy.s = s.y GROUP BY ALL),
+p AS (SELECT ay.idx AS y, ax.idx AS x, g.v AS value, CAST(ay.idx AS BIGINT) * nx + ax.idx AS cell, cos(radians(ay.point)) * cos(radians(ax.point)) AS px,
+  cos(radians(ay.point)) * sin(radians(ax.point)) AS py, sin(radians(ay.point)) AS pz FROM ay JOIN ax ON true JOIN dims ON true LEFT JOIN g ON g.y = ay.idx AND g.x = ax.idx),
+best AS (SELECT m.cell, arg_min(v.value, ({CHORD}, v.cell)) AS value FROM p m, p v WHERE m.value IS NULL AND v.value IS NOT NULL GROUP BY m.cell),
+c4 AS (SELECT y, x, coalesce(p.value, b.value) / 100 AS c FROM p LEFT JOIN best b ON b.cell = p.cell),
+f AS (SELECT * FROM fr WHERE pl <> 4), m AS (SELECT f.y, f.x, value AS c3, least(c, value) AS moved FROM f JOIN c4 ON c4.y = f.y AND c4.x = f.x WHERE pl = 3)
+SELECT f.y, f.x, pl, round(CASE WHEN pl = 3 THEN c3 - moved ELSE value END, 7) AS value FROM f LEFT JOIN m ON m.y = f.y AND m.x = f.x
+UNION ALL SELECT y, x, 4, round(moved, 7) FROM m""",
+)
 def c4_injection(spark, sf):
     f = materialise(fractions(spark, sf).filter("pl <> 4"))
     f = f.unionByName(f.filter("pl = 3").withColumn("pl", F.lit(4)).withColumn("value", F.lit(0.0)))
@@ -229,7 +276,18 @@ def prepare_storage_records(spark, sf):
     return jobs.prepare_river_records(r, ["file"], 1, 3, storage=True)
 
 
-@query("jb14_topographic_index")
+@query(
+    "jb14_topographic_index",
+    f"""WITH {RASTER}, {AXES}, {HALF}, {overlap_sql('wx', 'ax', 'hx', False)}, {overlap_sql('wy', 'ay', 'hy', True)},
+sums AS (SELECT wy.t AS y, wx.t AS x, sum(value * wx.w * wy.w) AS a, sum(value * value * wx.w * wy.w) AS b, sum(CASE WHEN value IS NOT NULL THEN wx.w * wy.w END) AS w
+  FROM raster r JOIN wx ON wx.s = r.x JOIN wy ON wy.s = r.y WHERE code <> 1 GROUP BY ALL),
+p AS (SELECT hy.idx AS y, hx.idx AS x, a / w AS value, sqrt(abs(b / w - (a / w) * (a / w))) AS stdev, (hy.idx + hx.idx) % 11 = 0 AS gone, (hy.idx + hx.idx) % 11 <> 0 AND hy.idx % 6 = 0 AS ice,
+  hy.idx::BIGINT * (SELECT count(*) FROM hx) + hx.idx AS cell, cos(radians(hy.point)) * cos(radians(hx.point)) AS px, cos(radians(hy.point)) * sin(radians(hx.point)) AS py, sin(radians(hy.point)) AS pz
+  FROM hy JOIN hx ON true LEFT JOIN sums s ON s.y = hy.idx AND s.x = hx.idx),
+best AS (SELECT m.cell, arg_min(v.cell, ({CHORD}, v.cell)) AS src FROM p m, p v WHERE m.value IS NULL AND NOT m.gone AND NOT m.ice AND v.value IS NOT NULL GROUP BY m.cell)
+SELECT p.y, p.x, round(CASE WHEN p.ice THEN 0 WHEN NOT p.gone THEN coalesce(p.value, d.value) END, 5) AS value, round(CASE WHEN p.ice THEN 0 WHEN NOT p.gone THEN coalesce(p.stdev, d.stdev) END, 4) AS stdev
+FROM p LEFT JOIN best b ON b.cell = p.cell LEFT JOIN p d ON d.cell = b.src""",
+)
 def topographic_index(spark, sf):
     g = grid(spark, sf)
     index = raster(spark, sf, g).filter("code <> 1").select("y", "x", "value")
@@ -253,7 +311,21 @@ def convert_records(spark, sf):
     return out.select("file", "seq", "proc", "pos")
 
 
-@query("jb17_radiation_listing")
+@query(
+    "jb17_radiation_listing",
+    f"""WITH {GASES}, q AS (SELECT gas, CAST(floor(1850 + days / 365) AS INT) AS year, value * f * u AS v FROM (SELECT * REPLACE (days + 365 * 22 AS days) FROM gases)
+  JOIN (VALUES ('CO2', 1.5188::DOUBLE, 1e-6::DOUBLE), ('CH4', 0.5523::DOUBLE, 1e-9::DOUBLE), ('N2O', 1.5188::DOUBLE, 1e-9::DOUBLE), ('CFC12', 4.1783::DOUBLE, 1e-12::DOUBLE), ('HFC134A', 3.5219::DOUBLE, 1e-12::DOUBLE)) k(g, f, u) ON g = gas WHERE sector = 0),
+w AS (SELECT *, lag(v) OVER w AS u, lead(v) OVER w AS n FROM q WINDOW w AS (PARTITION BY gas ORDER BY year)),
+s AS (SELECT * FROM (SELECT gas, year, coalesce(0.5::DOUBLE * (u + v), v) AS value FROM w UNION ALL SELECT gas, year + 1, v + 0.5::DOUBLE * (v - u) FROM w WHERE n IS NULL) WHERE year BETWEEN 2017 AND 2024),
+n AS (SELECT *, row_number() OVER (PARTITION BY gas ORDER BY year) AS rn, count(*) OVER (PARTITION BY gas) AS n FROM s),
+t AS (SELECT 'levls' AS section, gas, CAST((rn - 1) // 6 AS INT) AS line, string_agg(printf('%.4e', value), ',' ORDER BY rn) || CASE WHEN max(rn) < max(n) THEN ',' ELSE '' END AS x FROM n GROUP BY ALL
+  UNION ALL SELECT 'years', gas, CAST((rn - 1) // 12 AS INT), string_agg(CAST(year AS VARCHAR), ',' ORDER BY rn) || CASE WHEN max(rn) < max(n) THEN ',' ELSE '' END FROM n GROUP BY gas, (rn - 1) // 12),
+c AS (SELECT gas, count(*) AS n FROM s GROUP BY gas), i AS (SELECT max(n) AS n, g FROM c, (SELECT unnest(['CFC11', 'SO4']) AS g) GROUP BY g)
+SELECT section, gas, line, CASE WHEN line = 0 THEN 'clim_fcg_' || section || '_' || lower(gas) || '=' ELSE '    =' END || x AS text FROM t
+UNION ALL SELECT 'nyears', gas, 0, 'clim_fcg_nyears_' || lower(gas) || '=' || n FROM c UNION ALL SELECT 'rates', gas, 0, 'clim_fcg_rates_' || lower(gas) || '=' || n || '*-32768.0' FROM c
+UNION ALL SELECT 'levls', g, 0, 'clim_fcg_levls_' || lower(g) || '=' || n || '*-32768.0' FROM i UNION ALL SELECT 'nyears', g, 0, 'clim_fcg_nyears_' || lower(g) || '=0' FROM i
+UNION ALL SELECT 'rates', g, 0, 'clim_fcg_rates_' || lower(g) || '=' || n || '*-32768.0' FROM i UNION ALL SELECT 'years', g, 0, 'clim_fcg_years_' || lower(g) || '=' || n || '*-32768' FROM i""",
+)
 def radiation_listing(spark, sf):
     g = gases(spark, sf).withColumn("days", F.col("days") + 365 * 22)
     return jobs.radiation_listing(g, "scenario", 2017, 2024, ["CFC11", "SO4"])
