@@ -227,7 +227,22 @@ def split_zonal_column(spark, sf):
     return regrid.split_column(z)
 
 
-@query("jn2_two_stage_rotated")
+@query(
+    "jn2_two_stage_rotated",
+    f"""WITH {RASTER}, {axis_sql('ty', 12, -30.0, '5.0::DOUBLE')}, {axis_sql('tx', 16, -40.0, '5.0::DOUBLE')},
+vy AS (SELECT CAST(i AS INT) AS idx, -30 + i * (60.0::DOUBLE / ny) AS lo, -30 + (i + 1) * (60.0::DOUBLE / ny) AS hi, radians(-30 + (i + 0.5::DOUBLE) * (60.0::DOUBLE / ny)) AS p FROM dims, range((SELECT ny FROM dims)) r(i)),
+vx AS (SELECT CAST(i AS INT) AS idx, -40 + i * (80.0::DOUBLE / nx) AS lo, -40 + (i + 1) * (80.0::DOUBLE / nx) AS hi, radians(-40 + (i + 0.5::DOUBLE) * (80.0::DOUBLE / nx)) AS p FROM dims, range((SELECT nx FROM dims)) r(i)),
+pt AS (SELECT vy.idx AS y, vx.idx AS x, degrees(asin(sin(vy.p) * sin(th) - cos(vy.p) * cos(vx.p) * cos(th))) AS lat,
+  degrees(atan2(cos(vy.p) * sin(vx.p), cos(vy.p) * cos(vx.p) * sin(th) + sin(vy.p) * cos(th))) + 177.5 AS lon FROM vy, vx, (SELECT radians(37.5::DOUBLE) AS th)),
+f AS (SELECT y, x, nx, ny, (lat + 90 - 90.0::DOUBLE / ny) / (180.0::DOUBLE / ny) AS fy, (lon + 180 - 180.0::DOUBLE / nx - 360 * floor((lon + 180 - 180.0::DOUBLE / nx) / 360)) / (360.0::DOUBLE / nx) AS fx FROM pt, dims),
+k AS (SELECT *, least(greatest(floor(fy), 0), ny - 2) AS iy, floor(fx) AS ix FROM f),
+c AS (SELECT y, x, fy, ny, CAST(iy + j AS INT) AS sy, CAST((ix + i) % nx AS INT) AS sx, CASE j WHEN 1 THEN fy - iy ELSE 1 - (fy - iy) END * CASE i WHEN 1 THEN fx - ix ELSE 1 - (fx - ix) END AS w
+  FROM k, (SELECT unnest([0, 0, 1, 1]) AS j, unnest([0, 1, 0, 1]) AS i)),
+mid AS (SELECT c.y, c.x, CASE WHEN bool_and(fy BETWEEN -1e-10 AND c.ny - 1 + 1e-10) THEN CASE WHEN count(price) = count(*) THEN sum(price * w) END ELSE CAST('NaN' AS DOUBLE) END AS v
+  FROM c LEFT JOIN raster r ON r.y = sy AND r.x = sx WHERE w <> 0 GROUP BY c.y, c.x),
+{overlap_sql('wx', 'vx', 'tx', False)}, {overlap_sql('wy', 'vy', 'ty', True)}
+SELECT y, x, round(v, 5) AS value FROM (SELECT wy.t AS y, wx.t AS x, sum(v * wx.w * wy.w) / sum(CASE WHEN v IS NOT NULL THEN wx.w * wy.w END) AS v FROM mid JOIN wx ON wx.s = mid.x JOIN wy ON wy.s = mid.y GROUP BY ALL)""",
+)
 def two_stage_rotated(spark, sf):
     g = grid(spark, sf)
     r = raster(spark, sf, g).withColumn("value", F.col("price"))
