@@ -393,10 +393,10 @@ def clip(spark, sf):
 @query(
     "fn1_mass_mixing_ratio",
     f"""WITH {GASES}, f AS (SELECT * FROM (VALUES ('CO2', 1.5188, 1e-6), ('CH4', 0.5523, 1e-9), ('N2O', 1.5188, 1e-9), ('CFC12', 4.1783, 1e-12), ('HFC134A', 3.5219, 1e-12)) t(gas, m, u))
-SELECT g.gas, sector, days, round(value * m * u * 1e6, 6) AS mmr FROM gases g JOIN f ON f.gas = g.gas""",
+SELECT g.gas, sector, days, round(value * m * u * 1e6, 5) AS mmr FROM gases g JOIN f ON f.gas = g.gas""",
 )
 def mmr(spark, sf):
-    return gases(spark, sf).select("gas", "sector", "days", F.round(mass_mixing_ratio(F.col("gas"), F.col("value")) * 1e6, 6).alias("mmr"))
+    return gases(spark, sf).select("gas", "sector", "days", F.round(mass_mixing_ratio(F.col("gas"), F.col("value")) * 1e6, 5).alias("mmr"))
 
 
 @query(

@@ -339,10 +339,10 @@ def chemistry_table(spark, sf):
 @query(
     "jb19_nitrogen_deposition",
     f"""WITH s AS (SELECT l_returnflag || l_linestatus AS field_id, CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS month, CAST(l_partkey % 36 AS INT) AS y, CAST(l_orderkey % 72 AS INT) AS x, sum(l_quantity - 20) AS v FROM lineitem GROUP BY ALL),
-tot AS (SELECT year, month, y // 6 AS y, x // 6 AS x, sum(v) AS v FROM s GROUP BY ALL HAVING count(DISTINCT field_id) = 6),
+tot AS (SELECT year, month, y // 18 AS y, x // 24 AS x, sum(v) AS v FROM s GROUP BY ALL HAVING count(DISTINCT field_id) = 6),
 p AS (SELECT year, month, y, x, v FROM tot WHERE year BETWEEN 1996 AND 1999 AND year NOT IN (1996, 1999) UNION ALL SELECT 1996, month, y, x, v FROM tot WHERE year = 1997 UNION ALL SELECT 1999, month, y, x, v FROM tot WHERE year = 1998),
 n AS (SELECT *, CAST((dense_rank() OVER (ORDER BY year, month) - 1) * 30 + 15 AS INT) AS days FROM p),
-{axis_sql('sy', 6, -90.0, '30.0::DOUBLE')}, {axis_sql('sx', 12, -180.0, '30.0::DOUBLE')}, {ODD}, {overlap_sql('wx', 'sx', 'ox', False)}, {overlap_sql('wy', 'sy', 'oy', True)}
+{axis_sql('sy', 2, -90.0, '90.0::DOUBLE')}, {axis_sql('sx', 3, -180.0, '120.0::DOUBLE')}, {ODD}, {overlap_sql('wx', 'sx', 'ox', False)}, {overlap_sql('wy', 'sy', 'oy', True)}
 SELECT CAST(year AS INT) AS year, month, days, y, x, CASE WHEN value < 0 THEN 0 ELSE round(value, 5) END AS value FROM (
   SELECT year, month, days, wy.t AS y, wx.t AS x, sum(v * wx.w * wy.w) / sum(wx.w * wy.w) AS value FROM n JOIN wx ON wx.s = n.x JOIN wy ON wy.s = n.y GROUP BY ALL)""",
 )
@@ -350,8 +350,8 @@ def nitrogen_deposition(spark, sf):
     li = read(spark, sf, "lineitem")
     s = li.groupBy(
         F.concat("l_returnflag", "l_linestatus").alias("field_id"), F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"),
-        F.expr("CAST(l_partkey % 36 AS INT) DIV 6").cast("int").alias("y"), F.expr("CAST(l_orderkey % 72 AS INT) DIV 6").cast("int").alias("x"),
+        F.expr("CAST(l_partkey % 36 AS INT) DIV 18").cast("int").alias("y"), F.expr("CAST(l_orderkey % 72 AS INT) DIV 24").cast("int").alias("x"),
     ).agg(F.sum(F.col("l_quantity") - 20).alias("value"))
-    src = ax.regular_axis(spark, 6, -90.0, 30.0), ax.regular_axis(spark, 12, -180.0, 30.0)
+    src = ax.regular_axis(spark, 2, -90.0, 90.0), ax.regular_axis(spark, 3, -180.0, 120.0)
     out = jobs.nitrogen_deposition(s, src, odd_axes(spark), 1996, 1999, pad=(1997, 1998), n_species=6)
     return out.withColumn("value", F.round("value", 5))

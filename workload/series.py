@@ -260,10 +260,10 @@ def mesh_consistency(spark, sf):
 
 @query("fn1_radiation_series", f"""WITH {GASES}, s AS (SELECT gas, CAST(floor(1850 + days / 365) AS INT) AS year, value * CASE gas WHEN 'CO2' THEN 1.5188e-6 WHEN 'CH4' THEN 0.5523e-9 WHEN 'N2O' THEN 1.5188e-9 WHEN 'CFC12' THEN 4.1783e-12 ELSE 3.5219e-12 END AS v FROM (SELECT * REPLACE (days + 365 * 22 AS days) FROM gases) WHERE sector = 0),
 p AS (SELECT *, lag(v) OVER w AS u, lead(v) OVER w AS n FROM s WINDOW w AS (PARTITION BY gas ORDER BY year))
-SELECT gas, year, round(v * 1e9, 3) AS value FROM (SELECT gas, year, coalesce((u + v) / 2, v) AS v FROM p UNION ALL SELECT gas, year + 1, v + (v - u) / 2 FROM p WHERE n IS NULL) WHERE year BETWEEN 2015 AND 2024""")
+SELECT gas, year, round(v * 1e6, 5) AS value FROM (SELECT gas, year, coalesce((u + v) / 2, v) AS v FROM p UNION ALL SELECT gas, year + 1, v + (v - u) / 2 FROM p WHERE n IS NULL) WHERE year BETWEEN 2015 AND 2024""")
 def radiation_series(spark, sf):
     g = gases(spark, sf).withColumn("days", F.col("days") + 365 * 22)
-    return gs.radiation_series(g, "scenario", 2010, 2024).withColumn("value", F.round(F.col("value") * 1e9, 3))
+    return gs.radiation_series(g, "scenario", 2010, 2024).withColumn("value", F.round(F.col("value") * 1e6, 5))
 
 
 @query("jn20_add_species", """WITH s AS (SELECT l_returnflag || l_linestatus AS sp, l_suppkey AS field_id, CAST(year(l_shipdate) AS INT) AS year, sum(l_quantity) AS v FROM lineitem GROUP BY ALL)
