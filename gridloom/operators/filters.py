@@ -60,7 +60,7 @@ def _system(n: int, eps: np.ndarray, periodic: bool) -> tuple[np.ndarray, np.nda
 
 def filter_lines(data: np.ndarray, eps: np.ndarray, periodic: bool) -> np.ndarray:
     """Filter each line of `data` (lines x n).  Banded elimination runs along the lines, vectorised over them."""
-    m, n = data.shape
+    n = data.shape[1]
     if n < 7:
         raise ValueError("lines of fewer than seven cells cannot be filtered")
     lhs, coef = _system(n, eps, periodic)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import search_distance
 from gridloom.operators.stencil import FLOW_STEPS
-from gridloom.session import global_rank, lookup, materialise, row_count, small
+from gridloom.session import global_rank, lookup, materialise, row_count
 
 SMALL_AMOUNT = 1e-5
 GROWTH = 1.1
@@ -152,9 +152,7 @@ def nearest_ocean_point(mouths: DataFrame, ocean: DataFrame) -> DataFrame:
 def _diamond(starts: DataFrame, cells: DataFrame, ny: int, nx: int, reach: int) -> DataFrame:
     """Pairs (start, cell) within Manhattan distance `reach`; columns wrap.  Tiles of that size meet by equality."""
     size = max(reach, 1)
-    tiles_x = -(-nx // size)
     s = starts.withColumn("_ty", F.explode(F.sequence(F.floor((F.col("sy") - reach) / size), F.floor((F.col("sy") + reach) / size))))
-    lo, hi = F.floor((F.col("sx") - reach) / size), F.floor((F.col("sx") + reach) / size)
     # Columns wrap, and the last tile may be narrower: take every tile the diamond can touch, once.
     tile = F.array_distinct(F.transform(F.sequence(F.col("sx") - reach, F.col("sx") + reach, F.lit(1)), lambda v: F.floor(F.pmod(v, F.lit(nx)) / size)))
     s = s.withColumn("_tx", F.explode(tile))

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from gridloom.sources import axes as ax
 from tests.conftest import rows

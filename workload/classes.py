@@ -7,15 +7,11 @@ from pyspark.sql import functions as F
 from gridloom.functions.columns import nan
 from gridloom.operators import classes as cl
 from gridloom.operators.regrid import nearest
-from gridloom.operators.regions import keep_glacial_ice
-from gridloom.operators.regrid import complete
-from gridloom.sources import axes as ax
 from gridloom.sources import fields as fl
 from gridloom.sources.crosswalk import from_arrays
 from workload.fixtures import AXES, RASTER, TILES, axes, grid, raster, read, tiles
 from workload.registry import query
 from workload.regridding import HALF, ODD, coarse_axes, odd_axes, overlap_sql
-from workload.surfaces import DENSE, dense
 
 #: Shares of part kinds per brand: each brand is a source class, the part's size class a target class.
 SHARES = """shares AS (SELECT l_suppkey AS map, lower('type' || l_partkey % 7) AS source_type, CAST(l_linenumber AS INT) AS target_type,

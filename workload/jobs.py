@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import nan
-from gridloom.operators import rivers as rv
 from gridloom.plans import jobs
 from gridloom.session import materialise
 from gridloom.sources import axes as ax

@@ -11,7 +11,6 @@ from gridloom.sinks.writers import ocean_river_table
 from gridloom.session import materialise
 from workload.fixtures import AXES, RASTER, axes, grid, raster, read
 from workload.registry import query
-from workload.surfaces import DENSE
 
 OFF8 = "off AS (SELECT dy, dx FROM (SELECT unnest([-1, 0, 1]) AS dy), (SELECT unnest([-1, 0, 1]) AS dx) WHERE dy <> 0 OR dx <> 0)"
 OFF4 = "off AS (SELECT unnest([-1, 1, 0, 0]) AS dy, unnest([0, 0, -1, 1]) AS dx)"

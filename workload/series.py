@@ -12,16 +12,13 @@ from gridloom.operators import gases as gs
 from gridloom.operators import tiles as tl
 from gridloom.operators import timeaxis as ta
 from gridloom.operators import vertical as vt
-from gridloom.session import materialise
 from gridloom.sinks import writers as wr
 from gridloom.sources import fields as fl
 from gridloom.sources import mesh as ms
-from gridloom.sources import axes as ax
 from workload.fixtures import (
     GASES, LEVELS, MONTH_AXES, MONTHLY, RASTER, RECORDS, axes, gases, grid, levels, month_axes, monthly, raster, read, records,
 )
 from workload.registry import query
-from workload.surfaces import dense
 
 
 def with_months(spark, sf):
