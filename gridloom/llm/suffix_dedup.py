@@ -19,15 +19,16 @@ blocks divided by the number of ranges, and a block names a rank once, however o
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from gridloom.llm.common import mix, scale
 from gridloom.session import materialise
@@ -223,7 +224,7 @@ def _send(kind: int, key: np.ndarray, more: np.ndarray | None, owner: np.ndarray
 WIDTHS = {SEEN: 6, VARIED: 14, EARLIER: 20}
 
 
-def _answer(kind: int, entries: np.ndarray, block: np.ndarray) -> np.ndarray:
+def _answer(kind: int, entries: np.ndarray) -> np.ndarray:
     """A bit per entry of one range of ranks: sorted, then compared with the neighbours."""
     if kind == SEEN:
         key = _number(entries)
@@ -316,7 +317,7 @@ def _exchange(blocks: DataFrame, replies: DataFrame | None, round: int, threshol
         entries = [np.frombuffer(e, np.uint8).reshape(-1, WIDTHS[kind]) for _, e in held]
         sizes = np.array([len(e) for e in entries])
         ends = np.cumsum(sizes)
-        hit = _answer(kind, np.concatenate(entries), np.repeat(np.arange(len(held)), sizes))
+        hit = _answer(kind, np.concatenate(entries))
         bits = [np.packbits(hit[e - n:e]).tobytes() for n, e in zip(sizes, ends)]
         some = [i for i, x in enumerate(bits) if any(x)]
         return pa.RecordBatch.from_arrays([
@@ -393,5 +394,12 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", thre
     return out.select(F.col(id).cast(docs.schema[id].dataType).alias(id), F.col(text).cast("string").alias(text), *others, *new)
 
 
-def sha256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+@F.pandas_udf(StringType())
+def _decode(kept: pd.Series) -> pd.Series:
+    return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"), na_action="ignore")
+
+
+def text_of(kept: str) -> Column:
+    """What is left as text; a character of which only a part is left is dropped."""
+    whole = F.col(kept).cast("string")
+    return F.when(F.is_valid_utf8(whole), whole).otherwise(_decode(F.col(kept)))
