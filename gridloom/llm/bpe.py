@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,10 +25,10 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import slices
 
 #: Bytes of text whose distinct words are indexed together.
-STRETCH_BYTES = 16 << 20
-#: Distinct chunks a partition remembers between stretches.
-REMEMBER = 1 << 20
-_BLANKS = str.maketrans("\t\n\v\f\r", "     ")
+STRETCH_BYTES = 4 << 20
+#: Distinct chunks a partition remembers between stretches, and tokens that are decoded together.
+REMEMBER = 1 << 18
+DECODE_TOKENS = 1 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -152,15 +153,13 @@ class Stretch:
         self.pool, self.start = np.empty(0, np.int64), np.zeros(1, np.int64)
 
     def learn(self, chunks: set[str]) -> None:
-        bpe, place, words, parts = self.bpe, {}, [], []
-
-        def word(w: str) -> int:
-            if w not in place:
-                place[w] = len(words)
-                words.append(w)
-            return place[w]
-
+        bpe, parts = self.bpe, []
+        place: dict[str, int] = {}
+        number, find = place.setdefault, bpe.words
         for chunk in chunks:
+            if chunk.isascii() and "<|" not in chunk:
+                parts.append([number(w, len(place)) for w in find(chunk.lower())])
+                continue
             found: list[int] = []
             for piece in bpe.cut.split(chunk) if "<|" in chunk else (chunk,):
                 if piece in bpe.special:
@@ -168,8 +167,9 @@ class Stretch:
                     continue
                 # Letter by letter: the capital sigma has one lower case wherever it stands.
                 plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
-                found.extend(map(word, bpe.words(plain)))
+                found += [number(w, len(place)) for w in find(plain)]
             parts.append(found)
+        words = list(place)
         ids, start = bpe.encode_words(words) if words else (np.empty(0, np.int64), np.zeros(1, np.int64))
         flat = np.array([w for p in parts for w in p], np.int64)
         special = flat < 0
@@ -189,17 +189,26 @@ class Stretch:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's begin (one more for the end)."""
-        split = [t.translate(_BLANKS).split(" ") if t else [] for t in texts]
+        def chunks(t: str | None) -> list[str]:
+            if not t:
+                return []
+            for blank in "\n\t\r\v\f":
+                t = t.replace(blank, " ")
+            return t.split(" ")
+
         if len(self.number) > REMEMBER:
             self.forget()
         fresh: set[str] = set()
-        for chunks in split:
-            fresh.update(chunks)
+        for t in texts:
+            fresh.update(chunks(t))
         fresh.difference_update(self.number)
         if fresh:
             self.learn(fresh)
-        count = np.array([len(c) for c in split], np.int64)
-        which = np.fromiter((n for chunks in split for n in map(self.number.__getitem__, chunks)), np.int64, int(count.sum()))
+        parts = [np.empty(0, np.int64)]
+        for t in texts:
+            split = chunks(t)
+            parts.append(np.fromiter(map(self.number.__getitem__, split), np.int64, len(split)))
+        count, which = np.array([len(p) for p in parts[1:]], np.int64), np.concatenate(parts)
         size = self.start[which + 1] - self.start[which]
         ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])]
         return spread(self.pool, self.start[which], size), ends
@@ -235,9 +244,18 @@ def decode(rows: DataFrame, document: str, id: str = "doc_id", ids: str = "ids")
     token = WordBpe(document).token
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [None if v is None else " ".join([token[i] for i in v]) for v in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["id", "ids", "decoded"])
+        names = pa.array(token, pa.large_string())
+        for whole in batches:
+            size = np.array([0 if n is None else n for n in pc.list_value_length(whole.column(1)).to_pylist()], np.int64)
+            part = np.cumsum(size) // DECODE_TOKENS
+            edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), whole.num_rows]
+            for lo, hi in zip(edges, edges[1:]):
+                batch = whole.slice(lo, hi - lo)
+                ends = pa.array(np.concatenate([[0], np.cumsum(size[lo:hi])]))
+                words = pa.LargeListArray.from_arrays(ends, names.take(batch.column(1).flatten()))
+                joined = pc.binary_join(words, " ").cast(pa.string())
+                texts = pc.if_else(batch.column(1).is_valid(), joined, pa.scalar(None, pa.string()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], ["id", "ids", "decoded"])
 
     kind = rows.schema[id].dataType.simpleString()
     out = rows.select(F.col(id).alias("id"), F.col(ids).alias("ids")).mapInArrow(run, f"id {kind}, ids array<int>, decoded string")

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 #: Rows that Spark hands to Python go on in slices of about this many bytes, so memory does not follow the length of texts.
@@ -22,7 +23,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.array([0 if v is None else v for v in pa.compute.binary_length(batch.column(column)).to_pylist()], np.int64)
+        sizes = np.array([0 if v is None else v for v in pc.binary_length(batch.column(column)).to_pylist()], np.int64)
         part = (np.cumsum(sizes) - sizes) // limit
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for lo, hi in zip(edges, edges[1:]):

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -182,7 +183,7 @@ def digests(rows: DataFrame, texts: dict[str, str], rank: np.ndarray, pairs: dic
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            sizes = sum(np.array([v or 0 for v in pa.compute.binary_length(whole.column(k)).to_pylist()], np.int64) for k in range(len(texts)))
+            sizes = sum(np.array([v or 0 for v in pc.binary_length(whole.column(k)).to_pylist()], np.int64) for k in range(len(texts)))
             part = np.cumsum(sizes) // BLOCK_BYTES
             edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), whole.num_rows]
             for lo, hi in zip(edges, edges[1:]):

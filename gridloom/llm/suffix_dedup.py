@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -265,7 +266,7 @@ def pack_blocks(docs: DataFrame, id: str, text: str, others: list[str]) -> DataF
 
         for batch in batches:
             batch = batch.set_column(1, "text", batch.column(1).cast(pa.large_binary()))
-            sizes = np.asarray(pa.compute.binary_length(batch.column(1)).fill_null(0))
+            sizes = np.asarray(pc.binary_length(batch.column(1)).fill_null(0))
             lo = 0
             for i, n in enumerate(sizes.tolist()):
                 size += n + 64
