@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.operators.regrid import area_shares
 from gridloom.session import lookup
 
 CELL = ["y", "x"]
@@ -151,13 +152,16 @@ def transform_classes(
     cells: DataFrame, crosswalk: DataFrame, grids: tuple | None = None, period: float | None = 360.0,
 ) -> DataFrame:
     """Class codes to fractions per target class, on a target grid if `grids` = (src_y, src_x, tgt_y, tgt_x) is given."""
-    from gridloom.operators.regrid import area_weighted
-
     folds = fold_whole_classes(crosswalk)
     kept = crosswalk.join(folds.select("code"), "code", "left_anti")
-    f = apply_crosswalk(recode(cells.select("y", "x", "code"), folds), kept)
+    coded = recode(cells.select("y", "x", "code"), folds)
     if grids:
-        f = area_weighted(f, *grids, by=["pl"], period=period)
+        # A target cell meets each code once, however many source cells have it, and only then the ten target classes.
+        f = apply_crosswalk(area_shares(coded, *grids, by=["code"], period=period), kept)
+        mean = F.expr("IF(bool_and(_inside), sum(value * _w) / sum(IF(value IS NOT NULL, _w, NULL)), double('NaN'))")
+        f = f.groupBy("pl", "y", "x").agg(mean.alias("value"))
+    else:
+        f = apply_crosswalk(coded, kept)
     f = normalise(f.withColumn("value", F.col("value") / 100.0))
     if not grids and not crosswalk.filter("pct NOT IN (0, 100)").limit(1).count():
         f = f.withColumn("value", F.col("value").cast("byte"))

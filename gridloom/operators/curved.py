@@ -9,13 +9,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.session import HOT_SHARE, materialise, row_count
+from gridloom.session import HOT_SHARE, materialise, row_count, small
 
 
 def corners_from_axes(axis_y: DataFrame, axis_x: DataFrame, ny: int, nx: int, cell: str = "cell") -> DataFrame:
     """Cells ``(cell, lats, lons)`` with four corners, counter-clockwise, from two axis tables."""
-    from gridloom.session import small
-
     spark = axis_y.sparkSession
     cells = spark.range(ny * nx).selectExpr(f"id AS {cell}", f"CAST(id DIV {nx} AS INT) AS _y", f"CAST(id % {nx} AS INT) AS _x")
     ya = axis_y.selectExpr("idx AS _y", "least(lo, hi) AS _a", "greatest(lo, hi) AS _b")
@@ -53,22 +51,28 @@ def _boxed(cells: DataFrame, cell: str, prefix: str) -> DataFrame:
 
 
 def candidate_pairs(src: DataFrame, tgt: DataFrame, cell: str = "cell") -> DataFrame:
-    """Pairs of cells whose boxes overlap: boxes are cut into cubes and met by equality, each pair in its first cube.
+    """Pairs of cells whose boxes overlap, met by equality in cubes of the larger one's size.
 
-    Cubes that hold more than a thousandth of the source cells are salted.
+    Cubes come in powers of two.  A cell lies in at most eight cubes of its own size class, and is also put into the cubes of the larger
+    classes that the other side has, so there are a few rows per cell whatever the ratio of the two resolutions.  A pair counts in the
+    first cube both share.  Cubes that hold more than a thousandth of the source cells are salted.
     """
     s, t = materialise(_boxed(src, cell, "s")), materialise(_boxed(tgt, cell, "t"))
-    spans = [F.max(F.greatest(*[F.col(f"{p}_h{a}") - F.col(f"{p}_l{a}") for a in "xyz"])).alias("m") for p in "st"]
-    size = max(min(s.agg(spans[0]).first()[0], t.agg(spans[1]).first()[0]), 1e-6)
-
-    def cubed(df: DataFrame, p: str) -> DataFrame:
+    size = "CAST(greatest(ceil(log2(greatest({p}_hx - {p}_lx, {p}_hy - {p}_ly, {p}_hz - {p}_lz, 1e-9D))), -30) AS INT)"
+    classes = {p: sorted(r[0] for r in df.select(F.expr(size.format(p=p))).distinct().collect()) for p, df in (("s", s), ("t", t))}  # some thirty at most
+
+    def cubed(df: DataFrame, p: str, others: list[int]) -> DataFrame:
+        """A row per cube, at the cell's own class and at every larger class of the other side."""
+        larger = f"array({', '.join(map(str, others))})" if others else "CAST(array() AS ARRAY<INT>)"
+        df = df.withColumn("_own", F.expr(size.format(p=p)))
+        df = df.withColumn("level", F.expr(f"explode(array_union(array(_own), filter({larger}, c -> c > _own)))"))
         for a in "xyz":
-            lo, hi = f"CAST(floor({p}_l{a} / {size!r}D) AS INT)", f"CAST(floor({p}_h{a} / {size!r}D) AS INT)"
+            lo, hi = (f"CAST(floor({p}_{e}{a} / pow(2D, level)) AS BIGINT)" for e in "lh")
             df = df.selectExpr("*", f"{lo} AS {p}_f{a}", f"explode(sequence({lo}, {hi})) AS c{a}")
-        return df
+        return df.withColumnRenamed("_own", f"{p}_own")
 
-    cubes = ["cx", "cy", "cz"]
-    sc, tc = cubed(s, "s"), cubed(t, "t")
+    cubes = ["level", "cx", "cy", "cz"]
+    sc, tc = cubed(s, "s", classes["t"]), cubed(t, "t", classes["s"])
     limit = max(row_count(s) // HOT_SHARE, 10_000)
     counts = materialise(sc.groupBy(*cubes).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit))
     salts = 32
@@ -76,16 +80,20 @@ def candidate_pairs(src: DataFrame, tgt: DataFrame, cell: str = "cell") -> DataF
     hot = F.broadcast(counts.select(*cubes, F.lit(salts).alias("_salts"))) if row_count(counts) <= 64 * HOT_SHARE else counts.select(*cubes, F.lit(salts).alias("_salts"))
     sc = sc.join(hot, cubes, "left").withColumn("_salt", F.pmod(F.xxhash64("s"), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
     tc = tc.join(hot, cubes, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
-    j = sc.join(tc, cubes + ["_salt"])
+    j = sc.join(tc, cubes + ["_salt"]).filter("level = greatest(s_own, t_own)")
     for a in "xyz":
         j = j.filter(f"c{a} = greatest(s_f{a}, t_f{a}) AND s_l{a} <= t_h{a} AND t_l{a} <= s_h{a}")
-    return j.select("s", "t", "s_v", "t_v")
+    flat = "flatten(transform({p}_v, q -> array(q.x, q.y, q.z))) AS {p}_v"
+    return j.selectExpr("s", "t", flat.format(p="s"), flat.format(p="t"))
 
 
 def _polygons(column: pd.Series) -> np.ndarray:
-    """Corner arrays as (rows, corners, 3), short cells padded with their last corner, turned counter-clockwise."""
-    widest = max(len(v) for v in column)
-    out = np.array([[(q["x"], q["y"], q["z"]) for q in v] + [(v[-1]["x"], v[-1]["y"], v[-1]["z"])] * (widest - len(v)) for v in column])
+    """Corners given as flat numbers, as (rows, corners, 3); short cells padded with their last corner, turned counter-clockwise."""
+    parts = column.to_list()
+    corners = np.concatenate(parts).reshape(-1, 3)
+    count = np.array([len(p) for p in parts]) // 3
+    first = np.cumsum(count) - count
+    out = corners[first[:, None] + np.minimum(np.arange(count.max())[None, :], count[:, None] - 1)]
     flip = spherical_area(out) < 0
     out[flip] = out[flip][:, ::-1]
     return out

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import math
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.regrid import complete
-from gridloom.session import is_small, lookup, materialise, row_count, small
+from gridloom.session import discard, is_small, lookup, materialise, row_count, small
 from gridloom.sources.axes import facts
 
 #: Distances that agree to this many decimals (unit sphere) are ties; the smaller cell number wins.
 TIE_DIGITS = 9
+#: Rows to either side that are compared one by one.
+NEAR_ROWS = 9
 
 
 def unit_xyz(lat: Column, lon: Column) -> list[Column]:
@@ -31,7 +36,8 @@ def nearest_valid(
 
     Missing = NULL or NaN and `wanted`; valid = neither and not `excluded`.  Along a row the nearest valid cell is the next
     one to the left or to the right, which two running windows find.  Each missing cell then compares those two
-    candidates row by row, over a growing band of rows, until no row further away can be nearer.
+    candidates row by row, over a growing band of rows, until no row further away can be nearer; where the gap is wider than `NEAR_ROWS`,
+    a tree of boxes over the valid cells is searched instead.  The result is a materialised table.
     """
     f_y, f_x = facts(axis_y, axis_x)
     ny, nx = f_y.n, f_x.n
@@ -45,7 +51,7 @@ def nearest_valid(
         .select("y", "x", F.coalesce("_ok", F.lit(False)).alias("_ok"), F.coalesce("_want", F.lit(False)).alias("_want"))
     )
     if not dense.filter("_want").limit(1).count():
-        return dense.limit(0).select("y", "x", F.col("y").alias("src_y"), F.col("x").alias("src_x"))
+        return materialise(dense.limit(0).select("y", "x", F.col("y").alias("src_y"), F.col("x").alias("src_x")))
     if not dense.filter("_ok").limit(1).count():
         raise ValueError("the field has no valid cell to fill from")
     row = Window.partitionBy("y").orderBy("x")
@@ -65,7 +71,7 @@ def nearest_valid(
     nothing = "CAST(NULL AS STRUCT<d: DOUBLE, cell: BIGINT>)"
     open_ = dense.filter("_want").join(lat, "y").join(lon, "x").select("y", "x", "lat", "lon", F.expr(nothing).alias("best"))
     done, inner, radius = [], -1, 1
-    while True:
+    while radius <= NEAR_ROWS or radius >= ny - 1:
         ring = F.filter(F.sequence(F.lit(-radius), F.lit(radius)), lambda d: (F.abs(d) > inner))
         probe = open_.withColumn("_step", F.explode(ring)).withColumn("cy", F.col("y") + F.col("_step"))
         probe = probe.drop("_step").filter(F.col("cy").between(0, ny - 1))
@@ -81,17 +87,27 @@ def nearest_valid(
         beyond = 2 * F.sin(F.radians(F.lit(min((radius + 1) * step, 180.0))) / 2) - 10.0 ** (1 - TIE_DIGITS)
         closed = (F.col("best.d") < beyond) if radius < ny - 1 else F.lit(True)
         state = materialise(state.withColumn("_closed", F.coalesce(closed, F.lit(False))))
-        done.append(state.filter("_closed"))
+        done.append(state)
         open_ = state.filter("NOT _closed").drop("_closed")
-        if not open_.limit(1).count():
+        if radius >= ny - 1 or not open_.limit(1).count():
+            open_ = None
             break
         inner, radius = radius, min(radius * 3, ny - 1)
-    out = done[0]
+    out = done[0].filter("_closed").select("y", "x", F.col("best.cell").alias("cell"))
     for part in done[1:]:
-        out = out.unionByName(part)
-    return out.select(
-        "y", "x", F.expr(f"CAST(best.cell DIV {nx} AS INT)").alias("src_y"), F.expr(f"CAST(best.cell % {nx} AS INT)").alias("src_x")
-    )
+        out = out.unionByName(part.filter("_closed").select("y", "x", F.col("best.cell").alias("cell")))
+    if open_ is not None:
+        # Wide gaps: a descent through boxes of valid cells costs the same however far away they are.
+        number = (F.col("y").cast("long") * nx + F.col("x"))
+        space = [c.alias(n) for c, n in zip(unit_xyz(F.col("lat"), F.col("lon")), ("px", "py", "pz"))]
+        valid = dense.filter("_ok").join(lat, "y").join(lon, "x").select(number.alias("point"), *space)
+        far = nearest_points(open_.select(number.alias("id"), *space), valid)
+        out = out.unionByName(far.select(F.expr(f"CAST(id DIV {nx} AS INT)").alias("y"), F.expr(f"CAST(id % {nx} AS INT)").alias("x"), F.col("point").alias("cell")))
+    found = materialise(out.select(
+        "y", "x", F.expr(f"CAST(cell DIV {nx} AS INT)").alias("src_y"), F.expr(f"CAST(cell % {nx} AS INT)").alias("src_x")
+    ))
+    discard(dense, cand, *done)
+    return found
 
 
 def apply_mapping(cells: DataFrame, mapping: DataFrame, by: list[str] | None = None, value: str = "value") -> DataFrame:
@@ -129,7 +145,7 @@ def fill_missing(
     if search_mask is not None:
         first = first.join(search_mask.select("y", "x", F.col("excluded").alias("_sm")), ["y", "x"], "left")
         excluded = F.coalesce("_sm", F.lit(False))
-    mapping = materialise(nearest_valid(first, axis_y, axis_x, circular, value, wanted, excluded))
+    mapping = nearest_valid(first, axis_y, axis_x, circular, value, wanted, excluded)
     out = apply_mapping(cells, mapping, by, value)
     if target_mask is not None:
         out = out.join(target_mask.select("y", "x", F.col("masked").alias("_tm")), ["y", "x"], "left")
@@ -137,15 +153,31 @@ def fill_missing(
     return out
 
 
+def mask_faults(mask: DataFrame, flag: str = "land") -> tuple[int, int]:
+    """How many cells of a mask are masked, and how many are neither 0 nor 1."""
+    v = F.col(flag)
+    found = mask.agg(F.count(F.when(v.isNull(), 1)).alias("masked"), F.count(F.when(~v.cast("double").isin(0.0, 1.0), 1)).alias("odd")).first()
+    return found["masked"], found["odd"]
+
+
 def make_consistent(
-    cells: DataFrame, mask: DataFrame, axis_y: DataFrame, axis_x: DataFrame, invert: bool = False, circular: bool = True,
+    cells: DataFrame, mask: DataFrame, axis_y: DataFrame | None = None, axis_x: DataFrame | None = None, invert: bool = False, circular: bool = True,
     by: list[str] | None = None, value: str = "value",
 ) -> DataFrame:
     """Fill and mask fields so that they have data exactly where the mask ``(y, x, land)`` wants it.
 
-    Without `invert` a mask value of 1 masks the cell; with it, 0 does (fields that live on land).
+    Without `invert` a mask value of 1 masks the cell; with it, 0 does (fields that live on land).  Fields on a mesh, which have a `face_id`
+    and coordinates of their own, take a mask ``(face_id, land)`` and no axes.  Mask cells that are masked, or neither 0 nor 1, are reported
+    as a warning.
     """
+    masked, odd = mask_faults(mask)
+    if masked:
+        warnings.warn(f"{masked} cells of the land-sea mask are masked, which may give unexpected results", stacklevel=2)
+    if odd:
+        warnings.warn(f"{odd} cells of the land-sea mask are neither 0 nor 1, which may give unexpected results", stacklevel=2)
     flag = (F.col("land") == 0) if invert else (F.col("land") != 0)
+    if "face_id" in cells.columns:
+        return fill_mesh(cells, mask.select("face_id", F.coalesce(flag, F.lit(True)).alias("masked")), by, value)
     target = mask.select("y", "x", F.coalesce(flag, F.lit(True)).alias("masked"))
     return fill_missing(cells, axis_y, axis_x, circular, by, value, target)
 
@@ -153,79 +185,77 @@ def make_consistent(
 # ---- points in space: a bounding-box tree built and descended by joins ------------------------------------------
 
 _SHIFT = 4  # children per axis and level
+_BOX = (("px", "x0", "x1"), ("py", "y0", "y1"), ("pz", "z0", "z1"))
 
 
-def _leaf(level: int) -> list[Column]:
-    n = _SHIFT**level
-    return [F.least(F.floor((F.col(c) + 1) / 2 * n), F.lit(n - 1)).cast("long") for c in ("px", "py", "pz")]
-
-
-def _key(level: int) -> Column:
+def _cube(level: int) -> str:
+    """Number of the cube a place lies in along each axis, as SQL."""
     n = _SHIFT**level
-    a, b, c = _leaf(level)
-    return (a * n + b) * n + c
-
+    return ", ".join(f"least(CAST(floor(({c} + 1D) / 2D * {n}D) AS BIGINT), {n - 1}L)" for c, _, _ in _BOX)
 
-def _parent(key: Column, level: int) -> Column:
-    n, m = _SHIFT**level, _SHIFT ** (level - 1)
 
-    def up(v):
-        return F.floor(v / _SHIFT).cast("long")
+def _levels(places: DataFrame, leaf_rows: int, max_level: int) -> tuple[DataFrame, int]:
+    """Boxes of all occupied cubes ``(lv, k, x0...z1)`` down to the level where no cube holds more than `leaf_rows` places, and that level.
 
-    k = key
-    c, rest = F.pmod(k, F.lit(n)), F.floor(k / n).cast("long")
-    b, a = F.pmod(rest, F.lit(n)), F.floor(rest / n).cast("long")
-    return (up(a) * m + up(b)) * m + up(c)
+    The places are counted once at the finest level; the coarser ones are rolled up from there.
+    """
+    tight = [f(c).alias(n) for c, lo, hi in _BOX for f, n in ((F.min, lo), (F.max, hi))]
+    wide = [f(n).alias(n) for _, lo, hi in _BOX for f, n in ((F.min, lo), (F.max, hi))]
+    finest = places.groupBy(F.expr(f"array({_cube(max_level)})").alias("k")).agg(F.count(F.lit(1)).alias("n"), *tight)
+    up = f"transform(sequence(1, {max_level}), lv -> named_struct('lv', lv, 'k', transform(k, v -> shiftright(v, 2 * ({max_level} - lv)))))"
+    rolled = finest.withColumn("_u", F.expr(f"explode({up})")).groupBy(F.col("_u.lv").alias("lv"), F.col("_u.k").alias("k"))
+    boxes = materialise(rolled.agg(F.sum("n").alias("n"), *wide))
+    most = {r["lv"]: r["n"] for r in boxes.groupBy("lv").agg(F.max("n").alias("n")).collect()}  # one row per level
+    return boxes, next((lv for lv in sorted(most) if most[lv] <= leaf_rows), max_level)
 
 
-def nearest_points(queries: DataFrame, points: DataFrame, leaf_rows: int = 64, max_level: int = 9) -> DataFrame:
+def nearest_points(queries: DataFrame, points: DataFrame, leaf_rows: int = 64, max_level: int | None = None) -> DataFrame:
     """Exact nearest point ``(id, point, d)`` for queries ``(id, px, py, pz)`` among ``(point, px, py, pz)`` in [-1, 1]^3.
 
-    Points are counted into cubes, refined until no cube holds more than `leaf_rows` distinct places.  Queries descend
-    level by level and keep only cubes whose least distance does not exceed the least greatest distance seen, so each
-    query touches a handful of cubes however the points are clustered.  Ties go to the smaller point number.
+    Space is cut into cubes, each into 64, until no cube holds more than `leaf_rows` distinct places or cubes are as small as the distances
+    that count as ties.  Queries descend and keep only cubes whose least distance does not exceed the least greatest distance seen, so
+    each query touches a handful of cubes however the points are clustered.  Ties go to the smaller point number.
     """
     places = materialise(points.groupBy("px", "py", "pz").agg(F.min("point").alias("point")))
-    if not row_count(places):
+    n = row_count(places)
+    if not n:
         raise ValueError("there is no valid point to take values from")
-    level = 1
-    while level < max_level:
-        biggest = places.groupBy(_key(level).alias("k")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        if biggest <= leaf_rows:
-            break
-        level += 1
-    box_aggs = [f(c).alias(n) for c, lo, hi in (("px", "x0", "x1"), ("py", "y0", "y1"), ("pz", "z0", "z1")) for f, n in ((F.min, lo), (F.max, hi))]
-    boxes = {level: materialise(places.groupBy(_key(level).alias("k")).agg(*box_aggs))}
-    for lv in range(level, 1, -1):
-        up = [f(n).alias(n) for lo, hi in (("x0", "x1"), ("y0", "y1"), ("z0", "z1")) for f, n in ((F.min, lo), (F.max, hi))]
-        boxes[lv - 1] = materialise(boxes[lv].groupBy(_parent(F.col("k"), lv).alias("k")).agg(*up))
-
-    def near(lo, hi, q):
+    if max_level is None:
+        # Evenly spread places on a surface need this many levels; six more split clusters 4,096 times as dense along each axis.
+        max_level = min(max(math.ceil(math.log(max(n / leaf_rows, 1), 16)) + 6, 2), 15)
+    boxes, level = _levels(places, leaf_rows, max_level)
+
+    def near(q, lo, hi):
         return F.greatest(F.col(lo) - F.col(q), F.col(q) - F.col(hi), F.lit(0.0))
 
-    def far(lo, hi, q):
+    def far(q, lo, hi):
         return F.greatest(F.abs(F.col(lo) - F.col(q)), F.abs(F.col(hi) - F.col(q)))
 
-    axes = (("x0", "x1", "px"), ("y0", "y1", "py"), ("z0", "z1", "pz"))
-    lower = F.sqrt(sum((near(*a) * near(*a) for a in axes), F.lit(0.0)))
-    upper = F.sqrt(sum((far(*a) * far(*a) for a in axes), F.lit(0.0)))
-    box = F.struct("k", "x0", "x1", "y0", "y1", "z0", "z1")
-    # At most 64 cubes on the first level, at most 64 children below each cube.
-    children = boxes[1].agg(F.collect_list(box).alias("kids")).withColumn("k", F.lit(-1).cast("long"))
-    live = queries.withColumn("k", F.lit(-1).cast("long"))
+    lower = F.sqrt(sum((near(*a) * near(*a) for a in _BOX), F.lit(0.0)))
+    upper = F.sqrt(sum((far(*a) * far(*a) for a in _BOX), F.lit(0.0)))
+    box = F.struct("k", *[c for _, lo, hi in _BOX for c in (lo, hi)])
+    whole = F.expr("array(0L, 0L, 0L)")
+    live, held = queries.select("id", "px", "py", "pz", whole.alias("k")), []
     margin = 10.0**-TIE_DIGITS
+    per_level = {r["lv"]: r["n"] for r in boxes.groupBy("lv").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per level
     for lv in range(1, level + 1):
-        if lv > 1:
-            children = boxes[lv].groupBy(_parent(F.col("k"), lv).alias("k")).agg(F.collect_list(box).alias("kids"))
-        step = lookup(live, children, ["k"], at_most=row_count(boxes[lv - 1]) if lv > 1 else 1).select("id", "px", "py", "pz", F.explode("kids").alias("b")).select("id", "px", "py", "pz", "b.*")
+        parent = F.expr("transform(k, v -> shiftright(v, 2))")
+        # At most 64 cubes below each cube.
+        children = boxes.filter(F.col("lv") == lv).groupBy(parent.alias("p")).agg(F.collect_list(box).alias("kids")).withColumnRenamed("p", "k")
+        step = lookup(live, children, ["k"], at_most=per_level.get(lv - 1, 1)).select("id", "px", "py", "pz", F.explode("kids").alias("b")).select("id", "px", "py", "pz", "b.*")
         step = step.withColumn("lower", lower).withColumn("upper", upper)
         step = step.withColumn("reach", F.min("upper").over(Window.partitionBy("id")))
-        live = materialise(step.filter(F.col("lower") <= F.col("reach") + margin).select("id", "px", "py", "pz", "k"))
-    leaf = places.select(_key(level).alias("k"), "point", *[F.col(c).alias("q" + c[1]) for c in ("px", "py", "pz")])
+        live = step.filter(F.col("lower") <= F.col("reach") + margin).select("id", "px", "py", "pz", "k")
+        if lv % 2 == 0 or lv == level:
+            live = materialise(live)
+            held.append(live)
+    leaf = places.select(F.expr(f"array({_cube(level)})").alias("k"), "point", *[F.col(c).alias("q" + c[1]) for c, _, _ in _BOX])
     gaps = [(F.col(p) - F.col(q)) for p, q in (("px", "qx"), ("py", "qy"), ("pz", "qz"))]
     d = F.round(F.sqrt(sum((g * g for g in gaps), F.lit(0.0))), TIE_DIGITS)
     pairs = live.join(leaf, "k").select("id", F.struct(d.alias("d"), "point").alias("n"))
-    return pairs.groupBy("id").agg(F.min("n").alias("n")).select("id", "n.point", "n.d")
+    out = materialise(pairs.groupBy("id").agg(F.min("n").alias("n")).select("id", "n.point", "n.d"))
+    discard(places, boxes, *held)
+    return out
 
 
 def fill_mesh(faces: DataFrame, target_mask: DataFrame | None = None, by: list[str] | None = None, value: str = "value") -> DataFrame:

@@ -132,12 +132,12 @@ def _filter_along(cells: DataFrame, by: list[str], line: str, along: str, n: int
 
 def raymond_filter(
     cells: DataFrame, ny: int, nx: int, epsilon: float, row_epsilon: Column | None = None, circular: bool = True, by: list[str] | None = None,
-    value: str = "value",
+    value: str = "value", along: tuple[str, ...] = ("x", "y"),
 ) -> DataFrame:
-    """Low-pass filter of dense fields: rows (periodic if circular, strength `row_epsilon`), then columns (`epsilon`)."""
+    """Low-pass filter of dense fields: rows (periodic if circular, strength `row_epsilon`), then columns (`epsilon`); `along` may name one only."""
     by = by or []
     base = cells.select(*by, "y", "x", F.col(value).cast("double").alias(value))
     strength = row_epsilon if row_epsilon is not None else F.lit(epsilon)
-    rows = _filter_along(base, by, "y", "x", nx, strength, circular, value)
-    cols = _filter_along(rows, by, "x", "y", ny, F.lit(epsilon), False, value)
-    return cols.withColumn(value, F.col(value).cast("float").cast("double"))
+    out = _filter_along(base, by, "y", "x", nx, strength, circular, value) if "x" in along else base
+    out = _filter_along(out, by, "x", "y", ny, F.lit(epsilon), False, value) if "y" in along else out
+    return out.withColumn(value, F.col(value).cast("float").cast("double"))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import tolerant_key
-from gridloom.session import BROADCAST_ROWS, materialise, small
-from gridloom.sources.axes import facts
+from gridloom.session import materialise, small
+from gridloom.sources.axes import facts, overlapping_indices
 
 
 def polygon_edges(vertices: DataFrame, poly: str = "poly") -> DataFrame:
@@ -19,46 +19,42 @@ def polygon_edges(vertices: DataFrame, poly: str = "poly") -> DataFrame:
     return e.filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
 
 
-def _scan_lines(lines: DataFrame, edges: DataFrame, width: float, poly: str) -> DataFrame:
-    """Per line ``(y, py)`` and polygon: the longitudes where its outline crosses, and the stretches it touches."""
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    e = edges.withColumn("bin", F.explode(F.sequence(F.floor(low / width), F.floor(high / width))))
-    j = e.join(lines.withColumn("bin", F.floor(F.col("py") / width)), "bin").filter(F.col("py").between(low, high))
-    level = F.col("y1") == F.col("y2")
-    at = F.col("x1") + (F.col("py") - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0)) * (F.col("x2") - F.col("x1"))
-    crosses = (F.col("y1") > F.col("py")) != (F.col("y2") > F.col("py"))
-    touch = F.struct(
-        F.when(level, F.least("x1", "x2")).otherwise(at).alias("a"), F.when(level, F.greatest("x1", "x2")).otherwise(at).alias("b")
-    )
-    per_poly = j.groupBy("y", "py", poly).agg(
-        F.collect_list(F.when(crosses, at)).alias("xs"), F.collect_list(touch).alias("touches")
-    )
-    return per_poly.groupBy("y").agg(F.collect_list(F.struct("xs", "touches")).alias("outlines"))
-
-
-def _strictly_inside(px: Column, outline: Column) -> Column:
-    beyond = F.size(F.filter(outline["xs"], lambda v: v > px)) % 2 == 1
-    return beyond & ~F.exists(outline["touches"], lambda t: (px >= t["a"]) & (px <= t["b"]))
-
-
 def inside_polygons(
     cells: DataFrame, edges: DataFrame, axis_y: DataFrame, axis_x: DataFrame, corners: bool = True, poly: str = "poly",
 ) -> DataFrame:
     """Add `inside`: is any corner (or the centre) of the cell strictly inside any polygon?
 
-    Outlines are intersected once with each grid line, so cells meet a short list per row, never all edges.
+    Outlines are intersected once with each grid line.  Between every second pair of crossings a line runs inside; the corners on such
+    stretches, without those the outline touches, mark their cells.  Stretches and corners meet in bins of the axis.
     """
     f_y, f_x = facts(axis_y, axis_x)
-    width = max((f_y.hi - f_y.lo) / f_y.n, 1e-12)
-    heights = F.array("lo", "hi") if corners else F.array("point")
-    lines = axis_y.select(F.col("idx").alias("y"), F.explode(heights).alias("py"))
-    rows = materialise(_scan_lines(lines, edges, width, poly))
-    load = rows.agg(F.sum(F.aggregate("outlines", F.lit(0), lambda n, o: n + F.size(o["xs"]) + F.size(o["touches"])))).first()[0] or 0
-    rows = F.broadcast(rows) if load <= BROADCAST_ROWS else rows
+    tall, wide = (max((f.hi - f.lo) / f.n, 1e-12) for f in (f_y, f_x))
     places = F.array("lo", "hi") if corners else F.array("point")
-    out = cells.join(small(axis_x.select(F.col("idx").alias("x"), places.alias("_px")), f_x.n), "x").join(rows, "y", "left")
-    hit = F.exists("outlines", lambda o: F.exists("_px", lambda p: _strictly_inside(p, o)))
-    return out.withColumn("inside", F.coalesce(hit, F.lit(False))).drop("_px", "outlines")
+    lines = axis_y.select(F.col("idx").alias("y"), F.explode(places).alias("py")).withColumn("bin", F.floor(F.col("py") / tall))
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    e = edges.withColumn("bin", F.explode(F.sequence(F.floor(low / tall), F.floor(high / tall))))
+    level = F.col("y1") == F.col("y2")
+    at = F.col("x1") + (F.col("py") - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0)) * (F.col("x2") - F.col("x1"))
+    met = e.join(small(lines, at_most=2 * f_y.n), "bin").filter(F.col("py").between(low, high))
+    met = materialise(met.select(
+        "y", "py", poly, ((F.col("y1") > F.col("py")) != (F.col("y2") > F.col("py"))).alias("crosses"), at.alias("at"),
+        F.when(level, F.least("x1", "x2")).otherwise(at).alias("a"), F.when(level, F.greatest("x1", "x2")).otherwise(at).alias("b"),
+    ))
+    along = Window.partitionBy("y", "py", poly).orderBy("at")
+    crossing = met.filter("crosses").select("y", "py", poly, F.col("at").alias("a"), F.lead("at").over(along).alias("b"), F.row_number().over(along).alias("_n"))
+    columns = axis_x.select(F.col("idx").alias("x"), F.explode(places).alias("px")).withColumn("bin", F.floor(F.col("px") / wide))
+    columns = small(columns, at_most=2 * f_x.n)
+    # A stretch beyond the axis marks nothing there, so it is cut to the axis first.
+    bins = F.sequence(F.floor(F.greatest("a", F.lit(f_x.lo)) / wide), F.floor(F.least("b", F.lit(f_x.hi)) / wide))
+
+    def marked(stretches: DataFrame) -> DataFrame:
+        on_axis = stretches.filter((F.col("a") <= f_x.hi) & (F.col("b") >= f_x.lo))
+        return on_axis.withColumn("bin", F.explode(bins)).join(columns, "bin")
+
+    within = marked(crossing.filter("_n % 2 = 1 AND b IS NOT NULL")).filter("px > a AND px < b").select("y", "py", poly, "x", "px")
+    touched = marked(met).filter("px >= a AND px <= b").select("y", "py", poly, "x", "px")
+    hit = within.join(touched, ["y", "py", poly, "x", "px"], "left_anti").select("y", "x").distinct().withColumn("inside", F.lit(True))
+    return cells.join(hit, ["y", "x"], "left").withColumn("inside", F.coalesce("inside", F.lit(False)))
 
 
 def compatible(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("stash", "units", "standard_name")) -> DataFrame:
@@ -75,19 +71,21 @@ def compatible(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("stash", "un
 
 def merge(
     primary: DataFrame, alternate: DataFrame, other: list[str] | None = None, valid: str | None = None, value: str = "value",
-    strict: bool = True,
+    strict: bool = True, place: tuple[str, str] = ("lat", "lon"), exact: bool = False,
 ) -> DataFrame:
     """Union of two fields ``(other..., lat, lon, value)`` on one coordinate system; the primary wins where it is valid.
 
+    Places are coordinates that meet within the tolerance or, with `exact`, the cell numbers of one grid.
+
     A masked primary cell inside stays masked, a NaN one gives way.  Outside (`valid` false) the alternate wins where it
     has a cell.  `strict` raises if NaN remains, because then the sources do not cover the domain.
     """
-    keys = (other or []) + ["_lat", "_lon"]
+    at = [F.col(c) if exact else tolerant_key(F.col(c)) for c in place]
+    keys = (other or []) + ["_a", "_b"]
 
     def keyed(df, prefix, extra=()):
         return df.select(
-            *(other or []), tolerant_key(F.col("lat")).alias("_lat"), tolerant_key(F.col("lon")).alias("_lon"),
-            F.col(value).alias(prefix + "_v"), F.lit(True).alias(prefix + "_here"), *extra,
+            *(other or []), at[0].alias("_a"), at[1].alias("_b"), F.col(value).alias(prefix + "_v"), F.lit(True).alias(prefix + "_here"), *extra,
         )
 
     flag = F.coalesce(F.col(valid), F.lit(False)) if valid else F.lit(True)
@@ -95,7 +93,7 @@ def merge(
     j = p.join(keyed(alternate, "a"), keys, "full_outer")
     keep = F.coalesce(F.col("p_here") & F.col("p_ok") & ~F.coalesce(F.isnan("p_v"), F.lit(False)), F.lit(False))
     merged = F.when(keep, F.col("p_v")).when(F.col("a_here"), F.col("a_v")).otherwise(F.col("p_v"))
-    out = j.select(*(other or []), F.col("_lat").alias("lat"), F.col("_lon").alias("lon"), merged.alias(value))
+    out = j.select(*(other or []), F.col("_a").alias(place[0]), F.col("_b").alias(place[1]), merged.alias(value))
     if strict and out.filter(F.isnan(value)).limit(1).count():
         raise ValueError("the sources do not cover the whole domain")
     return out
@@ -143,8 +141,6 @@ def crop(
     cells: DataFrame, axis_y: DataFrame, axis_x: DataFrame, tgt_y: DataFrame, tgt_x: DataFrame, pad: int = 1, period: float | None = 360.0,
 ) -> DataFrame:
     """Source cells under the target's bounding box plus `pad` cells around; longitude is periodic."""
-    from gridloom.sources.axes import overlapping_indices
-
     f_y, f_x, ey, ex = facts(axis_y, axis_x, tgt_y, tgt_x)
     ys = overlapping_indices(axis_y, ey.lo, ey.hi, pad).select(F.col("idx").alias("y"))
     whole = period and ex.hi - ex.lo >= period - 1e-9

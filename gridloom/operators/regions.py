@@ -11,9 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.session import lookup, materialise, row_count
+from gridloom.session import discard, lookup, materialise, row_count, small
 from gridloom.operators.classes import ICE, SOIL
+from gridloom.operators.merge import inside_polygons
 from gridloom.operators.stencil import neighbourhood
+from gridloom.sources.axes import facts
+
+
+#: Degrees from a lake's seed to the sides of the box it is looked for in, before the box is widened.
+LAKE_BOX = 0.8
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -36,7 +42,10 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         picks.append(pick)
         moved = lookup(e.withColumnRenamed("a", "node"), pick, ["node"]).select(F.col("to").alias("a"), "b")
         moved = lookup(moved.withColumnRenamed("b", "node"), pick, ["node"]).select("a", F.col("to").alias("b"))
-        e = materialise(moved.filter("a <> b").distinct())
+        shrunk = materialise(moved.filter("a <> b").distinct())
+        discard(e)
+        e = shrunk
+    discard(e)
     if not picks:
         return nodes.select("node", F.col("node").alias("root"))
     final = picks[-1]
@@ -45,6 +54,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         # The nodes of a round are targets of the round before, so `later` is no longer than `pick`.
         final = lookup(pick, later, ["to"], "left", at_most=row_count(pick)).select("node", F.coalesce("_end", "to").alias("to"))
     final = materialise(nodes.select("node").join(final, "node", "left").select("node", F.coalesce("to", "node").alias("to")))
+    discard(*picks)
     roots = materialise(final.groupBy("to").agg(F.min("node").alias("root")))
     return lookup(final, roots, ["to"]).select("node", "root")
 
@@ -82,7 +92,10 @@ def label_regions(
 
 def find_similar(cells: DataFrame, seed: tuple[int, int], nx: int, value: str = "code", extended: bool = False, wrap: bool = False) -> DataFrame:
     """Cells of the region that the seed cell (y, x) lies in."""
-    lab = label_regions(cells, nx, value, extended, wrap)
+    at_seed = cells.filter((F.col("y") == seed[0]) & (F.col("x") == seed[1])).select(F.col(value).alias("_seed")).limit(1)
+    # Only cells with the seed's value can be in its region.
+    alike = cells.join(F.broadcast(at_seed), F.col(value) == F.col("_seed"), "left_semi")
+    lab = label_regions(alike, nx, value, extended, wrap)
     at = lab.filter((F.col("y") == seed[0]) & (F.col("x") == seed[1])).select("region")
     return lab.join(F.broadcast(at.limit(1)), "region", "left_semi").select("y", "x")
 
@@ -126,18 +139,15 @@ def fill_lakes(
     """Recode all lakes in one job: each lake's region of equal code around its seed becomes `target`.
 
     `lakes` ``(lake, lat, lon, lat_min, lat_max, lon_min, lon_max)`` gives a seed and the box the fill may not leave;
-    without a box, 0.8 degrees around the seed.  `outlines` ``(poly, x1, y1, x2, y2)`` with poly = lake further confine the
+    without a box, `LAKE_BOX` degrees around the seed and a quarter of that box's diagonal beyond.  `outlines` ``(poly, x1, y1, x2, y2)`` with poly = lake further confine the
     fill to cells whose centre is inside.  Lakes whose seed has neither a source code are left alone, as are boxes of a
     single row or column.
     """
-    from gridloom.operators.merge import inside_polygons
-    from gridloom.session import small
-    from gridloom.sources.axes import facts
-
+    reach = F.lit(LAKE_BOX + LAKE_BOX * 8.0**0.5 / 4)
     box = lakes.select(
         "lake", "lat", "lon",
-        F.coalesce("lat_min", F.col("lat") - 0.8).alias("_s"), F.coalesce("lat_max", F.col("lat") + 0.8).alias("_n"),
-        F.coalesce("lon_min", F.col("lon") - 0.8).alias("_w"), F.coalesce("lon_max", F.col("lon") + 0.8).alias("_e"),
+        F.coalesce("lat_min", F.col("lat") - reach).alias("_s"), F.coalesce("lat_max", F.col("lat") + reach).alias("_n"),
+        F.coalesce("lon_min", F.col("lon") - reach).alias("_w"), F.coalesce("lon_max", F.col("lon") + reach).alias("_e"),
     )
 
     def spans(axis, low, high, seed, name):

@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import TOLERANCE, isclose, nan
-from gridloom.functions.projection import from_rotated, to_rotated
+from gridloom.functions.projection import System, from_geographic, in_degrees, to_geographic, to_rotated
+from gridloom.operators.curved import corners_from_axes, curved_weights
 from gridloom.session import small
-from gridloom.sources.axes import facts, regular_axis, regular_cover
+from gridloom.sources.mesh import face_corners
+from gridloom.sources.axes import facts, overlapping_indices, regular_axis, regular_cover
 
 
 # Axis expressions are given as SQL text: one call to the JVM each, where a tree of Column calls costs dozens.
@@ -134,6 +136,18 @@ def area_weighted(
     return out.selectExpr(*by, "y", "x", *outputs)
 
 
+def area_shares(
+    cells: DataFrame, src_y: DataFrame, src_x: DataFrame, tgt_y: DataFrame, tgt_x: DataFrame, by: list[str], period: float | None = 360.0, spherical: bool = True,
+) -> DataFrame:
+    """Area ``_w`` that the source cells of each group of `by` (a NULL is a group) cover of each target cell, and whether it is ``_inside``."""
+    facts(src_y, src_x, tgt_y, tgt_x)
+    wx = axis_weights(src_x, tgt_x, ("x", "_tx"), False, period)
+    wy = axis_weights(src_y, tgt_y, ("y", "_ty"), spherical, None)
+    rows = weigh_cells(cells, wy, wx)
+    out = rows.groupBy(*by, "_ty", "_tx").agg(F.sum("_w").alias("_w"), F.expr("bool_and(_inx AND _iny) AS _inside"))
+    return out.withColumnRenamed("_ty", "y").withColumnRenamed("_tx", "x")
+
+
 def complete(cells: DataFrame, ny: int, nx: int, by: list[str] | None = None, value: str = "value") -> DataFrame:
     """Add masked rows for cells that do not exist, for every group present."""
     by = by or []
@@ -151,31 +165,42 @@ def complete(cells: DataFrame, ny: int, nx: int, by: list[str] | None = None, va
     return grid.join(cells.select(*by, "y", "x", value), by + ["y", "x"], "left")
 
 
-def brackets(src: DataFrame, tgt: DataFrame, names: tuple[str, str], mode: str = "nan", period: float | None = None) -> DataFrame:
-    """Linear weights per axis: two rows ``(src, tgt, w, inside)`` per target point, one where a weight is zero.
+def _segments(src: DataFrame, period: float | None) -> tuple[DataFrame, float, float]:
+    """Stretches between neighbouring points ``(i0, p0, i1, p1, bin)``, the bins' width, and where the last one ends.
 
-    `mode` 'nan' marks points beyond the outermost source points, 'linear' extrapolates from the end pair.  With a period
-    the last source point is joined to the first.
+    An axis is as long as one side of the grid, so its window is small.  With a period the last point is joined to the first.
     """
     (f,) = facts(src)
-    n, lo, hi = f.n, f.p_lo, f.p_hi
-    width = max((hi - lo) / n, 1e-12)
-    # An axis is as long as one side of the grid, so its window is small.
+    width = max((f.p_hi - f.p_lo) / f.n, 1e-12)
     seg = src.selectExpr("idx AS i0", "point AS p0", "lead(idx) OVER (ORDER BY point) AS i1", "lead(point) OVER (ORDER BY point) AS p1")
     if period:
-        seg = seg.selectExpr("i0", "p0", f"coalesce(i1, {f.first}) AS i1", f"coalesce(p1, {lo + period!r}D) AS p1")
+        seg = seg.selectExpr("i0", "p0", f"coalesce(i1, {f.first}) AS i1", f"coalesce(p1, {f.p_lo + period!r}D) AS p1")
     seg = seg.filter("p1 IS NOT NULL").selectExpr("*", f"explode(sequence(floor(p0 / {width!r}D), floor(p1 / {width!r}D))) AS bin")
+    # Stretches touch each other, so they lie in at most two bins each and once more in every bin they span.
+    return small(seg, at_most=3 * f.n + 3), width, f.p_lo + period if period else f.p_hi
+
+
+def _between(points: DataFrame, column: str, src: DataFrame, period: float | None, mode: str = "nan") -> DataFrame:
+    """Points with the stretch they lie on: ``i0, i1``, the share `f` of the way to the second, and `inside`."""
+    (f,) = facts(src)
+    seg, width, last = _segments(src, period)
     if period:
-        last = lo + period
-        t = tgt.selectExpr("idx AS t", f"pmod(point - {lo!r}D, {period!r}D) + {lo!r}D AS p").selectExpr("t", "p", "p AS c", "true AS inside")
+        t = points.selectExpr("*", f"pmod({column} - {f.p_lo!r}D, {period!r}D) + {f.p_lo!r}D AS _p").selectExpr("*", "_p AS _c", "true AS inside")
     else:
-        last = hi
-        t = tgt.selectExpr("idx AS t", "point AS p", f"least(greatest(point, {lo!r}D), {hi!r}D) AS c")
-        t = t.selectExpr("t", "p", "c", f"abs(c - p) <= {TOLERANCE!r}D AS inside" if mode == "nan" else "true AS inside")
-    t = t.selectExpr("*", f"floor(c / {width!r}D) AS bin")
-    # Segments touch each other, so they lie in at most two bins each and once more in every bin they span.
-    j = t.join(small(seg, at_most=3 * n + 3), "bin").filter(f"c >= p0 AND (c < p1 OR (p1 = {last!r}D AND c = {last!r}D))")
-    j = j.selectExpr("t", "inside", "i0", "i1", "(p - p0) / (p1 - p0) AS f")
+        t = points.selectExpr("*", f"{column} AS _p", f"least(greatest({column}, {f.p_lo!r}D), {f.p_hi!r}D) AS _c")
+        t = t.selectExpr("*", f"abs(_c - _p) <= {TOLERANCE!r}D AS inside" if mode == "nan" else "true AS inside")
+    t = t.selectExpr("*", f"floor(_c / {width!r}D) AS bin")
+    j = t.join(seg, "bin").filter(f"_c >= p0 AND (_c < p1 OR (p1 = {last!r}D AND _c = {last!r}D))")
+    return j.selectExpr(*points.columns, "inside", "i0", "i1", "(_p - p0) / (p1 - p0) AS f")
+
+
+def brackets(src: DataFrame, tgt: DataFrame, names: tuple[str, str], mode: str = "nan", period: float | None = None) -> DataFrame:
+    """Linear weights per axis: two rows ``(src, tgt, w, inside)`` per target point, one where a weight is zero.
+
+    `mode` 'nan' marks points beyond the outermost source points, 'linear' extrapolates from the end pair.  With a period
+    the last source point is joined to the first.
+    """
+    j = _between(tgt.selectExpr("idx AS t", "point AS at"), "at", src, period, mode)
     j = j.selectExpr("t", "inside", "inline(array(struct(i0 AS s, 1 - f AS w), struct(i1 AS s, f AS w))) AS (s, w)")
     return j.filter("w <> 0").selectExpr(f"s AS {names[0]}", f"t AS {names[1]}", f"w AS _w{names[0]}", f"inside AS _in{names[0]}")
 
@@ -253,6 +278,62 @@ def zonal_target(src_x: DataFrame, tgt_x: DataFrame, period: float = 360.0) -> D
     return regular_axis(tgt_x.sparkSession, 1, t.lo, t.hi - t.lo)
 
 
+def outline_box(
+    axis_y: DataFrame, axis_x: DataFrame, system: System, other: System, period: float = 360.0, steps: int = 64,
+) -> tuple[float, float, float, float]:
+    """Box ``(v_lo, v_hi, u_lo, u_hi)`` in another system around a grid's outline.
+
+    The outline is followed in `steps` points per side.  Longitudes are the shortest arc that holds them all, so the box may cross the
+    date line; a grid that holds a pole of the other system reaches it all around.
+    """
+    spark = axis_y.sparkSession
+    e_y, e_x = facts(axis_y, axis_x)
+    share = [k / steps for k in range(steps)]
+    ring = [(e_y.lo, e_x.lo + s * (e_x.hi - e_x.lo)) for s in share] + [(e_y.lo + s * (e_y.hi - e_y.lo), e_x.hi) for s in share]
+    ring += [(e_y.hi, e_x.hi - s * (e_x.hi - e_x.lo)) for s in share] + [(e_y.hi - s * (e_y.hi - e_y.lo), e_x.lo) for s in share]
+
+    def moved(points: list[tuple[float, float]], start: System, end: System) -> list[tuple[float, float]]:
+        v, u = from_geographic(*to_geographic(F.col("v"), F.col("u"), start), end)
+        return [tuple(r) for r in spark.createDataFrame(points, "v DOUBLE, u DOUBLE").select(v, u).collect()]  # as many as were given
+
+    found = moved(ring, system, other)
+    v_lo, v_hi = min(v for v, _ in found), max(v for v, _ in found)
+    if not in_degrees(other):
+        return v_lo, v_hi, min(u for _, u in found), max(u for _, u in found)
+    around = False
+    for pole, (v, u) in zip((-90.0, 90.0), moved([(-90.0, 0.0), (90.0, 0.0)], other, system)):
+        if in_degrees(system):
+            u = (u - e_x.lo) % period + e_x.lo
+        if e_y.lo <= v <= e_y.hi and e_x.lo <= u <= e_x.hi:
+            around = True
+            v_lo, v_hi = (pole, v_hi) if pole < 0 else (v_lo, pole)
+    turns = sorted(u % period for _, u in found)
+    gap, start = max((b - a, b) for a, b in zip(turns, [*turns[1:], turns[0] + period]))
+    if around or gap < period / steps:
+        return v_lo, v_hi, -period / 2, period / 2
+    start %= period
+    return v_lo, v_hi, start, start + period - gap
+
+
+def overlap_axes(
+    axis_y: DataFrame, axis_x: DataFrame, other_y: DataFrame, other_x: DataFrame, system: System, other: System, period: float | None, pad: int = 1,
+) -> tuple[DataFrame, DataFrame]:
+    """The part of a grid's axes under another grid of another system, `pad` cells more on each side; longitudes go on past the date line."""
+    v_lo, v_hi, u_lo, u_hi = outline_box(other_y, other_x, other, system)
+    f_y, f_x = facts(axis_y, axis_x)
+    y = axis_y.join(small(overlapping_indices(axis_y, v_lo, v_hi, pad), f_y.n), "idx")
+    turn = period if in_degrees(system) else None
+    if turn and u_hi - u_lo >= turn - 1e-9:
+        return y, axis_x
+    x = axis_x.join(small(overlapping_indices(axis_x, u_lo, u_hi, pad, turn), f_x.n), "idx")
+    if turn:
+        base = u_lo - 2 * (pad + 1) * (f_x.hi - f_x.lo) / f_x.n
+        low = F.least("lo", "hi")
+        x = x.withColumn("_by", F.pmod(low - F.lit(base), F.lit(turn)) + F.lit(base) - low)
+        x = x.select("idx", *[(F.col(c) + F.col("_by")).alias(c) for c in ("point", "lo", "hi")])
+    return y, x
+
+
 def two_stage(
     cells: DataFrame,
     src_y: DataFrame,
@@ -261,70 +342,54 @@ def two_stage(
     tgt_x: DataFrame,
     by: list[str] | None = None,
     value: str = "value",
-    src_pole: tuple[float, float] = (90.0, 180.0),
-    tgt_pole: tuple[float, float] = (90.0, 180.0),
+    src_system: System = None,
+    tgt_system: System = None,
     period: float | None = 360.0,
 ) -> DataFrame:
     """Area-weighted regrid, preceded by bilinear interpolation into the target's system if the systems differ.
 
-    The intermediate grid covers the target's extent with as many cells as the source has.  Its points are transformed
-    into the source's system, where each finds its four surrounding source cells by index.
+    Source and target are cropped to each other first: the intermediate grid covers what is left of the target with as many cells as are
+    left of the source.  Its points are transformed into the source's system, where each finds its four surrounding source points.
     """
-    tgt_x = zonal_target(src_x, tgt_x) if period else tgt_x
-    if src_pole == tgt_pole:
-        return area_weighted(cells, src_y, src_x, tgt_y, tgt_x, by, value, period)
+    if src_system == tgt_system:
+        tgt_x = zonal_target(src_x, tgt_x) if period else tgt_x
+        return area_weighted(cells, src_y, src_x, tgt_y, tgt_x, by, value, period if in_degrees(tgt_system) else None, in_degrees(tgt_system))
     by = by or []
-    ny, nx = (f.n for f in facts(src_y, src_x, tgt_y, tgt_x)[:2])
-    mid_y, mid_x = regular_cover(tgt_y, ny), regular_cover(tgt_x, nx)
+    under = overlap_axes(src_y, src_x, tgt_y, tgt_x, src_system, tgt_system, period)
+    over = overlap_axes(tgt_y, tgt_x, *under, tgt_system, src_system, period)
+    ny, nx = (f.n for f in facts(*under, *over)[:2])
+    mid_y, mid_x = regular_cover(over[0], ny), regular_cover(over[1], nx)
     spark = cells.sparkSession
     pts = spark.range(ny * nx).select(
         F.expr(f"CAST(id DIV {nx} AS INT)").alias("_ty"), F.expr(f"CAST(id % {nx} AS INT)").alias("_tx")
     )
     pts = pts.join(small(mid_y.select(F.col("idx").alias("_ty"), F.col("point").alias("_v")), at_most=ny), "_ty")
     pts = pts.join(small(mid_x.select(F.col("idx").alias("_tx"), F.col("point").alias("_u")), at_most=nx), "_tx")
-    lat, lon = F.col("_v"), F.col("_u")
-    if tgt_pole[0] != 90.0:
-        lat, lon = from_rotated(lat, lon, *tgt_pole)
-    if src_pole[0] != 90.0:
-        lat, lon = to_rotated(lat, lon, *src_pole)
-    pts = pts.select("_ty", "_tx", lat.alias("_lat"), lon.alias("_lon"))
-    near = scattered_linear_weights(pts, src_y, src_x, period)
+    v, u = from_geographic(*to_geographic(F.col("_v"), F.col("_u"), tgt_system), src_system)
+    pts = pts.select("_ty", "_tx", v.alias("_lat"), u.alias("_lon"))
+    near = scattered_linear_weights(pts, src_y, src_x, period if in_degrees(src_system) else None)
     rows = near.join(cells, ["y", "x"]).withColumn("_inx", F.col("_inside")).withColumn("_iny", F.lit(True))
     mid = _gather(rows, by, value, "_need")
-    return area_weighted(mid, mid_y, mid_x, tgt_y, tgt_x, by, value, period)
+    degrees = in_degrees(tgt_system)
+    return area_weighted(mid, mid_y, mid_x, tgt_y, tgt_x, by, value, period if degrees else None, degrees)
 
 
 def scattered_linear_weights(points: DataFrame, src_y: DataFrame, src_x: DataFrame, period: float | None) -> DataFrame:
-    """Four corner weights for points ``(_ty, _tx, _lat, _lon)`` that follow no axis; source axes must be regular."""
-    f_y, f_x = facts(src_y, src_x)
-    ny, nx = f_y.n, f_x.n
-    dy, dx = (f_y.hi - f_y.lo) / ny, (f_x.hi - f_x.lo) / nx
-    if f_y.first or f_x.first:
-        raise ValueError("the source axes have to ascend")
-    fy = (F.col("_lat") - F.lit(f_y.p_lo)) / F.lit(dy)
-    off = F.col("_lon") - F.lit(f_x.p_lo)
-    fx = (F.pmod(off, F.lit(period)) if period else off) / F.lit(dx)
-    iy = F.least(F.greatest(F.floor(fy), F.lit(0)), F.lit(max(ny - 2, 0)))
-    ix = F.floor(fx) if period else F.least(F.greatest(F.floor(fx), F.lit(0)), F.lit(max(nx - 2, 0)))
-    p = points.withColumn("_fy", fy - iy).withColumn("_fx", fx - ix).withColumn("_iy", iy.cast("int")).withColumn("_ix", ix.cast("int"))
-    inside = (fy >= -TOLERANCE) & (fy <= ny - 1 + TOLERANCE)
-    if not period:
-        inside = inside & (fx >= -TOLERANCE) & (fx <= nx - 1 + TOLERANCE)
-    p = p.withColumn("_inside", inside)
-    corner = [
-        F.struct(
-            (F.col("_iy") + j).cast("int").alias("y"),
-            (F.pmod(F.col("_ix") + i, F.lit(nx)) if period else F.col("_ix") + i).cast("int").alias("x"),
-            ((F.col("_fy") if j else 1 - F.col("_fy")) * (F.col("_fx") if i else 1 - F.col("_fx"))).alias("w"),
-        )
-        for j in (0, 1) for i in (0, 1)
-    ]
-    corners = F.filter(F.array(*corner), lambda c: c["w"] != 0)
-    return (
-        p.withColumn("_cs", corners)
-        .select("_ty", "_tx", "_inside", F.size("_cs").alias("_need"), F.explode("_cs").alias("_c"))
-        .select("_ty", "_tx", "_inside", "_need", F.col("_c.y").alias("y"), F.col("_c.x").alias("x"), F.col("_c.w").alias("_w"))
-    )
+    """Four corner weights for points ``(_ty, _tx, _lat, _lon)`` that follow no axis, between the points of any monotonic source axes.
+
+    The period holds if the source axis closes around the globe.
+    """
+    f_x = facts(src_x)[0]
+    if period and f_x.hi - f_x.lo < period - 1e-5 * period:
+        # An axis that does not close has ends; points are turned to its side of the globe first.
+        points = points.withColumn("_lon", F.pmod(F.col("_lon") - F.lit(f_x.lo), F.lit(period)) + F.lit(f_x.lo))
+        period = None
+    p = _between(points, "_lat", src_y, None).selectExpr("_ty", "_tx", "_lon", "inside AS _iy", "i0 AS _y0", "i1 AS _y1", "f AS _fy")
+    p = _between(p, "_lon", src_x, period)
+    corner = "struct(_y{j} AS y, i{i} AS x, {fy} * {fx} AS w)"
+    corners = [corner.format(j=j, i=i, fy="_fy" if j else "(1 - _fy)", fx="f" if i else "(1 - f)") for j in (0, 1) for i in (0, 1)]
+    p = p.selectExpr("_ty", "_tx", "_iy AND inside AS _inside", f"filter(array({', '.join(corners)}), c -> c.w <> 0) AS _cs")
+    return p.selectExpr("_ty", "_tx", "_inside", "size(_cs) AS _need", "inline(_cs)").selectExpr("_ty", "_tx", "_inside", "_need", "y", "x", "w AS _w")
 
 
 def apply_weights(
@@ -351,6 +416,26 @@ def apply_weights(
     return out.select(*by, "tgt_cell", F.when(~F.col("_masked"), res).alias(value))
 
 
+def to_mesh(
+    cells: DataFrame, src_y: DataFrame, src_x: DataFrame, faces: DataFrame, nodes: DataFrame, by: list[str] | None = None, value: str = "value",
+    start_index: int = 1, digits: int = 12,
+) -> DataFrame:
+    """A field on a regular grid to the faces of a mesh, conservatively: ``(by..., face_id, value)``.
+
+    A global source of one column is split first.  Faces that no source cell covers are absent; NaN that the source does not have raises.
+    """
+    s_y, s_x = facts(src_y, src_x)
+    if s_x.n == 1 and s_x.hi - s_x.lo > 180.0:
+        parts = 12
+        cells, src_x = split_column(cells, parts), regular_axis(cells.sparkSession, parts, s_x.lo, (s_x.hi - s_x.lo) / parts)
+        s_x = facts(src_x)[0]
+    weights = curved_weights(corners_from_axes(src_y, src_x, s_y.n, s_x.n), face_corners(faces, nodes, start_index).withColumnRenamed("face_id", "cell"))
+    numbered = cells.withColumn("src_cell", F.col("y").cast("long") * s_x.n + F.col("x"))
+    out = apply_weights(numbered, weights, by, value, normalise=True, digits=digits)
+    unexpected_nan(out, cells, value)
+    return out.withColumnRenamed("tgt_cell", "face_id")
+
+
 def split_column(cells: DataFrame, parts: int = 12) -> DataFrame:
     """A source with one global column becomes `parts` equal columns, so that cells are narrower than half the globe."""
     return cells.drop("x").withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))

@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import search_distance
+from gridloom.operators.fill import nearest_points
+from gridloom.operators.regions import components
 from gridloom.operators.stencil import FLOW_STEPS
-from gridloom.session import global_rank, lookup, materialise, row_count
+from gridloom.session import discard, global_rank, lookup, materialise, row_count
 
 SMALL_AMOUNT = 1e-5
 GROWTH = 1.1
-MAX_RIVERS = 3999
+#: Cuts after which the improved labels are merged into one table.
+MERGE_AFTER = 6
+#: Side of the tiles in which starts and cells meet.
+TILE = 64
 
 
 def _neighbours(cells: DataFrame, ny: int, nx: int, y: str = "y", x: str = "x") -> DataFrame:
@@ -34,34 +39,51 @@ def runoff_regions(runoff: DataFrame, ny: int, nx: int, hops: int = 4) -> DataFr
     """Add `root`: the number of the largest cell from which the cell is reached by steps that grow at most tenfold in
     a hundredth, i.e. from p to a neighbour c with r(c) <= 1.1 r(p).
 
-    Equivalent to repeatedly taking the largest cell left and claiming what it reaches.  Labels (-r, cell) spread along
-    edges and only cells that improved spread on; several hops share one lineage cut.
+    Equivalent to repeatedly taking the largest cell left and claiming what it reaches.  Neighbours that reach each other are contracted
+    first.  Then labels (-r, cell) spread along the edges between groups: only groups that improved spread on and are written, several
+    hops share one lineage cut, and the improvements are merged into the labels every few cuts.
     """
     number = (F.col("y").cast("long") * nx + F.col("x")).alias("cell")
     nodes = materialise(runoff.select("y", "x", "r", number))
     to = nodes.select(F.col("y").alias("ny_"), F.col("x").alias("nx_"), F.col("cell").alias("c"), F.col("r").alias("_rc"))
     edges = _neighbours(nodes, ny, nx).join(to, ["ny_", "nx_"]).filter((F.col("_rc") <= GROWTH * F.col("r")) & (F.col("c") != F.col("cell")))
-    edges = materialise(edges.select("cell", "c"))
-    start = F.struct((-F.col("r")).alias("r"), F.col("cell").alias("id"))
-    labels = materialise(nodes.select("cell", start.alias("label")))
-    frontier = labels
+    edges = materialise(edges.select(F.col("cell").alias("a"), F.col("c").alias("b"), (F.col("r") <= GROWTH * F.col("_rc")).alias("mutual")).distinct())
+    groups = materialise(components(nodes.select(F.col("cell").alias("node")), edges.filter("mutual").select("a", "b")))
+    of = groups.select(F.col("node").alias("cell"), F.col("root").alias("g"))
+    label = F.min(F.struct((-F.col("r")).alias("r"), F.col("cell").alias("id"))).alias("label")
+    base = materialise(nodes.join(of, "cell").groupBy("g").agg(label))
+    ends = edges.filter("NOT mutual").select("a", "b")
+    ends = ends.join(of.select(F.col("cell").alias("a"), F.col("g")), "a").join(of.select(F.col("cell").alias("b"), F.col("g").alias("h")), "b")
+    arcs = materialise(ends.filter("g <> h").select("g", "h").distinct())
+    discard(edges)
+    frontier, deltas = base, []
     while True:
-        state = labels.withColumn("moved", F.lit(False))
-        front = frontier
+        current = base
+        if deltas:
+            for d in deltas:
+                current = current.unionByName(d)
+            current = current.groupBy("g").agg(F.min("label").alias("label"))
+        found, front = None, frontier
         for _ in range(hops):
-            offer = front.join(edges, "cell").groupBy(F.col("c").alias("cell")).agg(F.min("label").alias("offer"))
-            state = state.join(offer, "cell", "left")
-            better = F.coalesce(F.col("offer") < F.col("label"), F.lit(False))
-            state = state.select(
-                "cell", F.least("label", "offer").alias("label"), (F.col("moved") | better).alias("moved"), better.alias("now")
-            )
-            front = state.filter("now").select("cell", "label")
-            state = state.drop("now")
-        state = materialise(state)
-        labels, frontier = state.select("cell", "label"), state.filter("moved").select("cell", "label")
-        if not frontier.limit(1).count():
+            offer = front.join(arcs, "g").groupBy(F.col("h").alias("g")).agg(F.min("label").alias("label"))
+            front = offer.join(current.withColumnRenamed("label", "_now"), "g").filter("label < _now").select("g", "label")
+            found = front if found is None else found.unionByName(front)
+        delta = materialise(found.groupBy("g").agg(F.min("label").alias("label")))
+        if not row_count(delta):
             break
-    return nodes.join(labels.select("cell", F.col("label.id").alias("root")), "cell")
+        deltas.append(delta)
+        frontier = delta
+        if len(deltas) == MERGE_AFTER:
+            whole = base
+            for d in deltas:
+                whole = whole.unionByName(d)
+            merged = materialise(whole.groupBy("g").agg(F.min("label").alias("label")))
+            discard(base, *deltas[:-1])
+            base, deltas = merged, []
+    labels = materialise(current)
+    discard(base, arcs, delta, *deltas)
+    out = nodes.join(of, "cell").join(labels, "g").select("y", "x", "r", "cell", F.col("label.id").alias("root"))
+    return out
 
 
 def region_totals(regions: DataFrame) -> DataFrame:
@@ -71,7 +93,7 @@ def region_totals(regions: DataFrame) -> DataFrame:
     )
 
 
-def number_rivers(regions: DataFrame, max_rivers: int | None = MAX_RIVERS, digits: int = 9) -> DataFrame:
+def number_rivers(regions: DataFrame, max_rivers: int | None = None, digits: int = 9) -> DataFrame:
     """Add `river`: 1 for the region with the largest total, ties to the region found first (largest cell, then number)."""
     totals = materialise(region_totals(regions).withColumn("_t", F.round("total", digits)))
     if max_rivers is not None and row_count(totals) > max_rivers:
@@ -140,8 +162,6 @@ def nearest_ocean_point(mouths: DataFrame, ocean: DataFrame) -> DataFrame:
     Longitudes above 180 are shifted first.  Plain degrees are a flat space, so the same box tree as on the sphere serves,
     scaled into it.
     """
-    from gridloom.operators.fill import nearest_points
-
     lon = F.when(F.col("lon") > 180, F.col("lon") - 360).otherwise(F.col("lon"))
     scale = 1000.0
     q = mouths.select("id", (lon / scale).alias("px"), (F.col("lat") / scale).alias("py"), F.lit(0.0).alias("pz"))
@@ -150,51 +170,72 @@ def nearest_ocean_point(mouths: DataFrame, ocean: DataFrame) -> DataFrame:
 
 
 def _diamond(starts: DataFrame, cells: DataFrame, ny: int, nx: int, reach: int) -> DataFrame:
-    """Pairs (start, cell) within Manhattan distance `reach`; columns wrap.  Tiles of that size meet by equality."""
-    size = max(reach, 1)
-    s = starts.withColumn("_ty", F.explode(F.sequence(F.floor((F.col("sy") - reach) / size), F.floor((F.col("sy") + reach) / size))))
-    # Columns wrap, and the last tile may be narrower: take every tile the diamond can touch, once.
-    tile = F.array_distinct(F.transform(F.sequence(F.col("sx") - reach, F.col("sx") + reach, F.lit(1)), lambda v: F.floor(F.pmod(v, F.lit(nx)) / size)))
-    s = s.withColumn("_tx", F.explode(tile))
-    c = cells.withColumn("_ty", F.floor(F.col("y") / size)).withColumn("_tx", F.floor(F.col("x") / size))
+    """Pairs (start, cell) within Manhattan distance `reach`; columns wrap.  Tiles of at most `TILE` rows and columns meet by equality."""
+    size = max(min(reach, TILE), 1)
+    low, high = f"greatest(sy - {reach}, 0)", f"least(sy + {reach}, {ny - 1})"
+    if 2 * reach + 1 >= nx:
+        across = f"sequence(0, {(nx - 1) // size})"
+    else:
+        # Columns wrap, and the last tile may be narrower: the part that leaves the grid on one side comes in on the other.
+        west, east = f"sx - {reach}", f"sx + {reach}"
+        inside = f"sequence(CAST(greatest({west}, 0) DIV {size} AS INT), CAST(least({east}, {nx - 1}) DIV {size} AS INT))"
+        before = f"IF({west} < 0, sequence(CAST(({west} + {nx}) DIV {size} AS INT), {(nx - 1) // size}), array())"
+        after = f"IF({east} >= {nx}, sequence(0, CAST(({east} - {nx}) DIV {size} AS INT)), array())"
+        across = f"array_distinct(concat({inside}, {before}, {after}))"
+    s = starts.withColumn("_ty", F.expr(f"explode(sequence(CAST({low} DIV {size} AS INT), CAST({high} DIV {size} AS INT)))"))
+    s = s.withColumn("_tx", F.expr(f"explode({across})"))
+    c = cells.withColumn("_ty", F.expr(f"CAST(y DIV {size} AS INT)")).withColumn("_tx", F.expr(f"CAST(x DIV {size} AS INT)"))
     dx = F.abs(F.col("x") - F.col("sx"))
     # The walk never counts its own start at distance zero: it comes back to it after a step if it lies on an edge row,
     # else after a whole turn.
     own = (F.col("y") == F.col("sy")) & (F.col("x") == F.col("sx"))
     edge = F.col("sy").isin(0, ny - 1)
     d = F.when(own, F.when(edge, 1).otherwise(nx)).otherwise(F.abs(F.col("y") - F.col("sy")) + F.least(dx, F.lit(nx) - dx))
-    return s.join(c, ["_ty", "_tx"]).withColumn("d", d).drop("_ty", "_tx")
+    return s.join(c, ["_ty", "_tx"]).withColumn("d", d).filter(F.col("d") <= reach).drop("_ty", "_tx")
 
 
-def diamond_search(starts: DataFrame, numbered: DataFrame, shore: DataFrame, ny: int, nx: int, limit: int = 1000) -> DataFrame:
+def diamond_search(starts: DataFrame, numbered: DataFrame, shore: DataFrame, ny: int, nx: int) -> DataFrame:
     """River number for each start ``(id, sy, sx, min_distance)`` among outflow cells ``(y, x, river)``.
 
     The radius is min_distance or, if larger, the distance to the first outflow or coastal cell.  The lowest number within
-    the radius wins; NULL means that only coast is in reach.  Starts with nothing in reach try again with a wider diamond,
-    so wide searches happen only where needed.
+    the radius wins; a NULL river means that only coast is in reach, with a NULL radius that the grid has neither.  Each start
+    begins with its own min_distance, and those with nothing in reach go on with twice the reach, up to the whole grid.
     """
     outs = numbered.filter("river > 0").select("y", "x", "river", F.lit(True).alias("_out"))
     cells = outs.unionByName(shore.select("y", "x", F.lit(None).cast("int").alias("river"), F.lit(False).alias("_out")))
     cells = materialise(cells)
-    pending, results = starts, []
-    reach = starts.agg(F.max("min_distance")).first()[0]
-    if reach is None:
-        return starts.select("id", F.lit(None).cast("int").alias("river"), F.lit(None).cast("int").alias("radius"))
-    while True:
-        near = _diamond(pending, cells, ny, nx, reach).filter(F.col("d") <= reach)
-        first = F.greatest(F.min("d").over(Window.partitionBy("id")), F.col("min_distance"))
-        near = near.withColumn("radius", first).filter(F.col("d") <= F.col("radius"))
-        best = near.groupBy("id").agg(F.min("river").alias("river"), F.max("radius").cast("int").alias("radius"))
-        best = materialise(best)
+    # No two cells are further apart than this, a start from itself neither.
+    top = max((ny + nx - 1).bit_length(), 1)
+    first_level = F.least(F.ceil(F.log2(F.greatest(F.col("min_distance"), F.lit(1)).cast("double"))).cast("int"), F.lit(top))
+    pending = materialise(starts.select("id", "sy", "sx", "min_distance", first_level.alias("_level")))
+    results = [pending.limit(0).select("id", F.lit(None).cast("int").alias("river"), F.lit(None).cast("int").alias("radius"))]
+    level = (pending.agg(F.min("_level")).first()[0] if row_count(pending) else 0) or 0
+    while row_count(pending):
+        near = _diamond(pending.filter(F.col("_level") <= level), cells, ny, nx, 1 << level)
+        radius = F.greatest(F.min("d").over(Window.partitionBy("id")), F.col("min_distance"))
+        near = near.withColumn("radius", radius).filter(F.col("d") <= F.col("radius"))
+        best = materialise(near.groupBy("id").agg(F.min("river").alias("river"), F.max("radius").cast("int").alias("radius")))
         results.append(best)
-        pending = materialise(pending.join(best, "id", "left_anti"))
-        if not row_count(pending) or reach >= min(limit, ny + nx):
+        left = materialise(pending.join(best, "id", "left_anti"))
+        discard(pending)
+        pending, level = left, level + 1
+        if level > top:
             break
-        reach = min(reach * 3, limit, ny + nx)
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)
-    return out
+    lost = pending.select("id", F.lit(None).cast("int").alias("river"), F.lit(None).cast("int").alias("radius"))
+    return out.unionByName(lost)
+
+
+def _within(starts: DataFrame, cells: DataFrame, ny: int, nx: int) -> DataFrame:
+    """Pairs of starts ``(id, sy, sx, radius, ...)`` and cells no further than the start's own radius, with their distance `d`."""
+    level = F.ceil(F.log2(F.greatest(F.col("radius"), F.lit(1)).cast("double"))).cast("int")
+    levels = sorted(r[0] for r in starts.select(level).distinct().collect() if r[0] is not None)  # a few dozen at most
+    out = _diamond(starts.limit(0), cells, ny, nx, 1)
+    for lv in levels:
+        out = out.unionByName(_diamond(starts.filter(level == lv), cells, ny, nx, 1 << lv))
+    return out.filter(F.col("d") <= F.col("radius"))
 
 
 def link_mouths(
@@ -202,13 +243,13 @@ def link_mouths(
 ) -> tuple[DataFrame, DataFrame]:
     """Ocean river number per mouth ``(id, lat, lon, sequence)``, and the ocean cells that got new numbers.
 
-    Mouths with an outflow in reach take its number.  The others look along the coast: sea cells that already have a
-    number give it; otherwise mouths whose free sea cells overlap share one new number, given out in order of their
-    smallest id.  (All mouths see the numbering as it was at the start, so the result does not depend on their order.)
-    Without any sea cell the number is -2.
-    """
-    from gridloom.operators.regions import components
+    The result is that of taking the mouths one by one in order of their id: a mouth takes the lowest number within its radius; with only
+    coast there, the lowest number of the sea cells near that coast; if these have none, a new number, which they get and which later
+    mouths see; without such sea cells -2.
 
+    Only mouths that could meet cells of an earlier mouth's new number have to wait.  Each round settles all mouths none of whose cells
+    belong to an unsettled earlier mouth that may make a number, so rounds grow with the longest chain of such mouths, not with their number.
+    """
     near = nearest_ocean_point(mouths, ocean.select((F.col("y").cast("long") * nx + F.col("x")).alias("point"), "nav_lat", "nav_lon"))
     starts = materialise(
         mouths.join(near.select("id", "point"), "id").select(
@@ -217,27 +258,46 @@ def link_mouths(
         )
     )
     shore = materialise(coastal(sea, ny, nx))
-    hit = materialise(diamond_search(starts, numbered, shore, ny, nx))
-    direct = hit.filter("river IS NOT NULL").select("id", "river")
-    rest = materialise(starts.join(hit.filter("river IS NULL"), "id"))
-    if not row_count(rest):
-        return direct, numbered.limit(0).select("y", "x", "river")
-    widest = rest.agg(F.max("radius")).first()[0]
-    land = _diamond(rest, shore, ny, nx, widest).filter(F.col("d") <= F.col("radius")).select("id", "y", "x")
-    wet = materialise(coastal_walk(land, sea, ny, nx, 3))
-    known = wet.join(numbered.filter("river > 0").select("y", "x", "river"), ["y", "x"], "left")
-    taken = known.groupBy("id").agg(F.min("river").alias("river")).filter("river IS NOT NULL")
-    free = known.join(taken.select("id"), "id", "left_anti").select("id", "y", "x")
-    links = free.select((F.col("id") + 1).alias("a"), (-(F.col("y").cast("long") * nx + F.col("x")) - 1).alias("b"))
-    groups = components(links.select(F.col("a").alias("node")).distinct(), links)
-    mates = groups.filter("node > 0").select((F.col("node") - 1).alias("id"), F.col("root").alias("_g"))
-    lead = mates.groupBy("_g").agg(F.min("id").alias("_lead"))
+    found = materialise(starts.join(diamond_search(starts, numbered, shore, ny, nx), "id"))
+    # New numbers are larger than all others, so they matter only where they come nearer than what was found.
+    sure = (F.col("river").isNotNull() & (F.col("radius") <= F.col("min_distance"))) | F.col("radius").isNull()
+    settled = [found.filter(sure).select("id", F.coalesce("river", F.lit(-2)).alias("river"), F.lit(None).cast(starts.schema["id"].dataType).alias("lead"))]
+    rest = materialise(found.filter(~sure))
+    coast = _within(rest.filter("river IS NULL"), shore, ny, nx).select("id", "y", "x")
+    wet = materialise(coastal_walk(coast, sea, ny, nx, 3))
+    old = wet.join(numbered.filter("river > 0").select("y", "x", "river"), ["y", "x"]).groupBy("id").agg(F.min("river").alias("old"))
+    some = wet.select("id").distinct().withColumn("_wet", F.lit(True))
+    kind = F.when(F.col("river").isNotNull(), "reach").when(F.col("old").isNotNull(), "coast").when(F.col("_wet"), "new").otherwise("inland")
+    live = materialise(rest.join(old, "id", "left").join(some, "id", "left").select("id", "sy", "sx", "min_distance", "radius", F.coalesce("river", "old").alias("river"), kind.alias("kind")))
+    makers = materialise(wet.join(live.filter("kind = 'new'").select("id"), "id", "left_semi"))
+    near_cells = _within(live, makers.select("y", "x").distinct(), ny, nx).filter("kind <> 'reach' OR d < radius").select("id", "y", "x", "d")
+    cells = materialise(near_cells.unionByName(makers.select("id", "y", "x", F.lit(None).cast("int").alias("d"))))
+    assigned = materialise(makers.limit(0).select("y", "x", F.col("id").alias("lead")))
+    while row_count(live):
+        first = makers.join(live.select("id"), "id", "left_semi").groupBy("y", "x").agg(F.min("id").alias("_maker"))
+        waits = cells.join(first, ["y", "x"]).filter(F.col("_maker") < F.col("id")).select("id").distinct()
+        ready = materialise(live.join(waits, "id", "left_anti"))
+        seen = cells.join(assigned, ["y", "x"]).join(ready.select("id", "min_distance"), "id")
+        reach = F.greatest(F.min("d").over(Window.partitionBy("id")), F.col("min_distance"))
+        seen = seen.withColumn("_reach", reach).groupBy("id").agg(
+            F.min(F.when(F.col("d") <= F.col("_reach"), F.col("lead"))).alias("_near"), F.min(F.when(F.col("d").isNull(), F.col("lead"))).alias("_along"))
+        lead = F.coalesce(F.col("_near"), F.when(F.col("kind") == "new", F.coalesce("_along", "id")))
+        done = materialise(ready.join(seen, "id", "left").select(
+            "id", F.when(lead.isNull(), F.when(F.col("kind") == "inland", -2).otherwise(F.col("river"))).alias("river"), lead.alias("lead")))
+        settled.append(done)
+        fresh = makers.join(done.filter("lead = id").select("id"), "id", "left_semi").select("y", "x", F.col("id").alias("lead"))
+        more = materialise(assigned.unionByName(fresh))
+        left = materialise(live.join(ready.select("id"), "id", "left_anti"))
+        discard(assigned, live, ready)
+        assigned, live = more, left
     top = numbered.agg(F.max("river")).first()[0] or 0
-    fresh = global_rank(lead, [F.asc("_lead")], "_k").select("_g", (F.col("_k") + top).cast("int").alias("river"))
-    given = materialise(mates.join(fresh, "_g").select("id", "river"))
-    inland = rest.select("id").join(wet.select("id"), "id", "left_anti").select("id", F.lit(-2).alias("river"))
-    new_cells = free.join(given, "id").select("y", "x", "river").distinct()
-    return direct.unionByName(taken).unionByName(given).unionByName(inland), new_cells
+    every = settled[0]
+    for part in settled[1:]:
+        every = every.unionByName(part)
+    leads = assigned.select("lead").distinct()
+    number = materialise(global_rank(leads, [F.asc("lead")], "_k").select("lead", (F.col("_k") + top).cast("int").alias("_new")))
+    linked = lookup(every, number, ["lead"], "left").select("id", F.coalesce("_new", "river").cast("int").alias("river"))
+    return linked, lookup(assigned, number, ["lead"]).select("y", "x", F.col("_new").alias("river"))
 
 
 def close_gaps(ocean: DataFrame, land: DataFrame, river: str = "river") -> tuple[DataFrame, DataFrame]:

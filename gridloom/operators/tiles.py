@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import pandas as pd
@@ -9,53 +10,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _tile(index: str, n: int, parts: int):
-    """Tile number along one axis; tiles are equally long and the remainder goes to the last one."""
-    size = max(n // parts, 1)
-    return F.least(F.floor(F.col(index) / size), F.lit(parts - 1)).cast("int")
+#: Cells of a tile without its halo: what an operation gets does not grow with the grid.
+TILE_CELLS = 250_000
+
+
+def tile_shape(ny: int, nx: int, cells: int = TILE_CELLS) -> tuple[int, int]:
+    """Rows and columns of a tile: as square as the grid allows, at most `cells` cells."""
+    side = max(math.isqrt(cells), 1)
+    rows = min(ny, max(side, cells // max(nx, 1)))
+    return max(rows, 1), max(min(nx, cells // max(rows, 1)), 1)
+
+
+def _places(index: str, size: int, n: int, halo: int, circular: bool) -> str:
+    """SQL for the tiles along one axis that hold an index, as ``(t, s)``: tile number and by how much the index is shifted for it."""
+    last = (n - 1) // size
+    out = []
+    for shift in (0, n, -n) if circular else (0,):
+        at = f"({index} + {shift})"
+        first, final = f"greatest(CAST(floor(({at} - {halo}) / {size}) AS INT), 0)", f"least(CAST(floor(({at} + {halo}) / {size}) AS INT), {last})"
+        tiles = f"IF({first} <= {final}, sequence({first}, {final}), array())"
+        # The last tile may be narrower than the others: what lies beyond its halo does not belong to it.
+        near = f"filter({tiles}, t -> {at} >= t * {size} - {halo} AND {at} < least((t + 1) * {size}, {n}) + {halo})"
+        out.append(f"transform({near}, t -> named_struct('t', t, 's', {shift}))")
+    return f"concat({', '.join(out)})"
 
 
 def apply_tiled(
     cells: DataFrame, operation: Callable[[pd.DataFrame], pd.DataFrame], schema: str, ny: int, nx: int,
-    split_y: int, split_x: int, halo: int = 0, circular: bool = True, by: list[str] | None = None,
+    tile: tuple[int, int] | None = None, halo: int = 0, circular: bool = True, by: list[str] | None = None,
 ) -> DataFrame:
-    """Run `operation` on each tile as a pandas frame.
+    """Run `operation` on each tile (rows and columns given by `tile`, else by a budget of cells) as a pandas frame.
 
     The frame holds the tile's rows (``_own`` true) and copies of the rows up to `halo` cells around it; those keep their
     place in the index space of the tile, so x may leave 0..nx-1.  The operation returns rows of its own cells only.
     """
     by = by or []
-    sy, sx = max(ny // split_y, 1), max(nx // split_x, 1)
-    out = cells.withColumn("_ty", _tile("y", ny, split_y)).withColumn("_tx", _tile("x", nx, split_x)).withColumn("_own", F.lit(True))
-    if halo:
-        ends = [F.lit(ny if t == split_y - 1 else (t + 1) * sy) for t in range(split_y)]
-        rights = [F.lit(nx if t == split_x - 1 else (t + 1) * sx) for t in range(split_x)]
-        near_y = F.filter(
-            F.sequence(F.lit(0), F.lit(split_y - 1)),
-            lambda t: (F.col("y") >= t * sy - halo) & (F.col("y") < F.element_at(F.array(*ends), t + 1) + halo),
-        )
-        turns = F.array(F.lit(0), F.lit(nx), F.lit(-nx)) if circular else F.array(F.lit(0))
-        near_x = F.flatten(F.transform(turns, lambda s: F.transform(
-            F.filter(
-                F.sequence(F.lit(0), F.lit(split_x - 1)),
-                lambda t: (F.col("x") + s >= t * sx - halo) & (F.col("x") + s < F.element_at(F.array(*rights), t + 1) + halo),
-            ),
-            lambda t: F.struct(t.alias("t"), s.alias("s")),
-        )))
-        home = F.struct("_ty", "_tx")
-        out = out.withColumn("_home", home).withColumn("_ty", F.explode(near_y)).withColumn("_p", F.explode(near_x))
-        out = out.withColumn("_tx", F.col("_p.t")).withColumn("x", F.col("x") + F.col("_p.s"))
-        out = out.withColumn("_own", (F.col("_home") == F.struct("_ty", "_tx")) & (F.col("_p.s") == 0)).drop("_home", "_p")
-    return out.groupBy(*by, "_ty", "_tx").applyInPandas(operation, schema)
+    sy, sx = tile or tile_shape(ny, nx)
+    out = cells.withColumn("_py", F.expr(f"explode({_places('y', sy, ny, halo, False)})")).withColumn("_px", F.expr(f"explode({_places('x', sx, nx, halo, circular)})"))
+    own = F.expr(f"_py.t = y DIV {sy} AND _px.t = x DIV {sx} AND _px.s = 0")
+    out = out.withColumn("_own", own).withColumn("_ty", F.col("_py.t")).withColumn("_tx", F.col("_px.t")).withColumn("x", (F.col("x") + F.col("_px.s")).cast("int"))
+    return out.drop("_py", "_px").groupBy(*by, "_ty", "_tx").applyInPandas(operation, schema)
 
 
 def apply_tiled_pair(
     source: DataFrame, target: DataFrame, operation: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str,
-    ny: int, nx: int, split_y: int, split_x: int,
+    ny: int, nx: int, tile: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Run an operation on matching tiles of two fields on one grid."""
-    tiled = [
-        df.withColumn("_ty", _tile("y", ny, split_y)).withColumn("_tx", _tile("x", nx, split_x)).groupBy("_ty", "_tx")
-        for df in (source, target)
-    ]
+    sy, sx = tile or tile_shape(ny, nx)
+    tiled = [df.withColumn("_ty", F.expr(f"CAST(y DIV {sy} AS INT)")).withColumn("_tx", F.expr(f"CAST(x DIV {sx} AS INT)")).groupBy("_ty", "_tx") for df in (source, target)]
     return tiled[0].cogroup(tiled[1]).applyInPandas(operation, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.session import attach, lookup
+from gridloom.session import attach, lookup, materialise
 
 
 def year_range(cells: DataFrame, begin: int, end: int, year: str = "year", by: list[str] | None = None, strict: bool = True) -> DataFrame:
@@ -28,7 +28,8 @@ def split_climatologies(cells: DataFrame, climatology: bool, field: str = "field
     """Fields with exactly 12 times, or all the others."""
     n = cells.groupBy(field).agg(F.countDistinct(t).alias("_n"))
     keep = n.filter(F.col("_n") == 12 if climatology else F.col("_n") != 12).select(field)
-    return cells.join(keep, field, "left_semi")
+    # A few fields may hold all cells, so the list of fields is looked up, not shuffled to.
+    return lookup(cells.filter(F.col(field).isNotNull()), keep.filter(F.col(field).isNotNull()), [field]).select(*cells.columns)
 
 
 def month_bounds(year: Column, month: Column) -> Column:
@@ -143,16 +144,14 @@ def pad_ends(
 
     Afterwards times are numbered as 30-day months per field, at mid-month.
     """
-    kept = cells.filter(~F.col(year).isin([first_year, *range(last_year - repeat_last + 1, last_year + 1)]))
-    head = cells.filter(F.col(year) == copy_first).withColumn(year, F.lit(first_year))
-    tail = cells.filter(F.col(year) == copy_last).withColumn(
-        year, F.explode(F.array(*[F.lit(last_year - k) for k in range(repeat_last)]))
-    )
-    out = kept.unionByName(head).unionByName(tail)
+    tail = list(range(last_year - repeat_last + 1, last_year + 1))
+    y = F.col(year)
+    # One scan: every row says in which years it appears.
+    years = F.array(F.when(~y.isin([first_year, *tail]), y), F.when(y == copy_first, F.lit(first_year)), *[F.when(y == copy_last, F.lit(t)) for t in tail])
+    out = materialise(cells.withColumn(year, F.explode(F.array_compact(years))))
     steps = out.select(*key, year, month).distinct()
     n = F.row_number().over(Window.partitionBy(*key).orderBy(year, month)) - 1
-    steps = steps.withColumn("days", n * 30 + 15)
-    return out.join(steps, key + [year, month])
+    return lookup(out, steps.withColumn("days", n * 30 + 15), key + [year, month])
 
 
 def climatology_records(records: DataFrame, year: int, by: list[str]) -> DataFrame:

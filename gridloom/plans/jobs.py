@@ -49,20 +49,8 @@ def fill_and_merge(
     """
     other = other or []
     y, x = grid
-    ya = y.select(F.col("idx").alias("y"), F.col("point").alias("lat"))
-    xa = x.select(F.col("idx").alias("x"), F.col("point").alias("lon"))
-
-    def placed(df):
-        return df.join(ya, "y").join(xa, "x")
-
-    p = primary
-    if outline is not None:
-        p = merge.inside_polygons(p, outline, y, x)
-    out = merge.merge(placed(p), placed(alternate), other, "inside" if outline is not None else None)
-    # Axis points were rounded in the merge, so they are matched the same way on the way back.
-    from gridloom.functions.columns import tolerant_key
-
-    out = out.join(ya.withColumn("lat", tolerant_key(F.col("lat"))), "lat").join(xa.withColumn("lon", tolerant_key(F.col("lon"))), "lon").drop("lat", "lon")
+    p = primary if outline is None else merge.inside_polygons(primary, outline, y, x)
+    out = merge.merge(p, alternate, other, None if outline is None else "inside", place=("y", "x"), exact=True)
     if mask is not None:
         out = fill.make_consistent(materialise(out), mask, y, x, invert=invert, circular=circular, by=other)
     return out
@@ -102,9 +90,15 @@ def c4_injection(fractions: DataFrame, c4: DataFrame, c4_axes: Axes, target: Axe
 def prepare_fine_classes(
     codes: DataFrame, grid: Axes, polar: DataFrame, polar_axes: Axes, lakes: DataFrame, ocean_lakes: DataFrame,
     limit: float = -60.0, snow_class: int = 15, water: int = -46, lake: int = -47, ocean: int = -45,
-) -> DataFrame:
-    """Fine class field: polar cap from a second source, gaps filled, named lakes marked as ocean or as resolved lakes."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fine class field with class names, and its axes with their outer bounds on the poles and on the date line.
+
+    The polar cap comes from a second source, gaps are filled, named lakes are marked as ocean or as resolved lakes.
+    """
     y, x = grid
+    south_first = ax.facts(y)[0].first == 0
+    y = ax.set_outer_bounds(y, *((-90.0, 90.0) if south_first else (90.0, -90.0)))
+    x = ax.set_outer_bounds(x, -180.0, 180.0)
     nx = ax.facts(x)[0].n
     cap = y.filter(F.col("point") < limit)
     snow = polar.select("y", "x", (F.col("code") == snow_class).cast("double").alias("value"))
@@ -114,7 +108,9 @@ def prepare_fine_classes(
     out = fill.fill_missing(as_value, y, x).select("y", "x", F.col("value").cast("int").alias("code"))
     out = materialise(out)
     out = regions.fill_lakes(out, ocean_lakes, y, x, nx, [water], ocean)
-    return regions.fill_lakes(materialise(out), lakes, y, x, nx, [water], lake)
+    out = regions.fill_lakes(materialise(out), lakes, y, x, nx, [water], lake)
+    names = legend(out.sparkSession, "cci").withColumnRenamed("flag_value", "code")
+    return out.join(F.broadcast(names), "code", "left"), y, x
 
 
 def prepare_coarse_classes(codes: DataFrame, climate_classes: DataFrame, grid: Axes, ocean_class: int = 15) -> DataFrame:
@@ -174,7 +170,7 @@ def river_routing(
 
 def river_numbers(
     runoff: DataFrame, ocean: DataFrame, sea: DataFrame, mouths: DataFrame, ny: int, nx: int, scaling: float,
-    max_rivers: int | None = rivers.MAX_RIVERS,
+    max_rivers: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Numbered ocean table ``(y, x, nav_lat, nav_lon, river)`` and mouths ``(id, river)`` without unused numbers.
 
@@ -212,10 +208,10 @@ def topographic_index(index: DataFrame, source: Axes, target: Axes, fractions: D
         "y", "x", (F.col("value") > 0).alias("ice"), F.col("value").isNull().alias("gone")
     )
     flags = materialise(ice.select("y", "x", "gone", F.coalesce("ice", F.lit(False)).alias("ice")))
-    mapping = materialise(fill.nearest_valid(
+    mapping = fill.nearest_valid(
         both.join(flags, ["y", "x"], "left"), *target, circular=bool(period),
         wanted=~F.coalesce(F.col("ice") | F.col("gone"), F.lit(False)),
-    ))
+    )
     out = fill.apply_mapping(fill.apply_mapping(both, mapping), mapping, value="stdev").join(flags, ["y", "x"], "left")
     for c in ("value", "stdev"):
         out = out.withColumn(c, F.when(F.col("ice"), 0.0).when(~F.coalesce("gone", F.lit(False)), F.col(c)))

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -12,8 +10,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only when it has at most this many rows (rows here are a handful of numbers wide).
 BROADCAST_ROWS = 500_000
-#: A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE hot keys.
-HOT_SHARE = 1000
+#: A key is hot when it has more than HOT_ROWS rows and more than 1/HOT_SHARE of the rows of such keys, so there are fewer than HOT_SHARE hot keys.
+HOT_SHARE, HOT_ROWS = 1000, 10_000
 
 
 def get_session(app: str = "gridloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -26,18 +24,16 @@ def get_session(app: str = "gridloom", master: str | None = None, **conf: str) -
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder lineage cuts are written to: the cluster's own; a temporary one only for local sessions."""
+    """The folder lineage cuts are written to: `spark.checkpoint.dir`, and where it is unset a folder in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="gridloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/stages"
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
 _ROWS: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -51,9 +47,20 @@ def materialise(df: DataFrame) -> DataFrame:
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _ROWS[out] = seen.get.get("rows", 0)
+    _PATHS[out] = path
     return out
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing reads any more; others are passed over."""
+    for table in tables:
+        path = _PATHS.pop(table, None)
+        if path:
+            context = table.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def row_count(table: DataFrame) -> int:
     """Rows of a materialised table."""
     if table not in _ROWS:
@@ -77,29 +84,25 @@ def small(df: DataFrame, at_most: int | None = None, rows: int = BROADCAST_ROWS)
 def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", at_most: int | None = None) -> DataFrame:
     """Equi-join of `left` with `right`, whose rows are unique in `on`, safe for hot keys on the left.
 
-    A right side proven small, by the bound `at_most` or by a count, is broadcast.  Otherwise keys that hold more than 1/HOT_SHARE of the left rows are joined by
-    broadcasting their (fewer than HOT_SHARE) right rows, and the remaining keys by an ordinary shuffled join.
+    A right side proven small, by the bound `at_most` or by a count, is broadcast.  Otherwise both are shuffled, and keys with more than
+    HOT_ROWS left rows that hold more than 1/HOT_SHARE of the rows of such keys (so there are fewer than HOT_SHARE) are salted: their left
+    rows go to several tasks, their right rows to each of these.  Both ways give the same rows: NaN equals NaN and NULL matches nothing.
     """
     if at_most <= BROADCAST_ROWS if at_most is not None else is_small(right):
         return left.join(F.broadcast(right), on, how)
-    known = left.dropna(subset=on)
-    counts = materialise(known.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    hot = F.broadcast(counts.filter(F.col("_n") > max(total / HOT_SHARE, 10_000)).select(*on, F.lit(True).alias("_hot")))
-    marked = known.join(hot, on, "left")
-    cold_part = marked.filter("_hot IS NULL").drop("_hot").join(right, on, how)
-    hot_right = F.broadcast(right.join(hot, on, "left_semi"))
-    out = cold_part.unionByName(marked.filter("_hot").drop("_hot").join(hot_right, on, how))
-    if how == "left":
-        # Rows without a key match nothing; kept out of the shuffle they cannot pile up in one task.
-        missing = F.lit(False)
-        for c in on:
-            missing = missing | F.col(c).isNull()
-        rest = left.filter(missing)
-        for c, t in right.drop(*on).dtypes:
-            rest = rest.withColumn(c, F.lit(None).cast(t))
-        out = out.unionByName(rest)
-    return out
+    often = materialise(left.dropna(subset=[c for c, t in left.dtypes if c in on and t not in ("float", "double")])
+                        .groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_ROWS))
+    total = often.agg(F.sum("_n")).first()[0] if row_count(often) else 0
+    salts = F.least(F.ceil(F.col("_n") / HOT_ROWS), F.lit(HOT_SHARE)).cast("int")
+    hot = F.broadcast(often.filter(F.col("_n") > total / HOT_SHARE).select(*on, salts.alias("_salts")))
+    missing = F.lit(False)
+    for c in on:
+        missing = missing | F.col(c).isNull()
+    # Rows without a key match nothing; they are spread, so that they cannot pile up in one task.
+    spread = F.when(missing, F.lit(HOT_SHARE)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted = left.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*left.columns), spread).cast("int")).drop("_salts")
+    copies = right.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
 def attach(df: DataFrame, by: list[str], *aggs: Column) -> DataFrame:

@@ -172,12 +172,15 @@ def write_mesh(faces: DataFrame, nodes: DataFrame, path: str) -> None:
 
 
 def mesh_fields_consistent(fields: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Per field: is its name unique, and does it sit on the topology all others use?  Topology is compared by digest."""
-    f = fields.groupBy("field_id", "name").agg(F.sum(F.xxhash64(*(keys or ["face_id", "lat", "lon"])).cast("decimal(38,0)")).alias("_d"), F.count(F.lit(1)).alias("faces"))
+    """Per field: is its name unique, and do all fields sit on one topology, i.e. on the same rows of `keys`?"""
+    keys = keys or ["face_id", "lat", "lon"]
+    f = fields.groupBy("field_id", "name").agg(F.count(F.lit(1)).alias("faces"))
     names = f.groupBy("name").agg(F.count(F.lit(1)).alias("_uses"))
-    usual = f.agg(F.min("_d").alias("_d0"), F.max("_d").alias("_d1")).first()
-    same = F.lit(usual["_d0"] == usual["_d1"])
-    return f.join(names, "name").select("field_id", "name", "faces", (F.col("_uses") == 1).alias("unique_name"), same.alias("same_topology"))
+    n = f.select("field_id").distinct().count()
+    per = fields.groupBy("field_id", *keys).agg(F.count(F.lit(1)).alias("_c"))
+    shared = per.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_c").alias("_a"), F.max("_c").alias("_b"))
+    same = shared.filter((F.col("_n") != n) | (F.col("_a") != F.col("_b"))).limit(1).count() == 0
+    return f.join(names, "name").select("field_id", "name", "faces", (F.col("_uses") == 1).alias("unique_name"), F.lit(same).alias("same_topology"))
 
 
 def ocean_river_table(interior: DataFrame, positions: DataFrame) -> DataFrame:

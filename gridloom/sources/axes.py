@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import TOLERANCE, isclose, tolerant_key, wrap_lon
+from gridloom.session import lookup
 
 
 class Facts(NamedTuple):
@@ -246,6 +247,24 @@ def reverse(axis: DataFrame, n: int) -> DataFrame:
     return axis.select((F.lit(n - 1) - F.col("idx")).cast("int").alias("idx"), "point", F.col("hi").alias("lo"), F.col("lo").alias("hi"))
 
 
+def ascending(axis: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Axes numbered so that points ascend: those that descend are counted from the other end, their bounds swapped."""
+    by = by or []
+    ends = axis.groupBy(*by).agg((F.min_by("point", "idx") > F.max_by("point", "idx")).alias("_flip"), F.max("idx").alias("_last"))
+    out = lookup(axis, ends, by) if by else axis.join(F.broadcast(ends))  # one row
+    number = F.when(F.col("_flip"), F.col("_last") - F.col("idx")).otherwise(F.col("idx")).cast("int").alias("idx")
+    bounds = [F.when(F.col("_flip"), F.col(b)).otherwise(F.col(a)).alias(a) for a, b in (("lo", "hi"), ("hi", "lo")) if a in axis.columns]
+    return out.select(*by, number, "point", *bounds)
+
+
+def ascending_cells(cells: DataFrame, axis: DataFrame, index: str = "y", by: list[str] | None = None) -> DataFrame:
+    """Cells renumbered along one axis the way `ascending` renumbers that axis."""
+    by = by or []
+    ends = axis.groupBy(*by).agg((F.min_by("point", "idx") > F.max_by("point", "idx")).alias("_flip"), F.max("idx").alias("_last"))
+    out = lookup(cells, ends, by) if by else cells.join(F.broadcast(ends))  # one row
+    return out.withColumn(index, F.when(F.col("_flip"), F.col("_last") - F.col(index)).otherwise(F.col(index)).cast("int")).drop("_flip", "_last")
+
+
 def overlapping_indices(axis: DataFrame, low: float, high: float, pad: int = 0, period: float | None = None) -> DataFrame:
     """Indices of the cells that overlap (low, high) at all, widened by `pad` cells; raises when there are none.
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import isclose
-from gridloom.session import attach, lookup
+from gridloom.operators.regrid import same_grid
+from gridloom.session import attach, lookup, small
+from gridloom.sources.axes import facts, grid_cells
 
 
 def load_fields(spark: SparkSession, paths: list[str] | str, names: list[str] | None = None) -> DataFrame:
@@ -43,21 +47,22 @@ def land_mask(fields: DataFrame, threshold: float | None = None) -> DataFrame:
     return first.select("y", "x", F.col("value").isNotNull().alias("land"))
 
 
-def load_grid(y: DataFrame, x: DataFrame, levels: DataFrame | None = None, orography: DataFrame | None = None) -> DataFrame:
+def load_grid(
+    y: DataFrame, x: DataFrame, levels: DataFrame | None = None, orography: DataFrame | None = None,
+    others: Sequence[tuple[DataFrame | None, DataFrame | None]] = (),
+) -> DataFrame:
     """Target cells from separate horizontal, vertical and surface parts; altitude = height + sigma * orography.
 
-    Levels ``(level, height, sigma)`` travel as one short array.
+    `others` are the axes ``(y, x)`` that further parts bring along, None where a part has none; one that differs from the grid's
+    own raises.  The levels ``(level, height, sigma)`` are one axis and meet every cell as a single array.
     """
-    from gridloom.sources.axes import facts, grid_cells
-
+    for name, own, theirs in [(n, o, t) for pair in others for n, o, t in (("latitude", y, pair[0]), ("longitude", x, pair[1])) if t is not None]:
+        if not same_grid(own, theirs, ["idx"]).first()["equal"]:
+            raise ValueError(f"the parts do not make a single grid: {name} differs")
     out = grid_cells(y, x, facts(x)[0].n)
     if levels is not None:
-        # Levels of one model: a few hundred rows at most.
-        few = levels.select("level", "height", "sigma").orderBy("level").limit(10_001).collect()
-        if len(few) > 10_000:
-            raise ValueError("a vertical definition of more than 10000 levels")
-        lv = F.array(*[F.struct(F.lit(r[0]).alias("level"), F.lit(r[1]).alias("height"), F.lit(r[2]).alias("sigma")) for r in few])
-        out = out.withColumn("_l", F.explode(lv)).select("*", "_l.*").drop("_l")
+        column = levels.agg(F.array_sort(F.collect_list(F.struct("level", "height", "sigma"))).alias("_l")).withColumn("_one", F.lit(1))
+        out = out.withColumn("_one", F.lit(1)).join(small(column, at_most=1), "_one").withColumn("_l", F.explode("_l")).select("*", "_l.*").drop("_l", "_one")
     if orography is not None:
         out = out.join(orography.select("y", "x", "surface_altitude"), ["y", "x"], "left")
         if levels is not None:

@@ -1,7 +1,8 @@
-"""Headered raster files (BIL with .hdr, ASCII grids) as cells; files are decoded in parallel, one file per task row."""
+"""Headered raster files as cells: BIL with .hdr, whose rows are read in parallel, and ASCII grids, a file per task row."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,23 +56,66 @@ def read_ascii_grids(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(decode, CELLS)
 
 
+def _layout(header: dict[str, str]) -> tuple[np.dtype, int, int, int, int]:
+    """Pixel type, rows, columns, bytes to a row and bytes before the first one of a single-band raster."""
+    if any(float(header.get(k, 0)) for k in ("XROT", "YROT")):
+        raise ValueError("the raster is rotated")
+    if int(header.get("NBANDS", 1)) != 1:
+        raise ValueError("the raster has more than one band")
+    bits, kind = int(header.get("NBITS", 8)), header.get("PIXELTYPE", "UNSIGNEDINT").upper()
+    if bits not in (8, 16, 32, 64) or kind == "FLOAT" and bits < 32:
+        raise ValueError(f"pixels of {bits} bits are not supported")
+    order = ">" if header.get("BYTEORDER", "I").upper().startswith("M") else "<"
+    dtype = np.dtype(f"{order}{ {'FLOAT': 'f', 'SIGNEDINT': 'i'}.get(kind, 'u') }{bits // 8}")
+    ny, nx = int(header["NROWS"]), int(header["NCOLS"])
+    width = int(header.get("TOTALROWBYTES", header.get("BANDROWBYTES", nx * dtype.itemsize)))
+    return dtype, ny, nx, width, int(header.get("SKIPBYTES", 0))
+
+
+def bil_cells(spark: SparkSession, paths: list[str], header: str, name: str | None = None) -> DataFrame:
+    """Cells of one single-band BIL raster whose rows, from north to south, lie in one file or in several in order.
+
+    Files are read as records of equal length, so a large one is split between tasks: a record is a row, or the largest part of a row that
+    the bytes before the first row are a multiple of.  Unsigned pixels become signed ones of the same width; `name` is the column `path`.
+    """
+    h = parse_header(header)
+    dtype, ny, nx, width, skip = _layout(h)
+    size = math.gcd(width, skip) if skip else width
+    if size % dtype.itemsize:
+        raise ValueError("pixels do not line up with the bytes that are skipped")
+    dx, dy = float(h["XDIM"]), float(h["YDIM"])
+    west, north = float(h["ULXMAP"]) - dx / 2, float(h["ULYMAP"]) + dy / 2
+    nodata, label = (float(h["NODATA"]) if "NODATA" in h else None), name or paths[0]
+    per_row, lead = width // size, skip // size
+
+    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            at = pdf["n"].to_numpy() - lead
+            rows, first = at // per_row, at % per_row * (size // dtype.itemsize)
+            keep = (at >= 0) & (rows < ny) & (first < nx)
+            for row, x0, raw in zip(rows[keep], first[keep], pdf["record"][keep]):
+                data = np.frombuffer(bytes(raw), dtype)[:nx - x0]
+                value = pd.array(data.view(dtype.str.replace("u", "i")).astype(float), dtype="Float64")
+                if nodata is not None:
+                    value[data.astype(float) == nodata] = pd.NA
+                x = np.arange(x0, x0 + len(data))
+                y = ny - 1 - int(row)
+                yield pd.DataFrame({"path": label, "y": np.int32(y), "x": x.astype("int32"), "lat": north - (int(row) + 0.5) * dy, "lon": west + (x + 0.5) * dx, "value": value})
+
+    records = spark.sparkContext.binaryRecords(",".join(paths), size).zipWithIndex().map(lambda r: (bytearray(r[0]), r[1]))
+    return spark.createDataFrame(records, "record BINARY, n LONG").mapInPandas(cells, CELLS)
+
+
 def read_bil(spark: SparkSession, folder: str) -> DataFrame:
-    """Cells of single-band unsigned-byte BIL rasters; each ``name.bil`` is read with the ``name.hdr`` beside it."""
-    files = spark.read.format("binaryFile").load(folder).select("path", "content")
+    """Cells of all single-band BIL rasters of a folder; each ``name.bil`` is read with the ``name.hdr`` beside it."""
+    files = spark.read.format("binaryFile").load(folder)
     stem = F.regexp_replace("path", r"\.[^.]*$", "")
-    hdr = files.filter(F.lower("path").endswith(".hdr")).select(stem.alias("stem"), F.col("content").cast("string").alias("header"))
-    bil = files.filter(F.lower("path").endswith(".bil")).select(stem.alias("stem"), "path", "content")
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for p, raw, header in zip(pdf["path"], pdf["content"], pdf["header"]):
-                h = parse_header(header)
-                if any(float(h.get(k, 0)) for k in ("XROT", "YROT")):
-                    raise ValueError(f"{p} is rotated")
-                ny, nx, dx, dy = int(h["NROWS"]), int(h["NCOLS"]), float(h["XDIM"]), float(h["YDIM"])
-                data = np.frombuffer(bytes(raw), dtype=np.uint8).reshape(ny, nx)
-                west, north = float(h["ULXMAP"]) - dx / 2, float(h["ULYMAP"]) + dy / 2
-                nodata = h.get("NODATA")
-                yield _frame(p, data, west, north - ny * dy, dx, dy, float(nodata) if nodata else None)
-
-    return bil.join(hdr, "stem").drop("stem").mapInPandas(decode, CELLS)
+    # Headers are a few lines each, one per raster; of the rasters only the names are read here.
+    headers = {r["stem"]: r["text"] for r in files.filter(F.lower("path").endswith(".hdr")).select(stem.alias("stem"), F.col("content").cast("string").alias("text")).collect()}
+    names = sorted(tuple(r) for r in files.filter(F.lower("path").endswith(".bil")).select("path", stem).collect())
+    out = None
+    for path, key in names:
+        if key in headers:
+            one = bil_cells(spark, [path], headers[key])
+            out = one if out is None else out.unionByName(one)
+    return spark.createDataFrame([], CELLS) if out is None else out

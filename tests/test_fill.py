@@ -41,6 +41,34 @@ def test_grid_fill_is_exact(spark, seed, share):
     assert got == want
 
 
+def test_wide_gaps_are_searched_through_boxes(spark, monkeypatch):
+    monkeypatch.setattr(fill, "NEAR_ROWS", 1)
+    test_grid_fill_is_exact(spark, 3, 0.995)
+    test_grid_fill_is_exact(spark, 2, 0.95)
+
+
+def test_points_denser_than_any_grid(spark):
+    """A cluster far finer than the levels that evenly spread points would need."""
+    rng = np.random.default_rng(9)
+    pts = np.vstack([rng.uniform(-1, 1, (50, 3)), 0.25 + rng.uniform(0, 1e-6, (300, 3))])
+    p = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(pts)], "point LONG, px DOUBLE, py DOUBLE, pz DOUBLE")
+    q = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(pts[::3])], "id LONG, px DOUBLE, py DOUBLE, pz DOUBLE")
+    for r in fill.nearest_points(q, p, leaf_rows=8).collect():
+        d = np.round(np.linalg.norm(pts - pts[3 * r["id"]], axis=1), 9)
+        assert r["point"] == int(np.flatnonzero(d == d.min())[0])
+
+
+def test_odd_masks_are_reported_and_meshes_are_filled(spark):
+    y, x = ax.regular_axis(spark, 1, 0.0, 10.0), ax.regular_axis(spark, 4, 0.0, 10.0)
+    f = grid_frame(spark, [[1.0, None, 3.0, 4.0]])
+    with pytest.warns(UserWarning) as seen:
+        got = fill.make_consistent(f, grid_frame(spark, [[0, 0, None, 2]], "land", "INT"), y, x, circular=False)
+    assert [str(w.message)[:7] for w in seen if w.category is UserWarning] == ["1 cells", "1 cells"] and as_grid(got) == [[1.0, 1.0, None, None]]
+    faces = spark.createDataFrame([(0, 0.0, 0.0, 1.0), (1, 0.0, 10.0, None), (2, 0.0, 20.0, 3.0)], "face_id LONG, lat DOUBLE, lon DOUBLE, value DOUBLE")
+    mask = spark.createDataFrame([(0, 1), (1, 1), (2, 0)], "face_id LONG, land INT")
+    assert rows(fill.make_consistent(faces, mask, invert=True), "face_id", "value") == [(0, 1.0), (1, 1.0), (2, None)]
+
+
 def test_one_mapping_serves_all_slices_and_masks_are_inherited(spark):
     y, x = ax.regular_axis(spark, 1, 0.0, 10.0), ax.regular_axis(spark, 4, 0.0, 10.0)
     one = grid_frame(spark, [[1.0, None, None, 4.0]])

@@ -1,6 +1,7 @@
 import json
 import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +39,22 @@ def test_bil_raster(spark, tmp_path):
         read_bil(spark, str(tmp_path)).count()
 
 
+@pytest.mark.parametrize("kind, bits, order, skip, pad", [("UNSIGNEDINT", 8, "I", 0, 0), ("SIGNEDINT", 16, "M", 0, 0), ("UNSIGNEDINT", 16, "I", 8, 0), ("FLOAT", 32, "M", 24, 4), ("SIGNEDINT", 32, "I", 4, 8)])
+def test_bil_layouts(spark, tmp_path, kind, bits, order, skip, pad):
+    ny, nx = 37, 6
+    rng = np.random.default_rng(3)
+    dtype = np.dtype({"UNSIGNEDINT": "u", "SIGNEDINT": "i", "FLOAT": "f"}[kind] + str(bits // 8)).newbyteorder(">" if order == "M" else "<")
+    data = rng.integers(0, 250, (ny, nx)).astype(dtype)
+    data[3, 4] = 99
+    width = nx * dtype.itemsize + pad
+    body = b"\1" * skip + b"".join(r.tobytes() + b"\0" * pad for r in data)
+    (tmp_path / "a.bil").write_bytes(body)
+    (tmp_path / "a.hdr").write_text(f"NROWS {ny}\nNCOLS {nx}\nNBITS {bits}\nPIXELTYPE {kind}\nBYTEORDER {order}\nSKIPBYTES {skip}\nTOTALROWBYTES {width}\nULXMAP 0.5\nULYMAP 36.5\nXDIM 1\nYDIM 1\nNODATA 99\n")
+    got = {(r["y"], r["x"]): (r["lat"], r["lon"], r["value"]) for r in read_bil(spark, str(tmp_path)).collect()}
+    signed = data.view(dtype.str.replace("u", "i"))
+    assert got == {(ny - 1 - j, i): (ny - 1 - j + 0.5, i + 0.5, None if data[j, i] == 99 else float(signed[j, i])) for j in range(ny) for i in range(nx)}
+
+
 def test_crosswalk_file(spark, tmp_path):
     p = tmp_path / "walk.json"
     p.write_text(json.dumps({"source": ["Trees", "Mix", "Thirds"], "target": [1, 2, 8], "cover_map": [[1, 0, 0], [0.25, 0.5, 0.25], [0.3333, 0.3333, 0.3334]]}, indent=1))

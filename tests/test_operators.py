@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.legends import flag_table, legend
 from gridloom.operators import check, classes, filters, gases, merge, stencil, tiles, timeaxis, vertical
 from gridloom.sources import axes as ax
+from gridloom.sources import fields
 from tests.conftest import as_grid, grid_frame, rows
 
 NAN = float("nan")
@@ -166,15 +167,46 @@ def total(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"y": own["y"], "x": own["x"], "value": v})
 
 
-@pytest.mark.parametrize("split", [(1, 1), (2, 3), (3, 4), (7, 11)])
-def test_tiling_does_not_show(spark, split):
+@pytest.mark.parametrize("tile", [None, (7, 11), (4, 4), (2, 3), (1, 1), (3, 5)])
+def test_tiling_does_not_show(spark, tile):
     rng = np.random.default_rng(8)
     data = rng.integers(0, 9, (7, 11)).astype(float)
     want = sum(np.roll(np.pad(data, ((2, 2), (0, 0)))[2 + dy: 9 + dy], -dx, axis=1) for dy in (-2, 0, 2) for dx in (-1, 0, 1))
-    got = tiles.apply_tiled(grid_frame(spark, data.tolist()), total, "y INT, x INT, value DOUBLE", 7, 11, *split, halo=2)
+    got = tiles.apply_tiled(grid_frame(spark, data.tolist()), total, "y INT, x INT, value DOUBLE", 7, 11, tile, halo=2)
     assert (np.array(as_grid(got)) == want).all()
 
 
+def test_tiles_hold_no_more_than_their_budget():
+    for ny, nx, cells in ((7, 11, 5), (1000, 2000, 250_000), (10, 10**7, 100_000), (10**6, 3, 1000), (1, 1, 10)):
+        sy, sx = tiles.tile_shape(ny, nx, cells)
+        assert 1 <= sy <= ny and 1 <= sx <= nx and sy * sx <= cells
+
+
+def test_merge_on_cells_is_the_merge_on_places(spark):
+    p = grid_frame(spark, [[1.0, NAN, None]]).withColumn("inside", F.col("x") < 2)
+    a = grid_frame(spark, [[7.0, 8.0, 9.0], [1.0, 2.0, None]])
+    on_cells = merge.merge(p, a, valid="inside", place=("y", "x"), exact=True)
+    on_places = merge.merge(*[f.withColumnRenamed("y", "lat").withColumnRenamed("x", "lon") for f in (p, a)], valid="inside")
+    assert rows(on_cells, "y", "x", "value") == [(0, 0, 1.0), (0, 1, 8.0), (0, 2, 9.0), (1, 0, 1.0), (1, 1, 2.0), (1, 2, None)]
+    assert rows(on_places, "lat", "lon", "value") == [(float(y), float(x), v) for y, x, v in rows(on_cells, "y", "x", "value")]
+
+
+def test_parts_of_a_grid_must_agree(spark):
+    y, x = ax.regular_axis(spark, 2, 0.0, 1.0), ax.regular_axis(spark, 3, 0.0, 1.0)
+    levels = spark.createDataFrame([(k, float(k), 0.0) for k in range(12_000)], "level INT, height DOUBLE, sigma DOUBLE")
+    assert fields.load_grid(y, x, levels, others=[(y, None), (None, ax.regular_axis(spark, 3, 0.0, 1.0))]).count() == 6 * 12_000
+    for other in ((ax.regular_axis(spark, 2, 0.5, 1.0), None), (None, ax.regular_axis(spark, 4, 0.0, 1.0))):
+        with pytest.raises(ValueError, match="differs"):
+            fields.load_grid(y, x, others=[(y, x), other])
+
+
+def test_padding_reads_its_input_once(spark):
+    f = spark.createDataFrame([(yr, m, 0, float(yr)) for yr in range(2000, 2004) for m in (1, 2)], "year INT, month INT, x INT, value DOUBLE")
+    got = timeaxis.pad_ends(f, [], 1999, 2004, 2000, 2003, repeat_last=2)
+    assert rows(got, "year", "month", "days", "value") == [
+        (yr, m, 30 * (2 * i + m - 1) + 15, float(v)) for i, (yr, v) in enumerate([(1999, 2000), (2000, 2000), (2001, 2001), (2002, 2002), (2003, 2003), (2004, 2003)]) for m in (1, 2)]
+
+
 def test_compare_treats_nan_and_null_as_values(spark):
     a = grid_frame(spark, [[1.0, None, NAN, 2.0]])
     b = grid_frame(spark, [[1.0, None, NAN, None]])

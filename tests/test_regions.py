@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators import regions as rg
+from gridloom.functions.columns import search_distance
 from gridloom.operators import rivers as rv
 from gridloom.sources import axes as ax
 from tests.conftest import as_grid, grid_frame, rows
@@ -162,6 +163,86 @@ def test_gaps_are_closed_like_one_by_one(spark):
         assert [r["river"] for r in b.orderBy("id").collect()] == l.tolist()
 
 
+def sequential_mouths(starts, sea, numbered, ny, nx):
+    """One mouth after the other: (id, sy, sx, min_distance) in order -> numbers, changing `numbered`."""
+    def around(y, x):
+        return {(min(max(y + dy, 0), ny - 1), (x + dx) % nx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if dy or dx}
+
+    def coast(y, x):
+        return not sea[y][x] and any(sea[b][a] for b, a in around(y, x))
+
+    def ring(sy, sx, y, x):
+        if (y, x) == (sy, sx):
+            return 1 if sy in (0, ny - 1) else nx
+        return abs(y - sy) + min(abs(x - sx), nx - abs(x - sx))
+
+    out = {}
+    for i, sy, sx, reach in starts:
+        cells = [(ring(sy, sx, y, x), y, x) for y in range(ny) for x in range(nx)]
+        of_interest = [d for d, y, x in cells if numbered.get((y, x), 0) > 0 or coast(y, x)]
+        if not of_interest:
+            out[i] = -2
+            continue
+        radius = max(reach, min(of_interest))
+        near = [(y, x) for d, y, x in cells if d <= radius]
+        rivers = [numbered[c] for c in near if numbered.get(c, 0) > 0]
+        if rivers:
+            out[i] = min(rivers)
+            continue
+        wet = set()
+        for start in (c for c in near if coast(*c)):
+            seen, front = {start}, {start}
+            for _ in range(3):
+                step = {c for f in front for c in around(*f)}
+                wet |= {c for c in step if sea[c[0]][c[1]]}
+                front = {c for c in step if not sea[c[0]][c[1]]} - seen
+                seen |= front
+        rivers = [numbered[c] for c in wet if numbered.get(c, 0) > 0]
+        if rivers or not wet:
+            out[i] = min(rivers, default=-2)
+            continue
+        out[i] = max(numbered.values(), default=0) + 1
+        for c in wet:
+            numbered[c] = out[i]
+    return out
+
+
+@pytest.mark.parametrize("seed,outflows,scaling", [(1, 0, 0.15), (2, 6, 0.15), (3, 3, 0.4), (4, 12, 0.05), (5, 2, 0.02)])
+def test_mouths_are_linked_as_one_by_one(spark, seed, outflows, scaling):
+    rng = np.random.default_rng(seed)
+    ny, nx = 14, 22
+    sea = [[float((y // 3 + x // 4 + seed) % 3 > 0) for x in range(nx)] for y in range(ny)]
+    ocean = grid_frame(spark, sea, "sea").withColumn("nav_lat", F.col("y") * 1.0).withColumn("nav_lon", F.col("x") * 1.0)
+    wet = [(y, x) for y in range(ny) for x in range(nx) if sea[y][x]]
+    numbered = {wet[k]: n + 1 for n, k in enumerate(rng.choice(len(wet), outflows, replace=False))}
+    mouths = [(i, float(rng.integers(0, ny)), float(rng.integers(0, nx)), int(rng.integers(0, 40))) for i in range(45)]
+    table = spark.createDataFrame([(y, x, n) for (y, x), n in numbered.items()], "y INT, x INT, river INT")
+    frame = spark.createDataFrame(mouths, "id LONG, lat DOUBLE, lon DOUBLE, sequence INT")
+    reach = {r["id"]: r["d"] for r in frame.select("id", search_distance(F.col("sequence"), scaling).alias("d")).collect()}
+    want = sequential_mouths([(i, int(a), int(o), reach[i]) for i, a, o, _ in mouths], sea, now := dict(numbered), ny, nx)
+    got, fresh = rv.link_mouths(frame, ocean, ocean.select("y", "x", "sea"), table, scaling, ny, nx)
+    assert {r["id"]: r["river"] for r in got.collect()} == want
+    assert {(r["y"], r["x"]): r["river"] for r in fresh.collect()} == {c: n for c, n in now.items() if c not in numbered}
+
+
+def test_a_start_far_from_everything_is_found(spark):
+    ny, nx = 40, 4000
+    outs = spark.createDataFrame([(20, 0, 9)], "y INT, x INT, river INT")
+    none = outs.limit(0)
+    starts = spark.createDataFrame([(1, 20, 1500, 3), (2, 20, 2000, 1), (3, 0, 3999, 5)], "id LONG, sy INT, sx INT, min_distance INT")
+    assert rows(rv.diamond_search(starts, outs, none, ny, nx), "id", "river", "radius") == [(1, 9, 1500), (2, 9, 2000), (3, 9, 21)]
+    assert rows(rv.diamond_search(starts, none, none, ny, nx), "id", "river", "radius") == [(1, None, None), (2, None, None), (3, None, None)]
+    assert rv.diamond_search(starts.limit(0), outs, none, ny, nx).collect() == []
+
+
+def test_lakes_without_a_box_reach_beyond_it(spark):
+    f = grid_frame(spark, [[1] * 40 for _ in range(40)], "code", "INT")
+    axis = ax.regular_axis(spark, 40, 0.0, 0.1)
+    lakes = spark.createDataFrame([("a", 2.05, 2.05, None, None, None, None)], "lake STRING, lat DOUBLE, lon DOUBLE, lat_min DOUBLE, lat_max DOUBLE, lon_min DOUBLE, lon_max DOUBLE")
+    got = np.array(as_grid(rg.fill_lakes(f, lakes, axis, axis, 40, [1], 9), "code")) == 9
+    assert got[20].sum() == got[:, 20].sum() == 29 and got.sum() == 29 * 29  # 1.366 degrees to each side
+
+
 def test_mouths_without_an_outflow_share_new_numbers(spark):
     ny, nx = 12, 30
     sea = [[1.0 if x >= 3 and x < 27 else 0.0 for x in range(nx)] for _ in range(ny)]

@@ -1,7 +1,10 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from gridloom import session as ss
+from gridloom.operators import regions
 from tests.conftest import rows
 
 
@@ -17,15 +20,49 @@ def test_materialise_of_nothing(spark):
     assert ss.row_count(df) == 0 and df.count() == 0
 
 
+NAN = float("nan")
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_lookup_is_the_same_with_hot_keys(spark, monkeypatch, how):
-    left = spark.range(60_000).withColumn("k", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500))
-    right = spark.range(0, 490).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    want = rows(left.join(right, "k", how).groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w")))
-    monkeypatch.setattr(ss, "BROADCAST_ROWS", 10)
-    monkeypatch.setattr(ss, "is_small", lambda df, rows=10: False)
-    got = ss.lookup(left, right, ["k"], how)
-    assert rows(got.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w"))) == want
+@pytest.mark.parametrize("hot_rows", [10, 10**6])
+def test_lookup_is_the_same_with_hot_keys(spark, monkeypatch, how, hot_rows):
+    """Small and large right sides give the same rows, for hot keys, for NaN and for NULL."""
+    left = spark.range(20_000).withColumn("k", F.when(F.col("id") % 3 == 0, 7.0).when(F.col("id") % 11 == 0, F.lit(NAN)).when(F.col("id") % 13 == 0, F.lit(None)).otherwise(F.col("id") % 500))
+    left = left.withColumn("s", F.when(F.col("id") % 17 != 0, (F.col("id") % 2).cast("string")))
+    right = spark.range(0, 490).select(F.col("id").cast("double").alias("k"), (F.col("id") * 10).alias("w"))
+    right = right.unionByName(spark.createDataFrame([(NAN, -1), (None, -2)], "k DOUBLE, w LONG"))
+    right = right.withColumn("s", F.explode(F.array(F.lit("0"), F.lit("1"), F.lit(None))))
+    want = rows(ss.lookup(left, right, ["k", "s"], how, at_most=1))
+    monkeypatch.setattr(ss, "HOT_ROWS", hot_rows)
+    got = rows(ss.lookup(left, right, ["k", "s"], how, at_most=10**12))
+    assert repr(got) == repr(want) and len(got) > 10_000
+    assert how == "inner" or len(got) == 20_000
+
+
+def test_lookup_of_three_keys(spark):
+    left = spark.createDataFrame([(1.0,), (NAN,), (None,)], "k DOUBLE")
+    right = spark.createDataFrame([(1.0, "a"), (NAN, "b")], "k DOUBLE, w STRING")
+    for bound in (1, 10**12):
+        assert sorted(repr(tuple(r)) for r in ss.lookup(left, right, ["k"], "left", bound).collect()) == ["(1.0, 'a')", "(None, None)", "(nan, 'b')"]
+
+
+def stages(spark):
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    return {f for f in os.listdir(folder) if f.startswith("stage-")} if os.path.isdir(folder) else set()
+
+
+def test_superseded_tables_are_deleted(spark):
+    before = stages(spark)
+    cells = spark.range(900).selectExpr("CAST(id DIV 30 AS INT) AS y", "CAST(id % 30 AS INT) AS x", "CAST((id * 7) % 5 < 3 AS INT) AS code")
+    out = regions.label_regions(cells, 30)
+    left = stages(spark) - before
+    # What the result still reads: the cells, the contracted nodes and the components' roots.
+    assert len(left) <= 3
+    assert out.count() == 900
+    one = ss.materialise(spark.range(3))
+    two = ss.materialise(spark.range(3))
+    ss.discard(one, spark.range(2))
+    assert len(stages(spark) - before - left) == 1 and two.count() == 3
 
 
 def test_global_rank_with_equal_values(spark):
@@ -36,17 +73,17 @@ def test_global_rank_with_equal_values(spark):
     assert got.agg(F.max("rank")).first()[0] == 5000
 
 
-def test_shared_folder_is_required_on_a_cluster(spark):
-    class Context:
-        master = "spark://somewhere"
-
+def test_shared_folder_without_a_setting_is_in_the_warehouse():
     class Session:
-        sparkContext = Context()
-
         class conf:
-            @staticmethod
-            def get(key, default=None):
-                return default
+            kept = {"spark.sql.warehouse.dir": "store://warehouse/"}
+
+            @classmethod
+            def get(cls, key, default=None):
+                return cls.kept.get(key, default)
+
+            @classmethod
+            def set(cls, key, value):
+                cls.kept[key] = value
 
-    with pytest.raises(ValueError):
-        ss.shared_folder(Session())
+    assert ss.shared_folder(Session()) == "store://warehouse/stages" == Session.conf.kept["spark.checkpoint.dir"]

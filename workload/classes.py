@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import nan
@@ -19,8 +20,6 @@ SHARES = """shares AS (SELECT l_suppkey AS map, lower('type' || l_partkey % 7) A
 
 
 def shares(spark, sf):
-    from pyspark.sql import Window
-
     li = read(spark, sf, "lineitem").groupBy(
         F.col("l_suppkey").alias("map"), F.concat(F.lit("type"), (F.col("l_partkey") % 7).cast("string")).alias("source_type"),
         F.col("l_linenumber").alias("target_type"),
@@ -75,12 +74,17 @@ def apply_crosswalk(spark, sf):
 
 @query(
     "jn14_match_flags",
-    f"""WITH {SHARES} SELECT map, target_type, CAST(right(source_type, 1) AS INT) + 10 AS code FROM shares""",
+    f"""WITH {SHARES}, one AS (SELECT source_type, target_type, sum(share) AS share FROM shares GROUP BY ALL), s AS (SELECT *, share / sum(share) OVER (PARTITION BY source_type) AS f FROM one),
+r AS (SELECT *, CAST(round_even(f * 100, 0) AS INT) AS p FROM s), k AS (SELECT *, 100 - sum(p) OVER (PARTITION BY source_type) AS lack, row_number() OVER (PARTITION BY source_type ORDER BY p DESC, target_type) AS rn FROM r)
+SELECT CAST(right(source_type, 1) AS INT) + 10 AS code, target_type, CAST(CASE WHEN rn = 1 THEN p + lack ELSE p END AS INT) AS pct FROM k""",
 )
 def match_flags(spark, sf):
-    s = shares(spark, sf).select(F.upper("source_type").alias("source_type"), F.col("target_type"), F.col("map").alias("pct"))
+    """The whole percentages of one crosswalk, its type names in capitals, matched with the flags of a field."""
+    one = shares(spark, sf).groupBy("source_type", "target_type").agg(F.sum("share").alias("share"))
+    one = one.withColumn("share", F.col("share") / F.sum("share").over(Window.partitionBy("source_type")))
+    s = cl.crosswalk_percentages(one).select(F.upper("source_type").alias("source_type"), "target_type", "pct")
     flags = spark.createDataFrame([(10 + i, f"Type{i}") for i in range(7)], "flag_value INT, flag_meaning STRING")
-    return cl.match_flags(s, flags).select(F.col("pct").alias("map"), "target_type", "code")
+    return cl.match_flags(s, flags)
 
 
 @query(

@@ -10,7 +10,7 @@ from gridloom.operators.regrid import complete
 from gridloom.session import shared_folder
 from gridloom.sinks import writers as wr
 from gridloom.sources import fields as fl
-from gridloom.sources.raster import read_ascii_grids
+from gridloom.sources.raster import bil_cells, read_ascii_grids
 from workload.fixtures import GASES, MONTHLY, RASTER, gases, grid, monthly, raster
 from workload.registry import query
 
@@ -36,11 +36,11 @@ def write_fields(spark, sf):
     return spark.read.parquet(path).select(F.col("field_id").cast("long").alias("field_id"), "t", "y", "x", "value")
 
 
-@query("sc14_gas_files", f"WITH {GASES} SELECT gas, round(days / 365 + 1850, 6) AS year, round(value, 4) AS value FROM gases WHERE sector = 0 AND gas IN ('CO2', 'CH4')")
+@query("sc14_gas_files", f"WITH {GASES} SELECT gas, round(days / 365 + 1850, 6) AS year, round(value, 4) AS value FROM gases WHERE sector = 0")
 def gas_files(spark, sf):
     path = new_folder(spark)
     gases(spark, sf).write.partitionBy("gas").parquet(path)
-    out = fl.gas_samples(spark, {g: f"{path}/gas={g}" for g in ("CO2", "CH4")}, 1850, 365.0)
+    out = fl.gas_samples(spark, {g: f"{path}/gas={g}" for g in ("CO2", "CH4", "N2O", "CFC12", "HFC134A")}, 1850, 365.0)
     return out.select("gas", F.round("year", 6).alias("year"), F.round("value", 4).alias("value"))
 
 
@@ -68,3 +68,19 @@ def ascii_grids(spark, sf):
     text.repartition("tile").sortWithinPartitions("tile", "ord").select("tile", "value").write.partitionBy("tile").text(path)
     out = read_ascii_grids(spark, f"{path}/*/part-*")
     return out.select(F.regexp_extract("path", r"tile=(\d+)", 1).cast("long").alias("tile"), "y", "x", "lat", "lon", "value")
+
+
+@query("sc4_bil_raster", f"""WITH {RASTER} SELECT CAST(i // nx AS INT) AS y, CAST(i % nx AS INT) AS x, i // nx + 0.5::DOUBLE AS lat, i % nx + 0.5::DOUBLE AS lon, CASE WHEN code <> 6 THEN code + 65.0::DOUBLE END AS value
+FROM dims, range((SELECT nx * ny FROM dims)) g(i) LEFT JOIN (SELECT y AS ry, x AS rx, code FROM raster) r ON r.ry = i // nx AND r.rx = i % nx""")
+def bil_raster(spark, sf):
+    """The class codes as one-byte pixels A to G, a row of the raster per line of text; the line ends are row padding."""
+    g = grid(spark, sf)
+    cells = complete(raster(spark, sf, g).select("y", "x", "code"), g.ny, g.nx, None, "code")
+    pixel = F.expr("char(65 + coalesce(code, 6))")
+    line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x", pixel.alias("p")))), lambda c: c["p"]), "")
+    path = new_folder(spark)
+    rows = cells.groupBy("y").agg(line.alias("value"))
+    rows.repartitionByRange(4, F.desc("y")).sortWithinPartitions(F.desc("y")).select("value").write.text(path)
+    parts = sorted(r[0] for r in spark.read.format("binaryFile").load(path).select("path").collect())
+    header = f"NROWS {g.ny}\nNCOLS {g.nx}\nNBITS 8\nTOTALROWBYTES {g.nx + 1}\nULXMAP 0.5\nULYMAP {g.ny - 0.5}\nXDIM 1\nYDIM 1\nNODATA {65 + 6}\n"
+    return bil_cells(spark, parts, header).select("y", "x", "lat", "lon", "value")

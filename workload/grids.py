@@ -142,12 +142,18 @@ def circular_flag(spark, sf):
 
 @query(
     "pf3_overlapping_indices",
-    f"""WITH {RASTER}, {AXES}, hit AS (SELECT idx FROM ax, (SELECT unnest([-360, 0, 360]) AS k) WHERE lo + k < 200 AND hi + k > 150)
-SELECT DISTINCT CAST((idx + d + nx) % nx AS INT) AS idx FROM hit, dims, (SELECT unnest([-2, -1, 0, 1, 2]) AS d)""",
+    """WITH p AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS idx, p_size AS w, sum(p_size) OVER () AS total FROM part),
+a AS (SELECT idx, -180 + 360 * (sum(w) OVER (ORDER BY idx) - w) / total::DOUBLE AS lo, -180 + 360 * sum(w) OVER (ORDER BY idx) / total::DOUBLE AS hi FROM p),
+hit AS (SELECT idx FROM a, (SELECT unnest([-360, 0, 360]) AS k) WHERE lo + k < 200 - 1e-10 AND hi + k > 150 + 1e-10), n AS (SELECT count(*) AS n FROM a)
+SELECT DISTINCT CAST((idx + d + n) % n AS INT) AS idx FROM hit, n, (SELECT unnest([-2, -1, 0, 1, 2]) AS d)""",
 )
 def overlapping_indices(spark, sf):
-    g = grid(spark, sf)
-    return ax.overlapping_indices(axes(spark, g)[1], 150.0, 200.0, 2, 360.0)
+    """A global axis whose cells are as wide as the parts' sizes."""
+    w = Window.orderBy("p_partkey")  # one side of a grid
+    p = read(spark, sf, "part").select((F.row_number().over(w) - 1).cast("int").alias("idx"), F.sum("p_size").over(w).alias("s"), "p_size")
+    total = p.agg(F.max("s")).first()[0]
+    lo, hi = [F.lit(-180.0) + F.lit(360.0) * c / F.lit(float(total)) for c in (F.col("s") - F.col("p_size"), F.col("s"))]
+    return ax.overlapping_indices(p.select("idx", ((lo + hi) / 2).alias("point"), lo.alias("lo"), hi.alias("hi")), 150.0, 200.0, 2, 360.0)
 
 
 @query(
@@ -205,12 +211,13 @@ def reverse_axis(spark, sf):
     f"WITH {PARTS} SELECT cust, CAST(row_number() OVER (PARTITION BY cust ORDER BY -point) - 1 AS INT) AS idx, -point AS point FROM pts",
 )
 def ascending_latitude(spark, sf):
-    down = customer_axis(spark, sf).withColumn("point", -F.col("point"))
-    w = Window.partitionBy("cust")
-    n, first, last = F.max("idx").over(w), F.min_by("point", "idx").over(w), F.max_by("point", "idx").over(w)
-    return down.withColumn("_flip", first > last).withColumn("_n", n).select(
-        "cust", F.when(F.col("_flip"), F.col("_n") - F.col("idx")).otherwise(F.col("idx")).alias("idx"), "point"
-    )
+    return ax.ascending(customer_axis(spark, sf).withColumn("point", -F.col("point")), ["cust"])
+
+
+@query("so2_ascending_cells", f"WITH {RASTER} SELECT CAST(ny - 1 - y AS INT) AS y, x, price FROM raster")
+def ascending_cells(spark, sf):
+    g = grid(spark, sf)
+    return ax.ascending_cells(raster(spark, sf, g).select("y", "x", "price"), ax.reverse(axes(spark, g)[0], g.ny))
 
 
 @query(
@@ -275,10 +282,10 @@ def year_of_time(spark, sf):
 
 @query(
     "fn5_rotated_pole",
-    f"""WITH {RASTER}, {AXES}, p AS (SELECT r.y, r.x, radians(ay.point) AS phi, radians(ax.point - 177.5) AS lam, radians(37.5) AS th
+    f"""WITH {RASTER}, {AXES}, p AS (SELECT r.y, r.x, radians(ay.point) AS phi, radians(ax.point + 2.5) AS lam, radians(37.5) AS th
   FROM raster r JOIN ay ON ay.idx = r.y JOIN ax ON ax.idx = r.x)
-SELECT y, x, round(degrees(asin(least(greatest(sin(phi) * sin(th) + cos(phi) * cos(lam) * cos(th), -1), 1))), 5) AS rlat,
-  round(degrees(atan2(cos(phi) * sin(lam), cos(phi) * cos(lam) * sin(th) - sin(phi) * cos(th))), 5) AS rlon FROM p""",
+SELECT y, x, round(degrees(asin(least(greatest(sin(phi) * sin(th) - cos(phi) * cos(lam) * cos(th), -1), 1))), 5) AS rlat,
+  round(degrees(atan2(cos(phi) * sin(lam), cos(phi) * cos(lam) * sin(th) + sin(phi) * cos(th))), 5) AS rlon FROM p""",
 )
 def rotated_pole(spark, sf):
     p = located(spark, sf)
@@ -303,6 +310,14 @@ def rotated_round_trip(spark, sf):
     return p.select("y", "x", back.alias("back"))
 
 
+@query("fn5_british_round_trip", """SELECT c_custkey, round(100 + (c_acctbal + 1000) * 100, 3) AS northing, round(c_custkey % 700 * 1000.0::DOUBLE + 37.25, 3) AS easting FROM customer""")
+def british_round_trip(spark, sf):
+    n, e = 100 + (F.col("c_acctbal") + 1000) * 100, F.col("c_custkey") % 700 * 1000.0 + 37.25
+    there = read(spark, sf, "customer").select("c_custkey", *[c.alias(k) for c, k in zip(projection.from_british_grid(e, n), ("lat", "lon"))])
+    east, north = projection.to_british_grid(F.col("lat"), F.col("lon"))
+    return there.select("c_custkey", F.round(north, 3).alias("northing"), F.round(east, 3).alias("easting"))
+
+
 TM = """SELECT c_custkey, phi, lam, 6377563.396::DOUBLE AS a, 6356256.909::DOUBLE AS b, 0.9996012717::DOUBLE AS f0 FROM (
   SELECT c_custkey, radians(49.5 + (c_acctbal + 1000) / 1100.0) AS phi, radians(CAST(-6 + c_custkey % 80 / 10.0 AS DOUBLE)) AS lam FROM customer)"""
 
@@ -329,11 +344,11 @@ def british_grid(spark, sf):
 
 @query(
     "fn5_bounding_box",
-    f"""WITH {RASTER}, {AXES}, p AS (SELECT status, radians(ay.point) AS phi, radians(ax.point - 177.5) AS lam, radians(37.5) AS th
+    f"""WITH {RASTER}, {AXES}, p AS (SELECT status, radians(ay.point) AS phi, radians(ax.point + 2.5) AS lam, radians(37.5) AS th
   FROM raster r JOIN ay ON ay.idx = r.y JOIN ax ON ax.idx = r.x)
 SELECT status, round(min(u), 4) AS u_min, round(max(u), 4) AS u_max, round(min(v), 4) AS v_min, round(max(v), 4) AS v_max FROM (
- SELECT status, degrees(asin(sin(phi) * sin(th) + cos(phi) * cos(lam) * cos(th))) AS v,
-  degrees(atan2(cos(phi) * sin(lam), cos(phi) * cos(lam) * sin(th) - sin(phi) * cos(th))) AS u FROM p) GROUP BY status""",
+ SELECT status, degrees(asin(sin(phi) * sin(th) - cos(phi) * cos(lam) * cos(th))) AS v,
+  degrees(atan2(cos(phi) * sin(lam), cos(phi) * cos(lam) * sin(th) + sin(phi) * cos(th))) AS u FROM p) GROUP BY status""",
 )
 def bounding_box(spark, sf):
     v, u = projection.to_rotated(F.col("lat"), F.col("lon"), 37.5, 177.5)

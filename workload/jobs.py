@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import nan
+from gridloom.functions.legends import CCI_MEANINGS, CCI_VALUES
 from gridloom.plans import jobs
 from gridloom.session import materialise
 from gridloom.sources import axes as ax
@@ -36,9 +37,9 @@ def general_regrid(spark, sf):
 @query(
     "jb1_general_regrid_filled",
     f"""WITH {RASTER}, {AXES}, {HALF}, {overlap_sql('wx', 'ax', 'hx', False)}, {overlap_sql('wy', 'ay', 'hy', True)},
-m AS (SELECT wy.t AS y, wx.t AS x, sum(value * wx.w * wy.w) / sum(CASE WHEN value IS NOT NULL THEN wx.w * wy.w END) AS value
-  FROM raster r JOIN wx ON wx.s = r.x JOIN wy ON wy.s = r.y WHERE code <> 1 GROUP BY ALL),
-p AS (SELECT hy.idx AS y, hx.idx AS x, m.value, (hy.idx // 5 + hx.idx // 4) % 2 AS land, hy.idx::BIGINT * (SELECT count(*) FROM hx) + hx.idx AS cell,
+m AS MATERIALIZED (SELECT wy.t AS y, wx.t AS x, sum(value * wx.w * wy.w) / sum(CASE WHEN value IS NOT NULL THEN wx.w * wy.w END) AS value
+  FROM (SELECT * REPLACE (CASE WHEN code <> 1 THEN value END AS value) FROM raster) r JOIN wx ON wx.s = r.x JOIN wy ON wy.s = r.y GROUP BY ALL),
+p AS MATERIALIZED (SELECT hy.idx AS y, hx.idx AS x, m.value, (hy.idx // 5 + hx.idx // 4) % 2 AS land, hy.idx::BIGINT * (SELECT count(*) FROM hx) + hx.idx AS cell,
   cos(radians(hy.point)) * cos(radians(hx.point)) AS px, cos(radians(hy.point)) * sin(radians(hx.point)) AS py, sin(radians(hy.point)) AS pz
   FROM hy JOIN hx ON true LEFT JOIN m ON m.y = hy.idx AND m.x = hx.idx),
 best AS (SELECT m.cell, arg_min(v.value, ({CHORD}, v.cell)) AS value FROM p m, p v WHERE m.value IS NULL AND m.land = 1 AND v.value IS NOT NULL GROUP BY m.cell)
@@ -49,7 +50,7 @@ def general_regrid_filled(spark, sf):
     tgt = coarse_axes(spark, g)
     ny, nx = (f.n for f in ax.facts(*tgt))
     mask = spark.range(ny * nx).selectExpr(f"CAST(id DIV {nx} AS INT) AS y", f"CAST(id % {nx} AS INT) AS x").selectExpr("y", "x", "((y DIV 5) + (x DIV 4)) % 2 AS land")
-    r = raster(spark, sf, g).filter("code <> 1").select("y", "x", "value")
+    r = raster(spark, sf, g).select("y", "x", F.when(F.col("code") != 1, F.col("value")).alias("value"))
     return jobs.general_regrid(r, axes(spark, g), tgt, mask=mask, invert=True).withColumn("value", F.round("value", 5))
 
 
@@ -162,13 +163,42 @@ def c4_injection(spark, sf):
     return jobs.c4_injection(f, c4, month_axes(spark), axes(spark, g)).withColumn("value", F.round("value", 7))
 
 
-@query("jb5_prepare_fine_classes")
+CCI = "cci AS (SELECT * FROM (VALUES " + ", ".join(f"({v}, '{n}')" for v, n in zip(CCI_VALUES, CCI_MEANINGS.split())) + ") t(code, flag_meaning))"
+
+
+def lakes_sql(name, lakes, cells, water, target):
+    """Cells as table `name`, the regions of code `water` around the seeds of `lakes` recoded; a box of three cells to each side."""
+    return f"""{name}_ys AS (SELECT lake, idx AS y, arg_min(idx, (round(abs(point - lat), 9), idx)) OVER (PARTITION BY lake) AS sy, count(*) OVER (PARTITION BY lake) AS n FROM {lakes}, ay, dims WHERE hi > lat - 540.0::DOUBLE / ny AND lo < lat + 540.0::DOUBLE / ny),
+{name}_xs AS (SELECT lake, idx AS x, arg_min(idx, (round(abs(point - lon), 9), idx)) OVER (PARTITION BY lake) AS sx, count(*) OVER (PARTITION BY lake) AS n FROM {lakes}, ax, dims WHERE hi > lon - 1080.0::DOUBLE / nx AND lo < lon + 1080.0::DOUBLE / nx),
+{name}_part AS MATERIALIZED (SELECT xs.lake, r.y, r.x, sy, sx FROM {cells} r JOIN {name}_ys ys ON ys.y = r.y JOIN {name}_xs xs ON xs.lake = ys.lake AND xs.x = r.x WHERE ys.n > 1 AND xs.n > 1 AND code = {water}),
+{name}_fill AS (SELECT lake, y, x FROM {name}_part WHERE y = sy AND x = sx UNION
+  SELECT p.lake, p.y, p.x FROM {name}_fill f, off4 JOIN {name}_part p ON p.lake = f.lake AND p.y = f.y + dy AND p.x = f.x + dx),
+{name} AS MATERIALIZED (SELECT c.y, c.x, CASE WHEN h.y IS NULL THEN code ELSE {target} END AS code FROM {cells} c LEFT JOIN (SELECT DISTINCT y, x FROM {name}_fill) h ON h.y = c.y AND h.x = c.x)"""
+
+
+@query(
+    "jb5_prepare_fine_classes",
+    f"""WITH RECURSIVE {RASTER}, {AXES}, {MONTH_AXES}, {CCI}, off4 AS (SELECT * FROM (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) t(dy, dx)),
+lakes AS (SELECT c_custkey AS lake, (c_acctbal - 4500) / 62 AS lat, CAST(c_custkey % 350 - 175 AS DOUBLE) + 0.3 AS lon FROM customer),
+up AS (SELECT * FROM lakes WHERE lat > 0), down AS (SELECT * FROM lakes WHERE lat <= 0),
+seg AS (SELECT idx AS s0, (idx + 1) % 72 AS s1, point AS p0, point + 5 AS p1 FROM mx),
+snow AS (SELECT ax.idx AS x, ((s0 // 9) % 2 = 0)::INT * (1 - (p - p0) / 5) + ((s1 // 9) % 2 = 0)::INT * ((p - p0) / 5) AS v
+  FROM (SELECT idx, CASE WHEN point < -177.5 THEN point + 360 ELSE point END AS p FROM ax) ax JOIN seg ON p >= p0 AND p < p1),
+raw AS MATERIALIZED (SELECT r.y, r.x, CASE WHEN ay.point < -60 THEN CASE WHEN snow.v > 0.5 THEN -36 ELSE -45 END WHEN priority <> '5-LOW' THEN CASE WHEN code = 3 THEN -46 ELSE code END END AS code,
+  CAST(r.y AS BIGINT) * nx + r.x AS cell, cos(radians(ay.point)) * cos(radians(ax.point)) AS px, cos(radians(ay.point)) * sin(radians(ax.point)) AS py, sin(radians(ay.point)) AS pz
+  FROM raster r JOIN ay ON ay.idx = r.y JOIN ax ON ax.idx = r.x JOIN snow ON snow.x = r.x),
+best AS (SELECT m.cell, arg_min(v.code, ({CHORD}, v.cell)) AS code FROM raw m, raw v WHERE m.code IS NULL AND v.code IS NOT NULL GROUP BY m.cell),
+full_ AS MATERIALIZED (SELECT raw.y, raw.x, coalesce(raw.code, best.code) AS code FROM raw LEFT JOIN best ON best.cell = raw.cell),
+{lakes_sql('sea', 'down', 'full_', -46, -45)}, {lakes_sql('fresh', 'up', 'sea', -46, -47)}
+SELECT y, x, f.code::INT AS code, flag_meaning FROM fresh f LEFT JOIN cci ON cci.code = f.code""",
+)
 def prepare_fine_classes(spark, sf):
     g = grid(spark, sf)
     codes = raster(spark, sf, g).select("y", "x", F.when(F.col("priority") != "5-LOW", F.when(F.col("code") == 3, -46).otherwise(F.col("code"))).alias("code"))
     polar = spark.range(36 * 72).selectExpr("CAST(id DIV 72 AS INT) AS y", "CAST(id % 72 AS INT) AS x").selectExpr("y", "x", "IF((x DIV 9) % 2 = 0, 15, 0) AS code")
     every = lakes(spark, sf, g)
-    return jobs.prepare_fine_classes(codes, axes(spark, g), polar, month_axes(spark), every.filter("lat > 0"), every.filter("lat <= 0"))
+    out, _, _ = jobs.prepare_fine_classes(codes, axes(spark, g), polar, month_axes(spark), every.filter("lat > 0"), every.filter("lat <= 0"))
+    return out.select("y", "x", "code", "flag_meaning")
 
 
 @query(
@@ -240,8 +270,8 @@ def river_routing(spark, sf):
 def numbered(spark, sf):
     g = grid(spark, sf)
     o = ocean(spark, sf, g)
-    flow = raster(spark, sf, g).select("y", "x", F.when(F.col("priority") == "1-URGENT", F.col("price") / 1e6).otherwise(0.0).alias("r"))
-    return jobs.river_numbers(flow, o.select("y", "x", "nav_lat", "nav_lon"), o.select("y", "x", "sea"), mouths(spark, sf), g.ny, g.nx, 0.15, None)
+    flow = raster(spark, sf, g).select("y", "x", (F.col("price") / 1e6).alias("r"))
+    return jobs.river_numbers(flow, o.select("y", "x", "nav_lat", "nav_lon"), o.select("y", "x", "sea"), mouths(spark, sf), g.ny, g.nx, 0.15)
 
 
 @query("jb10_river_numbers_ocean")
@@ -249,6 +279,15 @@ def river_numbers_ocean(spark, sf):
     return numbered(spark, sf)[0]
 
 
+@query("jb10_river_numbers_blank")
+def river_numbers_blank(spark, sf):
+    """Without runoff every number is a mouth's own or one it found."""
+    g = grid(spark, sf)
+    o = ocean(spark, sf, g)
+    none = raster(spark, sf, g).select("y", "x", F.col("price").alias("r")).limit(0)
+    return jobs.river_numbers(none, o.select("y", "x", "nav_lat", "nav_lon"), o.select("y", "x", "sea"), mouths(spark, sf), g.ny, g.nx, 0.15)[1]
+
+
 @query("jb11_prepare_routing_records", f"WITH {RECORDS} SELECT *, CAST(dense_rank() OVER (PARTITION BY file, stash ORDER BY yr, mon, dat) - 1 AS INT) AS t FROM (SELECT * REPLACE (CASE WHEN datd = 31 THEN 30 ELSE datd END AS datd, 2 AS tim) FROM records) WHERE stash = 1003 AND model IN (1, 0)")
 def prepare_routing_records(spark, sf):
     return jobs.prepare_river_records(records(spark, sf).withColumn("tim", F.lit(2)), ["file"], 1, 3, storage=False)
@@ -278,9 +317,9 @@ def prepare_storage_records(spark, sf):
 @query(
     "jb14_topographic_index",
     f"""WITH {RASTER}, {AXES}, {HALF}, {overlap_sql('wx', 'ax', 'hx', False)}, {overlap_sql('wy', 'ay', 'hy', True)},
-sums AS (SELECT wy.t AS y, wx.t AS x, sum(value * wx.w * wy.w) AS a, sum(value * value * wx.w * wy.w) AS b, sum(CASE WHEN value IS NOT NULL THEN wx.w * wy.w END) AS w
-  FROM raster r JOIN wx ON wx.s = r.x JOIN wy ON wy.s = r.y WHERE code <> 1 GROUP BY ALL),
-p AS (SELECT hy.idx AS y, hx.idx AS x, a / w AS value, sqrt(abs(b / w - (a / w) * (a / w))) AS stdev, (hy.idx + hx.idx) % 11 = 0 AS gone, (hy.idx + hx.idx) % 11 <> 0 AND hy.idx % 6 = 0 AS ice,
+sums AS MATERIALIZED (SELECT wy.t AS y, wx.t AS x, sum(value * wx.w * wy.w) AS a, sum(value * value * wx.w * wy.w) AS b, sum(CASE WHEN value IS NOT NULL THEN wx.w * wy.w END) AS w
+  FROM (SELECT * REPLACE (CASE WHEN code <> 1 THEN value END AS value) FROM raster) r JOIN wx ON wx.s = r.x JOIN wy ON wy.s = r.y GROUP BY ALL),
+p AS MATERIALIZED (SELECT hy.idx AS y, hx.idx AS x, a / w AS value, sqrt(abs(b / w - (a / w) * (a / w))) AS stdev, (hy.idx + hx.idx) % 11 = 0 AS gone, (hy.idx + hx.idx) % 11 <> 0 AND hy.idx % 6 = 0 AS ice,
   hy.idx::BIGINT * (SELECT count(*) FROM hx) + hx.idx AS cell, cos(radians(hy.point)) * cos(radians(hx.point)) AS px, cos(radians(hy.point)) * sin(radians(hx.point)) AS py, sin(radians(hy.point)) AS pz
   FROM hy JOIN hx ON true LEFT JOIN sums s ON s.y = hy.idx AND s.x = hx.idx),
 best AS (SELECT m.cell, arg_min(v.cell, ({CHORD}, v.cell)) AS src FROM p m, p v WHERE m.value IS NULL AND NOT m.gone AND NOT m.ice AND v.value IS NOT NULL GROUP BY m.cell)
@@ -289,7 +328,7 @@ FROM p LEFT JOIN best b ON b.cell = p.cell LEFT JOIN p d ON d.cell = b.src""",
 )
 def topographic_index(spark, sf):
     g = grid(spark, sf)
-    index = raster(spark, sf, g).filter("code <> 1").select("y", "x", "value")
+    index = raster(spark, sf, g).select("y", "x", F.when(F.col("code") != 1, F.col("value")).alias("value"))
     tgt = coarse_axes(spark, g)
     ny, nx = (f.n for f in ax.facts(*tgt))
     ice = spark.range(ny * nx).selectExpr(f"CAST(id DIV {nx} AS INT) AS y", f"CAST(id % {nx} AS INT) AS x", "9 AS pl").selectExpr("y", "x", "pl", "IF((y + x) % 11 = 0, NULL, IF(y % 6 = 0, 1D, 0D)) AS value")
@@ -337,20 +376,19 @@ def chemistry_table(spark, sf):
 
 @query(
     "jb19_nitrogen_deposition",
-    f"""WITH s AS (SELECT l_returnflag || l_linestatus AS field_id, CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS month, CAST(l_partkey % 36 AS INT) AS y, CAST(l_orderkey % 72 AS INT) AS x, sum(l_quantity - 20) AS v FROM lineitem GROUP BY ALL),
-tot AS (SELECT year, month, y // 18 AS y, x // 24 AS x, sum(v) AS v FROM s GROUP BY ALL HAVING count(DISTINCT field_id) = 6),
+    f"""WITH s AS (SELECT l_linestatus AS field_id, CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS month, CAST(l_partkey % 36 AS INT) AS y, CAST(l_orderkey % 72 AS INT) AS x, sum(l_quantity - 20) AS v FROM lineitem GROUP BY ALL),
+tot AS (SELECT year, month, y, x, sum(v) AS v FROM s GROUP BY ALL HAVING count(*) = 2),
 p AS (SELECT year, month, y, x, v FROM tot WHERE year BETWEEN 1996 AND 1999 AND year NOT IN (1996, 1999) UNION ALL SELECT 1996, month, y, x, v FROM tot WHERE year = 1997 UNION ALL SELECT 1999, month, y, x, v FROM tot WHERE year = 1998),
 n AS (SELECT *, CAST((dense_rank() OVER (ORDER BY year, month) - 1) * 30 + 15 AS INT) AS days FROM p),
-{axis_sql('sy', 2, -90.0, '90.0::DOUBLE')}, {axis_sql('sx', 3, -180.0, '120.0::DOUBLE')}, {ODD}, {overlap_sql('wx', 'sx', 'ox', False)}, {overlap_sql('wy', 'sy', 'oy', True)}
+{MONTH_AXES}, {ODD}, {overlap_sql('wx', 'mx', 'ox', False)}, {overlap_sql('wy', 'my', 'oy', True)}
 SELECT CAST(year AS INT) AS year, month, days, y, x, CASE WHEN value < 0 THEN 0 ELSE round(value, 5) END AS value FROM (
   SELECT year, month, days, wy.t AS y, wx.t AS x, sum(v * wx.w * wy.w) / sum(wx.w * wy.w) AS value FROM n JOIN wx ON wx.s = n.x JOIN wy ON wy.s = n.y GROUP BY ALL)""",
 )
 def nitrogen_deposition(spark, sf):
-    li = read(spark, sf, "lineitem")
-    s = li.groupBy(
-        F.concat("l_returnflag", "l_linestatus").alias("field_id"), F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"),
-        F.expr("CAST(l_partkey % 36 AS INT) DIV 18").cast("int").alias("y"), F.expr("CAST(l_orderkey % 72 AS INT) DIV 24").cast("int").alias("x"),
+    """Two species on the whole five-degree grid."""
+    s = read(spark, sf, "lineitem").groupBy(
+        F.col("l_linestatus").alias("field_id"), F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"),
+        F.expr("CAST(l_partkey % 36 AS INT)").alias("y"), F.expr("CAST(l_orderkey % 72 AS INT)").alias("x"),
     ).agg(F.sum(F.col("l_quantity") - 20).alias("value"))
-    src = ax.regular_axis(spark, 2, -90.0, 90.0), ax.regular_axis(spark, 3, -180.0, 120.0)
-    out = jobs.nitrogen_deposition(s, src, odd_axes(spark), 1996, 1999, pad=(1997, 1998), n_species=6)
+    out = jobs.nitrogen_deposition(s, month_axes(spark), odd_axes(spark), 1996, 1999, pad=(1997, 1998), n_species=2)
     return out.withColumn("value", F.round("value", 5))

@@ -105,25 +105,27 @@ def lakes(spark, sf, g):
     )
 
 
-RUNOFF = f"""{RASTER}, {OFF8}, n AS (SELECT CAST(y AS BIGINT) * nx + x AS cell, y, x, price / 1e6 AS r, nx, ny FROM raster
-  WHERE priority = '1-URGENT' AND land = 0 AND y BETWEEN 1 AND ny - 2 AND x BETWEEN 1 AND nx - 2 AND price / 1e6 >= 1e-5),
-links AS (SELECT a.cell AS a, b.cell AS b FROM n a, off JOIN n b ON b.y = a.y + dy AND b.x = a.x + dx AND b.r <= 1.1::DOUBLE * a.r),
-reach AS (SELECT cell, cell AS root FROM n UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.cell),
-lab AS (SELECT q.cell, arg_min(root, (-n.r, root)) AS root FROM reach q JOIN n ON n.cell = root GROUP BY q.cell),
+RUNOFF = f"""{RASTER}, {OFF8}, n AS MATERIALIZED (SELECT CAST(y AS BIGINT) * nx + x AS cell, y, x, price / 1e6 AS r, nx, ny FROM raster
+  WHERE land = 0 AND y BETWEEN 1 AND ny - 2 AND x BETWEEN 1 AND nx - 2 AND price / 1e6 >= 1e-5),
+links AS MATERIALIZED (SELECT a.cell AS a, b.cell AS b FROM n a, off JOIN n b ON b.y = a.y + dy AND b.x = a.x + dx AND b.r <= 1.1::DOUBLE * a.r),
+reach(cell, low, root) USING KEY (cell) AS (SELECT cell, -r, cell FROM n UNION
+  SELECT o.b, o.m.low, o.m.root FROM (SELECT l.b, min(struct_pack(low := w.low, root := w.root)) AS m FROM reach w JOIN links l ON l.a = w.cell GROUP BY l.b) o
+  JOIN recurring.reach k ON k.cell = o.b WHERE o.m.low < k.low OR o.m.low = k.low AND o.m.root < k.root),
+lab AS MATERIALIZED (SELECT cell, root FROM reach),
 tot AS (SELECT lab.root, sum(n.r) AS total, count(*) AS cells, max(n.r) FILTER (n.cell = lab.root) AS top FROM lab JOIN n USING (cell) GROUP BY lab.root),
 num AS (SELECT root, CAST(row_number() OVER (ORDER BY round(total, 9) DESC, top DESC, root) AS INT) AS river FROM tot)"""
 
 
 def runoff(spark, sf, g):
     r = raster(spark, sf, g)
-    flow = r.select("y", "x", F.when(F.col("priority") == "1-URGENT", F.col("price") / 1e6).otherwise(0.0).alias("r"))
+    flow = r.select("y", "x", (F.col("price") / 1e6).alias("r"))
     return rv.valid_runoff(flow, g.ny, g.nx, r.select("y", "x", (1 - F.col("land")).alias("sea")))
 
 
 @query("gr5_number_rivers", f"WITH RECURSIVE {RUNOFF} SELECT y, x, r, lab.root, river FROM n JOIN lab USING (cell) JOIN num USING (root)")
 def number_rivers(spark, sf):
     g = grid(spark, sf)
-    out = rv.number_rivers(rv.runoff_regions(runoff(spark, sf, g), g.ny, g.nx), max_rivers=None)
+    out = rv.number_rivers(rv.runoff_regions(runoff(spark, sf, g), g.ny, g.nx))
     return out.select("y", "x", "r", "root", "river")
 
 
@@ -255,7 +257,7 @@ def close_gaps_land(spark, sf):
 @query("sk13_ocean_river_table", f"WITH RECURSIVE {RUNOFF} SELECT q.y, q.x, coalesce(river, 0)::INT AS river FROM raster q LEFT JOIN (SELECT y, x, river FROM n JOIN lab USING (cell) JOIN num USING (root)) k ON k.y = q.y AND k.x = q.x")
 def ocean_table(spark, sf):
     g = grid(spark, sf)
-    num = rv.number_rivers(rv.runoff_regions(runoff(spark, sf, g), g.ny, g.nx), max_rivers=None)
+    num = rv.number_rivers(rv.runoff_regions(runoff(spark, sf, g), g.ny, g.nx))
     return ocean_river_table(num, raster(spark, sf, g).select("y", "x"))
 
 
@@ -263,7 +265,7 @@ def ocean_table(spark, sf):
 def link_mouths(spark, sf):
     g = grid(spark, sf)
     o = ocean(spark, sf, g)
-    num = rv.number_rivers(rv.runoff_regions(runoff(spark, sf, g), g.ny, g.nx), max_rivers=None)
+    num = rv.number_rivers(rv.runoff_regions(runoff(spark, sf, g), g.ny, g.nx))
     return rv.link_mouths(mouths(spark, sf), o, o.select("y", "x", "sea"), materialise(num.select("y", "x", "river")), 0.15, g.ny, g.nx)[0]
 
 

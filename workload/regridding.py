@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import projection
 from gridloom.operators import curved, regrid
 from gridloom.sources import axes as ax
 from workload.fixtures import (
-    AXES, MONTH_AXES, MONTHLY, RASTER, axes, axis_sql, grid, month_axes, monthly, raster,
+    AXES, MONTH_AXES, MONTHLY, RASTER, axes, axis_sql, grid, month_axes, monthly, raster, read,
 )
 from workload.registry import query
 
@@ -217,6 +218,45 @@ def grid_to_mesh(spark, sf):
     return out.select(F.col("tgt_cell").alias("face"), F.round("price", 3).alias("value"))
 
 
+#: Faces between great circles only: lunes from a pole to the equator, as wide as the numbers of their orders' days say.
+LUNES = """w AS (SELECT k, count(*) AS n FROM (SELECT o_orderkey % 24 AS k FROM orders) GROUP BY k),
+lune AS (SELECT CAST(k AS INT) AS face, -180 + 360.0::DOUBLE * (sum(n) OVER (ORDER BY k) - n) / sum(n) OVER () AS lo, -180 + 360.0::DOUBLE * sum(n) OVER (ORDER BY k) / sum(n) OVER () AS hi FROM w)"""
+
+
+@query(
+    "jn7_mesh_of_lunes",
+    f"""WITH {RASTER}, {AXES}, {LUNES}, col AS (SELECT x, avg(price) AS v FROM raster GROUP BY x),
+o AS (SELECT face, x, v, least(l.hi, ax.hi) - greatest(l.lo, ax.lo) AS w FROM lune l JOIN ax ON ax.hi > l.lo AND ax.lo < l.hi JOIN col ON col.x = ax.idx)
+SELECT 2 * face + k AS face, round(v, 4) AS value FROM (SELECT face, sum(v * w) / sum(w) AS v FROM o GROUP BY face), (SELECT unnest([0, 1]) AS k)""",
+)
+def mesh_of_lunes(spark, sf):
+    """A source of two rows with the mean price of each column, to a mesh with two faces per lune: what covers them is known in closed form."""
+    g = grid(spark, sf)
+    n = read(spark, sf, "orders").groupBy((F.col("o_orderkey") % 24).cast("int").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.orderBy("k")  # one row per lune
+    lune = n.withColumn("hi", F.sum("n").over(w)).withColumn("lo", F.col("hi") - F.col("n"))
+    total = read(spark, sf, "orders").count()
+    edge = lambda c: F.lit(-180.0) + F.lit(360.0) * c / F.lit(float(total))
+    corner = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), a.alias("lat"), o.alias("lon")) for i, (a, o) in enumerate(
+        [(F.lit(0.0), edge(F.col("lo"))), (F.lit(0.0), edge(F.col("hi"))), (F.lit(90.0), edge(F.col("lo"))), (F.lit(-90.0), edge(F.col("lo")))])]))
+    nodes = lune.withColumn("c", corner).select((F.col("k") * 4 + F.col("c.i")).alias("node_id"), "c.lat", "c.lon")
+    first = F.col("k") * 4 + 1
+    faces = lune.select(F.explode(F.array(
+        F.struct((2 * F.col("k")).alias("face_id"), F.array(first, first + 1, first + 2).alias("nodes")),
+        F.struct((2 * F.col("k") + 1).alias("face_id"), F.array(first + 1, first, first + 3).alias("nodes")))).alias("f")).select("f.*")
+    column = raster(spark, sf, g).groupBy("x").agg(F.avg("price").alias("value"))
+    src = column.withColumn("y", F.explode(F.array(F.lit(0), F.lit(1))))
+    out = regrid.to_mesh(src, ax.regular_axis(spark, 2, -90.0, 90.0), axes(spark, g)[1], faces, nodes)
+    return out.select(F.col("face_id").alias("face"), F.round("value", 4).alias("value"))
+
+
+@query("fn6_weight_closure", "SELECT CAST(i AS BIGINT) AS cell, 1.0::DOUBLE AS covered FROM range(17 * 31) r(i) WHERE (SELECT count(*) FROM orders) > 0")
+def weight_closure(spark, sf):
+    """The displaced grid covers the globe, so every target cell is covered once."""
+    w = displaced_weights(spark, sf, grid(spark, sf))
+    return w.groupBy(F.col("tgt_cell").alias("cell")).agg(F.round(F.sum("w"), 7).alias("covered"))
+
+
 @query(
     "jn7_split_zonal_column",
     f"""WITH {MONTHLY} SELECT field_id, t, y, x, round(v, 6) AS value FROM (
@@ -227,28 +267,127 @@ def split_zonal_column(spark, sf):
     return regrid.split_column(z)
 
 
-@query(
-    "jn2_two_stage_rotated",
-    f"""WITH {RASTER}, {axis_sql('ty', 12, -30.0, '5.0::DOUBLE')}, {axis_sql('tx', 16, -40.0, '5.0::DOUBLE')},
-vy AS (SELECT CAST(i AS INT) AS idx, -30 + i * (60.0::DOUBLE / ny) AS lo, -30 + (i + 1) * (60.0::DOUBLE / ny) AS hi, radians(-30 + (i + 0.5::DOUBLE) * (60.0::DOUBLE / ny)) AS p FROM dims, range((SELECT ny FROM dims)) r(i)),
-vx AS (SELECT CAST(i AS INT) AS idx, -40 + i * (80.0::DOUBLE / nx) AS lo, -40 + (i + 1) * (80.0::DOUBLE / nx) AS hi, radians(-40 + (i + 0.5::DOUBLE) * (80.0::DOUBLE / nx)) AS p FROM dims, range((SELECT nx FROM dims)) r(i)),
-pt AS (SELECT vy.idx AS y, vx.idx AS x, degrees(asin(sin(vy.p) * sin(th) - cos(vy.p) * cos(vx.p) * cos(th))) AS lat,
-  degrees(atan2(cos(vy.p) * sin(vx.p), cos(vy.p) * cos(vx.p) * sin(th) + sin(vy.p) * cos(th))) + 177.5 AS lon FROM vy, vx, (SELECT radians(37.5::DOUBLE) AS th)),
-f AS (SELECT y, x, nx, ny, (lat + 90 - 90.0::DOUBLE / ny) / (180.0::DOUBLE / ny) AS fy, (lon + 180 - 180.0::DOUBLE / nx - 360 * floor((lon + 180 - 180.0::DOUBLE / nx) / 360)) / (360.0::DOUBLE / nx) AS fx FROM pt, dims),
-k AS (SELECT *, least(greatest(floor(fy), 0), ny - 2) AS iy, floor(fx) AS ix FROM f),
-c AS (SELECT y, x, fy, ny, CAST(iy + j AS INT) AS sy, CAST((ix + i) % nx AS INT) AS sx, CASE j WHEN 1 THEN fy - iy ELSE 1 - (fy - iy) END * CASE i WHEN 1 THEN fx - ix ELSE 1 - (fx - ix) END AS w
+def outline_sql(name, v0, v1, u0, u1, steps=64):
+    """Points ``(v, u)`` along the sides of a box given by four SQL numbers."""
+    side = f"FROM box_{name}, range({steps}) r(k)"
+    cols = [("v0", "u0 + k / 64.0::DOUBLE * (u1 - u0)"), ("v0 + k / 64.0::DOUBLE * (v1 - v0)", "u1"), ("v1", "u1 - k / 64.0::DOUBLE * (u1 - u0)"), ("v1 - k / 64.0::DOUBLE * (v1 - v0)", "u0")]
+    return f"box_{name} AS (SELECT {v0} AS v0, {v1} AS v1, {u0} AS u0, {u1} AS u1),\n{name} AS (" + " UNION ALL ".join(f"SELECT {v} AS v, {u} AS u {side}" for v, u in cols) + ")"
+
+
+#: From the points ``geo (lat, lon)`` of the target's outline: the rows and columns of the source below it, one more on each side.
+CROP = """lats AS (SELECT min(lat) AS v_lo, max(lat) AS v_hi FROM geo),
+turn AS (SELECT t, lead(t) OVER (ORDER BY t) AS n, min(t) OVER () + 360 AS over FROM (SELECT lon - 360 * floor(lon / 360) AS t FROM geo)),
+arc AS (SELECT max(struct_pack(gap := coalesce(n, over) - t, start := coalesce(n, over))) AS m FROM turn),
+lons AS (SELECT m.start AS u_lo, m.start + 360 - m.gap AS u_hi FROM arc),
+cys AS (SELECT DISTINCT idx + d AS idx FROM sy, lats, (SELECT unnest([-1, 0, 1]) AS d) WHERE lo < v_hi - 1e-10 AND hi > v_lo + 1e-10),
+cxs AS (SELECT DISTINCT (idx + d + n) % n AS idx FROM (SELECT *, lo - 360 * floor((lo - u_lo) / 360) AS a, count(*) OVER () AS n FROM sx, lons), (SELECT unnest([-1, 0, 1]) AS d)
+  WHERE a < u_hi - 1e-10 OR a + hi - lo > u_lo + 360 + 1e-10),
+cut AS (SELECT (SELECT count(*) FROM sy JOIN cys USING (idx)) AS my, (SELECT count(*) FROM cxs) AS mx)"""
+#: From the places ``pt (y, x, lat, lon)`` of the intermediate cells: their values, from the four points around each.
+INTERPOLATE = """gy AS (SELECT idx AS i0, point AS p0, lead(idx) OVER (ORDER BY point) AS i1, lead(point) OVER (ORDER BY point) AS p1 FROM sy),
+gx AS (SELECT idx AS i0, point AS p0, coalesce(lead(idx) OVER (ORDER BY point), first_value(idx) OVER (ORDER BY point)) AS i1,
+  coalesce(lead(point) OVER (ORDER BY point), first_value(point) OVER (ORDER BY point) + 360) AS p1, min(point) OVER () AS low FROM sx),
+span AS (SELECT min(point) AS lo, max(point) AS hi FROM sy),
+q AS (SELECT y, x, lat BETWEEN s.lo - 1e-10 AND s.hi + 1e-10 AS inside, least(greatest(lat, s.lo), s.hi) AS c, lon - 360 * floor((lon - low) / 360) AS l FROM pt, span s, (SELECT min(low) AS low FROM gx)),
+k AS (SELECT q.y, q.x, inside, gy.i0 AS y0, gy.i1 AS y1, (c - gy.p0) / (gy.p1 - gy.p0) AS fy, gx.i0 AS x0, gx.i1 AS x1, (l - gx.p0) / (gx.p1 - gx.p0) AS fx FROM q
+  JOIN gy ON c >= gy.p0 AND (c < gy.p1 OR gy.p1 = (SELECT hi FROM span) AND c = gy.p1) JOIN gx ON l >= gx.p0 AND l < gx.p1),
+c AS (SELECT y, x, inside, CASE j WHEN 1 THEN y1 ELSE y0 END AS sy, CASE i WHEN 1 THEN x1 ELSE x0 END AS sx, CASE j WHEN 1 THEN fy ELSE 1 - fy END * CASE i WHEN 1 THEN fx ELSE 1 - fx END AS w
   FROM k, (SELECT unnest([0, 0, 1, 1]) AS j, unnest([0, 1, 0, 1]) AS i)),
-mid AS (SELECT c.y, c.x, CASE WHEN bool_and(fy BETWEEN -1e-10 AND c.ny - 1 + 1e-10) THEN CASE WHEN count(price) = count(*) THEN sum(price * w) END ELSE CAST('NaN' AS DOUBLE) END AS v
-  FROM c LEFT JOIN raster r ON r.y = sy AND r.x = sx WHERE w <> 0 GROUP BY c.y, c.x),
-{overlap_sql('wx', 'vx', 'tx', False)}, {overlap_sql('wy', 'vy', 'ty', True)}
-SELECT y, x, round(v, 5) AS value FROM (SELECT wy.t AS y, wx.t AS x, sum(v * wx.w * wy.w) / sum(CASE WHEN v IS NOT NULL THEN wx.w * wy.w END) AS v FROM mid JOIN wx ON wx.s = mid.x JOIN wy ON wy.s = mid.y GROUP BY ALL)""",
+mid AS (SELECT c.y, c.x, CASE WHEN bool_and(inside) THEN CASE WHEN count(price) = count(*) THEN sum(price * w) END ELSE CAST('NaN' AS DOUBLE) END AS v
+  FROM c LEFT JOIN raster r ON r.y = c.sy AND r.x = c.sx WHERE w <> 0 GROUP BY c.y, c.x)"""
+
+
+def cover_sql(name, size, lo, hi):
+    step = f"({hi} - ({lo}))::DOUBLE / {size}"
+    return f"{name} AS (SELECT CAST(i AS INT) AS idx, {lo} + i * ({step}) AS lo, {lo} + (i + 1) * ({step}) AS hi, {lo} + (i + 0.5::DOUBLE) * ({step}) AS p FROM cut, range((SELECT {size} FROM cut)) r(i))"
+
+
+def two_stage_sql(source, box, target, geo, places, spherical, before=""):
+    """Oracle of a two-stage regrid of the raster's price: the cropped target is the whole target, which the source surrounds."""
+    v0, v1, u0, u1 = box
+    return f"""WITH {RASTER}, {source}, {target}, {outline_sql('ring', v0, v1, u0, u1)}, {before}geo AS ({geo}),
+{CROP}, {cover_sql('vy', 'my', v0, v1)}, {cover_sql('vx', 'mx', u0, u1)}, {places}, {INTERPOLATE},
+{overlap_sql('wx', 'vx', 'tx', False)}, {overlap_sql('wy', 'vy', 'ty', spherical)}
+SELECT y, x, round(v, 4) AS value FROM (SELECT wy.t AS y, wx.t AS x, sum(v * wx.w * wy.w) / sum(CASE WHEN v IS NOT NULL THEN wx.w * wy.w END) AS v FROM mid JOIN wx ON wx.s = mid.x JOIN wy ON wy.s = mid.y GROUP BY ALL)"""
+
+
+def unrotate_sql(v, u, table):
+    """Geographic place of a point seen from the pole (37.5, 177.5)."""
+    return f"""degrees(asin(sin({v}) * sin(th) + cos({v}) * cos({u}) * cos(th))) AS lat,
+  degrees(atan2(cos({v}) * sin({u}), cos({v}) * cos({u}) * sin(th) - sin({v}) * cos(th))) - 2.5 AS lon FROM {table}, (SELECT radians(37.5::DOUBLE) AS th)"""
+
+
+SOURCE = AXES + ", sy AS (SELECT idx, point, lo, hi FROM ay), sx AS (SELECT idx, point, lo, hi FROM ax)"
+ROTATED = (
+    ("-30::DOUBLE", "30::DOUBLE", "-40::DOUBLE", "40::DOUBLE"), f"{axis_sql('ty', 12, -30.0, '5.0::DOUBLE')}, {axis_sql('tx', 16, -40.0, '5.0::DOUBLE')}",
+    "SELECT " + unrotate_sql("radians(v)", "radians(u)", "ring"), "pt AS (SELECT vy.idx AS y, vx.idx AS x, " + unrotate_sql("radians(vy.p)", "radians(vx.p)", "vy, vx") + ")", True,
 )
+
+
+def rotated_target(spark):
+    return ax.regular_axis(spark, 12, -30.0, 5.0), ax.regular_axis(spark, 16, -40.0, 5.0)
+
+
+@query("jn2_two_stage_rotated", two_stage_sql(SOURCE, *ROTATED))
 def two_stage_rotated(spark, sf):
     g = grid(spark, sf)
     r = raster(spark, sf, g).withColumn("value", F.col("price"))
-    ty, tx = ax.regular_axis(spark, 12, -30.0, 5.0), ax.regular_axis(spark, 16, -40.0, 5.0)
-    out = regrid.two_stage(r, *axes(spark, g), ty, tx, tgt_pole=(37.5, 177.5))
-    return out.withColumn("value", F.round("value", 5))
+    out = regrid.two_stage(r, *axes(spark, g), *rotated_target(spark), tgt_system=(37.5, 177.5))
+    return out.withColumn("value", F.round("value", 4))
+
+
+#: Global axes whose cells grow towards the north and the east.
+UNEVEN = """sy AS (SELECT CAST(i AS INT) AS idx, -90 + 180 * ((i / ny::DOUBLE) ** 1.2 + ((i + 1) / ny::DOUBLE) ** 1.2) / 2 AS point, -90 + 180 * (i / ny::DOUBLE) ** 1.2 AS lo, -90 + 180 * ((i + 1) / ny::DOUBLE) ** 1.2 AS hi
+  FROM dims, range((SELECT ny FROM dims)) r(i)),
+sx AS (SELECT CAST(i AS INT) AS idx, -180 + 360 * ((i / nx::DOUBLE) ** 1.1 + ((i + 1) / nx::DOUBLE) ** 1.1) / 2 AS point, -180 + 360 * (i / nx::DOUBLE) ** 1.1 AS lo, -180 + 360 * ((i + 1) / nx::DOUBLE) ** 1.1 AS hi
+  FROM dims, range((SELECT nx FROM dims)) r(i))"""
+
+
+def uneven_axis(spark, n, start, length, power):
+    lo, hi = f"{start}D + {length}D * pow(id / {n}D, {power}D)", f"{start}D + {length}D * pow((id + 1) / {n}D, {power}D)"
+    return spark.range(n).selectExpr("CAST(id AS INT) AS idx", f"{start}D + {length}D * (pow(id / {n}D, {power}D) + pow((id + 1) / {n}D, {power}D)) / 2 AS point", f"{lo} AS lo", f"{hi} AS hi")
+
+
+@query("jn2_two_stage_uneven", two_stage_sql(UNEVEN, *ROTATED))
+def two_stage_uneven(spark, sf):
+    g = grid(spark, sf)
+    r = raster(spark, sf, g).withColumn("value", F.col("price"))
+    src = uneven_axis(spark, g.ny, -90.0, 180.0, 1.2), uneven_axis(spark, g.nx, -180.0, 360.0, 1.1)
+    out = regrid.two_stage(r, *src, *rotated_target(spark), tgt_system=(37.5, 177.5))
+    return out.withColumn("value", F.round("value", 4))
+
+
+# Airy 1830 ellipsoid and the British national grid.
+AIRY = "SELECT 6377563.396::DOUBLE AS a, 6356256.909::DOUBLE AS b, 0.9996012717::DOUBLE AS f0, radians(49.0::DOUBLE) AS p0, radians(-2.0::DOUBLE) AS l0"
+ARC = """b * f0 * ((1 + n + 1.25::DOUBLE * n ** 2 + 1.25::DOUBLE * n ** 3) * (p - p0) - (3 * n + 3 * n ** 2 + 2.625::DOUBLE * n ** 3) * sin(p - p0) * cos(p + p0)
+  + 1.875::DOUBLE * (n ** 2 + n ** 3) * sin(2 * (p - p0)) * cos(2 * (p + p0)) - 35 / 24.0::DOUBLE * n ** 3 * sin(3 * (p - p0)) * cos(3 * (p + p0)))"""
+
+
+def british_sql(name, table, v, u, keys):
+    """Tables that end in `name`: latitude and longitude of northing `v` and easting `u`, the foot latitude found in eight steps."""
+    steps = [f"{name}0 AS (SELECT {keys}{v} + 100000 AS m, {u} - 400000 AS de, e.*, (a - b) / (a + b) AS n, 1 - (b / a) ** 2 AS e2, ({v} + 100000) / (a * f0) + p0 AS p FROM {table}, ({AIRY}) e)"]
+    steps += [f"{name}{k} AS (SELECT * REPLACE (p + (m - {ARC}) / (a * f0) AS p) FROM {name}{k - 1})" for k in range(1, 9)]
+    names = ", ".join(k.split(" AS ")[-1].strip() for k in keys.split(",") if k.strip())
+    names = names + ", " if names else ""
+    steps.append(f"{name}r AS (SELECT *, a * f0 / sqrt(1 - e2 * sin(p) ** 2) AS nu, a * f0 / sqrt(1 - e2 * sin(p) ** 2) * (1 - e2) / (1 - e2 * sin(p) ** 2) AS rho, tan(p) AS t FROM {name}8)")
+    steps.append(f"""{name} AS (SELECT {names}degrees(p - t / (2 * rho * nu) * de ** 2 + t / (24 * rho * nu ** 3) * (5 + 3 * t * t + h - 9 * t * t * h) * de ** 4 - t / (720 * rho * nu ** 5) * (61 + 90 * t * t + 45 * t ** 4) * de ** 6) AS lat,
+  degrees(l0 + (de / nu - de ** 3 / (6 * nu ** 3) * (nu / rho + 2 * t * t) + de ** 5 / (120 * nu ** 5) * (5 + 28 * t * t + 24 * t ** 4) - de ** 7 / (5040 * nu ** 7) * (61 + 662 * t * t + 1320 * t ** 4 + 720 * t ** 6)) / cos(p)) AS lon
+  FROM (SELECT *, nu / rho - 1 AS h FROM {name}r))""")
+    return ", ".join(steps)
+
+
+@query(
+    "jn2_two_stage_british",
+    two_stage_sql(
+        SOURCE, ("0::DOUBLE", "1250000::DOUBLE", "0::DOUBLE", "700000::DOUBLE"), f"{axis_sql('ty', 10, 0.0, '125000.0::DOUBLE')}, {axis_sql('tx', 7, 0.0, '100000.0::DOUBLE')}",
+        "SELECT lat, lon FROM ringgeo", british_sql("pt", "vy, vx", "vy.p", "vx.p", "vy.idx AS y, vx.idx AS x, "), False, british_sql("ringgeo", "ring", "v", "u", "") + ", ",
+    ),
+)
+def two_stage_british(spark, sf):
+    g = grid(spark, sf)
+    r = raster(spark, sf, g).withColumn("value", F.col("price"))
+    ty, tx = ax.regular_axis(spark, 10, 0.0, 125000.0), ax.regular_axis(spark, 7, 0.0, 100000.0)
+    return regrid.two_stage(r, *axes(spark, g), ty, tx, tgt_system="british").withColumn("value", F.round("value", 4))
 
 
 @query(
@@ -267,14 +406,18 @@ def same_grid(spark, sf):
     return regrid.same_grid(found, axes(spark, g)[0].withColumn("axis", F.lit("y")))
 
 
-@query("fn6_curved_weights")
-def curved_weights(spark, sf):
-    """Cells of a grid with a displaced pole, regridded to a regular target by clipped great-circle polygons."""
-    g = grid(spark, sf)
+def displaced_weights(spark, sf, g):
+    """Weights from the cells of a grid with a displaced pole to a regular grid, by clipped great-circle polygons."""
     cells = curved.corners_from_axes(*axes(spark, g), g.ny, g.nx)
     corners = F.zip_with("lats", "lons", lambda a, o: F.struct(*[c.alias(n) for c, n in zip(projection.from_rotated(a, o, 37.5, 177.5), ("a", "o"))]))
     cells = cells.select("cell", corners.alias("c")).selectExpr("cell", "transform(c, p -> p.a) AS lats", "transform(c, p -> p.o) AS lons")
-    w = curved.curved_weights(cells, curved.corners_from_axes(*odd_axes(spark), 17, 31))
+    return curved.curved_weights(cells, curved.corners_from_axes(*odd_axes(spark), 17, 31))
+
+
+@query("fn6_curved_weights")
+def curved_weights(spark, sf):
+    """The raster on the displaced grid, regridded to the regular one."""
+    g = grid(spark, sf)
     r = raster(spark, sf, g).select((F.col("y").cast("long") * g.nx + F.col("x")).alias("src_cell"), "price")
-    out = regrid.apply_weights(r, w, value="price", normalise=True, digits=3)
+    out = regrid.apply_weights(r, displaced_weights(spark, sf, g), value="price", normalise=True, digits=3)
     return out.select(F.col("tgt_cell").alias("cell"), F.col("price").alias("value"))

@@ -11,6 +11,7 @@ from gridloom.operators import filters as ft
 from gridloom.operators import gases as gs
 from gridloom.operators import tiles as tl
 from gridloom.operators import timeaxis as ta
+from gridloom.operators.regrid import complete
 from gridloom.operators import vertical as vt
 from gridloom.sinks import writers as wr
 from gridloom.sources import fields as fl
@@ -245,14 +246,33 @@ def mesh_corners(spark, sf):
     return ms.face_corners(faces, nodes)
 
 
-@query("sk7_mesh_consistency", """SELECT k AS field_id, CASE WHEN k > 0 THEN 'same' ELSE 'own' END AS name, (SELECT count(*) FROM orders) AS faces, k = 0 AS unique_name, false AS same_topology FROM (SELECT unnest([0, 1, 2])::INT AS k)""")
-def mesh_consistency(spark, sf):
-    f = read(spark, sf, "orders").withColumn("field_id", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
-    f = f.select(
-        "field_id", F.when(F.col("field_id") > 0, "same").otherwise("own").alias("name"), F.col("o_orderkey").alias("face_id"),
-        (F.col("o_totalprice") % 180 - 90).alias("lat"), (F.col("o_totalprice") % 360 + F.when(F.col("field_id") == 2, 1.0).otherwise(0.0)).alias("lon"),
+def mesh_sql(shift):
+    """Three fields on the orders' places; field 2 has its longitudes shifted where `shift` holds."""
+    return f"""WITH f AS (SELECT k AS field_id, CASE WHEN k = 0 THEN 'own' ELSE (SELECT min(o_clerk) FROM orders) END AS name, o_orderkey AS face_id, o_totalprice % 180 - 90 AS lat,
+  o_totalprice % 360 + CASE WHEN k = 2 AND {shift} THEN 1.0 ELSE 0.0 END AS lon FROM orders, (SELECT unnest([0, 1, 2])::INT AS k)),
+odd AS (SELECT face_id FROM f GROUP BY face_id HAVING count(*) <> 3 OR min(lat) <> max(lat) OR min(lon) <> max(lon)),
+p AS (SELECT field_id, name, count(*) AS faces FROM f GROUP BY ALL)
+SELECT field_id, name, faces, count(*) OVER (PARTITION BY name) = 1 AS unique_name, NOT EXISTS (SELECT 1 FROM odd) AS same_topology FROM p"""
+
+
+def mesh_fields(spark, sf, shift):
+    o = read(spark, sf, "orders")
+    clerk = o.agg(F.min("o_clerk")).first()[0]
+    moved = F.when((F.col("field_id") == 2) & F.expr(shift), 1.0).otherwise(0.0)
+    return o.withColumn("field_id", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).select(
+        "field_id", F.when(F.col("field_id") > 0, F.lit(clerk)).otherwise("own").alias("name"), F.col("o_orderkey").alias("face_id"),
+        (F.col("o_totalprice") % 180 - 90).alias("lat"), (F.col("o_totalprice") % 360 + moved).alias("lon"),
     )
-    return wr.mesh_fields_consistent(f)
+
+
+@query("sk7_mesh_consistency", mesh_sql("o_orderstatus = 'P'"))
+def mesh_consistency(spark, sf):
+    return wr.mesh_fields_consistent(mesh_fields(spark, sf, "o_orderstatus = 'P'"))
+
+
+@query("sk7_mesh_consistency_equal", mesh_sql("o_orderstatus = '-'"))
+def mesh_consistency_equal(spark, sf):
+    return wr.mesh_fields_consistent(mesh_fields(spark, sf, "o_orderstatus = '-'"))
 
 
 @query("fn1_radiation_series", f"""WITH {GASES}, s AS (SELECT gas, CAST(floor(1850 + days / 365) AS INT) AS year, value * CASE gas WHEN 'CO2' THEN 1.5188e-6 WHEN 'CH4' THEN 0.5523e-9 WHEN 'N2O' THEN 1.5188e-9 WHEN 'CFC12' THEN 4.1783e-12 ELSE 3.5219e-12 END AS v FROM (SELECT * REPLACE (days + 365 * 22 AS days) FROM gases) WHERE sector = 0),
@@ -263,13 +283,13 @@ def radiation_series(spark, sf):
     return gs.radiation_series(g, "scenario", 2010, 2024).withColumn("value", F.round(F.col("value") * 1e6, 5))
 
 
-@query("jn20_add_species", """WITH s AS (SELECT l_returnflag || l_linestatus AS sp, l_suppkey AS field_id, CAST(year(l_shipdate) AS INT) AS year, sum(l_quantity) AS v FROM lineitem GROUP BY ALL)
-SELECT field_id, year, sum(v) AS value FROM s GROUP BY ALL HAVING count(*) = 6""")
+@query("jn20_add_species", """WITH s AS (SELECT l_returnflag || l_linestatus AS sp, CAST(l_partkey % 36 AS INT) AS y, CAST(l_orderkey % 72 AS INT) AS x, sum(l_quantity) AS v FROM lineitem GROUP BY ALL)
+SELECT y, x, sum(v) AS value FROM s GROUP BY ALL HAVING count(*) = 6""")
 def add_species(spark, sf):
     li = read(spark, sf, "lineitem").groupBy(
-        F.concat("l_returnflag", "l_linestatus").alias("sp"), F.col("l_suppkey").alias("field_id"), F.year("l_shipdate").alias("year")
+        F.concat("l_returnflag", "l_linestatus").alias("sp"), F.expr("CAST(l_partkey % 36 AS INT)").alias("y"), F.expr("CAST(l_orderkey % 72 AS INT)").alias("x"),
     ).agg(F.sum("l_quantity").alias("value"))
-    return gs.add_species(li, ["field_id", "year"], 6)
+    return gs.add_species(li, ["y", "x"], 6)
 
 
 @query("ag5_area_totals", f"""WITH {MONTHLY}, {MONTH_AXES} SELECT field_id, t, round(sum(value * 6371229.0::DOUBLE * 6371229.0::DOUBLE * (sin(radians(my.hi)) - sin(radians(my.lo))) * radians(mx.hi - mx.lo)) * (86400.0::DOUBLE * 360 / 1e12) / 1e6, 5) AS total
@@ -407,21 +427,69 @@ def compare_attributes(spark, sf):
 
 
 @query("qa2_compare_series", f"""WITH {WIDE_SQL} SELECT year, gas, round(source, 3) AS source, product, round(product - source, 3) AS difference FROM (
-  SELECT n.year, n.gas, CASE n.gas WHEN 'CO2' THEN w.value * 0.5 ELSE w.value END AS source, n.value AS product FROM named n JOIN named w ON w.year = n.year AND w.gas = n.gas AND w.sector = 1 WHERE n.sector = 0 AND n.gas IN ('CO2', 'CH4'))""")
+  SELECT n.year, n.gas, CASE n.gas WHEN 'CO2' THEN w.value * 0.5 ELSE w.value END AS source, n.value AS product FROM named n JOIN named w ON w.year = n.year AND w.gas = n.gas AND w.sector = 1 WHERE n.sector = 0)""")
 def compare_series(spark, sf):
     n = named_gases(spark, sf)
-    wide = wr.wide_table(n.filter("sector = 1"), ["CO2", "CH4"])
-    out = ck.compare_series(wide, n.filter("sector = 0"), ["CO2", "CH4"], {"CO2": 0.5})
+    names = ["CO2", "CH4", "N2O", "CFC_12", "HALON1211"]
+    wide = wr.wide_table(n.filter("sector = 1"), names)
+    out = ck.compare_series(wide, n.filter("sector = 0"), names, {"CO2": 0.5})
     return out.select("year", "gas", F.round("source", 3).alias("source"), "product", F.round("difference", 3).alias("difference"))
 
 
+def whole_raster(spark, sf, g, value):
+    """The raster with its incomplete last row filled up."""
+    r = raster(spark, sf, g).select("y", "x", value.alias("value"))
+    return complete(r, g.ny, g.nx).withColumn("value", F.coalesce("value", F.lit(1000.0)))
+
+
 @query("wn13_low_pass_filter")
 def low_pass_filter(spark, sf):
     g = grid(spark, sf)
-    full = raster(spark, sf, g).select("y", "x", F.col("price").alias("value")).filter(F.col("y") < g.ny - 1)
     lat = -90 + (F.col("y") + 0.5) * 180.0 / g.ny
     eps = ft.strength_by_latitude(2.0e6, lat, 360.0 / g.nx, 180.0 / g.ny)
-    return ft.raymond_filter(full, g.ny - 1, g.nx, ft.strength_from_length(2.0e6, 360.0 / g.nx), eps)
+    return ft.raymond_filter(whole_raster(spark, sf, g, F.col("price")), g.ny, g.nx, ft.strength_from_length(2.0e6, 360.0 / g.nx), eps)
+
+
+#: Seven-point sixth difference of the whole-number field d, around (y, x) along one axis.
+SIXTH = "20 * c.v - 15 * (b1.v + a1.v) + 6 * (b2.v + a2.v) - b3.v - a3.v"
+FLAT = f"""{RASTER}, d AS (SELECT CAST(i // nx AS INT) AS y, CAST(i % nx AS INT) AS x, coalesce(floor(price / 1000), 1000) AS v, nx, ny FROM dims, range((SELECT nx * ny FROM dims)) g(i)
+  LEFT JOIN (SELECT y AS ry, x AS rx, price FROM raster) r ON r.ry = i // nx AND r.rx = i % nx)"""
+
+
+@query(
+    "wn13_row_equation",
+    f"""WITH {FLAT} SELECT c.y, c.x, CAST(-({SIXTH}) AS BIGINT) AS moved FROM d c """ + " ".join(
+        f"JOIN d {n}{k} ON {n}{k}.y = c.y AND {n}{k}.x = (c.x {s} {k} + c.nx) % c.nx" for k in (1, 2, 3) for n, s in (("a", "+"), ("b", "-"))),
+)
+def row_equation(spark, sf):
+    """The rows' filter is an equation: its left side on what the filter changed is its right side on the field, here whole numbers."""
+    g = grid(spark, sf)
+    return filter_equation(spark, sf, g, "x", ft.raymond_filter(whole_raster(spark, sf, g, F.floor(F.col("price") / 1000).cast("double")), g.ny, g.nx, 1.0, along=("x",)))
+
+
+@query(
+    "wn13_column_equation",
+    f"""WITH {FLAT} SELECT c.y, c.x, CAST(-({SIXTH}) AS BIGINT) AS moved FROM d c """ + " ".join(
+        f"JOIN d {n}{k} ON {n}{k}.x = c.x AND {n}{k}.y = c.y {s} {k}" for k in (1, 2, 3) for n, s in (("a", "+"), ("b", "-"))),
+)
+def column_equation(spark, sf):
+    """As for the rows, three cells away from the open ends, where the order of the difference is full."""
+    g = grid(spark, sf)
+    return filter_equation(spark, sf, g, "y", ft.raymond_filter(whole_raster(spark, sf, g, F.floor(F.col("price") / 1000).cast("double")), g.ny, g.nx, 1.0, along=("y",)))
+
+
+def filter_equation(spark, sf, g, along, out):
+    """Left side of the filter of strength one: unknowns at odd offsets drop out, those at even ones count twice their binomials."""
+    before = whole_raster(spark, sf, g, F.floor(F.col("price") / 1000).cast("double")).withColumnRenamed("value", "old")
+    d = out.join(before, ["y", "x"]).select("y", "x", (F.col("value") - F.col("old")).alias("v"))
+    shifts = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in ((-2, 12.0), (0, 40.0), (2, 12.0))]))
+    t = d.withColumn("s", shifts).withColumn("v", F.col("v") * F.col("s.w"))
+    if along == "x":
+        t = t.withColumn("x", F.pmod(F.col("x") + F.col("s.k"), F.lit(g.nx)).cast("int"))
+    else:
+        t = t.withColumn("y", (F.col("y") + F.col("s.k")).cast("int"))
+    left = t.groupBy("y", "x").agg(F.round(F.sum("v")).cast("long").alias("moved"))
+    return left if along == "x" else left.filter(F.col("y").between(3, g.ny - 4))
 
 
 def tile_mean(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -439,7 +507,7 @@ SELECT a.y, a.x, sum(coalesce(b.value, 0)) AS total FROM raster a, off LEFT JOIN
 )
 def tiled_operation(spark, sf):
     g = grid(spark, sf)
-    return tl.apply_tiled(raster(spark, sf, g).select("y", "x", "value"), tile_mean, "y INT, x INT, total DOUBLE", g.ny, g.nx, 5, 7, halo=1)
+    return tl.apply_tiled(raster(spark, sf, g).select("y", "x", "value"), tile_mean, "y INT, x INT, total DOUBLE", g.ny, g.nx, tl.tile_shape(g.ny, g.nx, 2000), halo=1)
 
 
 def pair_difference(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -451,4 +519,4 @@ def pair_difference(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
 def tiled_pair(spark, sf):
     g = grid(spark, sf)
     r = raster(spark, sf, g)
-    return tl.apply_tiled_pair(r.select("y", "x", "price"), r.select("y", "x", "land"), pair_difference, "y INT, x INT, diff DOUBLE", g.ny, g.nx, 4, 6)
+    return tl.apply_tiled_pair(r.select("y", "x", "price"), r.select("y", "x", "land"), pair_difference, "y INT, x INT, diff DOUBLE", g.ny, g.nx, tl.tile_shape(g.ny, g.nx, 2000))

@@ -90,10 +90,10 @@ def global_mean(spark, sf):
 
 @query(
     "wn5_gradients",
-    f"""WITH {RASTER}, {AXES}, d AS (SELECT r.y, r.x, price AS v, nx, ny, radians(ay.point) AS lat, radians(360.0::DOUBLE / nx) AS dl, radians(180.0::DOUBLE / ny) AS dp
-    FROM raster r JOIN ay ON ay.idx = r.y JOIN dims USING (nx, ny) WHERE r.y < ny - 1),
+    f"""WITH {RASTER}, {AXES}, {DENSE}, d AS (SELECT r.y, r.x, coalesce(price, 1000) AS v, nx, ny, radians(ay.point) AS lat, radians(360.0::DOUBLE / nx) AS dl, radians(180.0::DOUBLE / ny) AS dp
+    FROM dense r JOIN ay ON ay.idx = r.y),
 gx AS (SELECT c.y, c.x, (e.v - w.v) / 2 / dl_ AS g FROM (SELECT *, dl AS dl_ FROM d) c JOIN d e ON e.y = c.y AND e.x = (c.x + 1) % c.nx JOIN d w ON w.y = c.y AND w.x = (c.x + c.nx - 1) % c.nx),
-gy AS (SELECT y, x, CASE WHEN y = 0 THEN 1.5 * (v1 - v) - 0.5 * (v2 - v1) WHEN y = ny - 2 THEN 1.5 * (v - u1) - 0.5 * (u1 - u2) ELSE ((v1 - v) + (v - u1)) / 2 END / dp AS g FROM (
+gy AS (SELECT y, x, CASE WHEN y = 0 THEN 1.5 * (v1 - v) - 0.5 * (v2 - v1) WHEN y = ny - 1 THEN 1.5 * (v - u1) - 0.5 * (u1 - u2) ELSE ((v1 - v) + (v - u1)) / 2 END / dp AS g FROM (
   SELECT *, lead(v, 1) OVER w AS v1, lead(v, 2) OVER w AS v2, lag(v, 1) OVER w AS u1, lag(v, 2) OVER w AS u2 FROM d WINDOW w AS (PARTITION BY x ORDER BY y)))
 SELECT d.y, d.x, round(gx.g / (6371229.0::DOUBLE * cos(lat)) * 1000, 4) AS dhdx, round(gy.g / 6371229.0::DOUBLE * 1000, 4) AS dhdy
 FROM d JOIN gx ON gx.y = d.y AND gx.x = d.x JOIN gy ON gy.y = d.y AND gy.x = d.x""",
@@ -101,8 +101,8 @@ FROM d JOIN gx ON gx.y = d.y AND gx.x = d.x JOIN gy ON gy.y = d.y AND gy.x = d.x
 def gradients(spark, sf):
     g = grid(spark, sf)
     ay, axx = axes(spark, g)
-    full = raster(spark, sf, g).select("y", "x", "price").filter(F.col("y") < g.ny - 1)
-    out = st.gradients(full, ay.filter(F.col("idx") < g.ny - 1), axx, value="price")
+    full = dense(spark, sf, g, "price").select("y", "x", F.coalesce("price", F.lit(1000.0)).alias("price"))
+    out = st.gradients(full, ay, axx, value="price")
     return out.select("y", "x", F.round(F.col("dhdx") * 1000, 4).alias("dhdx"), F.round(F.col("dhdy") * 1000, 4).alias("dhdy"))
 
 
