@@ -244,16 +244,16 @@ def decode(rows: DataFrame, document: str, id: str = "doc_id", ids: str = "ids")
     token = WordBpe(document).token
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = pa.array(token, pa.large_string())
+        names = pa.array(token, pa.string())
         for whole in batches:
             size = np.array([0 if n is None else n for n in pc.list_value_length(whole.column(1)).to_pylist()], np.int64)
             part = np.cumsum(size) // DECODE_TOKENS
             edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), whole.num_rows]
             for lo, hi in zip(edges, edges[1:]):
                 batch = whole.slice(lo, hi - lo)
-                ends = pa.array(np.concatenate([[0], np.cumsum(size[lo:hi])]))
-                words = pa.LargeListArray.from_arrays(ends, names.take(batch.column(1).flatten()))
-                joined = pc.binary_join(words, " ").cast(pa.string())
+                ends = pa.array(np.concatenate([[0], np.cumsum(size[lo:hi])]).astype(np.int32))
+                words = pa.ListArray.from_arrays(ends, names.take(batch.column(1).flatten()))
+                joined = pc.binary_join(words, " ")
                 texts = pc.if_else(batch.column(1).is_valid(), joined, pa.scalar(None, pa.string()))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], ["id", "ids", "decoded"])
 
