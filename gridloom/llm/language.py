@@ -26,7 +26,7 @@ SAMPLE = 1500
 #: Rounds of expectation maximisation and what is added to every expected count.
 ROUNDS, PRIOR = 4, 0.05
 #: Bytes up to which words are scored together (their probabilities, scaled by SCALE per byte, stay within range); words a task remembers.
-SHORT, SCALE, REMEMBER = 40, 16.0, 1 << 19
+SHORT, SCALE, REMEMBER = 40, 16.0, 1 << 18
 UNKNOWN = "und"
 _MARK = "▁"
 _WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")

@@ -106,7 +106,7 @@ def remove_repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = columns.index(text)
-        for batch in batches:
+        for batch in slices(batches, text):
             left, n_lines, n_removed, n_chunks = [], [], [], []
             for t, gone in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist()):
                 lines = [] if t is None else t.split("\n")

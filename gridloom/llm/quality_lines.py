@@ -20,7 +20,7 @@ from gridloom.llm.common import slices
 from gridloom.session import lookup, materialise
 
 #: Hashes of words a task remembers.
-REMEMBER = 1 << 20
+REMEMBER = 1 << 17
 _SYMBOLS = b"#*$%&|<>"
 _BLANKS = b" \t\n\v\f\r"
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
