@@ -112,11 +112,12 @@ def from_geographic(lat: Column, lon: Column, system: System) -> tuple[Column, C
 
 def to_british_grid(lat: Column, lon: Column) -> tuple[Column, Column]:
     """Easting and northing (metres) of a latitude and longitude on the Airy ellipsoid."""
-    phi, lam = F.radians(lat), F.radians(lon)
+    phi = F.radians(lat)
     nu, rho = _radii(phi)
     eta2 = nu / rho - 1
     c, t2 = F.cos(phi), F.tan(phi) * F.tan(phi)
-    dl = lam - F.lit(GRID_LON0)
+    # Degrees from the true origin's meridian, whichever turn the longitude is given in.
+    dl = F.radians(F.pmod(lon - F.lit(math.degrees(GRID_LON0)) + F.lit(180.0), F.lit(360.0)) - F.lit(180.0))
     north = (
         _meridian_arc(phi)
         + F.lit(GRID_N0)

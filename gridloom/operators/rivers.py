@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -238,6 +240,33 @@ def _within(starts: DataFrame, cells: DataFrame, ny: int, nx: int) -> DataFrame:
     return out.filter(F.col("d") <= F.col("radius"))
 
 
+def _settle(rows: pd.DataFrame) -> pd.DataFrame:
+    """One tile's mouths in order: ``(id, river, lead)`` of those that need not wait; `lead` is the mouth whose new number they have."""
+    known = rows[rows["lead"].notna()]
+    number = {(y, x): int(v) for y, x, v in zip(known["y"], known["x"], known["lead"])}
+    waiting: set[tuple[int, int]] = set()
+    out = []
+    for mouth, group in rows.sort_values("id").groupby("id", sort=False):
+        places, d, kind = list(zip(group["y"], group["x"])), group["d"].to_numpy(float), group["kind"].iloc[0]
+        own = [p for p, far in zip(places, d) if np.isnan(far)]
+        if (group["outside"] < mouth).any() or not waiting.isdisjoint(places):
+            waiting.update(own)
+            continue
+        near = [(far, number[p]) for p, far in zip(places, d) if not np.isnan(far) and p in number]
+        along = [number[p] for p in own if p in number]
+        lead = None
+        if near:
+            reach = max(min(far for far, _ in near), group["min_distance"].iloc[0])
+            lead = min(v for far, v in near if far <= reach)
+        elif kind == "new":
+            lead = min(along, default=mouth)
+            if not along:
+                number.update(dict.fromkeys(own, mouth))
+        river = None if lead is not None else -2 if kind == "inland" else int(group["river"].iloc[0])
+        out.append((mouth, river, lead))
+    return pd.DataFrame({"id": [r[0] for r in out], "river": pd.array([r[1] for r in out], "Int32"), "lead": pd.array([r[2] for r in out], "Int64")})
+
+
 def link_mouths(
     mouths: DataFrame, ocean: DataFrame, sea: DataFrame, numbered: DataFrame, scaling: float, ny: int, nx: int,
 ) -> tuple[DataFrame, DataFrame]:
@@ -247,8 +276,9 @@ def link_mouths(
     coast there, the lowest number of the sea cells near that coast; if these have none, a new number, which they get and which later
     mouths see; without such sea cells -2.
 
-    Only mouths that could meet cells of an earlier mouth's new number have to wait.  Each round settles all mouths none of whose cells
-    belong to an unsettled earlier mouth that may make a number, so rounds grow with the longest chain of such mouths, not with their number.
+    Only mouths that could meet cells of an earlier mouth's new number have to wait.  A round takes the mouths of each tile of the grid in
+    order and settles those none of whose cells may still get a number from an earlier mouth of another tile, or from one that waits; so
+    rounds grow with the longest chain across tiles, and a task holds the mouths of one tile.
     """
     near = nearest_ocean_point(mouths, ocean.select((F.col("y").cast("long") * nx + F.col("x")).alias("point"), "nav_lat", "nav_lon"))
     starts = materialise(
@@ -268,28 +298,29 @@ def link_mouths(
     old = wet.join(numbered.filter("river > 0").select("y", "x", "river"), ["y", "x"]).groupBy("id").agg(F.min("river").alias("old"))
     some = wet.select("id").distinct().withColumn("_wet", F.lit(True))
     kind = F.when(F.col("river").isNotNull(), "reach").when(F.col("old").isNotNull(), "coast").when(F.col("_wet"), "new").otherwise("inland")
-    live = materialise(rest.join(old, "id", "left").join(some, "id", "left").select("id", "sy", "sx", "min_distance", "radius", F.coalesce("river", "old").alias("river"), kind.alias("kind")))
-    makers = materialise(wet.join(live.filter("kind = 'new'").select("id"), "id", "left_semi"))
+    tile = F.struct(F.floor(F.col("sy") / TILE).alias("ty"), F.floor(F.col("sx") / TILE).alias("tx")).alias("tile")
+    live = materialise(rest.join(old, "id", "left").join(some, "id", "left").select("id", tile, "sy", "sx", "min_distance", "radius", F.coalesce("river", "old").alias("river"), kind.alias("kind")))
+    makers = materialise(wet.join(live.filter("kind = 'new'").select("id", "tile"), "id"))
     near_cells = _within(live, makers.select("y", "x").distinct(), ny, nx).filter("kind <> 'reach' OR d < radius").select("id", "y", "x", "d")
     cells = materialise(near_cells.unionByName(makers.select("id", "y", "x", F.lit(None).cast("int").alias("d"))))
+    kinds = {"id": starts.schema["id"].dataType.simpleString()}
+    result = f"id {kinds['id']}, river int, lead {kinds['id']}"
+    alone = live.join(cells.select("id").distinct(), "id", "left_anti")
+    settled.append(alone.select("id", F.when(F.col("kind") == "inland", -2).otherwise(F.col("river")).alias("river"), F.lit(None).cast(kinds["id"]).alias("lead")))
+    pending = materialise(live.join(cells.select("id").distinct(), "id", "left_semi"))
     assigned = materialise(makers.limit(0).select("y", "x", F.col("id").alias("lead")))
-    while row_count(live):
-        first = makers.join(live.select("id"), "id", "left_semi").groupBy("y", "x").agg(F.min("id").alias("_maker"))
-        waits = cells.join(first, ["y", "x"]).filter(F.col("_maker") < F.col("id")).select("id").distinct()
-        ready = materialise(live.join(waits, "id", "left_anti"))
-        seen = cells.join(assigned, ["y", "x"]).join(ready.select("id", "min_distance"), "id")
-        reach = F.greatest(F.min("d").over(Window.partitionBy("id")), F.col("min_distance"))
-        seen = seen.withColumn("_reach", reach).groupBy("id").agg(
-            F.min(F.when(F.col("d") <= F.col("_reach"), F.col("lead"))).alias("_near"), F.min(F.when(F.col("d").isNull(), F.col("lead"))).alias("_along"))
-        lead = F.coalesce(F.col("_near"), F.when(F.col("kind") == "new", F.coalesce("_along", "id")))
-        done = materialise(ready.join(seen, "id", "left").select(
-            "id", F.when(lead.isNull(), F.when(F.col("kind") == "inland", -2).otherwise(F.col("river"))).alias("river"), lead.alias("lead")))
+    while row_count(pending):
+        # Per cell: the first maker of another tile that may still give it a number, and the number it has.
+        firsts = makers.join(pending.select("id"), "id", "left_semi").groupBy("y", "x", F.col("tile").alias("_of")).agg(F.min("id").alias("_first"))
+        rows = cells.join(pending.select("id", "tile", "min_distance", "river", "kind"), "id")
+        outside = rows.select("tile", "y", "x").distinct().join(firsts, ["y", "x"]).filter("tile <> _of").groupBy("tile", "y", "x").agg(F.min("_first").alias("outside"))
+        rows = rows.join(outside, ["tile", "y", "x"], "left").join(assigned, ["y", "x"], "left")
+        done = materialise(rows.groupBy("tile").applyInPandas(_settle, result))
         settled.append(done)
         fresh = makers.join(done.filter("lead = id").select("id"), "id", "left_semi").select("y", "x", F.col("id").alias("lead"))
-        more = materialise(assigned.unionByName(fresh))
-        left = materialise(live.join(ready.select("id"), "id", "left_anti"))
-        discard(assigned, live, ready)
-        assigned, live = more, left
+        more, left = materialise(assigned.unionByName(fresh)), materialise(pending.join(done.select("id"), "id", "left_anti"))
+        discard(assigned, pending)
+        assigned, pending = more, left
     top = numbered.agg(F.max("river")).first()[0] or 0
     every = settled[0]
     for part in settled[1:]:

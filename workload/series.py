@@ -248,7 +248,7 @@ def mesh_corners(spark, sf):
 
 def mesh_sql(shift):
     """Three fields on the orders' places; field 2 has its longitudes shifted where `shift` holds."""
-    return f"""WITH f AS (SELECT k AS field_id, CASE WHEN k = 0 THEN 'own' ELSE (SELECT min(o_clerk) FROM orders) END AS name, o_orderkey AS face_id, o_totalprice % 180 - 90 AS lat,
+    return f"""WITH f AS (SELECT k AS field_id, CASE WHEN k = 0 THEN 'own' ELSE (SELECT min(o_orderpriority) FROM orders) END AS name, o_orderkey AS face_id, o_totalprice % 180 - 90 AS lat,
   o_totalprice % 360 + CASE WHEN k = 2 AND {shift} THEN 1.0 ELSE 0.0 END AS lon FROM orders, (SELECT unnest([0, 1, 2])::INT AS k)),
 odd AS (SELECT face_id FROM f GROUP BY face_id HAVING count(*) <> 3 OR min(lat) <> max(lat) OR min(lon) <> max(lon)),
 p AS (SELECT field_id, name, count(*) AS faces FROM f GROUP BY ALL)
@@ -257,7 +257,7 @@ SELECT field_id, name, faces, count(*) OVER (PARTITION BY name) = 1 AS unique_na
 
 def mesh_fields(spark, sf, shift):
     o = read(spark, sf, "orders")
-    clerk = o.agg(F.min("o_clerk")).first()[0]
+    clerk = o.agg(F.min("o_orderpriority")).first()[0]
     moved = F.when((F.col("field_id") == 2) & F.expr(shift), 1.0).otherwise(0.0)
     return o.withColumn("field_id", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).select(
         "field_id", F.when(F.col("field_id") > 0, F.lit(clerk)).otherwise("own").alias("name"), F.col("o_orderkey").alias("face_id"),
@@ -450,28 +450,20 @@ def low_pass_filter(spark, sf):
     return ft.raymond_filter(whole_raster(spark, sf, g, F.col("price")), g.ny, g.nx, ft.strength_from_length(2.0e6, 360.0 / g.nx), eps)
 
 
-#: Seven-point sixth difference of the whole-number field d, around (y, x) along one axis.
-SIXTH = "20 * c.v - 15 * (b1.v + a1.v) + 6 * (b2.v + a2.v) - b3.v - a3.v"
+#: The field as whole numbers, and minus its sixth difference along one axis: every cell is counted at seven places.
 FLAT = f"""{RASTER}, d AS (SELECT CAST(i // nx AS INT) AS y, CAST(i % nx AS INT) AS x, coalesce(floor(price / 1000), 1000) AS v, nx, ny FROM dims, range((SELECT nx * ny FROM dims)) g(i)
-  LEFT JOIN (SELECT y AS ry, x AS rx, price FROM raster) r ON r.ry = i // nx AND r.rx = i % nx)"""
+  LEFT JOIN (SELECT y AS ry, x AS rx, price FROM raster) r ON r.ry = i // nx AND r.rx = i % nx),
+s AS (SELECT * FROM (VALUES (-3, 1), (-2, -6), (-1, 15), (0, -20), (1, 15), (2, -6), (3, 1)) t(k, c))"""
 
 
-@query(
-    "wn13_row_equation",
-    f"""WITH {FLAT} SELECT c.y, c.x, CAST(-({SIXTH}) AS BIGINT) AS moved FROM d c """ + " ".join(
-        f"JOIN d {n}{k} ON {n}{k}.y = c.y AND {n}{k}.x = (c.x {s} {k} + c.nx) % c.nx" for k in (1, 2, 3) for n, s in (("a", "+"), ("b", "-"))),
-)
+@query("wn13_row_equation", f"WITH {FLAT} SELECT y, CAST((x + k + nx) % nx AS INT) AS x, CAST(sum(c * v) AS BIGINT) AS moved FROM d, s GROUP BY ALL")
 def row_equation(spark, sf):
     """The rows' filter is an equation: its left side on what the filter changed is its right side on the field, here whole numbers."""
     g = grid(spark, sf)
     return filter_equation(spark, sf, g, "x", ft.raymond_filter(whole_raster(spark, sf, g, F.floor(F.col("price") / 1000).cast("double")), g.ny, g.nx, 1.0, along=("x",)))
 
 
-@query(
-    "wn13_column_equation",
-    f"""WITH {FLAT} SELECT c.y, c.x, CAST(-({SIXTH}) AS BIGINT) AS moved FROM d c """ + " ".join(
-        f"JOIN d {n}{k} ON {n}{k}.x = c.x AND {n}{k}.y = c.y {s} {k}" for k in (1, 2, 3) for n, s in (("a", "+"), ("b", "-"))),
-)
+@query("wn13_column_equation", f"WITH {FLAT} SELECT CAST(y + k AS INT) AS y, x, CAST(sum(c * v) AS BIGINT) AS moved FROM d, s WHERE y + k BETWEEN 3 AND ny - 4 GROUP BY ALL")
 def column_equation(spark, sf):
     """As for the rows, three cells away from the open ends, where the order of the difference is full."""
     g = grid(spark, sf)
