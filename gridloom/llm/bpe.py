@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import slices
+from gridloom.llm.common import for_python, slices
 
 #: Bytes of text whose distinct words are indexed together.
 STRETCH_BYTES = 4 << 20
@@ -236,7 +236,7 @@ def encode(docs: DataFrame, document: str, id: str = "doc_id", text: str = "text
 
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id)
+    return for_python(rows).mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id)
 
 
 def decode(rows: DataFrame, document: str, id: str = "doc_id", ids: str = "ids") -> DataFrame:

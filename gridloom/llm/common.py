@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 
 #: Rows that Spark hands to Python go on in slices of about this many bytes, so memory does not follow the length of texts.
 SLICE_BYTES = 4 << 20
+#: Rows that Spark hands to Python at a time.
+BATCH_ROWS = 1000
 
 
 def scale(df: DataFrame) -> int:
@@ -18,6 +20,14 @@ def scale(df: DataFrame) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * df.rdd.getNumPartitions())
 
 
+def for_python(df: DataFrame) -> DataFrame:
+    """`df`, about to be read by Python: the session's Arrow batches are cut down to `BATCH_ROWS`, since texts may be long."""
+    key, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches that hold about `limit` bytes of `column` (one row at least)."""
     for batch in batches:
@@ -28,6 +38,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for lo, hi in zip(edges, edges[1:]):
             yield batch.slice(lo, hi - lo)
+    pa.default_memory_pool().release_unused()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import mix, scale, slices
+from gridloom.llm.common import for_python, mix, scale, slices
 
 #: Bytes in a window, entropy classes, windows that compete, wins that make a feature, and the entropy class from which windows count.
 WINDOW, CLASSES, RIVALS, WINS, LEAST_CLASS = 64, 1000, 64, 16, 100
@@ -74,7 +74,7 @@ def census(docs: DataFrame, text: str = "text") -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["class", "n"])
 
-    counted = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(run, "class long, n long").groupBy("class").agg(F.sum("n").alias("n"))
+    counted = for_python(docs).select(F.col(text).cast("binary").alias("text")).mapInArrow(run, "class long, n long").groupBy("class").agg(F.sum("n").alias("n"))
     out = np.zeros(CLASSES + 1, np.int64)
     for r in counted.collect():
         out[r["class"]] = r["n"]
@@ -202,7 +202,7 @@ def digests(rows: DataFrame, texts: dict[str, str], rank: np.ndarray, pairs: dic
         schema = schema.add(c, "string")
     for c in pairs:
         schema = schema.add(c, "double")
-    return rows.select(*(F.col(c).cast("binary").alias(c) for c in texts), *others).mapInArrow(run, schema)
+    return for_python(rows).select(*(F.col(c).cast("binary").alias(c) for c in texts), *others).mapInArrow(run, schema)
 
 
 def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -242,6 +242,6 @@ def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.array(after, pa.string())], ["id", "text", "next_text"])
 
     order: list[Column] = [F.col("part"), F.col("end"), F.col("id").asc_nulls_last(), F.col("text")]
-    dealt = rows.mapInArrow(deal, "part int, end boolean, id long, text binary").repartition(parts, "part").sortWithinPartitions(*order)
+    dealt = for_python(rows).mapInArrow(deal, "part int, end boolean, id long, text binary").repartition(parts, "part").sortWithinPartitions(*order)
     out = dealt.mapInArrow(follow, "id long, text string, next_text string")
     return out.select(F.col("id").cast(docs.schema[id].dataType).alias(id), F.col("text").alias(text), "next_text")

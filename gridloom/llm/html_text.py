@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import slices
+from gridloom.llm.common import for_python, slices
 
 # Element names of the HTML standard; fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -362,4 +362,4 @@ def extract(pages: DataFrame, id: str = "page_id", html: str = "html") -> DataFr
 
     kind = pages.schema[id].dataType.simpleString()
     rows = pages.select(F.col(id).alias("id"), F.col(html).alias("html"))
-    return rows.mapInArrow(run, f"id {kind}, title string, text string").withColumnRenamed("id", id)
+    return for_python(rows).mapInArrow(run, f"id {kind}, title string, text string").withColumnRenamed("id", id)

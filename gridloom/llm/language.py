@@ -19,7 +19,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import slices
+from gridloom.llm.common import for_python, slices
 
 #: About so many labelled documents per language are learned from: rows whose hash is below that share of the language's rows.
 SAMPLE = 1500
@@ -236,4 +236,4 @@ def predict(docs: DataFrame, vocabulary: Vocabulary, model: Model, id: str = "do
 
     rows = docs.select(F.col(text).alias("text"), id, *keep)
     schema = rows.drop("text").schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(run, schema)
+    return for_python(rows).mapInArrow(run, schema)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import slices
+from gridloom.llm.common import for_python, slices
 from gridloom.llm.quality_lines import hash48
 from gridloom.session import lookup, materialise, row_count
 
@@ -74,7 +74,7 @@ def passages(docs: DataFrame, id: str, text: str, with_text: bool) -> DataFrame:
     names = ["id", "doc", "chunk", "digest", *["passage"] * with_text]
     kind = docs.schema[id].dataType.simpleString()
     schema = f"id {kind}, doc binary, chunk int, digest binary" + ", passage binary" * with_text
-    return docs.select(F.col(id).alias("id"), F.col(text).cast("binary").alias("text")).mapInArrow(run, schema)
+    return for_python(docs.select(F.col(id).alias("id"), F.col(text).cast("binary").alias("text"))).mapInArrow(run, schema)
 
 
 def remove_repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -122,4 +122,4 @@ def remove_repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     schema = docs.select(*columns).schema
     for c in new:
         schema = schema.add(c, "long")
-    return rows.mapInArrow(run, schema)
+    return for_python(rows).mapInArrow(run, schema)

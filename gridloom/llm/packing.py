@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from gridloom.llm.bpe import byte_symbols
-from gridloom.llm.common import slices
+from gridloom.llm.common import for_python, slices
 from gridloom.session import materialise
 
 
@@ -239,7 +239,7 @@ def pieces(docs: DataFrame, document: str, id: str = "doc_id", text: str = "text
 
     kind = docs.schema[id].dataType.simpleString()
     schema = f"id {kind}, piece int, start long, length long, ids_crc32 long, _task int, _nth long" + ", ids binary" * with_ids
-    return docs.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id)
+    return for_python(docs.select(F.col(id).alias("id"), F.col(text).alias("text"))).mapInArrow(run, schema).withColumnRenamed("id", id)
 
 
 # -- placement --------------------------------------------------------------------------------------------------------------------

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import slices
+from gridloom.llm.common import for_python, slices
 from gridloom.session import lookup, materialise
 
 #: Hashes of words a task remembers.
@@ -87,7 +87,7 @@ def measure(docs: DataFrame, id: str, text: str, host: str) -> DataFrame:
     kind = docs.schema[id].dataType.simpleString()
     schema = f"id {kind}, host string, digest binary, " + ", ".join(f"{c} long" for c in [*COUNTS, "low", "high"]) + ", lines array<struct<n:int,line:bigint,words:int>>"
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(run, schema)
+    return for_python(rows).mapInArrow(run, schema)
 
 
 def judge(

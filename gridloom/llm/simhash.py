@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import scale, slices, smallest_labels
+from gridloom.llm.common import for_python, scale, slices, smallest_labels
 from gridloom.operators.regions import components
 from gridloom.session import materialise
 
@@ -55,13 +55,13 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", words:
     """``(id, fp)`` per row of `docs`; `fp` is the fingerprint as a signed long.  A null text has no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             got = [simhash(t.as_py() or b"", words, seed) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(got, np.uint64).view(np.int64))], ["id", "fp"])
 
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("id"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, fp long").withColumnRenamed("id", id)
+    return for_python(rows).mapInArrow(run, f"id {kind}, fp long").withColumnRenamed("id", id)
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:

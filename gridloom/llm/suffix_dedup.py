@@ -23,15 +23,13 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from gridloom.llm.common import mix, scale
+from gridloom.llm.common import for_python, mix, scale
 from gridloom.session import materialise
 
 #: Bytes of text in a block; a longer document has a block of its own.
@@ -280,7 +278,7 @@ def pack_blocks(docs: DataFrame, id: str, text: str, others: list[str]) -> DataF
             yield full()
 
     rows = docs.select(F.col(id).cast("long").alias("_id"), F.col(text).cast("binary").alias("_text"), *(F.col(c) for c in others))
-    return rows.mapInArrow(run, "block_id long, payload binary")
+    return for_python(rows).mapInArrow(run, "block_id long, payload binary")
 
 
 def _rounds(blocks: DataFrame, replies: DataFrame | None, run, schema: str) -> DataFrame:
@@ -350,11 +348,12 @@ def _blocks_table(spark: SparkSession, blocks: DataFrame, buckets: int) -> DataF
     return spark.table(name)
 
 
-def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: int = 50) -> DataFrame:
+def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: int = 50, as_text: bool = False) -> DataFrame:
     """All columns of `docs` with ``kept``, ``n_bytes``, ``n_removed`` and ``n_spans``.
 
     Every byte covered by a `threshold`-byte string that also starts in a document with a smaller id is removed; overlaps count, strings are
-    judged on the input, and none crosses documents.  `kept` (binary) is what is left, `n_spans` the number of maximal removed runs.
+    judged on the input, and none crosses documents.  `kept` (binary) is what is left, `n_spans` the number of maximal removed runs.  With
+    `as_text`, `kept` is a string, without the characters of which only a part is left.
 
     A null text counts as empty, a null id as larger than all others; rows that repeat an id never remove from each other.  Texts shorter
     than the threshold stay whole; a text of any length is handled whole.  An empty table gives an empty result.  Columns of `docs` that
@@ -382,25 +381,17 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", thre
                 spans = np.diff(runs) + [bool(lo < hi and lo and gone[lo] and gone[lo - 1]) for lo, hi in zip(edges[:-1], edges[1:])]
                 kept = [b.data[lo:hi][~gone[lo:hi]].tobytes() for lo, hi in zip(edges[:-1], edges[1:])]
                 size = np.diff(edges)
+                left = [len(k) for k in kept]
+                if as_text:
+                    kept = [k.decode("utf-8", "ignore").encode() for k in kept]
                 cols = [
-                    b.rows.column(0), b.rows.column(1).cast(pa.binary()), *(b.rows.column(2 + k) for k in range(len(others))), pa.array(kept, pa.binary()), pa.array(size),
-                    pa.array(size - [len(k) for k in kept], pa.int64()), pa.array(np.asarray(spans, np.int64)),
+                    b.rows.column(0), b.rows.column(1).cast(pa.binary()), *(b.rows.column(2 + k) for k in range(len(others))), pa.array(kept, pa.binary()).cast(pa.string() if as_text else pa.binary()), pa.array(size),
+                    pa.array(size - left, pa.int64()), pa.array(np.asarray(spans, np.int64)),
                 ]
                 yield pa.RecordBatch.from_arrays(cols, [id, text, *others, *new])
 
     schema = docs.select(F.col(id).cast("long").alias(id), F.col(text).cast("binary").alias(text), *others).schema
-    for c, kind in zip(new, ["binary", "long", "long", "long"]):
+    for c, kind in zip(new, ["string" if as_text else "binary", "long", "long", "long"]):
         schema = schema.add(c, kind)
     out = _rounds(blocks, replies, finish, schema)
     return out.select(F.col(id).cast(docs.schema[id].dataType).alias(id), F.col(text).cast("string").alias(text), *others, *new)
-
-
-@F.pandas_udf(StringType())
-def _decode(kept: pd.Series) -> pd.Series:
-    return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"), na_action="ignore")
-
-
-def text_of(kept: str) -> Column:
-    """What is left as text; a character of which only a part is left is dropped."""
-    whole = F.col(kept).cast("string")
-    return F.when(F.is_valid_utf8(whole), whole).otherwise(_decode(F.col(kept)))

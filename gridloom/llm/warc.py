@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
+from gridloom.llm.common import for_python
 from gridloom.session import materialise
 
 #: Magic numbers of the formats: a skippable frame that holds a dictionary, a plain frame, a finished dictionary.
@@ -109,7 +109,7 @@ def write_archives(pages: DataFrame, id: str = "page_id", url: str = "url", payl
         if held:
             yield full()
 
-    return joined.mapInArrow(run, "path string, content binary")
+    return for_python(joined).mapInArrow(run, "path string, content binary")
 
 
 def _name(key: int | None) -> str:
@@ -222,8 +222,6 @@ def read_archives(archives: DataFrame, path: str = "path", content: str = "conte
     A frame that cannot be decoded ends its archive, since the next one's start is unknown; a record that breaks the format does not.
     `payload_bytes` of a revisit is what its HTTP header says of the full payload.  Null content has no records.
     """
-    import pyarrow as pa
-
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
     def rows_of(where: str, data: bytes) -> Iterator[dict]:
