@@ -17,6 +17,8 @@ SMALL_AMOUNT = 1e-5
 GROWTH = 1.1
 #: Cuts after which the improved labels are merged into one table.
 MERGE_AFTER = 6
+#: Side of the tiles whose mouths are settled together.
+SETTLE_TILE = 256
 #: Side of the tiles in which starts and cells meet.
 TILE = 64
 
@@ -298,9 +300,8 @@ def link_mouths(
     old = wet.join(numbered.filter("river > 0").select("y", "x", "river"), ["y", "x"]).groupBy("id").agg(F.min("river").alias("old"))
     some = wet.select("id").distinct().withColumn("_wet", F.lit(True))
     kind = F.when(F.col("river").isNotNull(), "reach").when(F.col("old").isNotNull(), "coast").when(F.col("_wet"), "new").otherwise("inland")
-    tile = F.struct(F.floor(F.col("sy") / TILE).alias("ty"), F.floor(F.col("sx") / TILE).alias("tx")).alias("tile")
-    live = materialise(rest.join(old, "id", "left").join(some, "id", "left").select("id", tile, "sy", "sx", "min_distance", "radius", F.coalesce("river", "old").alias("river"), kind.alias("kind")))
-    makers = materialise(wet.join(live.filter("kind = 'new'").select("id", "tile"), "id"))
+    live = materialise(rest.join(old, "id", "left").join(some, "id", "left").select("id", "sy", "sx", "min_distance", "radius", F.coalesce("river", "old").alias("river"), kind.alias("kind")))
+    makers = materialise(wet.join(live.filter("kind = 'new'").select("id"), "id", "left_semi"))
     near_cells = _within(live, makers.select("y", "x").distinct(), ny, nx).filter("kind <> 'reach' OR d < radius").select("id", "y", "x", "d")
     cells = materialise(near_cells.unionByName(makers.select("id", "y", "x", F.lit(None).cast("int").alias("d"))))
     kinds = {"id": starts.schema["id"].dataType.simpleString()}
@@ -309,10 +310,16 @@ def link_mouths(
     settled.append(alone.select("id", F.when(F.col("kind") == "inland", -2).otherwise(F.col("river")).alias("river"), F.lit(None).cast(kinds["id"]).alias("lead")))
     pending = materialise(live.join(cells.select("id").distinct(), "id", "left_semi"))
     assigned = materialise(makers.limit(0).select("y", "x", F.col("id").alias("lead")))
+    rounds = 0
     while row_count(pending):
+        # Tiles move by half their side from round to round, so a chain that a border cut lies inside a tile next time.
+        shift = rounds % 2 * SETTLE_TILE // 2
+        rounds += 1
+        tile = F.struct(F.floor((F.col("sy") + shift) / SETTLE_TILE).alias("ty"), F.floor((F.col("sx") + shift) / SETTLE_TILE).alias("tx")).alias("tile")
+        placed = pending.select("id", tile, "min_distance", "river", "kind")
         # Per cell: the first maker of another tile that may still give it a number, and the number it has.
-        firsts = makers.join(pending.select("id"), "id", "left_semi").groupBy("y", "x", F.col("tile").alias("_of")).agg(F.min("id").alias("_first"))
-        rows = cells.join(pending.select("id", "tile", "min_distance", "river", "kind"), "id")
+        firsts = makers.join(placed.select("id", F.col("tile").alias("_of")), "id").groupBy("y", "x", "_of").agg(F.min("id").alias("_first"))
+        rows = cells.join(placed, "id")
         outside = rows.select("tile", "y", "x").distinct().join(firsts, ["y", "x"]).filter("tile <> _of").groupBy("tile", "y", "x").agg(F.min("_first").alias("outside"))
         rows = rows.join(outside, ["tile", "y", "x"], "left").join(assigned, ["y", "x"], "left")
         done = materialise(rows.groupBy("tile").applyInPandas(_settle, result))

@@ -207,8 +207,9 @@ def sequential_mouths(starts, sea, numbered, ny, nx):
     return out
 
 
-@pytest.mark.parametrize("seed,outflows,scaling", [(1, 0, 0.15), (2, 6, 0.15), (3, 3, 0.4), (4, 12, 0.05), (5, 2, 0.02)])
-def test_mouths_are_linked_as_one_by_one(spark, seed, outflows, scaling):
+@pytest.mark.parametrize("seed,outflows,scaling,tile", [(1, 0, 0.15, 5), (2, 6, 0.15, 256), (3, 3, 0.4, 7), (5, 2, 0.02, 4)])
+def test_mouths_are_linked_as_one_by_one(spark, monkeypatch, seed, outflows, scaling, tile):
+    monkeypatch.setattr(rv, "SETTLE_TILE", tile)
     rng = np.random.default_rng(seed)
     ny, nx = 14, 22
     sea = [[float((y // 3 + x // 4 + seed) % 3 > 0) for x in range(nx)] for y in range(ny)]
