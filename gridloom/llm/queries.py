@@ -54,7 +54,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op3_suffix_dedup")
+@query("op3_suffix_dedup", sql.SUFFIX)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -52,3 +52,16 @@ SELECT page_id, payload_bytes, array_to_string(list_transform(generate_series(0,
     CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
 FROM s JOIN f USING (x)
 """
+
+SUFFIX = """
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+k AS MATERIALIZED (SELECT r, doc_id, p, md5(substr(h, 2 * p + 1, 100)) AS s FROM (SELECT r, doc_id, h, unnest(generate_series(0, n - 50)) AS p FROM d WHERE n >= 50)),
+f AS (SELECT s, min(doc_id) AS first FROM k GROUP BY s),
+g AS (SELECT r, p, p - lag(p) OVER (PARTITION BY r ORDER BY p) > 50 AS gap FROM k JOIN f USING (s) WHERE doc_id > first),
+i AS (SELECT r, p, sum(coalesce(gap, true)::INT) OVER (PARTITION BY r ORDER BY p) AS run FROM g),
+runs AS (SELECT r, run, min(p) AS lo, max(p) + 50 AS hi FROM i GROUP BY r, run),
+cut AS (SELECT runs.r, lo, hi, substr(h, 2 * coalesce(lag(hi) OVER w, 0) + 1, 2 * (lo - coalesce(lag(hi) OVER w, 0))) AS part FROM runs JOIN d USING (r) WINDOW w AS (PARTITION BY runs.r ORDER BY lo)),
+o AS (SELECT r, sum(hi - lo)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(part, '' ORDER BY lo) AS head, max(hi) AS last FROM cut GROUP BY r)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) AS kept_sha256 FROM d LEFT JOIN o USING (r)
+"""
