@@ -213,8 +213,10 @@ def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     """
     rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     parts = scale(docs)
-    share = [k / parts for k in range(1, parts)]
-    facts = rows.agg(F.percentile_approx(F.coalesce("id", F.lit(LAST)), share or [0.5], 10_000).alias("cut"), F.min(F.coalesce("id", F.lit(LAST))).alias("first")).first()
+    # Ranges are dealt to tasks by hash; several to a task make tasks more even.
+    ranges = 4 * parts
+    share = [k / ranges for k in range(1, ranges)]
+    facts = rows.agg(F.percentile_approx(F.coalesce("id", F.lit(LAST)), share or [0.5], max(10_000, 4 * ranges)).alias("cut"), F.min(F.coalesce("id", F.lit(LAST))).alias("first")).first()
     limits = np.array(sorted(set(facts["cut"] or ()) - {facts["first"]}), np.int64)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
