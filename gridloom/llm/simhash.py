@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import for_python, scale, slices, smallest_labels
+from gridloom.llm.jaccard import near_copies
 from gridloom.operators.regions import components
-from gridloom.session import materialise
+from gridloom.session import lookup, materialise
 
 #: Segments of the embedding, and bits in each.
 SEGMENTS, WIDTH = 16, 4
@@ -189,11 +190,15 @@ def near_duplicates(
     return marks.join(ids, "fp").select(id, "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, max_bits: int = 2) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
     """The rows of `docs` whose id is the smallest of their group of near-duplicates; of rows that repeat an id, one stays.
 
-    Documents without a word are no copies of each other in this form and all stay.
+    Near-duplicates share four fifths or more of their distinct shingles (`jaccard.near_copies`), which fingerprints at two bits do not
+    reach.  Documents without a word are no copies of each other in this form and all stay.
     """
-    marks = near_duplicates(docs, id, text, words, max_bits)
-    gone = marks.filter((F.col("fp") != 0) & (F.col(id) != F.col("component_id"))).select(id).distinct()
+    digest = F.unhex(F.md5(F.col(text).cast("binary")))
+    groups = materialise(near_copies(docs, text, words))
+    marks = materialise(lookup(docs.select(id, digest.alias("digest")), groups, ["digest"]))
+    least = marks.groupBy("root").agg(F.min(id).alias("_least"))
+    gone = lookup(marks, least, ["root"]).filter(F.col(id) != F.col("_least")).select(id).distinct()
     return docs.join(gone, id, "left_anti")
