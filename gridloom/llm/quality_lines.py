@@ -92,23 +92,24 @@ def measure(docs: DataFrame, id: str, text: str, host: str) -> DataFrame:
 
 def judge(
     docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source", min_words: int = 50, max_repeat: int = 50,
-    min_docs: int = 25, max_share: float = 0.01, least_left: float = 0.3,
+    min_docs: int = 25, max_share: float = 0.01, least_left: float = 0.3, told_by: tuple[str, ...] = ("low", "high"),
 ) -> DataFrame:
     """Per row: id, digest of the text, the five counts, ``base_failed``, ``kept``, ``words_removed`` and ``lines_removed`` (line numbers).
 
     Base rules: fewer than `min_words` words, or more than `max_repeat` percent of the words in repeated three-word windows.  A line is
     boilerplate of a host if more than `min_docs` distinct documents and more than `max_share` of the host's distinct documents have it.
     A document is depleted if less than `least_left` of its words are in other lines.  Documents that fail the base rules count for the
-    frequencies like all others.
+    frequencies like all others.  Distinct documents are told by the columns `told_by` of `measure`: the smallest and largest hash of their
+    words, which unrelated documents share the more often the larger a host is, or ``("digest",)``, the text itself.
 
     A null or empty text has no words and fails; a null host is a host of its own, the empty string too; repeated rows are one document
     for the frequencies and each get their row; an empty table gives an empty result; other columns are not read.
     """
     seen = materialise(measure(docs, id, text, host))
-    lines = seen.select("host", "low", "high", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
+    lines = seen.select("host", *told_by, F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
     # Two steps of partial aggregation: a line or host that is in a third of all rows is combined before it moves.
     holders = lines.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("_docs")).filter(F.col("_docs") > min_docs)
-    hosts = seen.select("host", "low", "high").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("_all"))
+    hosts = seen.select("host", *told_by).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("_all"))
     common = holders.join(hosts, "host").filter(F.col("_docs") > max_share * F.col("_all")).select("host", "line", F.lit(True).alias("_common"))
     common = materialise(common)
     rows = materialise(seen.select("id", "host", "digest", F.explode("lines").alias("x")).select("id", "digest", "host", "x.*"))
