@@ -48,12 +48,26 @@ def _passages(text: bytes) -> list[tuple[int, bytes]]:
     return out
 
 
+def _pairs(text: bytes) -> list[tuple[int, bytes]]:
+    """Every line with something in it up to the next one: number of the first of the two, and their text with what is between."""
+    lines = text.split(b"\n")
+    full = [i for i, x in enumerate(lines) if x.strip()]
+    return [(i, b"\n".join(lines[i:j + 1])) for i, j in zip(full, full[1:])]
+
+
+def _lines_of_pairs(text: bytes, pairs: set[int]) -> set[int]:
+    """The lines of the pairs of these numbers."""
+    full = [i for i, x in enumerate(text.split(b"\n")) if x.strip()]
+    return {n for i, j in zip(full, full[1:]) if i in pairs for n in range(i, j + 1)}
+
+
 def _passage_digest(passage: bytes) -> bytes:
     return hashlib.md5(passage).digest()
 
 
-def passages(docs: DataFrame, id: str, text: str, with_text: bool) -> DataFrame:
-    """``(id, doc, chunk, digest[, passage])`` per chunk of several lines; `doc` is the MD5 of the document's text."""
+def passages(docs: DataFrame, id: str, text: str, with_text: bool, pairs: bool = False) -> DataFrame:
+    """``(id, doc, chunk, digest[, passage])`` per chunk of several lines, or per pair of lines; `doc` is the MD5 of the document's text."""
+    parts = _pairs if pairs else _passages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -62,7 +76,7 @@ def passages(docs: DataFrame, id: str, text: str, with_text: bool) -> DataFrame:
                 if not t:
                     continue
                 whole = hashlib.md5(t).digest()
-                for k, p in _passages(t):
+                for k, p in parts(t):
                     at.append(i), doc.append(whole), chunk.append(k), digest.append(_passage_digest(p))
                     if with_text:
                         passage.append(p)
@@ -77,18 +91,22 @@ def passages(docs: DataFrame, id: str, text: str, with_text: bool) -> DataFrame:
     return for_python(docs.select(F.col(id).alias("id"), F.col(text).cast("binary").alias("text"))).mapInArrow(run, schema)
 
 
-def remove_repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", pairs: bool = False) -> DataFrame:
     """All columns of `docs`, the text without repeated passages, and ``n_lines``, ``n_lines_removed``, ``n_chunks_removed``.
 
     A passage is a chunk with at least two lines that are not blank.  Of equal passages the one with the smallest (id, chunk number) stays,
     null ids last; rows that repeat an id with the same text stay or lose passages alike.  A null text stays null and has no lines.  An
     empty table gives an empty result.  Columns of `docs` with the names of the new ones are replaced.
+
+    With `pairs` the passages are all pairs of neighbouring lines with something in them, and what is between, so that a run of two or more
+    lines goes whatever surrounds it and no boundary can miss it; ``n_chunks_removed`` counts pairs, and a line of any such pair goes.
+    Every line that goes stands, with its neighbour, at an earlier place, but not all of that place need have stayed.
     """
-    seen = materialise(passages(docs, id, text, False))
+    seen = materialise(passages(docs, id, text, False, pairs))
     place = F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id"), F.col("chunk").alias("chunk"))
     again = materialise(seen.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest"))
     # The bytes decide: equal passages meet under their text, combined inside each task first.
-    full = lookup(passages(docs, id, text, True), again.withColumn("_again", F.lit(True)), ["digest"], at_most=row_count(again))
+    full = lookup(passages(docs, id, text, True, pairs), again.withColumn("_again", F.lit(True)), ["digest"], at_most=row_count(again))
     equal = materialise(full.groupBy("digest", "passage").agg(F.min(place).alias("first")))
     texts = equal.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.min("first").alias("first"))
     plain = materialise(texts.filter("texts = 1").select("digest", "first"))
@@ -96,7 +114,7 @@ def remove_repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     odd = materialise(texts.filter("texts > 1").select("digest"))
     if row_count(odd):
         # Different passages with one digest: told apart by their text.
-        both = passages(docs, id, text, True).join(odd, "digest", "left_semi").join(equal, ["digest", "passage"])
+        both = passages(docs, id, text, True, pairs).join(odd, "digest", "left_semi").join(equal, ["digest", "passage"])
         gone = gone.unionByName(both.filter(place != F.col("first")).select("id", "doc", "chunk"))
     lists = gone.groupBy(F.col("id").alias("_id"), F.col("doc").alias("_doc")).agg(F.sort_array(F.collect_set("chunk")).alias("_gone"))
     new = ["n_lines", "n_lines_removed", "n_chunks_removed"]
@@ -111,7 +129,11 @@ def remove_repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
             for t, gone in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist()):
                 lines = [] if t is None else t.split("\n")
                 removed = 0
-                if gone:
+                if gone and pairs:
+                    drop = _lines_of_pairs(t.encode(), set(gone))
+                    t = "\n".join(x for n, x in enumerate(lines) if n not in drop)
+                    removed = len(drop)
+                elif gone:
                     cut, drop = chunks(t.encode()), set(gone)
                     t = "\n".join(x for k, (lo, hi) in enumerate(cut) if k not in drop for x in lines[lo:hi])
                     removed = sum(hi - lo for k, (lo, hi) in enumerate(cut) if k in drop)
