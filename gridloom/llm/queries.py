@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import bpe, digest, html_text, language, line_chunks, merkle, packing, quality_lines, simhash, sql, suffix_dedup, warc
+from gridloom.llm import bpe, digest, html_text, language, lexical, line_chunks, merkle, packing, quality_lines, simhash, sql, suffix_dedup, warc
 from gridloom.session import materialise
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -118,6 +118,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_lexical_search", sql.LEXICAL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.top_documents(read(spark, sf_dir, "benchmark", "item_id", "text"), read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op13_merkle", sql.MERKLE)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", *merkle.FIELDS)

@@ -66,6 +66,22 @@ SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spa
     sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) AS kept_sha256 FROM d LEFT JOIN o USING (r)
 """
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+LEXICAL = rf"""
+WITH t AS MATERIALIZED (SELECT r, doc_id, unnest(ts) AS term, len(ts) AS n FROM (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERM}') AS ts FROM documents)),
+f AS MATERIALIZED (SELECT r, any_value(doc_id) AS doc_id, term, any_value(n)::BIGINT AS n, count(*) AS tf FROM t GROUP BY r, term),
+c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM (SELECT DISTINCT r, n FROM f)),
+w AS MATERIALIZED (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM f, c GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERM}')) AS term
+        FROM benchmark),
+s AS (SELECT item_id, r, any_value(doc_id) AS doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+        FROM q JOIN w USING (term) JOIN f USING (term), c GROUP BY item_id, r),
+o AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM o WHERE rank <= 50
+"""
+
 
 def _field(x: str) -> str:
     return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen({x}::VARCHAR) || ':' || {x}::VARCHAR END"
