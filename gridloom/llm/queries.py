@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import bpe, digest, html_text, language, lexical, line_chunks, merkle, packing, quality_lines, simhash, sql, suffix_dedup, warc
+from gridloom.llm import bpe, digest, html_text, language, lexical, line_chunks, merkle, packing, pii, quality_lines, simhash, sql, suffix_dedup, warc
 from gridloom.session import materialise
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -118,6 +118,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_pii")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    found = pii.find(docs, pii.learn(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 @query("op12_lexical_search", sql.LEXICAL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.top_documents(read(spark, sf_dir, "benchmark", "item_id", "text"), read(spark, sf_dir, "documents", "doc_id", "text"))
