@@ -12,6 +12,7 @@ from __future__ import annotations
 import binascii
 import bisect
 import json
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -27,6 +28,10 @@ from gridloom.llm.bpe import byte_symbols
 from gridloom.llm.common import for_python, slices
 from gridloom.session import materialise
 
+#: Blanks in a row from which a run is cut out before the splitter sees it.
+LONG_RUN = 1 << 16
+#: The characters that the splitter takes as blank; fixed values.
+_BLANKS = re.compile(f"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{LONG_RUN},}}")
 
 # -- the plan ---------------------------------------------------------------------------------------------------------------------
 
@@ -203,9 +208,25 @@ class ByteBpe:
         ranks = {bytes(byte[c] for c in s): i for s, i in vocab.items() if s not in special}
         # The pattern that the byte-level splitter is defined by; a fixed value.
         pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+        self.special = list(special)
         self.encoding = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
     def encode(self, text: str) -> np.ndarray:
+        """Long runs of blanks, which the splitter's look-ahead cannot carry, are cut out as the one piece that it makes of them.
+
+        That is the whole run at the end of a text or before a special token, else all but its last character.
+        """
+        if len(text) < LONG_RUN:
+            return self._plain(text)
+        parts, at = [], 0
+        for run in _BLANKS.finditer(text):
+            last = run.end() == len(text) or text.startswith(tuple(self.special), run.end())
+            end = run.end() if last else run.end() - 1
+            parts += [self._plain(text[at:run.start()]), np.array(self.encoding._encode_single_piece(text[run.start():end]), np.uint32)]
+            at = end
+        return np.concatenate([*parts, self._plain(text[at:])])
+
+    def _plain(self, text: str) -> np.ndarray:
         return self.encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())
 
 

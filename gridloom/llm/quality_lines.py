@@ -1,8 +1,7 @@
 """Quality rules with cross-document line frequency: boilerplate lines of a host go, and documents that consist of them are rejected.
 
-Lines are normalised and hashed.  Per host, the distinct documents that hold a line are counted; copies of a document are one document
-here, told by the smallest and the largest hash of its words, which near copies share as well, so that a much copied text does not turn
-its own lines into boilerplate.  A line above the limits is removed from the host's documents, and a document that loses most of its words
+Lines are normalised and hashed.  Per host, the distinct documents that hold a line are counted; equal texts are one document here, so that
+a much copied text does not turn its own lines into boilerplate.  A line above the limits is removed from the host's documents, and a document that loses most of its words
 is depleted.  Base rules on length and repetition come first.
 """
 
@@ -19,8 +18,6 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import for_python, slices
 from gridloom.session import lookup, materialise
 
-#: Hashes of words a task remembers.
-REMEMBER = 1 << 17
 _SYMBOLS = b"#*$%&|<>"
 _BLANKS = b" \t\n\v\f\r"
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
@@ -59,57 +56,46 @@ def measure(docs: DataFrame, id: str, text: str, host: str) -> DataFrame:
     """Per row its id, host, text digest, counts, identity and the hashes of its lines that have a word, in order with their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
         for batch in slices(batches, "text"):
             rows = []
             for t in batch.column(2).to_pylist():
                 t = t or b""
-                words = t.split()
-                if len(known) > REMEMBER:
-                    known.clear()
-                hashes = []
-                for w in set(words):
-                    h = known.get(w)
-                    if h is None:
-                        h = known[w] = hash48(w)
-                    hashes.append(h)
                 lines = []
                 for n, x in enumerate(t.split(b"\n")):
                     plain = normal_line(x)
                     if plain:
                         lines.append({"n": n, "line": hash48(plain), "words": plain.count(b" ") + 1})
-                rows.append((hashlib.md5(t).digest(), *base_counts(t, words), min(hashes, default=0), max(hashes, default=0), lines))
+                rows.append((hashlib.md5(t).digest(), *base_counts(t, t.split()), lines))
             cols = list(zip(*rows))
-            kinds = [pa.binary(), *[pa.int64()] * 7, pa.list_(pa.struct([("n", pa.int32()), ("line", pa.int64()), ("words", pa.int32())]))]
+            kinds = [pa.binary(), *[pa.int64()] * len(COUNTS), pa.list_(pa.struct([("n", pa.int32()), ("line", pa.int64()), ("words", pa.int32())]))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(cols, kinds))], names)
 
-    names = ["id", "host", "digest", *COUNTS, "low", "high", "lines"]
+    names = ["id", "host", "digest", *COUNTS, "lines"]
     kind = docs.schema[id].dataType.simpleString()
-    schema = f"id {kind}, host string, digest binary, " + ", ".join(f"{c} long" for c in [*COUNTS, "low", "high"]) + ", lines array<struct<n:int,line:bigint,words:int>>"
+    schema = f"id {kind}, host string, digest binary, " + ", ".join(f"{c} long" for c in COUNTS) + ", lines array<struct<n:int,line:bigint,words:int>>"
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), F.col(text).cast("binary").alias("text"))
     return for_python(rows).mapInArrow(run, schema)
 
 
 def judge(
     docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source", min_words: int = 50, max_repeat: int = 50,
-    min_docs: int = 25, max_share: float = 0.01, least_left: float = 0.3, told_by: tuple[str, ...] = ("low", "high"),
+    min_docs: int = 25, max_share: float = 0.01, least_left: float = 0.3,
 ) -> DataFrame:
     """Per row: id, digest of the text, the five counts, ``base_failed``, ``kept``, ``words_removed`` and ``lines_removed`` (line numbers).
 
     Base rules: fewer than `min_words` words, or more than `max_repeat` percent of the words in repeated three-word windows.  A line is
     boilerplate of a host if more than `min_docs` distinct documents and more than `max_share` of the host's distinct documents have it.
     A document is depleted if less than `least_left` of its words are in other lines.  Documents that fail the base rules count for the
-    frequencies like all others.  Distinct documents are told by the columns `told_by` of `measure`: the smallest and largest hash of their
-    words, which unrelated documents share the more often the larger a host is, or ``("digest",)``, the text itself.
+    frequencies like all others.  Distinct documents are distinct texts.
 
     A null or empty text has no words and fails; a null host is a host of its own, the empty string too; repeated rows are one document
     for the frequencies and each get their row; an empty table gives an empty result; other columns are not read.
     """
     seen = materialise(measure(docs, id, text, host))
-    lines = seen.select("host", *told_by, F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
+    lines = seen.select("host", "digest", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
     # Two steps of partial aggregation: a line or host that is in a third of all rows is combined before it moves.
     holders = lines.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("_docs")).filter(F.col("_docs") > min_docs)
-    hosts = seen.select("host", *told_by).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("_all"))
+    hosts = seen.select("host", "digest").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("_all"))
     common = holders.join(hosts, "host").filter(F.col("_docs") > max_share * F.col("_all")).select("host", "line", F.lit(True).alias("_common"))
     common = materialise(common)
     rows = materialise(seen.select("id", "host", "digest", F.explode("lines").alias("x")).select("id", "digest", "host", "x.*"))
@@ -119,7 +105,7 @@ def judge(
     found = found.withColumn("words_removed", F.expr("_words * size(lines_removed) div _n")).select(
         F.col("id").alias("_id"), F.col("host").alias("_host"), F.col("digest").alias("_digest"), "lines_removed", "words_removed")
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("host") == F.col("_host")) & (F.col("digest") == F.col("_digest"))
-    out = seen.drop("lines", "low", "high").join(found, same, "left").drop("_id", "_host", "_digest")
+    out = seen.drop("lines").join(found, same, "left").drop("_id", "_host", "_digest")
     removed = F.coalesce("words_removed", F.lit(0)).cast("long")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
     depleted = (F.col("n_words") - removed) < least_left * F.col("n_words")
@@ -130,12 +116,20 @@ def judge(
 
 
 def clean(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source", **limits) -> DataFrame:
-    """The kept rows of `docs`, all columns, with boilerplate lines taken out of the text."""
+    """The kept rows of `docs`, all columns, with boilerplate lines taken out of the text.
+
+    Rows are told by id, host and text as in `judge`: repeated rows stay repeated, a null id or host is a value of its own, null and empty texts
+    fail the base rules and go, an empty table stays empty.  Other columns are handed on, whatever their names.
+    """
     marks = judge(docs, id, text, host, **limits)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     touched = marks.filter(~F.col("kept") | (F.size("lines_removed") > 0)).select(
-        F.col(id).alias("_id"), F.col("host").alias("_host"), F.col("digest").alias("_digest"), F.col("kept").alias("_kept"), F.col("lines_removed").alias("_lines")).distinct()
-    digest = F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
-    same = F.col(id).eqNullSafe(F.col("_id")) & (F.coalesce(F.col(host).cast("string"), F.lit("")) == F.col("_host")) & (digest == F.col("_digest"))
-    out = docs.join(touched, same, "left").filter("_kept IS NULL OR _kept")
-    left = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, n: ~F.array_contains("_lines", n)), "\n")
-    return out.withColumn(text, F.when(F.size("_lines") > 0, left).otherwise(F.col(text))).select(*docs.columns)
+        F.col(id).alias("id"), F.col("host"), F.col("digest"), "kept", "lines_removed").distinct().alias("m")
+    plain = docs.select(row).alias("d")
+    own_text, own_host = F.col("d.row")[text], F.col("d.row")[host].cast("string")
+    digest = F.unhex(F.md5(F.coalesce(own_text, F.lit("")).cast("binary")))
+    same = F.col("d.row")[id].eqNullSafe(F.col("m.id")) & (F.coalesce(own_host, F.lit("")) == F.col("m.host")) & (digest == F.col("m.digest"))
+    out = plain.join(touched, same, "left").filter("m.kept IS NULL OR m.kept")
+    left = F.array_join(F.filter(F.split(own_text, "\n", -1), lambda x, n: ~F.array_contains("m.lines_removed", n)), "\n")
+    cleaned = F.when(F.size("m.lines_removed") > 0, left).otherwise(own_text)
+    return out.select(*[(cleaned if c == text else F.col("d.row")[c]).alias(c) for c in docs.columns])

@@ -8,16 +8,15 @@ w AS (SELECT *, regexp_extract_all(t, '{WORD}') AS ws,
         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ls FROM d),
 b AS (SELECT r, doc_id, host, ws, ls, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
-        coalesce(list_min(list_transform(ws, lambda x: ('0x' || substr(md5(x), 1, 12))::BIGINT)), 0) AS low,
-        coalesce(list_max(list_transform(ws, lambda x: ('0x' || substr(md5(x), 1, 12))::BIGINT)), 0) AS high FROM w),
+        md5(t) AS digest FROM w),
 g AS (SELECT r, unnest(generate_series(1, n_words - 2)) AS i, ws FROM b WHERE n_words > 2),
 c AS (SELECT r, i, count(*) OVER (PARTITION BY r, ws[i], ws[i + 1], ws[i + 2]) AS n FROM g),
 rep AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM c WHERE n > 1) GROUP BY r),
-l AS (SELECT r, host, low, high, unnest(list_transform(ls, lambda x: array_to_string(regexp_extract_all(
+l AS (SELECT r, host, digest, unnest(list_transform(ls, lambda x: array_to_string(regexp_extract_all(
         translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '{WORD}'), ' '))) AS line FROM b),
-h AS (SELECT host, count(DISTINCT (low, high)) AS n FROM b GROUP BY host),
+h AS (SELECT host, count(DISTINCT digest) AS n FROM b GROUP BY host),
 common AS (SELECT l.host, line FROM l JOIN h ON l.host = h.host GROUP BY l.host, line, h.n
-        HAVING count(DISTINCT (low, high)) > 25 AND count(DISTINCT (low, high)) > 0.01 * h.n),
+        HAVING count(DISTINCT digest) > 25 AND count(DISTINCT digest) > 0.01 * h.n),
 gone AS (SELECT r, sum(len(string_split(line, ' '))) AS words_removed FROM l JOIN common USING (host, line) GROUP BY r),
 f AS (SELECT b.*, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(words_removed, 0)::BIGINT AS words_removed,
         n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed

@@ -78,3 +78,40 @@ def test_against_all_pairs(docs_of):
 def test_keys_depend_on_the_set_only():
     a, b = shingles(b"a b c d e f g a b c d e f g a b"), shingles(b"A B c d e f g a b c d e f g a b c")
     assert a.tolist() == b.tolist() and keys(a).tolist() == keys(b).tolist()
+
+
+def _counted(monkeypatch):
+    """Rows of all candidate tables, added up."""
+    from gridloom.llm import jaccard
+
+    seen, plain = [], jaccard._pairs
+
+    def counted(*args):
+        out = plain(*args)
+        seen.append(jaccard.row_count(out))
+        return out
+
+    monkeypatch.setattr(jaccard, "_pairs", counted)
+    return seen
+
+
+def _found(want, got):
+    """Share of the texts that go because a group keeps one, over those that should."""
+    name = {t: k for k, g in enumerate(got) for t in g}
+    return sum(len(g) - len({name[t] for t in g}) for g in want) / sum(len(g) - 1 for g in want)
+
+
+def test_large_groups_are_linear_and_found(docs_of, monkeypatch):
+    """Edits of 2 to 15 % of one base, and texts that share 70 % of their words: twice the texts, about twice the pairs."""
+    seen = _counted(monkeypatch)
+    pairs_of, recall = {}, {}
+    for n in (150, 300):
+        rng = random.Random(7)
+        base, common = [f"b{i}" for i in range(400)], [f"c{i}" for i in range(280)]
+        texts = [" ".join(edited(rng, base, rng.uniform(0.02, 0.15))) for _ in range(n)]
+        texts += [" ".join(common + [f"t{k}w{i}" for i in range(120)]) for k in range(n)]
+        seen.clear()
+        got = groups_of(docs_of(list(enumerate(texts))))
+        pairs_of[n], recall[n] = sum(seen), _found(brute_groups(texts), got)
+    print("pairs", pairs_of, "recall", recall)
+    assert pairs_of[300] < 2.6 * pairs_of[150] and min(recall.values()) >= 0.97

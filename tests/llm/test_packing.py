@@ -94,3 +94,14 @@ def test_odd_rows(docs_of, library):
     pairs = [(1, None), (1, None), (None, "x"), (2, ""), (3, "a<|endoftext|>b é \U0001f600  \n\n"), (4, "word " * 5000), (5, "x" * 30_000), (6, "one two three four five six")]
     check(docs_of(pairs), pairs, library, 7)
     assert packing.pack(docs_of([]), DOCUMENT).collect() == []
+
+
+def test_long_runs(library):
+    """Runs of blanks of any length, before, between and after words and special tokens, and of letters and signs."""
+    bpe = packing.ByteBpe(DOCUMENT)
+    n = 2_000_000
+    odd = "\t\n \u3000\xa0" * 40_000
+    texts = [" " * n, " " * n + "a b", "a b" + " " * n, "a" + " " * n + "b" + "\n" * n + ".", " " * n + "<|endoftext|>" + " " * n + "<|endoftext|>x", odd + "x" + odd,
+             " " * 65_535 + "x", " " * 65_536 + "x", " " * 65_536 + "\x1c", "\x1f" * 70_000, "a" * 70_000 + " " + "." * 70_000]
+    for t in texts:
+        assert bpe.encode(t).tolist() == library.encode(t, add_special_tokens=False).ids

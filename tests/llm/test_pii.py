@@ -137,6 +137,22 @@ def test_whole_table(documents, trained):
     assert got == {r.doc_id: brute(r.text) for r in documents.collect()}
 
 
+def test_query(spark, documents):
+    import hashlib
+
+    from gridloom.llm.queries import op11
+
+    text = {r.doc_id: r.text for r in documents.collect()}
+    rows = op11(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(text)
+    for r in rows:
+        spans = brute(text[r.doc_id])
+        joined = [":".join(map(str, s)) for s in spans]
+        assert [r[f"n_{k}"] for k in KINDS] == [sum(s[0] == k for s in spans) for k in KINDS]
+        assert r.base_sha256 == hashlib.sha256(",".join(joined).encode()).hexdigest() and set(joined) <= set(r.spans.split(",")) | {""}
+    assert any(r.n_card for r in rows) or any(r.n_email for r in rows)
+
+
 def test_odd_rows(docs_of, trained):
     model = trained[0]
     pairs = [(1, None), (2, ""), (None, "a@b.c"), (3, "a@b.c"), (3, "a@b.c"), (4, "é " * 100_000 + "+1 (988) 555-2485"), (5, "7" * 5_000), (6, "x" * 2000 + " bob [at] mail [dot] org " + "y" * 2000)]
