@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -21,6 +23,8 @@ MERGE_AFTER = 6
 SETTLE_TILE = 256
 #: Side of the tiles in which starts and cells meet.
 TILE = 64
+#: A tile of the pyramid has 2 ** FAN tiles of the level below along each side.
+FAN = 3
 
 
 def _neighbours(cells: DataFrame, ny: int, nx: int, y: str = "y", x: str = "x") -> DataFrame:
@@ -198,38 +202,75 @@ def _diamond(starts: DataFrame, cells: DataFrame, ny: int, nx: int, reach: int)
     return s.join(c, ["_ty", "_tx"]).withColumn("d", d).filter(F.col("d") <= reach).drop("_ty", "_tx")
 
 
+def _pyramid(cells: DataFrame, ny: int, nx: int) -> list[tuple[DataFrame, int]]:
+    """Tiles over cells ``(y, x, river)``, from the one that covers the grid down to the cells' own: ``(ty, tx, kids)`` and a bound on all kids.
+
+    A tile has the tight box of its cells and the lowest number in it.  Each level is rolled up from the one below; a tile has at most
+    ``4 ** FAN`` kids.
+    """
+    box = [f(c).alias(c) for f, c in ((F.min, "y0"), (F.max, "y1"), (F.min, "x0"), (F.max, "x1"), (F.min, "river"))]
+    tiles = cells.groupBy("y", "x").agg(F.min("river").alias("river"))
+    tiles = tiles.select(F.col("y").alias("ty"), F.col("x").alias("tx"), F.col("y").alias("y0"), F.col("y").alias("y1"), F.col("x").alias("x0"), F.col("x").alias("x1"), "river")
+    levels, size = [], 0
+    while not levels or max(ny, nx) > 1 << size:
+        bound = math.ceil(ny / (1 << size)) * math.ceil(nx / (1 << size))
+        size += FAN
+        kid = F.struct("ty", "tx", "y0", "y1", "x0", "x1", "river")
+        above = tiles.groupBy(F.shiftright("ty", FAN).alias("ty"), F.shiftright("tx", FAN).alias("tx")).agg(F.collect_list(kid).alias("kids"), *box)
+        above = materialise(above)
+        levels.append((above.select("ty", "tx", "kids"), bound))
+        tiles = above.drop("kids")
+    return levels[::-1]
+
+
+def _descend(starts: DataFrame, levels: list[tuple[DataFrame, int]], ny: int, nx: int) -> DataFrame:
+    """Cells that may decide a start's radius or river: ``(id, min_distance, best, d, river)``.
+
+    A start goes down the pyramid.  The least upper bound of its tiles limits how far the nearest cell can be, so tiles beyond that and
+    `min_distance` go; tiles that lie wholly within the least possible radius give their lowest number at once, in `best`; of tiles that the rim
+    cuts only those with a lower number go on.
+    """
+    one = Window.partitionBy("id")
+    own = F.when(F.col("sy").isin(0, ny - 1), 1).otherwise(nx)
+    around = lambda c: F.least(F.abs(F.col(c) - F.col("sx")), nx - F.abs(F.col(c) - F.col("sx")))
+    inside = F.col("sy").between(F.col("y0"), F.col("y1")) & F.col("sx").between(F.col("x0"), F.col("x1"))
+    alone = inside & (F.col("y0") == F.col("y1")) & (F.col("x0") == F.col("x1"))
+    across = F.when(F.col("sx").between(F.col("x0"), F.col("x1")), 0).otherwise(F.least(around("x0"), around("x1")))
+    low = F.greatest(F.col("y0") - F.col("sy"), F.col("sy") - F.col("y1"), F.lit(0)) + across
+    wide = F.least(F.greatest(F.abs(F.col("x0") - F.col("sx")), F.abs(F.col("x1") - F.col("sx"))), F.lit(nx // 2))
+    high = F.greatest(F.abs(F.col("y0") - F.col("sy")), F.abs(F.col("y1") - F.col("sy"))) + wide
+    zero = F.lit(0)
+    live = starts.select("id", "sy", "sx", "min_distance", F.lit(None).cast("int").alias("best"), zero.alias("ty"), zero.alias("tx"))
+    head = ["id", "sy", "sx", "min_distance", "best"]
+    for k, (tiles, bound) in enumerate(levels):
+        step = lookup(live, tiles, ["ty", "tx"], at_most=bound).select(*head, F.explode("kids").alias("t")).select(*head, "t.*")
+        step = step.withColumn("low", F.when(alone, own).otherwise(low)).withColumn("high", F.when(alone, own).otherwise(high))
+        if k == len(levels) - 1:
+            return step.select("id", "min_distance", "best", F.col("low").alias("d"), "river")
+        step = step.withColumn("_up", F.min("high").over(one)).withColumn("_least", F.greatest(F.min("low").over(one), F.col("min_distance")))
+        # A start's own cell is not at distance zero, so a tile around it never counts as a whole.
+        step = step.withColumn("_whole", (F.col("high") <= F.col("_least")) & ~inside)
+        step = step.withColumn("best", F.least("best", F.min(F.when(F.col("_whole"), F.col("river"))).over(one)))
+        nearest = (F.col("high") == F.col("_up")) | ((F.col("_up") > F.col("min_distance")) & (F.col("low") <= F.col("_up")))
+        lower = ~F.col("_whole") & F.col("river").isNotNull() & (F.col("best").isNull() | (F.col("river") < F.col("best")))
+        live = step.filter((F.col("low") <= F.greatest("_up", "min_distance")) & (nearest | lower)).select(*head, "ty", "tx")
+    raise ValueError("a pyramid has a level at least")
+
+
 def diamond_search(starts: DataFrame, numbered: DataFrame, shore: DataFrame, ny: int, nx: int) -> DataFrame:
     """River number for each start ``(id, sy, sx, min_distance)`` among outflow cells ``(y, x, river)``.
 
     The radius is min_distance or, if larger, the distance to the first outflow or coastal cell.  The lowest number within
-    the radius wins; a NULL river means that only coast is in reach, with a NULL radius that the grid has neither.  Each start
-    begins with its own min_distance, and those with nothing in reach go on with twice the reach, up to the whole grid.
+    the radius wins; a NULL river means that only coast is in reach, with a NULL radius that the grid has neither.  Starts descend a pyramid
+    of tiles, so what a start meets does not follow the number of cells in its reach.
     """
-    outs = numbered.filter("river > 0").select("y", "x", "river", F.lit(True).alias("_out"))
-    cells = outs.unionByName(shore.select("y", "x", F.lit(None).cast("int").alias("river"), F.lit(False).alias("_out")))
-    cells = materialise(cells)
-    # No two cells are further apart than this, a start from itself neither.
-    top = max((ny + nx - 1).bit_length(), 1)
-    first_level = F.least(F.ceil(F.log2(F.greatest(F.col("min_distance"), F.lit(1)).cast("double"))).cast("int"), F.lit(top))
-    pending = materialise(starts.select("id", "sy", "sx", "min_distance", first_level.alias("_level")))
-    results = [pending.limit(0).select("id", F.lit(None).cast("int").alias("river"), F.lit(None).cast("int").alias("radius"))]
-    level = (pending.agg(F.min("_level")).first()[0] if row_count(pending) else 0) or 0
-    while row_count(pending):
-        near = _diamond(pending.filter(F.col("_level") <= level), cells, ny, nx, 1 << level)
-        radius = F.greatest(F.min("d").over(Window.partitionBy("id")), F.col("min_distance"))
-        near = near.withColumn("radius", radius).filter(F.col("d") <= F.col("radius"))
-        best = materialise(near.groupBy("id").agg(F.min("river").alias("river"), F.max("radius").cast("int").alias("radius")))
-        results.append(best)
-        left = materialise(pending.join(best, "id", "left_anti"))
-        discard(pending)
-        pending, level = left, level + 1
-        if level > top:
-            break
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    lost = pending.select("id", F.lit(None).cast("int").alias("river"), F.lit(None).cast("int").alias("radius"))
-    return out.unionByName(lost)
+    outs = numbered.filter("river > 0").select("y", "x", "river")
+    levels = _pyramid(outs.unionByName(shore.select("y", "x", F.lit(None).cast("int").alias("river"))), ny, nx)
+    cells = _descend(starts, levels, ny, nx)
+    radius = F.greatest(F.min("d").over(Window.partitionBy("id")), F.col("min_distance"))
+    near = cells.withColumn("radius", radius).groupBy("id").agg(
+        F.least(F.min("best"), F.min(F.when(F.col("d") <= F.col("radius"), F.col("river")))).alias("river"), F.max("radius").cast("int").alias("radius"))
+    return starts.select("id").join(near, "id", "left")
 
 
 def _within(starts: DataFrame, cells: DataFrame, ny: int, nx: int) -> DataFrame:

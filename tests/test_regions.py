@@ -236,6 +236,47 @@ def test_a_start_far_from_everything_is_found(spark):
     assert rv.diamond_search(starts.limit(0), outs, none, ny, nx).collect() == []
 
 
+def diamond(starts, outs, shore, ny, nx):
+    """Every start against every cell."""
+    out = []
+    for i, sy, sx, reach in starts:
+        far = {}
+        for y, x in {(y, x) for y, x, _ in outs} | set(shore):
+            own = 1 if sy in (0, ny - 1) else nx
+            far[y, x] = own if (y, x) == (sy, sx) else abs(y - sy) + min(abs(x - sx), nx - abs(x - sx))
+        radius = max(min(far.values()), reach) if far else None
+        out.append((i, min((r for y, x, r in outs if far[y, x] <= radius), default=None), radius))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed,ny,nx,n_outs,n_shore", [(1, 17, 40, 30, 40), (2, 70, 66, 3, 500), (3, 9, 9, 20, 0), (4, 130, 5, 200, 9), (5, 64, 64, 1, 1), (6, 1, 30, 4, 2)])
+def test_diamonds_match_all_pairs(spark, seed, ny, nx, n_outs, n_shore):
+    rng = np.random.default_rng(seed)
+    places = lambda n: [(int(rng.integers(0, ny)), int(rng.integers(0, nx))) for _ in range(n)]
+    outs = [(y, x, int(rng.integers(1, 60))) for y, x in places(n_outs)]
+    shore, own = places(n_shore), [(y, x) for y, x, _ in outs[:5]]
+    starts = [(i, y, x, int(rng.choice([0, 1, 3, 8, 40]))) for i, (y, x) in enumerate(places(60) + own + [(0, 0), (ny - 1, nx - 1)])]
+    got = rv.diamond_search(
+        spark.createDataFrame(starts, "id LONG, sy INT, sx INT, min_distance INT"), spark.createDataFrame(outs + [(0, 0, 0)], "y INT, x INT, river INT"),
+        spark.createDataFrame(shore, "y INT, x INT"), ny, nx)
+    assert rows(got, "id", "river", "radius") == sorted(diamond(starts, outs, shore, ny, nx), key=repr)
+
+
+def test_what_a_start_meets_is_bounded(spark):
+    """A start 1,500 cells from the shore, before 10,000 cells of coast and of outflows; one amid them with a wide reach."""
+    ny, nx = 4096, 4096
+    strip = spark.range(10_000).select((F.col("id") % 2500).cast("int").alias("y"), (F.floor(F.col("id") / 2500) + 1600).cast("int").alias("x"))
+    outs = strip.filter("x > 1601").withColumn("river", (F.col("y") * 4 + F.col("x") - 1600 + 1).cast("int"))
+    starts = spark.createDataFrame([(1, 1200, 100, 3), (2, 1200, 1601, 400), (3, 4000, 3000, 1)], "id LONG, sy INT, sx INT, min_distance INT")
+    levels = rv._pyramid(outs.unionByName(strip.filter("x <= 1601").withColumn("river", F.lit(None).cast("int"))), ny, nx)
+    met = {r["id"]: r["n"] for r in rv._descend(starts, levels, ny, nx).groupBy("id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert all(n <= 2 * 64 for n in met.values()), met
+    got = rows(rv.diamond_search(starts, outs, strip.filter("x <= 1601"), ny, nx), "id", "river", "radius")
+    strip_cells = [(r["y"], r["x"]) for r in strip.collect()]
+    want = diamond([tuple(r) for r in starts.collect()], [tuple(r) for r in outs.collect()], [c for c in strip_cells if c[1] <= 1601], ny, nx)
+    assert got == want
+
+
 def test_lakes_without_a_box_reach_beyond_it(spark):
     f = grid_frame(spark, [[1] * 40 for _ in range(40)], "code", "INT")
     axis = ax.regular_axis(spark, 40, 0.0, 0.1)
