@@ -17,14 +17,12 @@ from gridloom.session import discard, global_rank, lookup, materialise, row_coun
 
 SMALL_AMOUNT = 1e-5
 GROWTH = 1.1
-#: Cuts after which the improved labels are merged into one table.
-MERGE_AFTER = 6
 #: Side of the tiles whose mouths are settled together.
 SETTLE_TILE = 256
 #: Side of the tiles in which starts and cells meet.
 TILE = 64
 #: A tile of the pyramid has 2 ** FAN tiles of the level below along each side.
-FAN = 3
+FAN = 2
 
 
 def _neighbours(cells: DataFrame, ny: int, nx: int, y: str = "y", x: str = "x") -> DataFrame:
@@ -43,13 +41,14 @@ def valid_runoff(runoff: DataFrame, ny: int, nx: int, sea: DataFrame | None = No
     return out
 
 
-def runoff_regions(runoff: DataFrame, ny: int, nx: int, hops: int = 4) -> DataFrame:
+def runoff_regions(runoff: DataFrame, ny: int, nx: int, hops: int = 3) -> DataFrame:
     """Add `root`: the number of the largest cell from which the cell is reached by steps that grow at most tenfold in
     a hundredth, i.e. from p to a neighbour c with r(c) <= 1.1 r(p).
 
     Equivalent to repeatedly taking the largest cell left and claiming what it reaches.  Neighbours that reach each other are contracted
-    first.  Then labels (-r, cell) spread along the edges between groups: only groups that improved spread on and are written, several
-    hops share one lineage cut, and the improvements are merged into the labels every few cuts.
+    first.  Then each group keeps the arc its best label (-r, cell) came over, which makes a forest.  In a round every group that an arc offers a
+    better label hangs itself below the one that offers it, with all that hangs below itself, and labels come down from the roots by pointer
+    jumping, `hops` jumps per lineage cut.  So a chain of any length takes one round and as many jumps as its length has binary digits.
     """
     number = (F.col("y").cast("long") * nx + F.col("x")).alias("cell")
     nodes = materialise(runoff.select("y", "x", "r", number))
@@ -59,41 +58,49 @@ def runoff_regions(runoff: DataFrame, ny: int, nx: int, hops: int = 4) -> DataFr
     groups = materialise(components(nodes.select(F.col("cell").alias("node")), edges.filter("mutual").select("a", "b")))
     of = groups.select(F.col("node").alias("cell"), F.col("root").alias("g"))
     label = F.min(F.struct((-F.col("r")).alias("r"), F.col("cell").alias("id"))).alias("label")
-    base = materialise(nodes.join(of, "cell").groupBy("g").agg(label))
+    state = materialise(nodes.join(of, "cell").groupBy("g").agg(label).select("g", "label", F.col("g").alias("above"), F.lit(True).alias("moved")))
     ends = edges.filter("NOT mutual").select("a", "b")
     ends = ends.join(of.select(F.col("cell").alias("a"), F.col("g")), "a").join(of.select(F.col("cell").alias("b"), F.col("g").alias("h")), "b")
     arcs = materialise(ends.filter("g <> h").select("g", "h").distinct())
     discard(edges)
-    frontier, deltas = base, []
+    size = row_count(state)
     while True:
-        current = base
-        if deltas:
-            for d in deltas:
-                current = current.unionByName(d)
-            current = current.groupBy("g").agg(F.min("label").alias("label"))
-        found, front = None, frontier
+        # Only groups whose label has changed can offer a better one; a few steps of that share a lineage cut.
+        front, found = state.filter("moved").select("g", "label"), None
         for _ in range(hops):
-            offer = front.join(arcs, "g").groupBy(F.col("h").alias("g")).agg(F.min("label").alias("label"))
-            front = offer.join(current.withColumnRenamed("label", "_now"), "g").filter("label < _now").select("g", "label")
-            found = front if found is None else found.unionByName(front)
-        delta = materialise(found.groupBy("g").agg(F.min("label").alias("label")))
-        if not row_count(delta):
+            told = lookup(arcs, front, ["g"], at_most=size).groupBy(F.col("h").alias("g")).agg(F.min(F.struct("label", F.col("g").alias("source"))).alias("offer"))
+            told = told.join(state.select("g", "label"), "g").filter("offer.label < label").select("g", "offer")
+            front, found = told.select("g", "offer.label"), told if found is None else found.unionByName(told)
+        better = materialise(found.groupBy("g").agg(F.min("offer")["source"].alias("source")))
+        if not row_count(better):
             break
-        deltas.append(delta)
-        frontier = delta
-        if len(deltas) == MERGE_AFTER:
-            whole = base
-            for d in deltas:
-                whole = whole.unionByName(d)
-            merged = materialise(whole.groupBy("g").agg(F.min("label").alias("label")))
-            discard(base, *deltas[:-1])
-            base, deltas = merged, []
-    labels = materialise(current)
-    discard(base, arcs, delta, *deltas)
-    out = nodes.join(of, "cell").join(labels, "g").select("y", "x", "r", "cell", F.col("label.id").alias("root"))
+        hung = materialise(state.join(better, "g", "left").select("g", "label", F.coalesce("source", "above").alias("above")))
+        tops = _roots(hung.select("g", F.col("above").alias("top")), hops, size)
+        labels = state.select(F.col("g").alias("top"), F.col("label").alias("_new"))
+        whole = lookup(tops, labels, ["top"], at_most=size).select("g", "_new")
+        settled = materialise(hung.join(whole, "g").select("g", F.col("_new").alias("label"), "above", (F.col("_new") != F.col("label")).alias("moved")))
+        discard(state, better, hung, tops)
+        state = settled
+    out = nodes.join(of, "cell").join(state.select("g", "label"), "g").select("y", "x", "r", "cell", F.col("label.id").alias("root"))
     return out
 
 
+def _roots(forest: DataFrame, hops: int, size: int) -> DataFrame:
+    """The root of each node's tree, from ``(g, top)`` with the node above it, its own number at a root: `hops` pointer jumps per lineage cut."""
+    at = forest
+    while True:
+        step = at
+        for _ in range(hops):
+            step = lookup(step, step.select(F.col("g").alias("top"), F.col("top").alias("_next")), ["top"], at_most=size).select("g", F.col("_next").alias("top"))
+        new = materialise(step)
+        # Roots stand above themselves, so nodes whose top is a root have arrived.
+        open_ = lookup(new, new.select(F.col("g").alias("top"), F.col("top").alias("_next")), ["top"], at_most=size).filter("top <> _next").limit(1).count()
+        discard(at)
+        at = new
+        if not open_:
+            return at
+
+
 def region_totals(regions: DataFrame) -> DataFrame:
     """Total runoff and size per region, with the runoff of its largest cell."""
     return regions.groupBy("root").agg(
@@ -203,24 +210,20 @@ def _diamond(starts: DataFrame, cells: DataFrame, ny: int, nx: int, reach: int)
 
 
 def _pyramid(cells: DataFrame, ny: int, nx: int) -> list[tuple[DataFrame, int]]:
-    """Tiles over cells ``(y, x, river)``, from the one that covers the grid down to the cells' own: ``(ty, tx, kids)`` and a bound on all kids.
+    """Tiles over cells ``(y, x, river)``, from the one that covers the grid down to those of cells: ``(ty, tx, kids)`` and a bound on all kids.
 
-    A tile has the tight box of its cells and the lowest number in it.  Each level is rolled up from the one below; a tile has at most
-    ``4 ** FAN`` kids.
+    A tile has up to ``4 ** FAN`` kids, each with the tight box of its cells and the lowest number in it.
     """
-    box = [f(c).alias(c) for f, c in ((F.min, "y0"), (F.max, "y1"), (F.min, "x0"), (F.max, "x1"), (F.min, "river"))]
-    tiles = cells.groupBy("y", "x").agg(F.min("river").alias("river"))
-    tiles = tiles.select(F.col("y").alias("ty"), F.col("x").alias("tx"), F.col("y").alias("y0"), F.col("y").alias("y1"), F.col("x").alias("x0"), F.col("x").alias("x1"), "river")
-    levels, size = [], 0
-    while not levels or max(ny, nx) > 1 << size:
-        bound = math.ceil(ny / (1 << size)) * math.ceil(nx / (1 << size))
-        size += FAN
-        kid = F.struct("ty", "tx", "y0", "y1", "x0", "x1", "river")
-        above = tiles.groupBy(F.shiftright("ty", FAN).alias("ty"), F.shiftright("tx", FAN).alias("tx")).agg(F.collect_list(kid).alias("kids"), *box)
-        above = materialise(above)
-        levels.append((above.select("ty", "tx", "kids"), bound))
-        tiles = above.drop("kids")
-    return levels[::-1]
+    box = [f(c).alias(n) for c, lo, hi in (("y", "y0", "y1"), ("x", "x0", "x1")) for f, n in ((F.min, lo), (F.max, hi))]
+    depth = max(math.ceil(math.log2(max(ny, nx)) / FAN), 1)
+    spread = cells.groupBy("y", "x").agg(F.min("river").alias("river")).withColumn("lv", F.explode(F.sequence(F.lit(0), F.lit(depth - 1))))
+    up = lambda c, more: F.expr(f"shiftright({c}, {FAN} * (lv + {more}))")
+    tiles = spread.groupBy("lv", up("y", 0).alias("ty"), up("x", 0).alias("tx")).agg(*box, F.min("river").alias("river"))
+    kid = F.struct("ty", "tx", "y0", "y1", "x0", "x1", "river")
+    kids = tiles.groupBy("lv", F.shiftright("ty", FAN).alias("py"), F.shiftright("tx", FAN).alias("px")).agg(F.collect_list(kid).alias("kids"))
+    kids = materialise(kids.select("lv", F.col("py").alias("ty"), F.col("px").alias("tx"), "kids"))
+    bound = lambda lv: math.ceil(ny / (1 << FAN * lv)) * math.ceil(nx / (1 << FAN * lv))
+    return [(kids.filter(F.col("lv") == lv).drop("lv"), bound(lv)) for lv in reversed(range(depth))]
 
 
 def _descend(starts: DataFrame, levels: list[tuple[DataFrame, int]], ny: int, nx: int) -> DataFrame:
