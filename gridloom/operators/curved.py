@@ -1,4 +1,8 @@
-"""Conservative weights between cells with curved or rotated outlines, as convex polygons of great-circle arcs."""
+"""Conservative weights between cells with curved or rotated outlines, as polygons of great-circle arcs.
+
+Cells may be of any simple outline smaller than a hemisphere, a pole inside included.  Those that are not convex are cut into triangles first;
+only convex pieces are clipped, and the pieces' overlaps are added up per pair of cells.
+"""
 
 from __future__ import annotations
 
@@ -25,39 +29,116 @@ def corners_from_axes(axis_y: DataFrame, axis_x: DataFrame, ny: int, nx: int, ce
 def corners_from_bounds(cells: DataFrame, cell: str = "cell") -> DataFrame:
     """Cells with corner arrays given in any vertex order, sorted counter-clockwise around the cell's centre.
 
-    Longitudes are unwrapped towards the first corner before sorting, so cells across the date line stay whole.
+    Corners are sorted in the plane that touches the sphere at their mean direction, so cells across the date line and around a pole stay
+    whole.  Cells that are not convex must be given with their corners in order, since an outline is not told by its corners then.
     """
-    c = cells.selectExpr(cell, "lats", "transform(lons, v -> pmod(v - lons[0] + 180D, 360D) - 180D + lons[0]) AS lons")
-    c = c.selectExpr(
-        cell, "arrays_zip(lats, lons) AS p",
-        "aggregate(lats, 0D, (s, v) -> s + v) / size(lats) AS clat", "aggregate(lons, 0D, (s, v) -> s + v) / size(lons) AS clon",
-    )
-    c = c.selectExpr(cell, "array_sort(transform(p, q -> struct(atan2(q.lats - clat, q.lons - clon) AS a, q.lats AS lat, q.lons AS lon))) AS p")
+    c = cells.selectExpr(cell, "lats", "lons", f"{_XYZ} AS v")
+    c = c.selectExpr("*", *[f"aggregate(v, 0D, (s, q) -> s + q.{a}) AS m{a}" for a in "xyz"])
+    c = c.selectExpr(cell, "lats", "lons", "v", *[f"m{a} / sqrt(mx * mx + my * my + mz * mz) AS c{a}" for a in "xyz"])
+    # East of the first corner's direction from the centre counts as the first angle.
+    c = c.selectExpr("*", "v[0].x * cx + v[0].y * cy + v[0].z * cz AS d0")
+    c = c.selectExpr("*", *[f"v[0].{a} - d0 * c{a} AS e{a}" for a in "xyz"])
+    side = "cx * (ey * q.z - ez * q.y) + cy * (ez * q.x - ex * q.z) + cz * (ex * q.y - ey * q.x)"
+    angle = f"pmod(atan2({side}, ex * q.x + ey * q.y + ez * q.z) + 1e-12D, 2D * pi())"
+    c = c.selectExpr(cell, f"array_sort(transform(v, (q, i) -> struct({angle} AS a, lats[i] AS lat, lons[i] AS lon))) AS p")
     return c.selectExpr(cell, "transform(p, q -> q.lat) AS lats", "transform(p, q -> q.lon) AS lons")
 
 
+_XYZ = "zip_with(lats, lons, (a, o) -> struct(cos(radians(a)) * cos(radians(o)) AS x, cos(radians(a)) * sin(radians(o)) AS y, sin(radians(a)) AS z))"
+#: Signed volume under three neighbouring corners: over zero at a left turn.
+_TURN = (
+    "transform(sequence(1, size(v)), k -> aggregate(array(struct(v[k - 1] AS a, v[k % size(v)] AS b, v[(k + 1) % size(v)] AS c)), 0D, (s, t) -> "
+    "t.a.x * (t.b.y * t.c.z - t.b.z * t.c.y) + t.a.y * (t.b.z * t.c.x - t.b.x * t.c.z) + t.a.z * (t.b.x * t.c.y - t.b.y * t.c.x)))"
+)
+#: Turns this small come from rounding or from repeated corners.
+_STRAIGHT = 1e-14
+
+
+def ears(p: np.ndarray) -> np.ndarray:
+    """Corners (rows, triangles, 3) of the triangles that counter-clockwise polygons (rows, corners, 3) are made of, all rows at once.
+
+    A corner is cut off where the outline turns left and no other corner lies in the triangle with its neighbours; corners on a straight
+    line are dropped as triangles without area.
+    """
+    rows, n = p.shape[:2]
+    left = np.tile(np.arange(n), (rows, 1))
+    out = np.empty((rows, n - 2, 3), int)
+    every = np.arange(rows)
+
+    def at(i):
+        return np.take_along_axis(p, i[..., None], axis=1)
+
+    def turn(a, b, c):
+        return (a * np.cross(b, c)).sum(-1)
+
+    for k in range(n - 2):
+        before, after = np.roll(left, 1, axis=1), np.roll(left, -1, axis=1)
+        a, b, c = at(before), at(left), at(after)
+        bend = turn(a, b, c)
+        q = at(left)[:, None]
+        inside = np.minimum(np.minimum(turn(a[:, :, None], b[:, :, None], q), turn(b[:, :, None], c[:, :, None], q)), turn(c[:, :, None], a[:, :, None], q)) > -_STRAIGHT
+        same = (q == a[:, :, None]).all(-1) | (q == b[:, :, None]).all(-1) | (q == c[:, :, None]).all(-1)
+        clear = ~(inside & ~same).any(-1)
+        # A straight corner goes first, then any ear; an outline that crosses itself has none and loses its sharpest corner.
+        rank = np.where(np.abs(bend) <= _STRAIGHT, 3.0, np.where((bend > 0) & clear, 2.0, 0.0)) + np.clip(bend, -0.5, 0.5)
+        best = rank.argmax(axis=1)
+        out[:, k] = np.stack([before[every, best], left[every, best], after[every, best]], axis=1)
+        left = left[np.arange(left.shape[1])[None, :] != best[:, None]].reshape(rows, -1)
+    return out
+
+
+def _triangles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Cells ``(id, v)`` as their triangles, with the area of the whole cell."""
+    for pdf in batches:
+        sizes = pdf["v"].map(len)
+        for _, some in pdf.groupby(sizes):
+            p = _polygons(some["v"])
+            corners = np.take_along_axis(p[:, None], ears(p)[..., None], axis=2)
+            area = np.abs(spherical_area(corners.reshape(-1, 3, 3))).reshape(len(p), -1)
+            cell, piece = np.nonzero(area > 0)
+            yield pd.DataFrame({
+                "id": some["id"].to_numpy()[cell], "v": list(corners[cell, piece].reshape(len(cell), 9)), "whole": area.sum(axis=1)[cell],
+            })
+
+
+def convex_pieces(cells: DataFrame, cell: str = "cell") -> DataFrame:
+    """``(cell, v, whole)``: convex cells as they are, others as triangles with the area of the cell; `v` are corners in space."""
+    c = cells.selectExpr(f"`{cell}` AS id", f"{_XYZ} AS v").selectExpr("*", f"{_TURN} AS _turns")
+    convex = f"forall(_turns, t -> t >= -{_STRAIGHT}D) OR forall(_turns, t -> t <= {_STRAIGHT}D)"
+    whole = c.filter(convex).selectExpr("id", "v", "CAST(NULL AS DOUBLE) AS whole")
+    kind = dict(cells.dtypes)[cell]
+    flat = c.filter(f"NOT ({convex})").selectExpr("id", "flatten(transform(v, q -> array(q.x, q.y, q.z))) AS v")
+    cut = flat.mapInPandas(_triangles, f"id {kind}, v ARRAY<DOUBLE>, whole DOUBLE")
+    corner = "transform(sequence(0, 2), i -> struct(v[3 * i] AS x, v[3 * i + 1] AS y, v[3 * i + 2] AS z)) AS v"
+    return whole.unionByName(cut.selectExpr("id", corner, "whole")).withColumnRenamed("id", cell)
+
+
 def _boxed(cells: DataFrame, cell: str, prefix: str) -> DataFrame:
-    """Bounding box in space of each cell, widened by how far an arc of the cell's size can bulge."""
-    xyz = (
-        "zip_with(lats, lons, (a, o) -> struct(cos(radians(a)) * cos(radians(o)) AS x, cos(radians(a)) * sin(radians(o)) AS y, sin(radians(a)) AS z))"
-    )
-    c = cells.selectExpr(f"{cell} AS {prefix}", f"{xyz} AS v")
+    """Bounding box in space of each cell's convex pieces, widened by how far an arc of the piece's size can bulge."""
+    c = convex_pieces(cells, cell).selectExpr(f"{cell} AS {prefix}", "v", "whole")
     c = c.selectExpr(
-        prefix, "v",
-        *[f"array_min(transform(v, q -> q.{a})) AS l{a}" for a in "xyz"], *[f"array_max(transform(v, q -> q.{a})) AS h{a}" for a in "xyz"],
+        "*", *[f"array_min(transform(v, q -> q.{a})) AS l{a}" for a in "xyz"], *[f"array_max(transform(v, q -> q.{a})) AS h{a}" for a in "xyz"],
     )
     c = c.selectExpr("*", "0.5D * (pow(hx - lx, 2) + pow(hy - ly, 2) + pow(hz - lz, 2)) + 1e-12D AS pad")
-    return c.selectExpr(prefix, f"v AS {prefix}_v", *[f"l{a} - pad AS {prefix}_l{a}" for a in "xyz"], *[f"h{a} + pad AS {prefix}_h{a}" for a in "xyz"])
+    return c.selectExpr(
+        prefix, f"v AS {prefix}_v", f"whole AS {prefix}_whole", *[f"l{a} - pad AS {prefix}_l{a}" for a in "xyz"], *[f"h{a} + pad AS {prefix}_h{a}" for a in "xyz"],
+    )
 
 
 def candidate_pairs(src: DataFrame, tgt: DataFrame, cell: str = "cell") -> DataFrame:
-    """Pairs of cells whose boxes overlap, met by equality in cubes of the larger one's size.
+    """Pairs of cells whose boxes overlap, met by equality in cubes of the larger one's size: ``(s, t, s_v, t_v, s_whole, t_whole)``.
+
+    A cell that is not convex takes part with each of its triangles; `s_whole` and `t_whole` are its area, null for convex cells.
 
     Cubes come in powers of two.  A cell lies in at most eight cubes of its own size class, and is also put into the cubes of the larger
     classes that the other side has, so there are a few rows per cell whatever the ratio of the two resolutions.  A pair counts in the
     first cube both share.  Cubes that hold more than a thousandth of the source cells are salted.
     """
-    s, t = materialise(_boxed(src, cell, "s")), materialise(_boxed(tgt, cell, "t"))
+    return _meet(materialise(_boxed(src, cell, "s")), materialise(_boxed(tgt, cell, "t")))
+
+
+def _meet(s: DataFrame, t: DataFrame) -> DataFrame:
+    """`candidate_pairs` of cells that `_boxed` has prepared."""
     size = "CAST(greatest(ceil(log2(greatest({p}_hx - {p}_lx, {p}_hy - {p}_ly, {p}_hz - {p}_lz, 1e-9D))), -30) AS INT)"
     classes = {p: sorted(r[0] for r in df.select(F.expr(size.format(p=p))).distinct().collect()) for p, df in (("s", s), ("t", t))}  # some thirty at most
 
@@ -84,7 +165,7 @@ def candidate_pairs(src: DataFrame, tgt: DataFrame, cell: str = "cell") -> DataF
     for a in "xyz":
         j = j.filter(f"c{a} = greatest(s_f{a}, t_f{a}) AND s_l{a} <= t_h{a} AND t_l{a} <= s_h{a}")
     flat = "flatten(transform({p}_v, q -> array(q.x, q.y, q.z))) AS {p}_v"
-    return j.selectExpr("s", "t", flat.format(p="s"), flat.format(p="t"))
+    return j.selectExpr("s", "t", flat.format(p="s"), flat.format(p="t"), "s_whole", "t_whole")
 
 
 def _polygons(column: pd.Series) -> np.ndarray:
@@ -133,7 +214,8 @@ def clip(subject: np.ndarray, window: np.ndarray) -> np.ndarray:
 def curved_weights(src: DataFrame, tgt: DataFrame, cell: str = "cell") -> DataFrame:
     """Weights ``(src_cell, tgt_cell, w)``: share of each target cell's area covered by each source cell.
 
-    Cells ``(cell, lats, lons)`` are convex.  Pairs are found by joins; each batch of pairs is clipped at once.
+    Cells ``(cell, lats, lons)`` have their corners in order, either way round, and no arc of half the globe or more.  Pairs are found by joins;
+    each batch of pairs is clipped at once.  Overlaps of the triangles of one pair are added up.
     """
 
     def overlap(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,9 +223,16 @@ def curved_weights(src: DataFrame, tgt: DataFrame, cell: str = "cell") -> DataFr
             if len(pdf):
                 a, b = _polygons(pdf["s_v"]), _polygons(pdf["t_v"])
                 area = np.abs(spherical_area(clip(a, b)))
-                yield pd.DataFrame({"src_cell": pdf["s"], "tgt_cell": pdf["t"], "w": area / np.abs(spherical_area(b))})
+                whole = pdf["t_whole"].to_numpy(float, na_value=np.nan)
+                share = area / np.where(np.isnan(whole), np.abs(spherical_area(b)), whole)
+                yield pd.DataFrame({"src_cell": pdf["s"], "tgt_cell": pdf["t"], "w": share, "_part": ~(np.isnan(whole) & pdf["s_whole"].isna().to_numpy())})
 
     kind = dict(src.dtypes)[cell]
-    pairs = candidate_pairs(src, tgt, cell)
-    out = pairs.mapInPandas(overlap, f"src_cell {kind}, tgt_cell {dict(tgt.dtypes)[cell]}, w DOUBLE")
-    return out.filter("w > 1e-12")
+    s, t = materialise(_boxed(src, cell, "s")), materialise(_boxed(tgt, cell, "t"))
+    out = _meet(s, t).mapInPandas(overlap, f"src_cell {kind}, tgt_cell {dict(tgt.dtypes)[cell]}, w DOUBLE, _part BOOLEAN")
+    # Only pairs with triangles have several rows; the others are not shuffled.
+    if any(cells.filter(f"{p}_whole IS NOT NULL").limit(1).count() for p, cells in (("s", s), ("t", t))):
+        out = materialise(out)
+        parts = out.filter("_part").groupBy("src_cell", "tgt_cell").agg(F.sum("w").alias("w"))
+        out = out.filter("NOT _part").drop("_part").unionByName(parts)
+    return out.select("src_cell", "tgt_cell", "w").filter("w > 1e-12")

@@ -10,7 +10,7 @@ from gridloom.sinks import writers as wr
 from gridloom.sources import fields as fl
 from gridloom.sources import mesh
 from gridloom.sources.crosswalk import load_crosswalk
-from gridloom.sources.raster import read_ascii_grids, read_bil
+from gridloom.sources.raster import bil_cells, read_ascii_grids, read_bil
 from tests.conftest import grid_frame, rows
 
 NAN = float("nan")
@@ -144,3 +144,59 @@ def test_years_that_are_not_covered_raise(spark):
     for b, e in ((2003, 2005), (2001, 2004)):
         with pytest.raises(ValueError):
             year_range(s, b, e)
+
+
+def test_ascii_grid_in_several_tasks(spark, tmp_path):
+    """Files cut at any line, numbers wrapped at random, headers with centres; each split knows its first cell."""
+    rng = np.random.default_rng(5)
+    want = {}
+    for n, (ny, nx) in enumerate([(90, 70), (1, 1), (33, 200)]):
+        data = rng.integers(-9, 1000, (ny, nx))
+        words = [str(v) for v in data.ravel()]
+        cuts = sorted({0, len(words), *rng.integers(0, len(words), len(words) // 9).tolist()})
+        body = "\n".join(" ".join(words[a:b]) for a, b in zip(cuts, cuts[1:]))
+        corner = "xllcenter 0.25\nyllcenter 10.25" if n else "XLLCORNER 0\nYLLCORNER 10"
+        (tmp_path / f"g{n}.asc").write_text(f"ncols {nx}\nNROWS {ny}\n{corner}\ncellsize 0.5\nNODATA_value -9\n{body}\n\n")
+        for j in range(ny):
+            for i in range(nx):
+                want[f"g{n}", ny - 1 - j, i] = (10 + (ny - 0.5 - j) * 0.5, (i + 0.5) * 0.5, None if data[j, i] == -9 else float(data[j, i]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = read_ascii_grids(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 8
+        found = {(r["path"][-6:-4], r["y"], r["x"]): (r["lat"], r["lon"], r["value"]) for r in got.collect()}
+        assert found == want and got.count() == len(want)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    (tmp_path / "short.asc").write_text("ncols 3\nnrows 2\nxllcorner 0\nyllcorner 0\ncellsize 1\n1 2 3 4 5\n")
+    with pytest.raises(Exception, match="5 numbers for 3"):
+        read_ascii_grids(spark, str(tmp_path / "short.asc")).collect()
+
+
+def test_bil_source(spark, tmp_path):
+    """One scan whatever the number of files, several tasks to a file, rows chosen by bounds on y, a raster in parts that cut its rows."""
+    rng = np.random.default_rng(6)
+    grids = {f"r{k}": rng.integers(0, 200, (50 + k, 7)).astype("<u2") for k in range(5)}
+    head = "NROWS {}\nNCOLS 7\nNBITS 16\nULXMAP 0.5\nULYMAP {}\nXDIM 1\nYDIM 1\n"
+    for n, data in grids.items():
+        (tmp_path / f"{n}.bil").write_bytes(data.tobytes())
+        (tmp_path / f"{n}.hdr").write_text(head.format(len(data), len(data) - 0.5))
+    (tmp_path / "alone.bil").write_bytes(b"12")
+    whole = spark.read.format("bil").option("taskBytes", "100").load(str(tmp_path)) if read_bil(spark, str(tmp_path)) else None
+    assert whole.rdd.getNumPartitions() == sum(-(-len(d) // 7) for d in grids.values())
+    got = {(r["path"].rpartition("/")[2][:2], r["y"], r["x"]): r["value"] for r in whole.collect()}
+    assert got == {(n, len(d) - 1 - j, i): float(d[j, i]) for n, d in grids.items() for j in range(len(d)) for i in range(7)}
+    plan = read_bil(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 1 and "Union" not in plan
+    some = whole.filter("y BETWEEN 3 AND 9")
+    assert some.count() == 5 * 7 * 7 and some.rdd.getNumPartitions() == 5
+    raw = grids["r0"].tobytes()
+    for k, (a, b) in enumerate([(0, 33), (33, 34), (34, len(raw))]):
+        (tmp_path / f"part{k}").write_bytes(raw[a:b])
+    one = bil_cells(spark, [str(tmp_path / f"part{k}") for k in range(3)], head.format(50, 49.5), "whole")
+    assert {(r["path"], r["y"], r["x"]): r["value"] for r in one.collect()} == {("whole", 49 - j, i): float(grids["r0"][j, i]) for j in range(50) for i in range(7)}
+    (tmp_path / "r0.hdr").write_text(head.format(60, 59.5))
+    with pytest.raises(Exception, match="shorter than its header"):
+        read_bil(spark, str(tmp_path)).count()

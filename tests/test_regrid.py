@@ -140,6 +140,72 @@ def test_curved_weights_of_turned_cells(spark):
     assert rows(curved.curved_weights(curved.corners_from_bounds(mixed), t)) == [("m", "d", pytest.approx(1.0, abs=1e-9))]
 
 
+def _cells(spark, *outlines):
+    return spark.createDataFrame([(n, [float(a) for a, _ in c], [float(o) for _, o in c]) for n, c in outlines], "cell STRING, lats ARRAY<DOUBLE>, lons ARRAY<DOUBLE>")
+
+
+def test_weights_of_cells_that_are_not_convex(spark):
+    """Octants and their thirds have closed-form areas; an L and an arrow are made of convex cells whose areas are known apart."""
+    square = lambda y, x, n=1: [(y, x), (y, x + n), (y + n, x + n), (y + n, x)]
+    ell = [(0, 0), (0, 2), (1, 2), (1, 1), (2, 1), (2, 0)]
+    quads = [("a", square(0, 0)), ("b", square(0, 1)), ("c", square(1, 0)), ("gap", square(1, 1))]
+    sizes = {n: float(np.abs(curved.spherical_area(_space(c)[None]))[0]) for n, c in quads}
+    total = sizes["a"] + sizes["b"] + sizes["c"]
+    outlines = {"L": ell, "back": ell[::-1], "later": ell[3:] + ell[:3]}
+    got = {(r["src_cell"], r["tgt_cell"]): r["w"] for r in curved.curved_weights(_cells(spark, *quads), _cells(spark, *outlines.items())).collect()}
+    assert got == {(n, o): pytest.approx(sizes[n] / total, abs=1e-9) for n in "abc" for o in outlines}
+    back = {(r["src_cell"], r["tgt_cell"]): r["w"] for r in curved.curved_weights(_cells(spark, *outlines.items()), _cells(spark, *quads)).collect()}
+    assert back == {(o, n): pytest.approx(1.0, abs=1e-9) for n in "abc" for o in outlines}
+    # An octant less the third of it around one corner's arc: (2/3) of pi / 2.
+    octant = [(0, 0), (0, 90), (90, 0)]
+    middle = float(np.degrees(np.arctan(np.sqrt(0.5))))
+    dart = [(0, 0), (0, 90), (90, 0), (middle, 45)]
+    got = rows(curved.curved_weights(_cells(spark, ("dart", dart)), _cells(spark, ("octant", octant))))
+    assert got == [("dart", "octant", pytest.approx(2 / 3, abs=1e-9))]
+
+
+def _space(corners):
+    a, o = np.radians(np.array(corners, float)).T
+    return np.stack([np.cos(a) * np.cos(o), np.cos(a) * np.sin(o), np.sin(a)], axis=-1)
+
+
+def test_weights_of_cells_around_a_pole(spark):
+    """A cap of n corners has n times the area of the triangle from the pole, by its spherical excess; its corners come in any order."""
+    cap = [(80, 60 * k - 170) for k in range(6)]
+    ring = [[(70, 60 * k - 170), (70, 60 * k - 110), (80, 60 * k - 110), (80, 60 * k - 170)] for k in range(6)]
+    shuffled = _cells(spark, ("cap", [cap[i] for i in (3, 0, 5, 1, 4, 2)]))
+    t2 = np.tan(np.radians(10) / 2) ** 2
+    want = 6 * 2 * np.arctan2(t2 * np.sin(np.pi / 3), 1 + t2 * np.cos(np.pi / 3))
+    quarters = _cells(spark, *[(str(k), [(0, 90 * k), (0, 90 * k + 90), (90, 0)]) for k in range(4)])
+    got = {r["src_cell"]: r["w"] for r in curved.curved_weights(quarters, curved.corners_from_bounds(shuffled)).collect()}
+    assert sum(got.values()) == pytest.approx(1.0, abs=1e-9) and len(got) == 4
+    share = rows(curved.curved_weights(curved.corners_from_bounds(shuffled), quarters), "w")
+    assert sum(w for w, in share) * np.pi / 2 == pytest.approx(want, rel=1e-9)
+    # The cap with a notch: a corner drawn in to the pole leaves four of six triangles.
+    notched = cap[:2] + [(90, 0)] + cap[3:]
+    cut = rows(curved.curved_weights(_cells(spark, ("notch", notched)), curved.corners_from_bounds(shuffled)))
+    assert cut == [("notch", "cap", pytest.approx(4 / 6, abs=1e-9))]
+    assert rows(curved.curved_weights(_cells(spark, *[(str(k), c) for k, c in enumerate(ring)]), curved.corners_from_bounds(shuffled))) == []
+    assert curved.ears(_space(cap)[None]).shape == (1, 4, 3)
+
+
+def test_ears_of_many_outlines():
+    """Triangles of random star-shaped outlines fill them, whatever the outline's turns, straight and repeated corners."""
+    rng = np.random.default_rng(3)
+    for n in (4, 5, 8, 13):
+        angle = np.sort(rng.uniform(0, 2 * np.pi, (40, n)), axis=1)
+        far = rng.uniform(0.01, 0.2, (40, n))
+        p = np.stack([far * np.cos(angle), far * np.sin(angle), np.ones((40, n))], axis=-1)
+        p[:5, 1] = p[:5, 0]
+        p[5:10, 1] = (p[5:10, 0] + p[5:10, 2]) / 2
+        p /= np.linalg.norm(p, axis=-1, keepdims=True)
+        parts = np.take_along_axis(p[:, None], curved.ears(p)[..., None], axis=2)
+        areas = curved.spherical_area(parts.reshape(-1, 3, 3)).reshape(40, -1)
+        simple = np.abs(np.diff(np.c_[angle, angle[:, :1] + 2 * np.pi], axis=1)).max(axis=1) < np.pi
+        assert simple.any() and (areas[simple] > -1e-12).all()
+        assert np.allclose(areas.sum(axis=1)[simple], curved.spherical_area(p)[simple], atol=1e-12)
+
+
 def test_weights_mask_what_they_touch(spark):
     cells = spark.createDataFrame([(0, 1.0), (1, None), (2, 5.0)], "src_cell INT, value DOUBLE")
     w = spark.createDataFrame([(0, 0, 0.5), (2, 0, 0.25), (1, 1, 0.5), (2, 1, 0.5)], "src_cell INT, tgt_cell INT, w DOUBLE")
