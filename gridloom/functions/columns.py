@@ -40,6 +40,14 @@ def tolerant_key(a: Column, digits: int = 10) -> Column:
     return F.round(a, digits) + F.lit(0.0)
 
 
+def tolerant_bin(a: Column, tol: float = TOLERANCE) -> Column:
+    """Bin of the tolerance's width: values in one bin are equal within it, equal values lie in one bin or in two next to each other.
+
+    Numbers beyond 2^19 are further apart than the tolerance anyway and are bins of their own, as NaN is.
+    """
+    return F.when(F.abs(a) < F.lit(2.0**19 * tol / TOLERANCE), F.floor(a / F.lit(tol)).cast("double")).otherwise(a + F.lit(0.0))
+
+
 def wrap_lon(p: Column, base: float, period: float = 360.0, endpoint: bool = True) -> Column:
     """Longitude wrapped into [base, base + period); a point on the end stays there when `endpoint`."""
     wrapped = F.pmod(p - F.lit(base), F.lit(period)) + F.lit(base)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.functions.columns import tolerant_key
-from gridloom.session import materialise, small
+from gridloom.functions.columns import TOLERANCE, tolerant_bin
+from gridloom.session import discard, lookup, materialise, row_count, small
 from gridloom.sources.axes import facts, overlapping_indices
 
 
@@ -69,23 +69,78 @@ def compatible(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("stash", "un
     return out.withColumn("compatible", every)
 
 
+def common_places(frames: list[DataFrame], columns: tuple[str, ...], tol: float = TOLERANCE, digits: int = 10) -> DataFrame:
+    """``(axis, bin, at)``: the coordinate that each occupied bin of each axis stands for in all `frames`.
+
+    Sorted coordinates belong together while their gaps stay within the tolerance, across bins as well, and stand at the least of them, rounded.
+    Bins are aggregated where the rows are; only those next to each other are compared, and chains of them are followed by pointer jumping.
+    """
+    every = None
+    for df in frames:
+        part = df.select(F.posexplode(F.array(*columns)).alias("axis", "v")).filter("v IS NOT NULL")
+        every = part if every is None else every.unionByName(part)
+    bins = every.groupBy("axis", tolerant_bin(F.col("v"), tol).alias("bin")).agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    bins = materialise(bins)
+    before = bins.select("axis", (F.col("bin") + 1).alias("bin"), F.col("high").alias("_high"))
+    linked = materialise(bins.join(before, ["axis", "bin"]).filter(F.col("low") - F.col("_high") <= F.lit(tol)).select("axis", "bin", (F.col("bin") - 1).alias("to")))
+    out = bins.select("axis", "bin", F.col("bin").alias("to"))
+    if row_count(linked):
+        moved = True
+        while moved:
+            # Bins that are not linked to one before stand for themselves.
+            onward = linked.select("axis", F.col("bin").alias("to"), F.col("to").alias("_next"))
+            jumped = lookup(linked.select("axis", "bin", "to"), onward, ["axis", "to"], "left", at_most=row_count(linked))
+            jumped = materialise(jumped.select("axis", "bin", F.coalesce("_next", "to").alias("to"), F.col("_next").isNotNull().alias("moved")))
+            moved = jumped.filter("moved").limit(1).count()
+            discard(linked)
+            linked = jumped
+        linked = linked.drop("moved")
+        out = out.drop("to").join(linked, ["axis", "bin"], "left").select("axis", "bin", F.coalesce("to", "bin").alias("to"))
+    start = bins.select("axis", F.col("bin").alias("to"), (F.round("low", digits) + F.lit(0.0)).alias("at"))
+    return out.join(start, ["axis", "to"]).select("axis", "bin", "at")
+
+
+def placed(df: DataFrame, places: DataFrame, columns: tuple[str, ...], at_most: int, tol: float = TOLERANCE) -> DataFrame:
+    """`df` with its coordinates moved to those of `common_places`; nulls stay."""
+    order = df.columns
+    for k, c in enumerate(columns):
+        own = places.filter(F.col("axis") == k).select(F.col("bin").alias("_bin"), F.col("at").alias("_at"))
+        df = lookup(df.withColumn("_bin", tolerant_bin(F.col(c), tol)), own, ["_bin"], "left", at_most=at_most).withColumn(c, F.col("_at")).drop("_bin", "_at")
+    return df.select(*order)
+
+
+def within_tolerance(df: DataFrame, column: str, known: DataFrame, value: str, flag: str = "hit", tol: float = TOLERANCE) -> DataFrame:
+    """Add `flag`: does a value of `known` lie within the tolerance?  Each bin's least and greatest value answer for the bins around it."""
+    bins = known.filter(F.col(value).isNotNull()).groupBy(tolerant_bin(F.col(value), tol).alias("bin")).agg(F.min(value).alias("low"), F.max(value).alias("high"))
+    # A bin's own values are all near; of a neighbour, only the nearest can be.
+    around = bins.select(F.explode(F.array(*[F.struct((F.col("bin") + d).alias("_bin"), F.lit(d).alias("d"), "low", "high") for d in (-1, 0, 1)])).alias("n")).select("n.*")
+    near = around.groupBy("_bin").agg(
+        F.max(F.when(F.col("d") == 0, True)).alias("_own"), F.max(F.when(F.col("d") == 1, F.col("high"))).alias("_below"), F.min(F.when(F.col("d") == -1, F.col("low"))).alias("_above"))
+    out = lookup(df.withColumn("_bin", tolerant_bin(F.col(column), tol)), materialise(near), ["_bin"], "left")
+    a = F.col(column)
+    hit = F.coalesce("_own", F.lit(False)) | F.coalesce(a - F.col("_below") <= F.lit(tol), F.lit(False)) | F.coalesce(F.col("_above") - a <= F.lit(tol), F.lit(False))
+    return out.withColumn(flag, hit).drop("_bin", "_own", "_below", "_above")
+
+
 def merge(
     primary: DataFrame, alternate: DataFrame, other: list[str] | None = None, valid: str | None = None, value: str = "value",
     strict: bool = True, place: tuple[str, str] = ("lat", "lon"), exact: bool = False,
 ) -> DataFrame:
     """Union of two fields ``(other..., lat, lon, value)`` on one coordinate system; the primary wins where it is valid.
 
-    Places are coordinates that meet within the tolerance or, with `exact`, the cell numbers of one grid.
+    Places are coordinates that meet within the tolerance (`common_places`) or, with `exact`, the cell numbers of one grid.
 
     A masked primary cell inside stays masked, a NaN one gives way.  Outside (`valid` false) the alternate wins where it
     has a cell.  `strict` raises if NaN remains, because then the sources do not cover the domain.
     """
-    at = [F.col(c) if exact else tolerant_key(F.col(c)) for c in place]
     keys = (other or []) + ["_a", "_b"]
+    if not exact:
+        places = materialise(common_places([primary, alternate], place))
+        primary, alternate = (placed(df, places, place, row_count(places)) for df in (primary, alternate))
 
     def keyed(df, prefix, extra=()):
         return df.select(
-            *(other or []), at[0].alias("_a"), at[1].alias("_b"), F.col(value).alias(prefix + "_v"), F.lit(True).alias(prefix + "_here"), *extra,
+            *(other or []), F.col(place[0]).alias("_a"), F.col(place[1]).alias("_b"), F.col(value).alias(prefix + "_v"), F.lit(True).alias(prefix + "_here"), *extra,
         )
 
     flag = F.coalesce(F.col(valid), F.lit(False)) if valid else F.lit(True)

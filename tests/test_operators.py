@@ -234,3 +234,25 @@ def test_species_must_all_be_there(spark):
     d = [(0, s, 1.0) for s in range(4)] + [(1, s, 1.0) for s in range(3)] + [(2, s, None if s == 3 else 1.0) for s in range(4)]
     f = spark.createDataFrame(d, "cell INT, species INT, value DOUBLE")
     assert rows(gases.add_species(f, ["cell"])) == [(0, 4.0), (2, None)]
+
+
+def test_merge_meets_across_a_rounding_step(spark):
+    """Coordinates 2e-14 apart to either side of a step are one place; so are chains of gaps within the tolerance, and only those."""
+    one = spark.createDataFrame([(1.00000000004999, 5.0, 1.0), (3.0, 5.0, 2.0), (4.0, 5.0, NAN)], "lat DOUBLE, lon DOUBLE, value DOUBLE")
+    two = spark.createDataFrame([(1.00000000005001, 5.00000000005, 7.0), (3.0000000003, 5.0, 8.0), (4.0, 5.00000000009, 9.0)], "lat DOUBLE, lon DOUBLE, value DOUBLE")
+    got = rows(merge.merge(one, two), "lat", "lon", "value")
+    assert [(round(a, 6), v) for a, _, v in got] == [(1.0, 1.0), (3.0, 2.0), (3.0, 8.0), (4.0, 9.0)] and {o for _, o, _ in got} == {5.0}
+    chain = spark.createDataFrame([(2.0 + k * 9e-11, -0.0, float(k)) for k in range(40)], "lat DOUBLE, lon DOUBLE, value DOUBLE")
+    places = merge.common_places([chain], ("lat", "lon")).collect()
+    assert {r["at"] for r in places if r["axis"] == 0} == {2.0} and len([r for r in places if r["axis"] == 0]) > 30
+    far = spark.createDataFrame([(9e8, 1.0, 1.0), (9e8 + 1e-6, 1.0, 2.0), (None, 1.0, 3.0)], "lat DOUBLE, lon DOUBLE, value DOUBLE")
+    assert rows(merge.merge(far, far.limit(0)), "lat", "value") == rows(far, "lat", "value")
+
+
+def test_within_tolerance_matches_all_pairs(spark):
+    rng = np.random.default_rng(2)
+    a = [float(v) for v in rng.integers(0, 40, 300) * 4e-11 + rng.choice([0.0, 1.0, -3.0, 1e9], 300)] + [NAN, None, 0.0]
+    b = [float(v) for v in rng.integers(0, 40, 25) * 4e-11 + rng.choice([0.0, 1.0, -3.0, 1e9], 25)] + [None]
+    got = merge.within_tolerance(spark.createDataFrame([(v,) for v in a], "v DOUBLE"), "v", spark.createDataFrame([(v,) for v in b], "k DOUBLE"), "k")
+    want = sorted(((v, v is not None and any(w is not None and abs(v - w) <= 1e-10 for w in b)) for v in a), key=repr)
+    assert repr(sorted(((r["v"], r["hit"]) for r in got.collect()), key=repr)) == repr(want)

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import projection
 from gridloom.functions.columns import (
-    calendar_fields, cell_area, clip_negative, greater, isclose, less, mass_mixing_ratio, search_distance, sentinel,
-    tolerant_key, wrap_lon, year_of,
+    calendar_fields, cell_area, clip_negative, greater, isclose, less, mass_mixing_ratio, search_distance, sentinel, wrap_lon, year_of,
 )
 from gridloom.functions.legends import decode, flag_table
 from gridloom.operators import merge as mg
@@ -189,9 +188,8 @@ FROM lineitem GROUP BY l_returnflag""",
 )
 def tolerant_predicates(spark, sf):
     li, q = read(spark, sf, "lineitem"), F.col("l_quantity")
-    known = read(spark, sf, "part").select(tolerant_key(F.col("p_retailprice")).alias("k")).distinct().withColumn("hit", F.lit(True))
     e = F.col("l_extendedprice")
-    return li.withColumn("k", tolerant_key(e)).join(known, "k", "left").groupBy("l_returnflag").agg(
+    return mg.within_tolerance(li, "l_extendedprice", read(spark, sf, "part"), "p_retailprice").groupBy("l_returnflag").agg(
         F.count_if(greater(q, F.lit(25.0))).alias("n_greater"), F.count_if(less(q, F.lit(25.0))).alias("n_less"),
         F.count_if(isclose(e, e * (1 + F.col("l_tax") / 5000))).alias("n_close"), F.count_if("hit").alias("n_in"),
     )

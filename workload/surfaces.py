@@ -248,6 +248,23 @@ def merge_in_polygon(spark, sf):
     return mg.merge(primary, r.withColumn("value", -F.col("price")), valid="inside")
 
 
+@query(
+    "jn16_merge_straddling",
+    f"""WITH {RASTER}, {AXES}, c AS (SELECT ay.point AS lat, ax.point AS lon, code, value, price FROM raster JOIN ax ON ax.idx = x JOIN ay ON ay.idx = y),
+px AS (SELECT DISTINCT lon FROM c WHERE lat < 30)
+SELECT round(lat + CASE WHEN lat < 30 THEN 4.9e-11::DOUBLE ELSE 5.1e-11::DOUBLE END, 10) AS lat,
+  round(lon + CASE WHEN lon IN (SELECT lon FROM px) THEN 4.9e-11::DOUBLE ELSE 5.1e-11::DOUBLE END, 10) AS lon,
+  CASE WHEN lat < 30 AND code <> 6 THEN value ELSE -price END AS value FROM c""",
+)
+def merge_straddling(spark, sf):
+    """Two sources whose coordinates differ by a fiftieth of the tolerance, to either side of a rounding step."""
+    g = grid(spark, sf)
+    ay, axx = axes(spark, g)
+    r = raster(spark, sf, g).join(ay.select(F.col("idx").alias("y"), F.col("point").alias("lat")), "y").join(axx.select(F.col("idx").alias("x"), F.col("point").alias("lon")), "x")
+    primary = r.filter("lat < 30").select((F.col("lat") + 4.9e-11).alias("lat"), (F.col("lon") + 4.9e-11).alias("lon"), F.when(F.col("code") == 6, nan()).otherwise(F.col("value")).alias("value"))
+    return mg.merge(primary, r.select((F.col("lat") + 5.1e-11).alias("lat"), (F.col("lon") + 5.1e-11).alias("lon"), (-F.col("price")).alias("value")))
+
+
 @query(
     "st2_concatenate",
     f"WITH {MONTHLY} SELECT field_id, t, y, x, value FROM monthly",
