@@ -34,10 +34,10 @@ def corners_from_bounds(cells: DataFrame, cell: str = "cell") -> DataFrame:
     """
     c = cells.selectExpr(cell, "lats", "lons", f"{_XYZ} AS v")
     c = c.selectExpr("*", *[f"aggregate(v, 0D, (s, q) -> s + q.{a}) AS m{a}" for a in "xyz"])
-    c = c.selectExpr(cell, "lats", "lons", "v", *[f"m{a} / sqrt(mx * mx + my * my + mz * mz) AS c{a}" for a in "xyz"])
+    c = materialise(c).selectExpr(cell, "lats", "lons", "v", *[f"m{a} / sqrt(mx * mx + my * my + mz * mz) AS c{a}" for a in "xyz"])
     # East of the first corner's direction from the centre counts as the first angle.
     c = c.selectExpr("*", "v[0].x * cx + v[0].y * cy + v[0].z * cz AS d0")
-    c = c.selectExpr("*", *[f"v[0].{a} - d0 * c{a} AS e{a}" for a in "xyz"])
+    c = materialise(c.selectExpr("*", *[f"v[0].{a} - d0 * c{a} AS e{a}" for a in "xyz"]))
     side = "cx * (ey * q.z - ez * q.y) + cy * (ez * q.x - ex * q.z) + cz * (ex * q.y - ey * q.x)"
     angle = f"pmod(atan2({side}, ex * q.x + ey * q.y + ez * q.z) + 1e-12D, 2D * pi())"
     c = c.selectExpr(cell, f"array_sort(transform(v, (q, i) -> struct({angle} AS a, lats[i] AS lat, lons[i] AS lon))) AS p")
@@ -103,7 +103,8 @@ def _triangles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def convex_pieces(cells: DataFrame, cell: str = "cell") -> DataFrame:
     """``(cell, v, whole)``: convex cells as they are, others as triangles with the area of the cell; `v` are corners in space."""
-    c = cells.selectExpr(f"`{cell}` AS id", f"{_XYZ} AS v").selectExpr("*", f"{_TURN} AS _turns")
+    # Written first: a filter on the turns would be pushed below and work the corners out again for every turn.
+    c = materialise(materialise(cells.selectExpr(f"`{cell}` AS id", f"{_XYZ} AS v")).selectExpr("*", f"{_TURN} AS _turns"))
     convex = f"forall(_turns, t -> t >= -{_STRAIGHT}D) OR forall(_turns, t -> t <= {_STRAIGHT}D)"
     whole = c.filter(convex).selectExpr("id", "v", "CAST(NULL AS DOUBLE) AS whole")
     kind = dict(cells.dtypes)[cell]

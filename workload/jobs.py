@@ -34,6 +34,11 @@ def general_regrid(spark, sf):
     return out.withColumn("value", F.round("value", 6))
 
 
+#: Per column and row the nearest valid cells to either side, around the globe as well: no other cell of the row can be nearer.
+DONORS = """donors AS MATERIALIZED (SELECT DISTINCT y, x, unnest([max(vx) OVER (PARTITION BY y ORDER BY x), min(vx) OVER (PARTITION BY y ORDER BY x DESC),
+  min(vx) OVER (PARTITION BY y), max(vx) OVER (PARTITION BY y)]) AS vx FROM (SELECT y, x, CASE WHEN value IS NOT NULL THEN x END AS vx FROM p))"""
+
+
 @query(
     "jb1_general_regrid_filled",
     f"""WITH {RASTER}, {AXES}, {HALF}, {overlap_sql('wx', 'ax', 'hx', False)}, {overlap_sql('wy', 'ay', 'hy', True)},
@@ -42,7 +47,8 @@ m AS MATERIALIZED (SELECT wy.t AS y, wx.t AS x, sum(value * wx.w * wy.w) / sum(C
 p AS MATERIALIZED (SELECT hy.idx AS y, hx.idx AS x, m.value, (hy.idx // 5 + hx.idx // 4) % 2 AS land, hy.idx::BIGINT * (SELECT count(*) FROM hx) + hx.idx AS cell,
   cos(radians(hy.point)) * cos(radians(hx.point)) AS px, cos(radians(hy.point)) * sin(radians(hx.point)) AS py, sin(radians(hy.point)) AS pz
   FROM hy JOIN hx ON true LEFT JOIN m ON m.y = hy.idx AND m.x = hx.idx),
-best AS (SELECT m.cell, arg_min(v.value, ({CHORD}, v.cell)) AS value FROM p m, p v WHERE m.value IS NULL AND m.land = 1 AND v.value IS NOT NULL GROUP BY m.cell)
+{DONORS},
+best AS (SELECT m.cell, arg_min(v.value, ({CHORD}, v.cell)) AS value FROM p m JOIN donors d ON d.x = m.x JOIN p v ON v.y = d.y AND v.x = d.vx WHERE m.value IS NULL AND m.land = 1 GROUP BY m.cell)
 SELECT y, x, round(CASE WHEN land = 1 THEN coalesce(p.value, b.value) END, 5) AS value FROM p LEFT JOIN best b ON b.cell = p.cell""",
 )
 def general_regrid_filled(spark, sf):
@@ -322,7 +328,8 @@ sums AS MATERIALIZED (SELECT wy.t AS y, wx.t AS x, sum(value * wx.w * wy.w) AS a
 p AS MATERIALIZED (SELECT hy.idx AS y, hx.idx AS x, a / w AS value, sqrt(abs(b / w - (a / w) * (a / w))) AS stdev, (hy.idx + hx.idx) % 11 = 0 AS gone, (hy.idx + hx.idx) % 11 <> 0 AND hy.idx % 6 = 0 AS ice,
   hy.idx::BIGINT * (SELECT count(*) FROM hx) + hx.idx AS cell, cos(radians(hy.point)) * cos(radians(hx.point)) AS px, cos(radians(hy.point)) * sin(radians(hx.point)) AS py, sin(radians(hy.point)) AS pz
   FROM hy JOIN hx ON true LEFT JOIN sums s ON s.y = hy.idx AND s.x = hx.idx),
-best AS (SELECT m.cell, arg_min(v.cell, ({CHORD}, v.cell)) AS src FROM p m, p v WHERE m.value IS NULL AND NOT m.gone AND NOT m.ice AND v.value IS NOT NULL GROUP BY m.cell)
+{DONORS},
+best AS (SELECT m.cell, arg_min(v.cell, ({CHORD}, v.cell)) AS src FROM p m JOIN donors d ON d.x = m.x JOIN p v ON v.y = d.y AND v.x = d.vx WHERE m.value IS NULL AND NOT m.gone AND NOT m.ice GROUP BY m.cell)
 SELECT p.y, p.x, round(CASE WHEN p.ice THEN 0 WHEN NOT p.gone THEN coalesce(p.value, d.value) END, 5) AS value, round(CASE WHEN p.ice THEN 0 WHEN NOT p.gone THEN coalesce(p.stdev, d.stdev) END, 4) AS stdev
 FROM p LEFT JOIN best b ON b.cell = p.cell LEFT JOIN p d ON d.cell = b.src""",
 )
