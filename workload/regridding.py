@@ -421,3 +421,25 @@ def curved_weights(spark, sf):
     r = raster(spark, sf, g).select((F.col("y").cast("long") * g.nx + F.col("x")).alias("src_cell"), "price")
     out = regrid.apply_weights(r, displaced_weights(spark, sf, g), value="price", normalise=True, digits=3)
     return out.select(F.col("tgt_cell").alias("cell"), F.col("price").alias("value"))
+
+
+@query(
+    "fn6_concave_cells",
+    f"""WITH {RASTER}, {AXES}, a AS (SELECT r.y, r.x, r.price, tan(radians(ax.hi - ax.lo) / 2) AS k, sin(radians(ay.lo)) AS lo, sin(radians(ay.hi)) AS hi
+  FROM raster r JOIN ay ON ay.idx = r.y JOIN ax ON ax.idx = r.x, dims WHERE r.y < dims.ny // 2 * 2 AND r.x < dims.nx // 2 * 2 AND (r.y % 2 = 0 OR r.x % 2 = 0))
+SELECT y // 2 * 100000 + x // 2 AS cell, round(sum(price * (atan(k * hi) - atan(k * lo))) / sum(atan(k * hi) - atan(k * lo)), 3) AS value FROM a GROUP BY ALL""",
+)
+def concave_cells(spark, sf):
+    """Each square of four cells less the one on its inner corner: L-shaped targets, whose overlaps are the areas of three cells."""
+    g = grid(spark, sf)
+    ay, axx = axes(spark, g)
+    low, left = ay.filter("idx % 2 = 0"), axx.filter("idx % 2 = 0")
+    tall = low.alias("a").join(ay.alias("b"), F.expr("b.idx = a.idx + 1")).selectExpr("a.idx DIV 2 AS j", "a.lo AS s0", "a.hi AS s1", "b.hi AS s2")
+    wide = left.alias("a").join(axx.alias("b"), F.expr("b.idx = a.idx + 1")).selectExpr("a.idx DIV 2 AS i", "a.lo AS w0", "a.hi AS w1", "b.hi AS w2")
+    blocks = spark.range((g.ny // 2) * (g.nx // 2)).selectExpr(f"id DIV {g.nx // 2} AS j", f"id % {g.nx // 2} AS i")
+    shape = blocks.join(F.broadcast(tall), "j").join(F.broadcast(wide), "i")
+    shape = shape.selectExpr("CAST(j * 100000 + i AS BIGINT) AS cell", "array(s0, s0, s0, s1, s1, s2, s2) AS lats", "array(w0, w1, w2, w2, w1, w1, w0) AS lons")
+    weights = curved.curved_weights(curved.corners_from_axes(ay, axx, g.ny, g.nx), shape)
+    r = raster(spark, sf, g).select((F.col("y").cast("long") * g.nx + F.col("x")).alias("src_cell"), "price")
+    out = regrid.apply_weights(r, weights.filter("w > 1e-9"), value="price", normalise=True, digits=3)
+    return out.select(F.col("tgt_cell").alias("cell"), F.col("price").alias("value"))
