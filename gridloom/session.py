@@ -81,16 +81,18 @@ def small(df: DataFrame, at_most: int | None = None, rows: int = BROADCAST_ROWS)
     return F.broadcast(df) if proven else df
 
 
-def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", at_most: int | None = None) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", at_most: int | None = None,
+           counted: DataFrame | None = None) -> DataFrame:
     """Equi-join of `left` with `right`, whose rows are unique in `on`, safe for hot keys on the left.
 
     A right side proven small, by the bound `at_most` or by a count, is broadcast.  Otherwise both are shuffled, and keys with more than
     HOT_ROWS left rows that hold more than 1/HOT_SHARE of the rows of such keys (so there are fewer than HOT_SHARE) are salted: their left
     rows go to several tasks, their right rows to each of these.  Both ways give the same rows: NaN equals NaN and NULL matches nothing.
+    The left side is computed twice for that, once to count its keys, unless `counted` is a table at hand with as many rows per key.
     """
     if at_most <= BROADCAST_ROWS if at_most is not None else is_small(right):
         return left.join(F.broadcast(right), on, how)
-    often = materialise(left.dropna(subset=[c for c, t in left.dtypes if c in on and t not in ("float", "double")])
+    often = materialise((left if counted is None else counted).dropna(subset=[c for c, t in left.dtypes if c in on and t not in ("float", "double")])
                         .groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_ROWS))
     total = often.agg(F.sum("_n")).first()[0] if row_count(often) else 0
     salts = F.least(F.ceil(F.col("_n") / HOT_ROWS), F.lit(HOT_SHARE)).cast("int")

@@ -36,6 +36,8 @@ def test_lookup_is_the_same_with_hot_keys(spark, monkeypatch, how, hot_rows):
     monkeypatch.setattr(ss, "HOT_ROWS", hot_rows)
     got = rows(ss.lookup(left, right, ["k", "s"], how, at_most=10**12))
     assert repr(got) == repr(want) and len(got) > 10_000
+    keys = ss.materialise(left.select("k", "s"))
+    assert repr(rows(ss.lookup(left, right, ["k", "s"], how, at_most=10**12, counted=keys))) == repr(want)
     assert how == "inner" or len(got) == 20_000
 
 
