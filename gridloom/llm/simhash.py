@@ -154,7 +154,8 @@ def near_links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     """
     if not 0 <= max_bits <= 2:
         raise ValueError("the grid's cells meet within one step of each side, which finds up to two differing bits")
-    spread = fps.select(F.explode(_cells()).alias("cell"), "fp")
+    # A table of fingerprints has few files, and each row becomes a cell per segment and side.
+    spread = fps.repartition(scale(fps), "fp").select(F.explode(_cells()).alias("cell"), "fp")
     dealt = spread.repartition(scale(fps), "cell").sortWithinPartitions("cell")
     met = materialise(dealt.mapInArrow(_meet(max_bits), "kind int, a long, b long"))
     fine = met.filter("kind = 1").select(F.col("a").alias("cell"), F.col("b").alias("fp")).distinct()
