@@ -115,3 +115,17 @@ def test_mesh_fill_with_mask(spark):
     )
     mask = spark.createDataFrame([(i, i in (2, 4)) for i in range(5)], "face_id LONG, masked BOOLEAN")
     assert rows(fill.fill_mesh(faces, mask), "face_id", "value") == [(0, 1.0), (1, 1.0), (2, None), (3, 3.0), (4, None)]
+
+
+def test_a_descent_sorts_and_shuffles_no_children(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    places, asked = rng.uniform(-1, 1, (3000, 3)), rng.uniform(-1, 1, (200, 3))
+    places[2000:] = places[:1000]
+    frames = [spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(a)], f"{n} LONG, px DOUBLE, py DOUBLE, pz DOUBLE") for n, a in (("point", places), ("id", asked))]
+    plans, cut = [], fill.materialise
+    monkeypatch.setattr(fill, "materialise", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    got = fill.nearest_points(frames[1], frames[0], leaf_rows=8)
+    d = np.round(np.sqrt(((asked[:, None] - places[None]) ** 2).sum(axis=2)), 9)
+    assert {r["id"]: r["point"] for r in got.collect()} == dict(enumerate(d.argmin(axis=1).tolist()))
+    assert not any("Window" in p for p in plans)
+    assert "SortAggregate" not in plans[-1]
