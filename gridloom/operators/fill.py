@@ -54,10 +54,9 @@ def nearest_valid(
         return materialise(dense.limit(0).select("y", "x", F.col("y").alias("src_y"), F.col("x").alias("src_x")))
     if not dense.filter("_ok").limit(1).count():
         raise ValueError("the field has no valid cell to fill from")
-    row = Window.partitionBy("y").orderBy("x")
     ok_x = F.when(F.col("_ok"), F.col("x"))
-    left = F.last(ok_x, ignorenulls=True).over(row.rowsBetween(Window.unboundedPreceding, 0))
-    right = F.first(ok_x, ignorenulls=True).over(row.rowsBetween(0, Window.unboundedFollowing))
+    # Both run forward: a frame that ends with the row is gone through again for each cell of it.
+    left, right = (F.last(ok_x, ignorenulls=True).over(Window.partitionBy("y").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)) for order in (F.asc("x"), F.desc("x")))
     if circular:
         whole = Window.partitionBy("y")
         left = F.coalesce(left, F.max(ok_x).over(whole))

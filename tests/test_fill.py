@@ -1,4 +1,5 @@
 import math
+import time
 
 import numpy as np
 import pytest
@@ -129,3 +130,15 @@ def test_a_descent_sorts_and_shuffles_no_children(spark, monkeypatch):
     assert {r["id"]: r["point"] for r in got.collect()} == dict(enumerate(d.argmin(axis=1).tolist()))
     assert not any("Window" in p for p in plans)
     assert "SortAggregate" not in plans[-1]
+
+
+def test_long_rows_take_time_in_proportion(spark):
+    """A row of 80,000 cells with a donor in every 40th: its cells are gone through once to each side."""
+    n = 80_000
+    y, x = ax.regular_axis(spark, 1, -90.0, 180.0), ax.regular_axis(spark, n, -180.0, 360.0 / n)
+    cells = spark.range(n).selectExpr("0 AS y", "CAST(id AS INT) AS x", "IF(id % 40 = 0, CAST(id AS DOUBLE), NULL) AS value")
+    start = time.monotonic()
+    got = [r.value for r in fill.fill_missing(cells, y, x).orderBy("x").collect()]
+    assert time.monotonic() - start < 20
+    # Half way between two donors the smaller cell number wins, around the globe as well.
+    assert got == [min((abs(i - d), d % n) for d in (i // 40 * 40, i // 40 * 40 + 40))[1] for i in range(n)]
