@@ -191,14 +191,28 @@ def near_duplicates(
     return marks.join(ids, "fp").select(id, "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, max_bits: int = 2) -> DataFrame:
     """The rows of `docs` whose id is the smallest of their group of near-duplicates; of rows that repeat an id, one stays.
 
-    Near-duplicates share four fifths or more of their distinct shingles (`jaccard.near_copies`), which fingerprints at two bits do not
-    reach.  Documents without a word are no copies of each other in this form and all stay.
+    Near-duplicates have fingerprints that differ in `max_bits` or fewer bits.  Texts that share four fifths or more of their distinct
+    shingles but lie further apart than that are linked as well (`jaccard.near_copies`), and links of both kinds are followed together.
+    Documents without a word are no copies of each other in this form and all stay.
     """
     digest = F.unhex(F.md5(F.col(text).cast("binary")))
     groups = materialise(near_copies(docs, text, words))
+    texts = docs.filter(F.col(text).isNotNull()).select(digest.alias("digest"), F.col(text).alias("text"))
+    prints = materialise(fingerprints(texts, "digest", "text", words).groupBy("digest").agg(F.min("fp").alias("fp")))
+    # Only texts with a word have a group, so the fingerprint of texts without one links nothing.
+    named = materialise(lookup(groups, prints, ["digest"]))
+    first = materialise(named.groupBy("fp").agg(F.min("root").alias("_first")))
+    links = lookup(named, first, ["fp"]).select(F.col("root").alias("a"), F.col("_first").alias("b"))
+    far = materialise(near_links(first.select("fp"), max_bits))
+    for side in ("a", "b"):
+        far = lookup(far, first.select(F.col("fp").alias(side), F.col("_first").alias(f"_{side}")), [side])
+    ends = materialise(links.unionByName(far.select(F.col("_a").alias("a"), F.col("_b").alias("b"))).filter("a <> b").distinct())
+    joined = materialise(components(ends.select(F.col("a").alias("node")).union(ends.select("b")).distinct(), ends))
+    merged = lookup(groups, joined.select(F.col("node").alias("root"), F.col("root").alias("_root")), ["root"], "left")
+    groups = materialise(merged.select("digest", F.coalesce("_root", "root").alias("root")))
     marks = materialise(lookup(docs.select(id, digest.alias("digest")), groups, ["digest"]))
     least = marks.groupBy("root").agg(F.min(id).alias("_least"))
     gone = lookup(marks, least, ["root"]).filter(F.col(id) != F.col("_least")).select(id).distinct()

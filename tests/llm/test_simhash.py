@@ -91,3 +91,15 @@ def test_drop(docs_of):
     text = " ".join(f"word{i}" for i in range(400))
     pairs = [(5, text), (3, text), (9, text + " end"), (1, "quite another text with some words of its own"), (2, None), (4, "")]
     assert sorted(r.doc_id for r in drop_near_duplicates(docs_of(pairs)).collect()) == [1, 2, 3, 4]
+
+
+def test_drop_follows_fingerprints_and_shares_together(docs_of):
+    """Fingerprints that agree link texts whose distinct shingles differ; a text that shares most shingles with one of them goes with both."""
+    phrase = [f"p{i}" for i in range(11)]
+    tails = [[f"t{k}w{i}" for i in range(24)] for k in range(2)]
+    a, b = (" ".join(phrase * 60 + tail) for tail in tails)
+    c = " ".join(phrase * 60 + tails[1] + ["more"])
+    other = " ".join(f"o{i}" for i in range(300))
+    assert (simhash(a.encode(), 5) ^ simhash(b.encode(), 5)).bit_count() <= 2
+    pairs = [(1, a), (2, b), (3, c), (4, other), (5, None), (6, " "), (7, "")]
+    assert sorted(r.doc_id for r in drop_near_duplicates(docs_of(pairs)).collect()) == [1, 4, 5, 6, 7]
