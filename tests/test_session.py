@@ -89,3 +89,18 @@ def test_shared_folder_without_a_setting_is_in_the_warehouse():
                 cls.kept[key] = value
 
     assert ss.shared_folder(Session()) == "store://warehouse/stages" == Session.conf.kept["spark.checkpoint.dir"]
+
+
+@pytest.mark.parametrize("name", ["st2_concatenate", "jn1_area_weighted_regrid", "jb12_river_storage", "jb1_general_regrid"])
+def test_monthly_fields_follow_the_rows(spark, monkeypatch, name):
+    """A task holds a share of the groups that depends on the rows it was dealt, not on the session's number of partitions."""
+    import __spark_entry__ as entry
+
+    base = "/root/testdata/sf0.01"
+    monkeypatch.setattr(ss, "TASK_ROWS", 1000, raising=False)
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        got = entry.queries()[name](spark, base).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert max(r["count"] for r in got) < sum(r["count"] for r in got) / 5

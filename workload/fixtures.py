@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.session import deal
 from gridloom.sources.axes import regular_axis
 
 
@@ -80,13 +81,17 @@ MONTH_NY, MONTH_NX = 36, 72
 
 
 def monthly(spark: SparkSession, sf: str) -> DataFrame:
-    """Monthly fields, one per supplier, on a 5 degree grid; sparse rows, t = months since 1995-01."""
+    """Monthly fields, one per supplier, on a 5 degree grid; sparse rows, t = months since 1995-01.
+
+    Cells are nearly as many as line items, so they are dealt out by field, which serves what is grouped by field and time afterwards.
+    """
     li = read(spark, sf, "lineitem")
     t = (F.year("l_shipdate") - 1995) * 12 + F.month("l_shipdate") - 1
-    return li.groupBy(
+    cells = li.select(
         F.col("l_suppkey").alias("field_id"), t.alias("t"),
-        F.expr("CAST(l_partkey % 36 AS INT)").alias("y"), F.expr("CAST(l_orderkey % 72 AS INT)").alias("x"),
-    ).agg(F.avg("l_quantity").alias("value"))
+        F.expr("CAST(l_partkey % 36 AS INT)").alias("y"), F.expr("CAST(l_orderkey % 72 AS INT)").alias("x"), "l_quantity",
+    )
+    return deal(cells, li.count(), "field_id").groupBy("field_id", "t", "y", "x").agg(F.avg("l_quantity").alias("value"))
 
 
 MONTHLY = """monthly AS (SELECT l_suppkey AS field_id, CAST((year(l_shipdate) - 1995) * 12 + month(l_shipdate) - 1 AS INT) AS t,
