@@ -131,8 +131,8 @@ def candidate_pairs(src: DataFrame, tgt: DataFrame, cell: str = "cell") -> DataF
 
     A cell that is not convex takes part with each of its triangles; `s_whole` and `t_whole` are its area, null for convex cells.
 
-    Cubes come in powers of two.  A cell lies in at most eight cubes of its own size class, and is also put into the cubes of the larger
-    classes that the other side has, so there are a few rows per cell whatever the ratio of the two resolutions.  A pair counts in the
+    Cubes come in powers of two.  A cell is put into the cubes, eight at most, of the larger classes that the other side has and, where the
+    other side has cells of its own size class or smaller ones, of its own, so there are a few rows per cell whatever the ratio of the two resolutions.  A pair counts in the
     first cube both share.  Cubes that hold more than a thousandth of the source cells are salted.
     """
     return _meet(materialise(_boxed(src, cell, "s")), materialise(_boxed(tgt, cell, "t")))
@@ -140,22 +140,29 @@ def candidate_pairs(src: DataFrame, tgt: DataFrame, cell: str = "cell") -> DataF
 
 def _meet(s: DataFrame, t: DataFrame) -> DataFrame:
     """`candidate_pairs` of cells that `_boxed` has prepared."""
+    n = row_count(s)
     size = "CAST(greatest(ceil(log2(greatest({p}_hx - {p}_lx, {p}_hy - {p}_ly, {p}_hz - {p}_lz, 1e-9D))), -30) AS INT)"
     classes = {p: sorted(r[0] for r in df.select(F.expr(size.format(p=p))).distinct().collect()) for p, df in (("s", s), ("t", t))}  # some thirty at most
 
+    cube = "CAST(floor({p}_{e}{a} / pow(2D, level)) AS BIGINT)"
+
     def cubed(df: DataFrame, p: str, others: list[int]) -> DataFrame:
-        """A row per cube, at the cell's own class and at every larger class of the other side."""
+        """A row per cube, at every larger class of the other side, and at the cell's own class if the other side has cells of it or smaller ones."""
         larger = f"array({', '.join(map(str, others))})" if others else "CAST(array() AS ARRAY<INT>)"
+        # Pairs meet at the larger cell's class, so its own cubes are of no use to a cell that is smaller than all others.
+        own = f"IF(_own >= {others[0]}, array(_own), array())" if others else "array()"
         df = df.withColumn("_own", F.expr(size.format(p=p)))
-        df = df.withColumn("level", F.expr(f"explode(array_union(array(_own), filter({larger}, c -> c > _own)))"))
+        df = df.withColumn("level", F.expr(f"explode(concat({own}, filter({larger}, c -> c > _own)))"))
         for a in "xyz":
-            lo, hi = (f"CAST(floor({p}_{e}{a} / pow(2D, level)) AS BIGINT)" for e in "lh")
-            df = df.selectExpr("*", f"{lo} AS {p}_f{a}", f"explode(sequence({lo}, {hi})) AS c{a}")
+            df = df.selectExpr("*", f"explode(sequence({cube.format(p=p, e='l', a=a)}, {cube.format(p=p, e='h', a=a)})) AS c{a}")
         return df.withColumnRenamed("_own", f"{p}_own")
 
+    # These rows are shuffled, one per cube: corners travel as plain numbers, and a cell's first cube is worked out again after the join.
+    flat = "flatten(transform({p}_v, q -> array(q.x, q.y, q.z)))"
+    s, t = (df.withColumn(f"{p}_v", F.expr(flat.format(p=p))) for p, df in (("s", s), ("t", t)))
     cubes = ["level", "cx", "cy", "cz"]
     sc, tc = cubed(s, "s", classes["t"]), cubed(t, "t", classes["s"])
-    limit = max(row_count(s) // HOT_SHARE, 10_000)
+    limit = max(n // HOT_SHARE, 10_000)
     counts = materialise(sc.groupBy(*cubes).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit))
     salts = 32
     # A cell lies in few cubes, so there are not many more hot ones than HOT_SHARE.
@@ -164,9 +171,9 @@ def _meet(s: DataFrame, t: DataFrame) -> DataFrame:
     tc = tc.join(hot, cubes, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
     j = sc.join(tc, cubes + ["_salt"]).filter("level = greatest(s_own, t_own)")
     for a in "xyz":
-        j = j.filter(f"c{a} = greatest(s_f{a}, t_f{a}) AND s_l{a} <= t_h{a} AND t_l{a} <= s_h{a}")
-    flat = "flatten(transform({p}_v, q -> array(q.x, q.y, q.z))) AS {p}_v"
-    return j.selectExpr("s", "t", flat.format(p="s"), flat.format(p="t"), "s_whole", "t_whole")
+        first = ", ".join(cube.format(p=p, e="l", a=a) for p in "st")
+        j = j.filter(f"c{a} = greatest({first}) AND s_l{a} <= t_h{a} AND t_l{a} <= s_h{a}")
+    return j.selectExpr("s", "t", "s_v", "t_v", "s_whole", "t_whole")
 
 
 def _polygons(column: pd.Series) -> np.ndarray:

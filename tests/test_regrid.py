@@ -316,3 +316,27 @@ def test_polygons_by_plain_loops(spark):
         for (j, i), v in got.items():
             places = [(-15 + i + a, -10 + j + b) for a in (0, 1) for b in (0, 1)] if corners else [(-14.5 + i, -9.5 + j)]
             assert v == any(strictly(px, py, c) for px, py in places for c in polys.values()), (j, i)
+
+
+def test_small_cells_are_shuffled_for_larger_classes_only(spark, monkeypatch):
+    """Cells much smaller than all targets meet them in the targets' cubes: about a row each, not one per cube of their own size as well."""
+    ay, ax_ = ax.regular_axis(spark, 60, -30.0, 1.0), ax.regular_axis(spark, 60, -30.0, 1.0)
+    ty, tx = ax.regular_axis(spark, 2, -30.0, 30.0), ax.regular_axis(spark, 2, -30.0, 30.0)
+    counted = []
+    plain = curved.materialise
+
+    def seen(df):
+        # Fine cells are grouped by cube to find crowded ones; what is grouped are the rows that will be shuffled.
+        if df.columns == ["level", "cx", "cy", "cz", "n"]:
+            counted.append(df)
+        return plain(df)
+
+    monkeypatch.setattr(curved, "materialise", seen)
+    monkeypatch.setattr(curved, "HOT_SHARE", 10**9)
+    real = max
+    monkeypatch.setattr(curved, "max", lambda *a: 0 if a[1:] == (10_000,) else real(*a), raising=False)
+    w = curved.curved_weights(curved.corners_from_axes(ay, ax_, 60, 60), curved.corners_from_axes(ty, tx, 2, 2))
+    total = {r.tgt_cell: r.w for r in w.groupBy("tgt_cell").agg(F.sum("w").alias("w")).collect()}
+    assert len(total) == 4 and all(abs(v - 1) < 0.02 for v in total.values())
+    levels = {r.level: r.n for r in counted[0].groupBy("level").agg(F.sum("n").alias("n")).collect()}
+    assert len(levels) == 1 and sum(levels.values()) < 2 * 3600
