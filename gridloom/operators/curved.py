@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.session import HOT_SHARE, materialise, row_count, small
+from gridloom.session import HOT_SHARE, materialise, row_count, small, within_tasks
 
 
 def corners_from_axes(axis_y: DataFrame, axis_x: DataFrame, ny: int, nx: int, cell: str = "cell") -> DataFrame:
@@ -163,12 +163,15 @@ def _meet(s: DataFrame, t: DataFrame) -> DataFrame:
     cubes = ["level", "cx", "cy", "cz"]
     sc, tc = cubed(s, "s", classes["t"]), cubed(t, "t", classes["s"])
     limit = max(n // HOT_SHARE, 10_000)
-    counts = materialise(sc.groupBy(*cubes).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit))
+    # Cells lie in as many cubes as their shapes make them; tasks follow the rows.
+    n_s, n_t = sc.count(), tc.count()
+    counts = materialise(within_tasks(sc.select(*cubes), n_s, *cubes).groupBy(*cubes).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit))
     salts = 32
     # A cell lies in few cubes, so there are not many more hot ones than HOT_SHARE.
     hot = F.broadcast(counts.select(*cubes, F.lit(salts).alias("_salts"))) if row_count(counts) <= 64 * HOT_SHARE else counts.select(*cubes, F.lit(salts).alias("_salts"))
     sc = sc.join(hot, cubes, "left").withColumn("_salt", F.pmod(F.xxhash64("s"), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
     tc = tc.join(hot, cubes, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    sc, tc = (within_tasks(df, n_s + n_t, *cubes, "_salt") for df in (sc, tc))
     j = sc.join(tc, cubes + ["_salt"]).filter("level = greatest(s_own, t_own)")
     for a in "xyz":
         first = ", ".join(cube.format(p=p, e="l", a=a) for p in "st")
@@ -233,7 +236,9 @@ def curved_weights(src: DataFrame, tgt: DataFrame, cell: str = "cell") -> DataFr
                 area = np.abs(spherical_area(clip(a, b)))
                 whole = pdf["t_whole"].to_numpy(float, na_value=np.nan)
                 share = area / np.where(np.isnan(whole), np.abs(spherical_area(b)), whole)
-                yield pd.DataFrame({"src_cell": pdf["s"], "tgt_cell": pdf["t"], "w": share, "_part": ~(np.isnan(whole) & pdf["s_whole"].isna().to_numpy())})
+                out = pd.DataFrame({"src_cell": pdf["s"], "tgt_cell": pdf["t"], "w": share, "_part": ~(np.isnan(whole) & pdf["s_whole"].isna().to_numpy())})
+                # Most boxes meet where the pieces do not.
+                yield out[share != 0]
 
     kind = dict(src.dtypes)[cell]
     s, t = materialise(_boxed(src, cell, "s")), materialise(_boxed(tgt, cell, "t"))
@@ -241,6 +246,8 @@ def curved_weights(src: DataFrame, tgt: DataFrame, cell: str = "cell") -> DataFr
     # Only pairs with triangles have several rows; the others are not shuffled.
     if any(cells.filter(f"{p}_whole IS NOT NULL").limit(1).count() for p, cells in (("s", s), ("t", t))):
         out = materialise(out)
-        parts = out.filter("_part").groupBy("src_cell", "tgt_cell").agg(F.sum("w").alias("w"))
-        out = out.filter("NOT _part").drop("_part").unionByName(parts)
+        n = row_count(out)
+        parts = within_tasks(out.filter("_part"), n, "src_cell", "tgt_cell").groupBy("src_cell", "tgt_cell").agg(F.sum("w").alias("w"))
+        # Weights meet the source next, as many to a task.
+        out = within_tasks(out.filter("NOT _part").drop("_part").unionByName(parts), n, "src_cell")
     return out.select("src_cell", "tgt_cell", "w").filter("w > 1e-12")

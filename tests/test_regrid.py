@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom import session as ss
 from gridloom.functions import projection
 from gridloom.operators import curved, merge, regrid
 from gridloom.sources import axes as ax
@@ -340,3 +341,33 @@ def test_small_cells_are_shuffled_for_larger_classes_only(spark, monkeypatch):
     assert len(total) == 4 and all(abs(v - 1) < 0.02 for v in total.values())
     levels = {r.level: r.n for r in counted[0].groupBy("level").agg(F.sum("n").alias("n")).collect()}
     assert len(levels) == 1 and sum(levels.values()) < 2 * 3600
+
+
+def test_tasks_that_clip_hold_a_share_of_the_cells(spark, monkeypatch):
+    """Cells are dealt out to be clipped, and their overlaps to be summed, by their number, not by the session's number of partitions."""
+    monkeypatch.setattr(ss, "TASK_ROWS", 400)
+    ay, ax_ = ax.regular_axis(spark, 20, -20.0, 2.0), ax.regular_axis(spark, 20, -20.0, 2.0)
+    quads = curved.corners_from_axes(ay, ax_, 20, 20)
+    ells = spark.range(25).selectExpr("id AS cell", "CAST(-20 + 8 * (id DIV 5) AS DOUBLE) AS s", "CAST(-20 + 8 * (id % 5) AS DOUBLE) AS w").selectExpr(
+        "cell", "array(s, s, s, s + 4, s + 4, s + 8, s + 8) AS lats", "array(w, w + 4, w + 8, w + 8, w + 4, w + 4, w) AS lons")
+    written = []
+    plain = curved.materialise
+
+    def seen(df):
+        out = plain(df)
+        if "_part" in df.columns:
+            sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+            written.append((max(sizes), sum(sizes), out.filter("w = 0").count()))
+        return out
+
+    monkeypatch.setattr(curved, "materialise", seen)
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        w = curved.curved_weights(quads, ells)
+        sizes = [r["count"] for r in w.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        total = {r.tgt_cell: r.w for r in w.groupBy("tgt_cell").agg(F.sum("w").alias("w")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(total) == 25 and all(abs(v - 1) < 0.02 for v in total.values())
+    (most, pairs, nothing), = written
+    assert nothing == 0 and most < pairs / 2.5 and max(sizes) < sum(sizes) / 2
