@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.regrid import area_shares
-from gridloom.session import lookup
+from gridloom.session import lookup, row_count, within_tasks
 
 CELL = ["y", "x"]
 OCEAN, C3_GRASS, C4_GRASS, SOIL, ICE = 0, 3, 4, 8, 9
@@ -142,7 +142,8 @@ def split_grass(fractions: DataFrame, c4: DataFrame, strict: bool = True) -> Dat
     if strict and fractions.filter((F.col("pl") == C4_GRASS) & (F.col("value") > 0)).limit(1).count():
         raise ValueError("the field already has some of class 4")
     share = c4.select(*CELL, (F.col("value") / 100.0).alias("_c4"))
-    f = fractions.join(share, CELL, "left").withColumn("_c3", level_value(C3_GRASS))
+    dealt = within_tasks(fractions, row_count(fractions), *CELL)
+    f = dealt.join(share, CELL, "left").withColumn("_c3", level_value(C3_GRASS))
     moved = F.when(F.col("_c4").isNotNull() & F.col("_c3").isNotNull(), F.least("_c4", "_c3"))
     v = F.when(F.col("pl") == C4_GRASS, moved).when(F.col("pl") == C3_GRASS, F.col("_c3") - moved).otherwise(F.col("value"))
     return f.withColumn("value", v).drop("_c4", "_c3")

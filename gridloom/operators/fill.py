@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.regrid import complete
-from gridloom.session import discard, is_small, lookup, materialise, row_count, small
+from gridloom.session import discard, is_small, lookup, materialise, row_count, small, within_tasks
 from gridloom.sources.axes import facts
 
 #: Distances that agree to this many decimals (unit sphere) are ties; the smaller cell number wins.
@@ -45,10 +45,10 @@ def nearest_valid(
     present = F.col(value).isNotNull() & ~F.isnan(value)
     valid = present if excluded is None else present & ~excluded
     target = ~present if wanted is None else ~present & wanted
-    flags = cells.select("y", "x", valid.alias("_ok"), target.alias("_want"))
+    flags = cells.select("y", "x", F.struct(valid.alias("ok"), target.alias("want")).alias("_flags"))
     dense = materialise(
-        complete(flags, ny, nx, None, "_ok").join(flags.select("y", "x", "_want"), ["y", "x"], "left")
-        .select("y", "x", F.coalesce("_ok", F.lit(False)).alias("_ok"), F.coalesce("_want", F.lit(False)).alias("_want"))
+        complete(flags, ny, nx, None, "_flags")
+        .select("y", "x", F.coalesce("_flags.ok", F.lit(False)).alias("_ok"), F.coalesce("_flags.want", F.lit(False)).alias("_want"))
     )
     if not dense.filter("_want").limit(1).count():
         return materialise(dense.limit(0).select("y", "x", F.col("y").alias("src_y"), F.col("x").alias("src_x")))
@@ -61,7 +61,7 @@ def nearest_valid(
         whole = Window.partitionBy("y")
         left = F.coalesce(left, F.max(ok_x).over(whole))
         right = F.coalesce(right, F.min(ok_x).over(whole))
-    cand = dense.select(F.col("y").alias("cy"), "x", F.array_distinct(F.array_compact(F.array(left, right))).alias("cx"))
+    cand = within_tasks(dense, ny * nx, "y").select(F.col("y").alias("cy"), "x", F.array_distinct(F.array_compact(F.array(left, right))).alias("cx"))
     cand = materialise(cand.filter(F.size("cx") > 0))
     lat = small(axis_y.select(F.col("idx").alias("y"), F.col("point").alias("lat")), ny)
     lat_c = small(axis_y.select(F.col("idx").alias("cy"), F.col("point").alias("clat")), ny)
@@ -115,6 +115,8 @@ def apply_mapping(cells: DataFrame, mapping: DataFrame, by: list[str] | None = N
     Only cells to be filled look for their donor, and a donor that serves very many of them does no harm.
     """
     by = by or []
+    if not row_count(mapping):
+        return cells.select(*by, "y", "x", *[c for c in cells.columns if c not in (*by, "y", "x")])
     donors = cells.select(*by, F.col("y").alias("src_y"), F.col("x").alias("src_x"), F.col(value).alias("_fill"))
     gaps = cells.select(*by, "y", "x").join(F.broadcast(mapping) if is_small(mapping) else mapping, ["y", "x"])
     filled = lookup(gaps, donors, by + ["src_y", "src_x"], "left").select(*by, "y", "x", "_fill", F.lit(True).alias("_mapped"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.columns import TOLERANCE, isclose, nan
 from gridloom.functions.projection import System, from_geographic, in_degrees, to_geographic, to_rotated
 from gridloom.operators.curved import corners_from_axes, curved_weights
-from gridloom.session import small
+from gridloom.session import small, within_tasks
 from gridloom.sources.mesh import face_corners
 from gridloom.sources.axes import facts, overlapping_indices, regular_axis, regular_cover
 
@@ -95,8 +95,13 @@ def axis_weights(
     return small(w, at_most=2 * (s.n + t.n))
 
 
-def weigh_cells(cells: DataFrame, wy: DataFrame, wx: DataFrame) -> DataFrame:
-    """Cells with target indices ``_ty, _tx`` and weight ``_w``, looked up axis by axis."""
+def weigh_cells(cells: DataFrame, wy: DataFrame, wx: DataFrame, keys: list[str] | None = None, n: int = 0) -> DataFrame:
+    """Cells with target indices ``_ty, _tx`` and weight ``_w``, looked up axis by axis.
+
+    With `keys`, cells are dealt out by them between the two lookups, for `n` target cells.
+    """
+    if keys:
+        return within_tasks(cells.join(wy, "y"), n, *keys).join(wx, "x").withColumn("_w", F.expr("_wx * _wy"))
     return cells.join(wx, "x").join(wy, "y").withColumn("_w", F.expr("_wx * _wy"))
 
 
@@ -119,10 +124,12 @@ def area_weighted(
     absent; `complete` adds them.
     """
     by = by or []
-    facts(src_y, src_x, tgt_y, tgt_x)
+    f = facts(src_y, src_x, tgt_y, tgt_x)
     wx = axis_weights(src_x, tgt_x, ("x", "_tx"), False, period)
     wy = axis_weights(src_y, tgt_y, ("y", "_ty"), spherical, None)
-    rows = weigh_cells(cells, wy, wx)
+    # On a finer grid a few cells become very many: they are dealt out by target row before they meet the columns, and summed there.
+    finer = f[3].n > f[1].n and f[2].n > f[0].n
+    rows = weigh_cells(cells, wy, wx, [*by, "_ty"] if finer else None, f[2].n * f[3].n)
     aggs = [
         F.expr(f"sum({value} * _w) AS _vw"), F.expr(f"sum(IF({value} IS NOT NULL, _w, NULL)) AS _sw"),
         F.expr("bool_and(_inx AND _iny) AS _inside"),
@@ -162,6 +169,7 @@ def complete(cells: DataFrame, ny: int, nx: int, by: list[str] | None = None, va
         grid = spark.range(ny * nx).select(
             F.expr(f"CAST(id DIV {nx} AS INT)").alias("y"), F.expr(f"CAST(id % {nx} AS INT)").alias("x")
         )
+        grid = within_tasks(grid, ny * nx, "y", "x")
     return grid.join(cells.select(*by, "y", "x", value), by + ["y", "x"], "left")
 
 

@@ -9,7 +9,7 @@ from gridloom.operators import classes as cl
 from gridloom.operators import fill, gases, merge, regions, regrid, rivers, stencil, timeaxis, vertical
 from gridloom.functions.columns import clip_negative
 from gridloom.functions.legends import legend
-from gridloom.session import materialise
+from gridloom.session import materialise, row_count, within_tasks
 from gridloom.sinks import writers
 from gridloom.sources import axes as ax
 from gridloom.sources import fields as fl
@@ -82,7 +82,8 @@ def c4_injection(fractions: DataFrame, c4: DataFrame, c4_axes: Axes, target: Axe
     """Bring a class-4 percentage to the fractions' grid, fill it to their land, and split class 3 by it."""
     ny, nx = (f.n for f in ax.facts(*target))
     on_grid = regrid.complete(regrid.area_weighted(c4, *c4_axes, *target, period=period), ny, nx)
-    sea = fractions.groupBy("y", "x").agg((F.count("value") == 0).alias("masked"))
+    dealt = within_tasks(fractions, row_count(fractions), "y", "x")
+    sea = dealt.groupBy("y", "x").agg((F.count("value") == 0).alias("masked"))
     filled = fill.fill_missing(on_grid, *target, circular=bool(period), target_mask=sea)
     return cl.split_grass(fractions, filled)
 

@@ -104,3 +104,26 @@ def test_monthly_fields_follow_the_rows(spark, monkeypatch, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert max(r["count"] for r in got) < sum(r["count"] for r in got) / 5
+
+
+@pytest.mark.parametrize("name", ["jb4_c4_injection"])
+def test_cells_of_a_fine_grid_are_dealt_out_by_their_number(spark, monkeypatch, name):
+    """No shuffle of the fractions or of the fine grid ends in the session's few partitions, and coarse cells spread before they become fine ones."""
+    import __spark_entry__ as entry
+    from gridloom.operators import regrid
+    from gridloom.sources import axes as ax
+
+    monkeypatch.setattr(ss, "TASK_ROWS", 1000)
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        got = entry.queries()[name](spark, "/root/testdata/sf0.01").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        coarse = spark.range(36 * 72).selectExpr("CAST(id DIV 72 AS INT) AS y", "CAST(id % 72 AS INT) AS x", "id * 1D AS value").coalesce(1)
+        fine = ax.regular_axis(spark, 180, -90.0, 1.0), ax.regular_axis(spark, 360, -180.0, 1.0)
+        out = regrid.area_weighted(coarse, ax.regular_axis(spark, 36, -90.0, 5.0), ax.regular_axis(spark, 72, -180.0, 5.0), *fine)
+        spread = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        wrong = out.filter("abs(value - ((y DIV 5) * 72 + x DIV 5)) > 1e-6").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert wrong == 0
+    for sizes in ([r["count"] for r in got], [r["count"] for r in spread]):
+        assert max(sizes) < sum(sizes) / 5

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.session import deal
+from gridloom.session import deal, within_tasks
 from gridloom.sources.axes import regular_axis
 
 
@@ -131,11 +131,13 @@ def tiles(spark: SparkSession, sf: str, g: Grid | None = None) -> DataFrame:
     """Class fractions (quantity / 1024, an exact scaling) per cell and class level 0..9, from the line items of an order."""
     g = g or grid(spark, sf)
     li = read(spark, sf, "lineitem")
-    per = li.groupBy("l_orderkey", F.expr("CAST(l_partkey % 10 AS INT)").alias("pl")).agg(F.sum("l_quantity").alias("q"))
-    return per.select(
+    cells = li.select(
         F.expr(f"CAST(l_orderkey DIV {g.nx} AS INT)").alias("y"), F.expr(f"CAST(l_orderkey % {g.nx} AS INT)").alias("x"),
-        "pl", (F.col("q") / 1024).alias("value"),
+        F.expr("CAST(l_partkey % 10 AS INT)").alias("pl"), "l_quantity",
     )
+    # A cell has few items of a class, so they are dealt out as they are; what looks at whole cells afterwards needs no further shuffle.
+    per = within_tasks(cells, li.count(), "y", "x").groupBy("y", "x", "pl").agg(F.sum("l_quantity").alias("q"))
+    return per.select("y", "x", "pl", (F.col("q") / 1024).alias("value"))
 
 
 TILES = """tiles AS (SELECT CAST(l_orderkey // nx AS INT) AS y, CAST(l_orderkey % nx AS INT) AS x,
