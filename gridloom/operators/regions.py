@@ -166,16 +166,22 @@ def fill_lakes(
         return span.filter("_hi > _lo").select("lake", F.sequence("_lo", "_hi").alias("_" + name), "_seed_" + name)
 
     boxes = spans(axis_y, "_s", "_n", "lat", "y").join(spans(axis_x, "_w", "_e", "lon", "x"), "lake")
-    places = boxes.withColumn("y", F.explode("_y")).withColumn("x", F.explode("_x")).drop("_y", "_x")
-    part = materialise(places.join(cells.select("y", "x", code), ["y", "x"]))
+    # Only boxes around a seed of a source code are opened, and only cells of that code can be reached in them.
+    sources = cells.select("y", "x", code).filter(F.col(code).isin(source_codes))
+    at_seed = sources.select(F.col("y").alias("_seed_y"), F.col("x").alias("_seed_x"), code)
+    # By merging: there is a box per lake, too many to be held by every task.
+    seeded = materialise(boxes.hint("merge").join(at_seed, ["_seed_y", "_seed_x"]))
+    places = seeded.withColumn("y", F.explode("_y")).withColumn("x", F.explode("_x"))
+    seed = (F.col("y") == F.col("_seed_y")) & (F.col("x") == F.col("_seed_x"))
+    places = places.select("lake", "y", "x", code, seed.alias("_seed"))
+    part = materialise(places.join(sources, ["y", "x", code]))
     if outlines is not None:
         centres = inside_polygons(
             part.select("y", "x").distinct(), outlines, axis_y, axis_x, corners=False
         ).filter("inside").select("y", "x")
         part = part.join(centres, ["y", "x"], "left_semi")
-    part = part.filter(F.col(code).isin(source_codes))
     lab = materialise(label_regions(part, nx, code, wrap=False, by=["lake"]))
-    wanted = lab.filter("y = _seed_y AND x = _seed_x").select("lake", "region")
+    wanted = lab.filter("_seed").select("lake", "region")
     hit = lab.join(small(wanted), ["lake", "region"], "left_semi").select("y", "x").distinct().withColumn("_lake", F.lit(True))
     out = cells.join(hit, ["y", "x"], "left")
     return out.withColumn(code, F.when(F.col("_lake"), F.lit(target)).otherwise(F.col(code))).drop("_lake")

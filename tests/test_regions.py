@@ -401,3 +401,26 @@ def test_starts_descend_without_a_window(spark, monkeypatch):
     want = diamond([tuple(r) for r in starts.collect()], [tuple(r) for r in outs.collect()], [], 40, 50)
     assert rows(got, "id", "river", "radius") == sorted(want, key=repr)
     assert not any("Window" in p for p in plans)
+
+
+def test_only_cells_a_lake_can_reach_are_searched(spark, monkeypatch):
+    """Boxes around a seed of no source code are never opened, and of the others only cells of the seed's code go on."""
+    data = [[5, 1, 2, 5] * 3 for _ in range(12)]
+    f = grid_frame(spark, data, "code", "INT")
+    y, x = ax.regular_axis(spark, 12, 0.0, 1.0), ax.regular_axis(spark, 12, 0.0, 1.0)
+    lakes = spark.createDataFrame(
+        [("dry", 4.5, 4.5, 0.0, 12.0, 0.0, 12.0), ("wet", 4.5, 5.5, 2.0, 8.0, 4.0, 8.0)],
+        "lake STRING, lat DOUBLE, lon DOUBLE, lat_min DOUBLE, lat_max DOUBLE, lon_min DOUBLE, lon_max DOUBLE",
+    )
+    seen, plain = [], rg.materialise
+
+    def kept(df):
+        out = plain(df)
+        if {"lake", "y", "x", "code"} <= set(df.columns):
+            seen.append([(r["lake"], r["code"]) for r in out.collect()])
+        return out
+
+    monkeypatch.setattr(rg, "materialise", kept)
+    got = as_grid(rg.fill_lakes(f, lakes, y, x, 12, [1, 2], 9), "code")
+    assert [(j, i) for j in range(12) for i in range(12) if got[j][i] == 9] == [(j, 5) for j in range(2, 8)]
+    assert seen and all(cells == [("wet", 1)] * 6 for cells in seen)
