@@ -91,17 +91,8 @@ def passages(docs: DataFrame, id: str, text: str, with_text: bool, pairs: bool =
     return for_python(docs.select(F.col(id).alias("id"), F.col(text).cast("binary").alias("text"))).mapInArrow(run, schema)
 
 
-def remove_repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", pairs: bool = False) -> DataFrame:
-    """All columns of `docs`, the text without repeated passages, and ``n_lines``, ``n_lines_removed``, ``n_chunks_removed``.
-
-    A passage is a chunk with at least two lines that are not blank.  Of equal passages the one with the smallest (id, chunk number) stays,
-    null ids last; rows that repeat an id with the same text stay or lose passages alike.  A null text stays null and has no lines.  An
-    empty table gives an empty result.  Columns of `docs` with the names of the new ones are replaced.
-
-    With `pairs` the passages are all pairs of neighbouring lines with something in them, and what is between, so that a run of two or more
-    lines goes whatever surrounds it and no boundary can miss it; ``n_chunks_removed`` counts pairs, and a line of any such pair goes.
-    Every line that goes stands, with its neighbour, at an earlier place, but not all of that place need have stayed.
-    """
+def _repeats(docs: DataFrame, id: str, text: str, pairs: bool) -> DataFrame:
+    """``(id, doc, chunk)`` of the passages that an earlier place has."""
     seen = materialise(passages(docs, id, text, False, pairs))
     place = F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id"), F.col("chunk").alias("chunk"))
     again = materialise(seen.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest"))
@@ -116,28 +107,49 @@ def remove_repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", pai
         # Different passages with one digest: told apart by their text.
         both = passages(docs, id, text, True, pairs).join(odd, "digest", "left_semi").join(equal, ["digest", "passage"])
         gone = gone.unionByName(both.filter(place != F.col("first")).select("id", "doc", "chunk"))
-    lists = gone.groupBy(F.col("id").alias("_id"), F.col("doc").alias("_doc")).agg(F.sort_array(F.collect_set("chunk")).alias("_gone"))
+    return gone
+
+
+def remove_repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", pairs: bool = False, chunked: bool | None = None) -> DataFrame:
+    """All columns of `docs`, the text without repeated passages, and ``n_lines``, ``n_lines_removed``, ``n_chunks_removed``.
+
+    A passage is a chunk with at least two lines that are not blank.  Of equal passages the one with the smallest (id, chunk number) stays,
+    null ids last; rows that repeat an id with the same text stay or lose passages alike.  A null text stays null and has no lines.  An
+    empty table gives an empty result.  Columns of `docs` with the names of the new ones are replaced.
+
+    With `pairs` the passages are all pairs of neighbouring lines with something in them, and what is between, so that a run of two or more
+    lines goes whatever surrounds it and no boundary can miss it; ``n_chunks_removed`` counts pairs, and a line of any such pair goes.
+    Every line that goes stands, with its neighbour, at an earlier place, but not all of that place need have stayed.  With `chunked` as well
+    (by default either chunks or pairs) both kinds of passages are judged on the text as given; what either takes goes, and both count.
+    """
+    chunked = not pairs if chunked is None else chunked
+    kinds = [k for k, wanted in ((False, chunked), (True, pairs)) if wanted]
+    gone = None
+    for k in kinds:
+        some = _repeats(docs, id, text, k).withColumn("pairs", F.lit(k))
+        gone = some if gone is None else gone.unionByName(some)
+    lists = gone.groupBy(F.col("id").alias("_id"), F.col("doc").alias("_doc")).agg(
+        F.sort_array(F.collect_set(F.when(~F.col("pairs"), F.col("chunk")))).alias("_gone"), F.sort_array(F.collect_set(F.when(F.col("pairs"), F.col("chunk")))).alias("_pairs")
+    )
     new = ["n_lines", "n_lines_removed", "n_chunks_removed"]
     columns = [c for c in docs.columns if c not in new]
     doc = F.unhex(F.md5(F.col(text).cast("binary")))
-    rows = docs.select(*columns).join(lists, F.col(id).eqNullSafe(F.col("_id")) & (doc == F.col("_doc")), "left").select(*columns, "_gone")
+    rows = docs.select(*columns).join(lists, F.col(id).eqNullSafe(F.col("_id")) & (doc == F.col("_doc")), "left").select(*columns, "_gone", "_pairs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = columns.index(text)
         for batch in slices(batches, text):
             left, n_lines, n_removed, n_chunks = [], [], [], []
-            for t, gone in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist()):
-                lines = [] if t is None else t.split("\n")
-                removed = 0
-                if gone and pairs:
-                    drop = _lines_of_pairs(t.encode(), set(gone))
+            for t, gone, twos in zip(*(batch.column(k).to_pylist() for k in (at, len(columns), len(columns) + 1))):
+                lines, drop = [] if t is None else t.split("\n"), set()
+                if gone:
+                    cut = chunks(t.encode())
+                    drop |= {n for k in gone for n in range(*cut[k])}
+                if twos:
+                    drop |= _lines_of_pairs(t.encode(), set(twos))
+                if drop:
                     t = "\n".join(x for n, x in enumerate(lines) if n not in drop)
-                    removed = len(drop)
-                elif gone:
-                    cut, drop = chunks(t.encode()), set(gone)
-                    t = "\n".join(x for k, (lo, hi) in enumerate(cut) if k not in drop for x in lines[lo:hi])
-                    removed = sum(hi - lo for k, (lo, hi) in enumerate(cut) if k in drop)
-                left.append(t), n_lines.append(len(lines)), n_removed.append(removed), n_chunks.append(len(gone or ()))
+                left.append(t), n_lines.append(len(lines)), n_removed.append(len(drop)), n_chunks.append(len(gone or ()) + len(twos or ()))
             kept = [pa.array(left, pa.string()) if k == at else batch.column(k) for k in range(len(columns))]
             yield pa.RecordBatch.from_arrays([*kept, *(pa.array(v, pa.int64()) for v in (n_lines, n_removed, n_chunks))], [*columns, *new])
 

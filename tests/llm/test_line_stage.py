@@ -2,7 +2,7 @@ import random
 
 import corpus_pipeline
 
-from gridloom.llm.line_chunks import remove_repeated
+from gridloom.llm.line_chunks import chunks, remove_repeated
 
 
 def brute(pairs):
@@ -51,3 +51,25 @@ def test_pairs_against_plain_loops(docs_of):
     assert all(r.n_lines == dict(pairs)[i].count("\n") + 1 for i, r in got.items())
     odd = {r.doc_id: r.text for r in remove_repeated(docs_of([(1, None), (None, "a\nb"), (2, "a\nb")]), pairs=True).collect()}
     assert odd == {1: None, 2: "a\nb", None: ""}
+
+
+def test_stage_takes_chunks_beside_pairs(spark, docs_of):
+    """The lines of a repeated chunk go with the blank ones at its ends, which no pair of lines has."""
+    rng = random.Random(9)
+    shared = ["\n".join([*(f"shared {p} line {k}" for k in range(20)), "", " ", ""]) for p in range(10)]
+    pairs = [(i, f"own {i} {rng.random()}\n{shared[i % 10]}\nend {i} {rng.random()}") for i in range(30)]
+    twos, first, want = brute(pairs), {}, {}
+    for i, t in pairs:
+        lines, drop = t.split("\n"), set()
+        full = [n for n, x in enumerate(lines) if x.strip()]
+        for a, b in zip(full, full[1:]):
+            if first.setdefault("\n".join(lines[a:b + 1]), (i, a)) != (i, a):
+                drop |= set(range(a, b + 1))
+        for k, (lo, hi) in enumerate(chunks(t.encode())):
+            if sum(bool(x.strip()) for x in lines[lo:hi]) > 1 and first.setdefault(("chunk", "\n".join(lines[lo:hi])), (i, k)) != (i, k):
+                drop |= set(range(lo, hi))
+        want[i] = "\n".join(x for n, x in enumerate(lines) if n not in drop)
+    assert want != twos
+    odd = [(100, None), (101, "\n\n"), (102, "one")]
+    out = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs_of(pairs + odd), "").collect()}
+    assert out == want | dict(odd)
