@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.session import discard, lookup, materialise, row_count, small
+from gridloom.session import discard, lookup, materialise, merged, row_count, small
 from gridloom.operators.classes import ICE, SOIL
 from gridloom.operators.merge import inside_polygons
 from gridloom.operators.stencil import neighbourhood
@@ -37,7 +37,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         # A second hop: the best of what the neighbours found.  Twice the shrinking for one lineage cut.
         heard = lookup(e, near.select(F.col("a").alias("b"), F.col("best").alias("_heard")), ["b"], at_most=row_count(e))
         far = heard.groupBy("a").agg(F.min("_heard").alias("_heard"))
-        pick = near.join(far, "a").select(F.col("a").alias("node"), F.least("best", "_heard")["n"].alias("to"))
+        pick = near.join(merged(far), "a").select(F.col("a").alias("node"), F.least("best", "_heard")["n"].alias("to"))
         pick = materialise(pick)
         picks.append(pick)
         moved = lookup(e.withColumnRenamed("a", "node"), pick, ["node"]).select(F.col("to").alias("a"), "b")
@@ -48,12 +48,12 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     discard(e)
     if not picks:
         return nodes.select("node", F.col("node").alias("root"))
-    final = picks[-1]
+    final, most = picks[-1], row_count(picks[0])
     for pick in reversed(picks[:-1]):
         later = final.select(F.col("node").alias("to"), F.col("to").alias("_end"))
         # The nodes of a round are targets of the round before, so `later` is no longer than `pick`.
         final = lookup(pick, later, ["to"], "left", at_most=row_count(pick)).select("node", F.coalesce("_end", "to").alias("to"))
-    final = materialise(nodes.select("node").join(final, "node", "left").select("node", F.coalesce("to", "node").alias("to")))
+    final = materialise(nodes.select("node").join(small(final, most), "node", "left").select("node", F.coalesce("to", "node").alias("to")))
     discard(*picks)
     roots = materialise(final.groupBy("to").agg(F.min("node").alias("root")))
     return lookup(final, roots, ["to"]).select("node", "root")
@@ -80,7 +80,8 @@ def label_regions(
     up = c.select(*by, (F.col("y") + 1).alias("y"), F.explode(reach).alias("_d"), "x", value, F.col("_node").alias("a"))
     x = F.col("x") + F.col("_d")
     up = up.withColumn("x", F.pmod(x, F.lit(nx)).cast("int") if wrap else x).drop("_d")
-    links = up.join(c.select(*by, "y", "x", value, F.col("_node").alias("b")), by + ["y", "x", value]).select("a", "b").distinct()
+    below = small(c.select(*by, "y", "x", value, F.col("_node").alias("b")), row_count(c))
+    links = up.join(below, by + ["y", "x", value]).select("a", "b").distinct()
     if wrap:
         first = c.filter("x = 0").select(*by, "y", value, F.col("_node").alias("a"))
         last = c.filter(F.col("x") == nx - 1).select(*by, "y", value, F.col("_node").alias("b"))
@@ -165,23 +166,24 @@ def fill_lakes(
         )
         return span.filter("_hi > _lo").select("lake", F.sequence("_lo", "_hi").alias("_" + name), "_seed_" + name)
 
-    boxes = spans(axis_y, "_s", "_n", "lat", "y").join(spans(axis_x, "_w", "_e", "lon", "x"), "lake")
+    boxes = spans(axis_y, "_s", "_n", "lat", "y").join(merged(spans(axis_x, "_w", "_e", "lon", "x")), "lake")
     # Only boxes around a seed of a source code are opened, and only cells of that code can be reached in them.
     sources = cells.select("y", "x", code).filter(F.col(code).isin(source_codes))
     at_seed = sources.select(F.col("y").alias("_seed_y"), F.col("x").alias("_seed_x"), code)
     # By merging: there is a box per lake, too many to be held by every task.
-    seeded = materialise(boxes.hint("merge").join(at_seed, ["_seed_y", "_seed_x"]))
+    seeded = materialise(merged(boxes).join(at_seed, ["_seed_y", "_seed_x"]))
     places = seeded.withColumn("y", F.explode("_y")).withColumn("x", F.explode("_x"))
     seed = (F.col("y") == F.col("_seed_y")) & (F.col("x") == F.col("_seed_x"))
     places = places.select("lake", "y", "x", code, seed.alias("_seed"))
-    part = materialise(places.join(sources, ["y", "x", code]))
+    # The boxes are opened here, so their table says little of how many places there are.
+    part = materialise(merged(places).join(sources, ["y", "x", code]))
     if outlines is not None:
         centres = inside_polygons(
             part.select("y", "x").distinct(), outlines, axis_y, axis_x, corners=False
         ).filter("inside").select("y", "x")
-        part = part.join(centres, ["y", "x"], "left_semi")
+        part = part.join(merged(centres), ["y", "x"], "left_semi")
     lab = materialise(label_regions(part, nx, code, wrap=False, by=["lake"]))
     wanted = lab.filter("_seed").select("lake", "region")
     hit = lab.join(small(wanted), ["lake", "region"], "left_semi").select("y", "x").distinct().withColumn("_lake", F.lit(True))
-    out = cells.join(hit, ["y", "x"], "left")
+    out = cells.join(merged(hit), ["y", "x"], "left")
     return out.withColumn(code, F.when(F.col("_lake"), F.lit(target)).otherwise(F.col(code))).drop("_lake")

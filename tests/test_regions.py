@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -424,3 +426,28 @@ def test_only_cells_a_lake_can_reach_are_searched(spark, monkeypatch):
     got = as_grid(rg.fill_lakes(f, lakes, y, x, 12, [1, 2], 9), "code")
     assert [(j, i) for j in range(12) for i in range(12) if got[j][i] == 9] == [(j, 5) for j in range(2, 8)]
     assert seen and all(cells == [("wet", 1)] * 6 for cells in seen)
+
+
+def joins(monkeypatch, *modules):
+    """The joins of the tables that the modules write from now on, as they are optimised."""
+    found = []
+    for module in modules:
+        def spied(df, cut=module.materialise):
+            found.extend(x.strip() for x in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if re.search(r"\bJoin \w", x))
+            return cut(df)
+
+        monkeypatch.setattr(module, "materialise", spied)
+    return found
+
+
+def test_opened_boxes_of_lakes_are_not_broadcast(spark, monkeypatch):
+    """Their table is small on disk, but each row becomes a row per cell of the box."""
+    found = joins(monkeypatch, rg)
+    f = grid_frame(spark, [[1] * 12 for _ in range(10)], "code", "INT")
+    y, x = ax.regular_axis(spark, 10, 0.0, 1.0), ax.regular_axis(spark, 12, 0.0, 1.0)
+    lakes = spark.createDataFrame([(k, 3.5 + k % 5, 3.5, None, None, None, None) for k in range(9)], "lake INT, lat DOUBLE, lon DOUBLE, lat_min DOUBLE, lat_max DOUBLE, lon_min DOUBLE, lon_max DOUBLE")
+    out = rg.fill_lakes(f, lakes, y, x, 12, [1], 9)
+    cells = [j for j in found if re.search(r"\(y#\d+ = y#\d+\).*\(x#\d+ = x#\d+\).*\(code#\d+ = code#\d+\)", j)]
+    assert cells and all("strategy=merge" in j for j in cells[:1])
+    assert "strategy=merge" in next(j for j in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join LeftOuter" in j)
+    assert out.filter("code = 9").count() == 7 * 3  # 1.366 degrees around seeds at 3.5 to 7.5 north and 3.5 east
