@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.regrid import complete
-from gridloom.session import discard, is_small, lookup, materialise, row_count, small, within_tasks
+from gridloom.session import discard, is_small, lookup, materialise, merged, row_count, small, within_tasks
 from gridloom.sources.axes import facts
 
 #: Distances that agree to this many decimals (unit sphere) are ties; the smaller cell number wins.
@@ -240,27 +240,29 @@ def nearest_points(queries: DataFrame, points: DataFrame, leaf_rows: int = 64, m
     margin = 10.0**-TIE_DIGITS
     per_level = {r["lv"]: r["n"] for r in boxes.groupBy("lv").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per level
     parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = row_count(queries)
     for lv in range(1, level + 1):
         parent = F.expr("transform(k, v -> shiftright(v, 2))")
         # At most 64 cubes below each cube.
         children = materialise(boxes.filter(F.col("lv") == lv).groupBy(parent.alias("p")).agg(F.collect_list(box).alias("kids")).withColumnRenamed("p", "k"))
-        above = per_level.get(lv - 1, 1)
+        # A broadcast holds the cubes below, so they are what counts.
+        size = max(per_level.get(lv, 1), per_level.get(lv - 1, 1))
 
         def below(rows, *more):
-            step = lookup(rows, children, ["k"], at_most=above).select("id", "px", "py", "pz", *more, F.explode("kids").alias("b"))  # noqa: B023
+            step = lookup(rows, children, ["k"], at_most=size).select("id", "px", "py", "pz", *more, F.explode("kids").alias("b"))  # noqa: B023
             return step.select("id", "px", "py", "pz", *more, "b.*")
 
         # The cubes below are gone through twice, for the reach and for what it leaves: no task sorts or holds them.
         reach = below(live).groupBy("id").agg(F.min(upper).alias("reach"))
-        live = below(live.repartition(parts, "id").join(reach, "id"), "reach").filter(lower <= F.col("reach") + margin).select("id", "px", "py", "pz", "k")
+        live = below(live.repartition(parts, "id").join(small(reach, asked), "id"), "reach").filter(lower <= F.col("reach") + margin).select("id", "px", "py", "pz", "k")
         live = materialise(live)
         held += [live, children]
     leaf = places.select(F.expr(f"array({_cube(level)})").alias("k"), "point", *[F.col(c).alias("q" + c[1]) for c, _, _ in _BOX])
     gaps = [(F.col(p) - F.col(q)) for p, q in (("px", "qx"), ("py", "qy"), ("pz", "qz"))]
     d = F.round(F.sqrt(sum((g * g for g in gaps), F.lit(0.0))), TIE_DIGITS)
     # First the least distance, then the least point at it: numbers are aggregated without sorting the pairs.
-    least = live.join(leaf, "k").groupBy("id").agg(F.min(d).alias("d"))
-    ties = live.repartition(parts, "id").join(least, "id").join(leaf, "k").filter(d == F.col("d"))
+    least = live.join(merged(leaf), "k").groupBy("id").agg(F.min(d).alias("d"))
+    ties = live.repartition(parts, "id").join(small(least, asked), "id").join(merged(leaf), "k").filter(d == F.col("d"))
     out = materialise(ties.groupBy("id").agg(F.min("point").alias("point"), F.min("d").alias("d")))
     discard(places, boxes, *held)
     return out

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from gridloom.functions.columns import MISSING_REAL, sentinel
-from gridloom.session import attach, rank_within
+from gridloom.session import attach, merged, rank_within
 
 # Type -> (smallest, largest) of the integer types a classic file holds.
 RANGES = {"byte": (-128, 127), "short": (-32768, 32767), "int": (-2147483648, 2147483647)}
@@ -185,7 +185,7 @@ def mesh_fields_consistent(fields: DataFrame, keys: list[str] | None = None) ->
 
 def ocean_river_table(interior: DataFrame, positions: DataFrame) -> DataFrame:
     """River numbers on the whole ocean grid ``(y, x, nav_lat, nav_lon)``; cells outside the numbered interior get 0."""
-    return positions.join(interior.select("y", "x", "river"), ["y", "x"], "left").withColumn("river", F.coalesce("river", F.lit(0)))
+    return positions.join(merged(interior.select("y", "x", "river")), ["y", "x"], "left").withColumn("river", F.coalesce("river", F.lit(0)))
 
 
 def fill_value(kind: str) -> float:

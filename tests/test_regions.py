@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom import session
+from gridloom.operators import fill
 from gridloom.operators import regions as rg
 from gridloom.functions.columns import search_distance
 from gridloom.operators import rivers as rv
@@ -451,3 +453,20 @@ def test_opened_boxes_of_lakes_are_not_broadcast(spark, monkeypatch):
     assert cells and all("strategy=merge" in j for j in cells[:1])
     assert "strategy=merge" in next(j for j in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join LeftOuter" in j)
     assert out.filter("code = 9").count() == 7 * 3  # 1.366 degrees around seeds at 3.5 to 7.5 north and 3.5 east
+
+
+def test_every_join_of_linked_mouths_is_sized(spark, monkeypatch):
+    """No join is left to what Spark makes of a table's size on disk, and merged sides link as broadcast ones do."""
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    found = joins(monkeypatch, rv, fill)
+    ny, nx = 12, 30
+    sea = [[float((y // 3 + x // 4) % 3 > 0) for x in range(nx)] for y in range(ny)]
+    ocean = grid_frame(spark, sea, "sea").withColumn("nav_lat", F.col("y") * 1.0).withColumn("nav_lon", F.col("x") * 1.0)
+    rng = np.random.default_rng(4)
+    mouths = [(i, float(rng.integers(0, ny)), float(rng.integers(0, nx)), int(rng.integers(0, 10))) for i in range(25)]
+    frame = spark.createDataFrame(mouths, "id LONG, lat DOUBLE, lon DOUBLE, sequence INT")
+    reach = {r["id"]: r["d"] for r in frame.select("id", search_distance(F.col("sequence"), 0.15).alias("d")).collect()}
+    want = sequential_mouths([(i, int(a), int(o), reach[i]) for i, a, o, _ in mouths], sea, {}, ny, nx)
+    got, _ = rv.link_mouths(frame, ocean, ocean.select("y", "x", "sea"), spark.createDataFrame([], "y INT, x INT, river INT"), 0.15, ny, nx)
+    assert {r["id"]: r["river"] for r in got.collect()} == want
+    assert len(found) > 20 and [j for j in found if "Hint" not in j] == []
