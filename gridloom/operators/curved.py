@@ -13,7 +13,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.session import HOT_SHARE, materialise, row_count, small, within_tasks
+from gridloom.session import HOT_SHARE, discard, materialise, row_count, small, within_tasks
+
+#: A cell is put into cubes this many powers of two larger than itself, where they are no larger than 2 ** COARSEST.  Every cube is a row with the
+#: cell's corners to be shuffled: a cell of a quarter of a cube's side lies in one or two cubes, one of the whole side in four.
+SPARE, COARSEST = 2, -4
 
 
 def corners_from_axes(axis_y: DataFrame, axis_x: DataFrame, ny: int, nx: int, cell: str = "cell") -> DataFrame:
@@ -103,45 +107,56 @@ def _triangles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def convex_pieces(cells: DataFrame, cell: str = "cell") -> DataFrame:
     """``(cell, v, whole)``: convex cells as they are, others as triangles with the area of the cell; `v` are corners in space."""
+    return _pieces(cells, cell)[0]
+
+
+def _pieces(cells: DataFrame, cell: str) -> tuple[DataFrame, DataFrame]:
+    """`convex_pieces`, and the table that they are read from."""
     # Written first: a filter on the turns would be pushed below and work the corners out again for every turn.
-    c = materialise(materialise(cells.selectExpr(f"`{cell}` AS id", f"{_XYZ} AS v")).selectExpr("*", f"{_TURN} AS _turns"))
-    convex = f"forall(_turns, t -> t >= -{_STRAIGHT}D) OR forall(_turns, t -> t <= {_STRAIGHT}D)"
-    whole = c.filter(convex).selectExpr("id", "v", "CAST(NULL AS DOUBLE) AS whole")
+    corners = materialise(cells.selectExpr(f"`{cell}` AS id", f"{_XYZ} AS v"))
+    convex = f"forall(_turns, t -> t >= -{_STRAIGHT}D) OR forall(_turns, t -> t <= {_STRAIGHT}D) AS _convex"
+    c = materialise(corners.selectExpr("*", f"{_TURN} AS _turns").selectExpr("id", "v", convex))
+    discard(corners)
+    whole = c.filter("_convex").selectExpr("id", "v", "CAST(NULL AS DOUBLE) AS whole")
     kind = dict(cells.dtypes)[cell]
-    flat = c.filter(f"NOT ({convex})").selectExpr("id", "flatten(transform(v, q -> array(q.x, q.y, q.z))) AS v")
+    flat = c.filter("NOT _convex").selectExpr("id", "flatten(transform(v, q -> array(q.x, q.y, q.z))) AS v")
     cut = flat.mapInPandas(_triangles, f"id {kind}, v ARRAY<DOUBLE>, whole DOUBLE")
     corner = "transform(sequence(0, 2), i -> struct(v[3 * i] AS x, v[3 * i + 1] AS y, v[3 * i + 2] AS z)) AS v"
-    return whole.unionByName(cut.selectExpr("id", corner, "whole")).withColumnRenamed("id", cell)
+    return whole.unionByName(cut.selectExpr("id", corner, "whole")).withColumnRenamed("id", cell), c
 
 
 def _boxed(cells: DataFrame, cell: str, prefix: str) -> DataFrame:
-    """Bounding box in space of each cell's convex pieces, widened by how far an arc of the piece's size can bulge."""
-    c = convex_pieces(cells, cell).selectExpr(f"{cell} AS {prefix}", "v", "whole")
+    """Table of the bounding box in space of each cell's convex pieces, widened by how far an arc of the piece's size can bulge."""
+    pieces, held = _pieces(cells, cell)
+    c = pieces.selectExpr(f"{cell} AS {prefix}", "v", "whole")
     c = c.selectExpr(
         "*", *[f"array_min(transform(v, q -> q.{a})) AS l{a}" for a in "xyz"], *[f"array_max(transform(v, q -> q.{a})) AS h{a}" for a in "xyz"],
     )
     c = c.selectExpr("*", "0.5D * (pow(hx - lx, 2) + pow(hy - ly, 2) + pow(hz - lz, 2)) + 1e-12D AS pad")
-    return c.selectExpr(
+    out = materialise(c.selectExpr(
         prefix, f"v AS {prefix}_v", f"whole AS {prefix}_whole", *[f"l{a} - pad AS {prefix}_l{a}" for a in "xyz"], *[f"h{a} + pad AS {prefix}_h{a}" for a in "xyz"],
-    )
+    ))
+    discard(held)
+    return out
 
 
 def candidate_pairs(src: DataFrame, tgt: DataFrame, cell: str = "cell") -> DataFrame:
-    """Pairs of cells whose boxes overlap, met by equality in cubes of the larger one's size: ``(s, t, s_v, t_v, s_whole, t_whole)``.
+    """Pairs of cells whose boxes overlap, met by equality in cubes of the larger one's size class: ``(s, t, s_v, t_v, s_whole, t_whole)``.
 
     A cell that is not convex takes part with each of its triangles; `s_whole` and `t_whole` are its area, null for convex cells.
 
-    Cubes come in powers of two.  A cell is put into the cubes, eight at most, of the larger classes that the other side has and, where the
+    Cubes come in powers of two, up to four times a cell's size.  A cell is put into the cubes, eight at most, of the larger classes that the other side has and, where the
     other side has cells of its own size class or smaller ones, of its own, so there are a few rows per cell whatever the ratio of the two resolutions.  A pair counts in the
     first cube both share.  Cubes that hold more than a thousandth of the source cells are salted.
     """
-    return _meet(materialise(_boxed(src, cell, "s")), materialise(_boxed(tgt, cell, "t")))
+    return _meet(_boxed(src, cell, "s"), _boxed(tgt, cell, "t"))
 
 
 def _meet(s: DataFrame, t: DataFrame) -> DataFrame:
     """`candidate_pairs` of cells that `_boxed` has prepared."""
     n = row_count(s)
-    size = "CAST(greatest(ceil(log2(greatest({p}_hx - {p}_lx, {p}_hy - {p}_ly, {p}_hz - {p}_lz, 1e-9D))), -30) AS INT)"
+    own_size = "CAST(greatest(ceil(log2(greatest({p}_hx - {p}_lx, {p}_hy - {p}_ly, {p}_hz - {p}_lz, 1e-9D))), -30) AS INT)"
+    size = f"least({own_size} + {SPARE}, greatest({own_size}, {COARSEST}))"
     classes = {p: sorted(r[0] for r in df.select(F.expr(size.format(p=p))).distinct().collect()) for p, df in (("s", s), ("t", t))}  # some thirty at most
 
     cube = "CAST(floor({p}_{e}{a} / pow(2D, level)) AS BIGINT)"
@@ -171,11 +186,13 @@ def _meet(s: DataFrame, t: DataFrame) -> DataFrame:
     hot = F.broadcast(counts.select(*cubes, F.lit(salts).alias("_salts"))) if row_count(counts) <= 64 * HOT_SHARE else counts.select(*cubes, F.lit(salts).alias("_salts"))
     sc = sc.join(hot, cubes, "left").withColumn("_salt", F.pmod(F.xxhash64("s"), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
     tc = tc.join(hot, cubes, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
-    sc, tc = (within_tasks(df, n_s + n_t, *cubes, "_salt") for df in (sc, tc))
-    j = sc.join(tc, cubes + ["_salt"]).filter("level = greatest(s_own, t_own)")
+    # A row meets all of its cube, so tasks get half the rows that others do.
+    sc, tc = (within_tasks(df, 2 * (n_s + n_t), *cubes, "_salt") for df in (sc, tc))
+    # Few pairs pass the boxes; only for these the first cube is worked out.
+    j = sc.join(tc, cubes + ["_salt"]).filter("level = greatest(s_own, t_own) AND " + " AND ".join(f"s_l{a} <= t_h{a} AND t_l{a} <= s_h{a}" for a in "xyz"))
     for a in "xyz":
         first = ", ".join(cube.format(p=p, e="l", a=a) for p in "st")
-        j = j.filter(f"c{a} = greatest({first}) AND s_l{a} <= t_h{a} AND t_l{a} <= s_h{a}")
+        j = j.filter(f"c{a} = greatest({first})")
     return j.selectExpr("s", "t", "s_v", "t_v", "s_whole", "t_whole")
 
 
@@ -241,11 +258,12 @@ def curved_weights(src: DataFrame, tgt: DataFrame, cell: str = "cell") -> DataFr
                 yield out[share != 0]
 
     kind = dict(src.dtypes)[cell]
-    s, t = materialise(_boxed(src, cell, "s")), materialise(_boxed(tgt, cell, "t"))
+    s, t = _boxed(src, cell, "s"), _boxed(tgt, cell, "t")
     out = _meet(s, t).mapInPandas(overlap, f"src_cell {kind}, tgt_cell {dict(tgt.dtypes)[cell]}, w DOUBLE, _part BOOLEAN")
     # Only pairs with triangles have several rows; the others are not shuffled.
     if any(cells.filter(f"{p}_whole IS NOT NULL").limit(1).count() for p, cells in (("s", s), ("t", t))):
         out = materialise(out)
+        discard(s, t)
         n = row_count(out)
         parts = within_tasks(out.filter("_part"), n, "src_cell", "tgt_cell").groupBy("src_cell", "tgt_cell").agg(F.sum("w").alias("w"))
         # Weights meet the source next, as many to a task.

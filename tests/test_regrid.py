@@ -1,4 +1,5 @@
 import math
+import os
 
 import numpy as np
 import pytest
@@ -371,3 +372,21 @@ def test_tasks_that_clip_hold_a_share_of_the_cells(spark, monkeypatch):
     assert len(total) == 25 and all(abs(v - 1) < 0.02 for v in total.values())
     (most, pairs, nothing), = written
     assert nothing == 0 and most < pairs / 2.5 and max(sizes) < sum(sizes) / 2
+
+
+def test_cells_lie_in_few_cubes_and_leave_few_tables(spark, monkeypatch):
+    dealt, real = [], curved.within_tasks
+    monkeypatch.setattr(curved, "within_tasks", lambda df, rows, *keys: dealt.append(rows) or real(df, rows, *keys))
+    axis, beside = ax.regular_axis(spark, 40, 0.0, 0.5), ax.regular_axis(spark, 20, 5.25, 0.5)
+    src = curved.corners_from_axes(axis, axis, 40, 40)
+    bent = spark.range(9).selectExpr("id AS cell", "array(0D, 0D, 0D, 1D, 1D, 2D, 2D) AS lats", "array(0D, 1D, 2D, 2D, 1D, 1D, 0D) AS lons").selectExpr("cell", "transform(lats, v -> v + 2 * (cell DIV 3)) AS lats", "transform(lons, v -> v + 2 * (cell % 3)) AS lons")
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    bent_w = {r["tgt_cell"]: (r["n"], r["w"]) for r in curved.curved_weights(src, bent).groupBy("tgt_cell").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w")).collect()}
+    # Each bent cell holds three squares of four cells; of what was written only the weights and the counts of cubes are left.
+    assert len(bent_w) == 9 and all(n >= 12 and abs(w - 1) < 1e-9 for n, w in bent_w.values())
+    assert len(set(os.listdir(folder)) - before) <= 2
+    dealt.clear()
+    sums = curved.curved_weights(src, curved.corners_from_axes(beside, beside, 20, 20)).groupBy("tgt_cell").agg(F.sum("w").alias("w")).collect()
+    assert len(sums) == 400 and all(abs(r["w"] - 1) < 1e-9 for r in sums)
+    assert 1600 <= dealt[0] < 2 * 1600
